@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import growth, ratio, within_tolerance
+from ..functions.numbers import exact_sum, growth, ratio, within_tolerance
 
 
 def align(a: DataFrame, b: DataFrame, key) -> DataFrame:
@@ -91,7 +91,8 @@ def growth_by_shift(df: DataFrame, date_col: str, measures, months: int,
 
 def growth_by_year(df: DataFrame, year_col: str, measures, complete_col: str | None = None,
                    suffix: str = "_prev_year", rate_prefix: str = "yoy_",
-                   require: str = "nonzero", keep_prev: bool = False, keys=()) -> DataFrame:
+                   require: str = "nonzero", keep_prev: bool = False, keys=(),
+                   ratio_minus_one: bool = False) -> DataFrame:
     """Previous-year values by a left self-join on ``year+1``.
 
     With ``complete_col`` growth is only given when both years are complete.
@@ -107,7 +108,12 @@ def growth_by_year(df: DataFrame, year_col: str, measures, complete_col: str | N
     out = df.join(prev, on=[*keys, year_col], how="left")
     rates = {}
     for m in measures:
-        g = growth(F.col(m), F.col(m + suffix), require)
+        c, p = F.col(m), F.col(m + suffix)
+        if ratio_minus_one:
+            ok = p.isNotNull() & ((p > 0) if require == "positive" else (p != 0))
+            g = F.when(ok, c / p - F.lit(1.0))
+        else:
+            g = growth(c, p, require)
         if complete_col:
             g = F.when(F.col(complete_col) & F.col(complete_col + suffix), g)
         rates[rate_prefix + m] = g
@@ -157,7 +163,7 @@ def share_of(df: DataFrame, partition, measure: str, out_col: str,
     """
     partition = list(partition)
     tot_col = f"_total_{measure}"
-    totals = df.groupBy(*partition).agg(F.sum(measure).alias(tot_col))
+    totals = df.groupBy(*partition).agg(exact_sum(measure).alias(tot_col))
     out = df.join(totals, on=partition, how="left")
     ok = F.col(tot_col) > 0
     if require_value:

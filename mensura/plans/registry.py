@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import national
+from . import national, subcode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,4 +19,13 @@ QUERIES: dict[str, Query] = {
     "k1_national_base": national.national_base,
     "k7_national_monthly": national.national_monthly,
     "k8_national_annual": national.national_annual,
+    "k12_enriched_subcode": subcode.enriched,
+    "k12_dim_date": subcode.dim_date,
+    "k12_dim_product": subcode.dim_product,
+    "k12_dim_subcode": subcode.dim_subcode,
+    "k13_fact_subcode": subcode.fact,
+    "k14_monthly_summary": subcode.monthly_summary,
+    "k14_annual_summary": subcode.annual_summary,
+    "k15_flat_serving": subcode.serving,
+    "k16_kpi_subcode": subcode.kpi,
 }

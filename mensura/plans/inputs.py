@@ -17,7 +17,10 @@ are derived, by Spark jobs over the whole tables, from ``orders``,
   value) form.
 
 Money is summed as DECIMAL (see :func:`exact_sum`) so totals do not depend
-on partitioning.
+on partitioning.  Each derived table is small (months x labels x codes) and
+feeds several branches of the gold plans, so it is materialized once with a
+reliable checkpoint: the expensive scan and join of the base tables run
+exactly once per query.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import MONTHS_TITLE, month_start
 from ..functions.numbers import exact_sum
 from ..operators.reshape import pivot_months, unpivot_months
+from ..session import materialize
 from ..sources.tables import table
 
 
@@ -53,9 +57,9 @@ MONTH_COLS = [f"m{i:02d}" for i in range(1, 13)]
 def order_months(spark: SparkSession, d: str) -> DataFrame:
     """Orders per calendar month: (period_date, qty, value)."""
     o = table(spark, d, "orders")
-    return (o.groupBy(month_start("o_orderdate").alias("period_date"))
-            .agg(F.count(F.lit(1)).cast("double").alias("qty"),
-                 exact_sum("o_totalprice").alias("value")))
+    return materialize(o.groupBy(month_start("o_orderdate").alias("period_date"))
+                       .agg(F.count(F.lit(1)).cast("double").alias("qty"),
+                            exact_sum("o_totalprice").alias("value")))
 
 
 def monthly_direct(spark: SparkSession, d: str, p: Params = P) -> DataFrame:
@@ -103,7 +107,7 @@ def subcode_fact(spark: SparkSession, d: str) -> DataFrame:
     brand = F.lpad(F.regexp_extract("p_brand", r"(\d+)$", 1), 4, "0")
     month = F.month("period_date")
     names = F.array(*[F.lit(n) for n in MONTHS_TITLE])
-    return g.select(
+    return materialize(g.select(
         F.concat(F.year("period_date").cast("string"), F.lit(" / "),
                  F.lpad(month.cast("string"), 2, "0"), F.lit(" - "),
                  F.element_at(names, month)).alias("period_text"),
@@ -119,7 +123,7 @@ def subcode_fact(spark: SparkSession, d: str) -> DataFrame:
         "tonnes",
         (F.col("_fob") / F.lit(1000.0)).alias("fob_thousands"),
         (F.col("_fob") / F.lit(1000.0) * F.lit(1000.0)).alias("fob_usd"),
-    )
+    ))
 
 
 def market_cells(spark: SparkSession, d: str, p: Params = P) -> DataFrame:
@@ -152,8 +156,8 @@ def market_cells(spark: SparkSession, d: str, p: Params = P) -> DataFrame:
     total = named.groupBy("cut", "year").agg(F.sum("n").alias("n"), F.sum("v").alias("v")) \
         .select(F.lit("TOTAL EXPORTACIONES").alias("label"), "cut", "year", "n", "v")
     allrows = nations.unionByName(regions).unionByName(total)
-    return allrows.select("label", "cut", "year", F.col("n").cast("double").alias("qty"),
-                          F.col("v").cast("double").alias("value"))
+    return materialize(allrows.select("label", "cut", "year", F.col("n").cast("double").alias("qty"),
+                                      F.col("v").cast("double").alias("value")))
 
 
 def indicator_name(unit, year, cut) -> F.Column:
@@ -197,4 +201,4 @@ def market_long(spark: SparkSession, d: str, p: Params = P) -> DataFrame:
                     .when(F.col("indicator") == "vl", "variacion_libras")
                     .otherwise("participacion_libras")) \
         .filter(F.col("value").isNotNull())
-    return vals.unionByName(published.select("cut", "label", "indicator", "value"))
+    return materialize(vals.unionByName(published.select("cut", "label", "indicator", "value")))

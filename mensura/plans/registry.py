@@ -1,7 +1,7 @@
 """Registered queries: one per operator family of the survey inventory.
 
 Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole input tables.  Oracle SQL lives in :mod:`mensura.plans.oracle`.
+whole input tables.  Oracle SQL lives in the ``oracle*`` modules.
 """
 
 from __future__ import annotations
@@ -10,15 +10,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import national, subcode
+from . import market, national, oracle, oracle_market, subcode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    # national series (source A)
     "k1_reconciliation_audit": national.reconciliation_audit,
     "k1_national_base": national.national_base,
     "k7_national_monthly": national.national_monthly,
     "k8_national_annual": national.national_annual,
+    # markets (source A)
+    "k2_market_values": market.market_all,
+    "k2_published_indicators": market.published_all,
+    "k2_alias_collisions": market.alias_collisions,
+    "k3_market_base": market.market_base,
+    "k9_market_serving": market.market_serving,
+    "k10_regional_serving": market.regional_serving,
+    "k4_comparative": market.comparative,
+    "k9_comparative_serving": market.comparative_serving,
+    "k5_dim_destination": market.dim_destination,
+    "k5_date_spine": market.date_spine,
+    "k6_market_fact": market.market_fact,
+    "k11_kpi_national": market.kpi,
+    # sub-code star schema (source B)
     "k12_enriched_subcode": subcode.enriched,
     "k12_dim_date": subcode.dim_date,
     "k12_dim_product": subcode.dim_product,
@@ -29,3 +44,5 @@ QUERIES: dict[str, Query] = {
     "k15_flat_serving": subcode.serving,
     "k16_kpi_subcode": subcode.kpi,
 }
+
+ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL}

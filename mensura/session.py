@@ -66,11 +66,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this must already be set to shared storage; only when it is
     unset (local tests) a scratch folder is created and registered.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    active = sc.getCheckpointDir()
+    if active:
+        return active
+    try:
+        current = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # pragma: no cover
+        current = None
+    current = current or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
+        sc.setCheckpointDir(current)
+        return sc.getCheckpointDir() or current
+    # Unset (local tests only): a scratch folder of our own.
     local = tempfile.mkdtemp(prefix="mensura-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Cut lineage of a small shared intermediate with a reliable checkpoint.
+
+    Used where one derived table (e.g. a monthly aggregate) feeds several
+    branches of a plan: the expensive scan/join runs once, the files land
+    in the shared ``spark.checkpoint.dir`` and survive executor loss.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

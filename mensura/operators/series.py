@@ -205,3 +205,45 @@ def rollup_year(df: DataFrame, year_col: str, month_col: str, sums: dict,
 
 def within(a, b, abs_tol, rel_tol, ref=None) -> Column:
     return within_tolerance(a, b, abs_tol, rel_tol, ref)
+
+
+def reconcile_totals(detail: DataFrame, total: DataFrame, keys, measure: str,
+                     abs_tol: float, how: str = "inner") -> DataFrame:
+    """Σ detail per key vs the reported total of the same key.
+
+    ``how='inner'`` checks only keys present on both sides (as the source
+    rule does); ``how='full_outer'`` also returns keys without counterpart
+    (``within_tolerance`` NULL) so silently unchecked pairs become visible.
+    """
+    keys = list(keys)
+    s = detail.groupBy(*keys).agg(exact_sum(measure).alias("detail_sum"))
+    t = total.select(*keys, F.col(measure).alias("reported_total"))
+    j = s.join(t, keys, how)
+    diff = F.abs(F.col("detail_sum") - F.col("reported_total"))
+    return j.withColumns({"abs_diff": diff, "within_tolerance": diff <= F.lit(float(abs_tol))})
+
+
+def attach(df: DataFrame, other: DataFrame, keys, how: str = "left") -> DataFrame:
+    """Attach labels, published indicators or annual coverage by key.
+
+    No hint: AQE converts the join to a broadcast join at run time when the
+    measured size of ``other`` is below the threshold, and keeps a shuffle
+    join otherwise.
+    """
+    return df.join(other, on=list(keys) if not isinstance(keys, str) else keys, how=how)
+
+
+def lookup_key(fact: DataFrame, dim: DataFrame, on, key_col: str) -> DataFrame:
+    """Dimension key lookup (left join); NULL keys are found by a rule."""
+    return fact.join(dim.select(*([on] if isinstance(on, str) else on), key_col), on=on, how="left")
+
+
+def denormalise(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
+    """Fact joined to a dimension (inner)."""
+    return fact.join(dim, on=on, how="inner")
+
+
+def fk_orphans(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
+    """Fact rows whose key is missing from the dimension (left anti)."""
+    keys = [on] if isinstance(on, str) else list(on)
+    return fact.join(dim.select(*keys).distinct(), keys, "left_anti")

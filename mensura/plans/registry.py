@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import market, national, oracle, oracle_market, subcode
+from . import market, national, oracle, oracle_market, oracle_rules, rules, subcode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,11 @@ QUERIES: dict[str, Query] = {
     "k14_annual_summary": subcode.annual_summary,
     "k15_flat_serving": subcode.serving,
     "k16_kpi_subcode": subcode.kpi,
+    # data-quality rule registries
+    "d_silver_b_rules": rules.silver_b,
+    "d_gold_b_rules": rules.gold_b,
+    "d_silver_a_rules": rules.silver_a,
+    "d_gold_a_rules": rules.gold_a,
 }
 
-ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL}
+ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL, **oracle_rules.SQL}

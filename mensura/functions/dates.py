@@ -31,7 +31,7 @@ YEAR_PATTERN = r"\b(20\d{2})\b"
 def parse_date(c, formats=DATE_FORMATS) -> Column:
     """First format that parses; unparseable -> NULL (never raises)."""
     s = as_col(c)
-    return F.coalesce(*[F.try_to_date(s, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
 
 
 def infer_month(text, names=MONTHS_UPPER, normalized: bool = False) -> Column:
@@ -58,7 +58,7 @@ def parse_period(c) -> tuple[Column, Column, Column]:
     m = F.nullif(F.regexp_extract(s, PERIOD_PATTERN, 2), F.lit("")).try_cast("int")
     d = F.when(m.between(1, 12), F.try_to_date(
         F.concat_ws("-", y.cast("string"), F.lpad(m.cast("string"), 2, "0"), F.lit("01")),
-        F.lit("yyyy-MM-dd")))
+        "yyyy-MM-dd"))
     return y, m, d
 
 

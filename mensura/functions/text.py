@@ -72,6 +72,8 @@ def normalize_match(c, case: str = "upper") -> Column:
     :func:`normalize_match_exact` is the Arrow UDF with full NFKD.
     """
     s = F.trim(F.regexp_replace(strip_accents(c), r"\s+", " "))
+    if case is None:
+        return s
     return F.upper(s) if case == "upper" else F.lower(s)
 
 

@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import market, national, oracle, oracle_market, oracle_rules, rules, subcode
+from . import (market, national, oracle, oracle_market, oracle_resources, oracle_rules, oracle_scalars,
+               resources, rules, scalars, subcode)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +49,23 @@ QUERIES: dict[str, Query] = {
     "d_gold_b_rules": rules.gold_b,
     "d_silver_a_rules": rules.silver_a,
     "d_gold_a_rules": rules.gold_a,
+    # scalar functions over whole tables
+    "o1_clean_text": scalars.clean_documents,
+    "o2_normalize_match": scalars.fold_documents,
+    "o3_canonical_label": scalars.canonical_part_names,
+    "o4_number_tokens": scalars.number_tokens,
+    "o6_parse_date": scalars.event_dates,
+    "o11_parse_period": scalars.period_roundtrip,
+    "o25_safe_filename": scalars.page_file_names,
+    # ingest snapshots (sources)
+    "s1_latest_manifest": resources.latest_manifests,
+    "s2_eligible_records": resources.eligible,
+    "s3_s4_period_selection": resources.chosen_period,
+    "s5_newest_file": resources.newest_files,
+    "s6_integrity": resources.integrity,
+    "s16_snapshot_status": resources.snapshot_status,
+    "s17_version_names": resources.version_names,
 }
 
-ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL, **oracle_rules.SQL}
+ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL, **oracle_rules.SQL, **oracle_scalars.SQL,
+                          **oracle_resources.SQL}

@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (market, national, oracle, oracle_market, oracle_resources, oracle_rules, oracle_scalars,
-               resources, rules, scalars, subcode)
+from . import (market, national, oracle, oracle_market, oracle_pages, oracle_resources, oracle_rules,
+               oracle_scalars, pages, resources, rules, scalars, subcode)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,7 +65,10 @@ QUERIES: dict[str, Query] = {
     "s6_integrity": resources.integrity,
     "s16_snapshot_status": resources.snapshot_status,
     "s17_version_names": resources.version_names,
+    "s13_discover_links": pages.links,
+    "s14_page_fingerprint": pages.fingerprints,
+    "s15_fingerprint_changes": pages.fingerprint_changes,
 }
 
 ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL, **oracle_rules.SQL, **oracle_scalars.SQL,
-                          **oracle_resources.SQL}
+                          **oracle_resources.SQL, **oracle_pages.SQL}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (market, national, oracle, oracle_market, oracle_pages, oracle_resources, oracle_rules,
-               oracle_scalars, pages, resources, rules, scalars, subcode)
+               oracle_scalars, oracle_workbook, pages, resources, rules, scalars, subcode, workbook)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,7 +68,17 @@ QUERIES: dict[str, Query] = {
     "s13_discover_links": pages.links,
     "s14_page_fingerprint": pages.fingerprints,
     "s15_fingerprint_changes": pages.fingerprint_changes,
+    # workbook cells
+    "s7_read_range": workbook.read_matrix,
+    "f7_typed_projection": workbook.typed,
+    "f7_conversion_audit": workbook.typed_audit,
+    "p1_unpivot_months": workbook.unpivoted,
+    "s8_check_ranges": workbook.range_checks,
+    "s9_locate_header": workbook.headers,
+    "s10_sheet_extent": workbook.extents,
+    "s11_structure_hash": workbook.structure,
+    "s12_extract_records": workbook.records,
 }
 
 ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL, **oracle_rules.SQL, **oracle_scalars.SQL,
-                          **oracle_resources.SQL, **oracle_pages.SQL}
+                          **oracle_resources.SQL, **oracle_pages.SQL, **oracle_workbook.SQL}

@@ -71,13 +71,16 @@ def distinct(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def calendar_gaps(df: DataFrame, date_col: str) -> DataFrame:
-    """First-of-month periods between min and max that have no row."""
-    bounds = df.agg(F.min(date_col).alias("a"), F.max(date_col).alias("b"))
+def calendar_gaps(df: DataFrame, date_col: str, by=()) -> DataFrame:
+    """First-of-month periods between min and max (per ``by`` group) that
+    have no row.  The expected calendar is generated from the (tiny) bounds,
+    never collected; observed months are a distinct projection."""
+    by = list(by)
+    bounds = df.groupBy(*by).agg(F.min(date_col).alias("a"), F.max(date_col).alias("b"))
     expected = bounds.filter(F.col("a").isNotNull()).select(
-        F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias(date_col))
-    seen = df.select(date_col).distinct()
-    return expected.join(seen, date_col, "left_anti")
+        *by, F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias(date_col))
+    seen = df.select(*by, date_col).distinct()
+    return expected.join(seen, by + [date_col], "left_anti")
 
 
 def coverage(codes: DataFrame, catalogue: DataFrame, key: str) -> DataFrame:

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (market, national, oracle, oracle_market, oracle_pages, oracle_resources, oracle_rules,
-               oracle_scalars, oracle_workbook, pages, resources, rules, scalars, subcode, workbook)
+               oracle_profiles, oracle_scalars, oracle_workbook, pages, profiles, resources, rules, scalars,
+               subcode, workbook)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,7 +79,31 @@ QUERIES: dict[str, Query] = {
     "s10_sheet_extent": workbook.extents,
     "s11_structure_hash": workbook.structure,
     "s12_extract_records": workbook.records,
+    # generic aggregate / set / join / ordering operators
+    "a3_profile": profiles.profile_subcode,
+    "a4_density": profiles.density_subcode,
+    "a5_null_cells": profiles.null_cells_reconciliation,
+    "a6_duplicate_keys": profiles.duplicate_documents,
+    "a7_conflicts": profiles.conflicting_languages,
+    "a8_label_list": profiles.languages_per_source,
+    "a9_histogram": profiles.event_histogram,
+    "a10_totals_rollup": profiles.event_totals,
+    "a11_catalogue": profiles.subcode_catalogue,
+    "a12_latest_by": profiles.latest_year_by_cut,
+    "a13_conservation": profiles.conservation_subcode,
+    "a14_group_totals": profiles.market_group_totals,
+    "u2_diff": profiles.snapshot_diff,
+    "u3_dedup_audit": profiles.dedup_documents,
+    "u4_dedup_subset": profiles.dedup_subset,
+    "u6_calendar_gaps": profiles.order_status_gaps,
+    "u7_coverage": profiles.label_coverage,
+    "j10_fk_orphans": profiles.label_orphans,
+    "j11_reconcile_totals": profiles.totals_reconciliation,
+    "l2_latest_row": profiles.latest_month,
+    "l3_top_of_latest": profiles.top_subcode_latest,
+    "p2_unpivot_indicators": profiles.indicators_long,
 }
 
 ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL, **oracle_rules.SQL, **oracle_scalars.SQL,
-                          **oracle_resources.SQL, **oracle_pages.SQL, **oracle_workbook.SQL}
+                          **oracle_resources.SQL, **oracle_pages.SQL, **oracle_workbook.SQL,
+                          **oracle_profiles.SQL}

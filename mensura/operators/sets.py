@@ -22,10 +22,10 @@ def diff(a: DataFrame, b: DataFrame) -> DataFrame:
     aggregate per side plus a full outer join), so duplicates matter.
     """
     cols = a.columns
-    ca = a.groupBy(*cols).agg(F.count(F.lit(1)).alias("_na"))
-    cb = b.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_nb"))
-    j = ca.join(cb, [ca[c].eqNullSafe(cb[c]) for c in cols], "full_outer")
-    j = j.select(*[F.coalesce(ca[c], cb[c]).alias(c) for c in cols],
+    ca = a.groupBy(*cols).agg(F.count(F.lit(1)).alias("_na")).alias("_l")
+    cb = b.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_nb")).alias("_r")
+    j = ca.join(cb, [F.col(f"_l.`{c}`").eqNullSafe(F.col(f"_r.`{c}`")) for c in cols], "full_outer")
+    j = j.select(*[F.coalesce(F.col(f"_l.`{c}`"), F.col(f"_r.`{c}`")).alias(c) for c in cols],
                  F.coalesce(F.col("_na"), F.lit(0)).alias("_na"),
                  F.coalesce(F.col("_nb"), F.lit(0)).alias("_nb"))
     j = j.filter(F.col("_na") != F.col("_nb"))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import MONTHS_TITLE, month_start
 from ..functions.numbers import exact_sum
 from ..operators.reshape import pivot_months, unpivot_months
-from ..session import materialize
+from ..session import materialize, per_session
 from ..sources.tables import table
 
 
@@ -54,6 +54,7 @@ P = Params()
 MONTH_COLS = [f"m{i:02d}" for i in range(1, 13)]
 
 
+@per_session
 def order_months(spark: SparkSession, d: str) -> DataFrame:
     """Orders per calendar month: (period_date, qty, value)."""
     o = table(spark, d, "orders")
@@ -62,6 +63,7 @@ def order_months(spark: SparkSession, d: str) -> DataFrame:
                             exact_sum("o_totalprice").alias("value")))
 
 
+@per_session
 def monthly_direct(spark: SparkSession, d: str, p: Params = P) -> DataFrame:
     """Refined 'direct' monthly table: date, year, month, qty, value, reported price."""
     m = order_months(spark, d).withColumns({"year": F.year("period_date"),
@@ -73,6 +75,7 @@ def monthly_direct(spark: SparkSession, d: str, p: Params = P) -> DataFrame:
                     (value / F.col("qty")).alias("reported_price"))
 
 
+@per_session
 def matrix_wide(spark: SparkSession, d: str, measure: str, p: Params = P) -> DataFrame:
     """Wide matrix: one row per year, m01..m12 and a row total."""
     m = order_months(spark, d).filter(F.year("period_date") <= p.matrix_to)
@@ -81,12 +84,14 @@ def matrix_wide(spark: SparkSession, d: str, measure: str, p: Params = P) -> Dat
                         "year", "month", measure, MONTH_COLS, total_col="total")
 
 
+@per_session
 def matrix_long(spark: SparkSession, d: str, measure: str, p: Params = P) -> DataFrame:
     """Refined matrix series (period_date, year, month, value) under the cutoff."""
     return unpivot_months(matrix_wide(spark, d, measure, p), "year", MONTH_COLS,
                           cutoff=p.report_cutoff)
 
 
+@per_session
 def subcode_fact(spark: SparkSession, d: str) -> DataFrame:
     """Refined sub-code fact at month x product x sub-code grain.
 
@@ -126,6 +131,7 @@ def subcode_fact(spark: SparkSession, d: str) -> DataFrame:
     ))
 
 
+@per_session
 def market_cells(spark: SparkSession, d: str, p: Params = P) -> DataFrame:
     """Per (label, level hint, cut, year): qty and value, before long form.
 
@@ -167,6 +173,7 @@ def indicator_name(unit, year, cut) -> F.Column:
         .otherwise(F.concat(F.lit(unit + "_ene_may_"), y))
 
 
+@per_session
 def market_long(spark: SparkSession, d: str, p: Params = P) -> DataFrame:
     """Refined market tables for both cuts: (cut, label, indicator, value).
 

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar_columns, date_key
 from ..functions.numbers import ABS_RECON_TOL, REL_RECON_TOL, exact_sum, ratio
 from ..operators.series import align, growth_by_shift, growth_by_year, reconcile, rollup_year
+from ..session import per_session
 from . import inputs
 
 SOURCE_DIRECT = "exportaciones_mensuales"
 SOURCE_MATRIX = "matriz_historica"
 
 
+@per_session
 def _reconciled(spark: SparkSession, d: str) -> DataFrame:
     direct = inputs.monthly_direct(spark, d).select(
         "period_date", F.col("qty").alias("qty_direct"), F.col("value").alias("value_direct"),
@@ -40,6 +42,7 @@ def reconciliation_audit(spark: SparkSession, d: str) -> DataFrame:
         "reported_price_direct", "reconciliation_state")
 
 
+@per_session
 def national_base(spark: SparkSession, d: str) -> DataFrame:
     """K1: canonical national monthly series (direct first, matrix extends)."""
     return _reconciled(spark, d).filter(F.col("qty").isNotNull() | F.col("value").isNotNull()) \
@@ -47,6 +50,7 @@ def national_base(spark: SparkSession, d: str) -> DataFrame:
                 "source_value", "reconciliation_state")
 
 
+@per_session
 def national_fact(spark: SparkSession, d: str) -> DataFrame:
     """K6: national fact keyed by the date key."""
     b = national_base(spark, d)
@@ -54,6 +58,7 @@ def national_fact(spark: SparkSession, d: str) -> DataFrame:
                     "qty", "value", "price", "source_qty", "source_value", "reconciliation_state")
 
 
+@per_session
 def national_monthly(spark: SparkSession, d: str) -> DataFrame:
     """K7: monthly serving with MoM and YoY from shifted-key joins."""
     fact = national_fact(spark, d)
@@ -67,6 +72,7 @@ def national_monthly(spark: SparkSession, d: str) -> DataFrame:
                     "yoy_value", "source_qty", "source_value", "reconciliation_state")
 
 
+@per_session
 def national_annual(spark: SparkSession, d: str) -> DataFrame:
     """K8: annual totals, completeness and YoY only between complete years."""
     fact = national_fact(spark, d)

@@ -226,3 +226,7 @@ rgo AS (SELECT * FROM wide WHERE level = 'AGREGADO_REGIONAL'
          "true", ""),
     ]),
 ]))
+
+SQL["r4_status_counts"] = ("WITH x AS (" + " UNION ALL ".join(
+    f"SELECT * FROM ({SQL[k]})" for k in ("d_silver_a_rules", "d_silver_b_rules", "d_gold_a_rules",
+                                          "d_gold_b_rules")) + ")\nSELECT status, COUNT(*) AS rules FROM x GROUP BY status")

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (market, national, oracle, oracle_market, oracle_pages, oracle_resources, oracle_rules,
+from . import (audits, market, national, oracle, oracle_market, oracle_pages, oracle_resources, oracle_rules,
                oracle_profiles, oracle_scalars, oracle_workbook, pages, profiles, resources, rules, scalars,
                subcode, workbook)
 
@@ -102,6 +102,11 @@ QUERIES: dict[str, Query] = {
     "l2_latest_row": profiles.latest_month,
     "l3_top_of_latest": profiles.top_subcode_latest,
     "p2_unpivot_indicators": profiles.indicators_long,
+    # reproducibility audit
+    "r1_fingerprints": audits.fingerprints,
+    "r4_status_counts": audits.rule_status_counts,
+    "r6_expected_rows": audits.expected_rows,
+    "r8_compare_runs": audits.compare_runs,
 }
 
 ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL, **oracle_rules.SQL, **oracle_scalars.SQL,

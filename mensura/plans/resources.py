@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import MONTHS_UPPER
 from ..functions.hashing import resource_id, version_name
+from ..session import per_session
 from ..sources import manifests as M
 from . import inputs
 
 RUN_TS = "2026-01-01T00:00:00Z"
 
 
+@per_session
 def records(spark: SparkSession, d: str) -> DataFrame:
     doc = inputs.table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     ext = (F.when(F.col("lang") == "en", ".xlsx").when(F.col("lang") == "fr", ".xls")

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar_columns
 from ..functions.numbers import exact_sum, ratio
 from ..operators.series import growth_by_year, lag_growth, rank_in, rollup, share_of
+from ..session import per_session
 from . import inputs
 
 MEASURES = ["tonnes", "fob_usd"]
 
 
+@per_session
 def catalogue(spark: SparkSession, d: str) -> DataFrame:
     """Declared short labels per sub-code (brands 1..20 of ``part``).
 
@@ -31,6 +33,7 @@ def catalogue(spark: SparkSession, d: str) -> DataFrame:
             .distinct())
 
 
+@per_session
 def enriched(spark: SparkSession, d: str) -> DataFrame:
     """K12 / P5 + N1: calendar, unit price USD/kg, YoY per sub-code and month."""
     f = inputs.subcode_fact(spark, d)
@@ -71,6 +74,7 @@ def dim_subcode(spark: SparkSession, d: str) -> DataFrame:
         "product_code")
 
 
+@per_session
 def fact(spark: SparkSession, d: str) -> DataFrame:
     """Fact at date x product x sub-code grain."""
     e = enriched(spark, d)
@@ -79,9 +83,10 @@ def fact(spark: SparkSession, d: str) -> DataFrame:
                     "unit_price_usd_kg")
 
 
-def monthly_summary(spark: SparkSession, d: str, e: DataFrame | None = None) -> DataFrame:
+@per_session
+def monthly_summary(spark: SparkSession, d: str) -> DataFrame:
     """Monthly totals, sub-codes reported, ratio-of-sums price."""
-    e = enriched(spark, d) if e is None else e
+    e = enriched(spark, d)
     return rollup(e, ["date_key", "period_date", "year", "month", "month_name", "year_month",
                       "quarter", "semester"],
                   {"tonnes_total": exact_sum("tonnes"), "fob_thousands_total": exact_sum("fob_thousands"),
@@ -90,9 +95,10 @@ def monthly_summary(spark: SparkSession, d: str, e: DataFrame | None = None) ->
                   ("weighted_price_usd_kg", "fob_usd_total", "tonnes_total", 1000.0))
 
 
-def annual_summary(spark: SparkSession, d: str, monthly: DataFrame | None = None) -> DataFrame:
+@per_session
+def annual_summary(spark: SparkSession, d: str) -> DataFrame:
     """K14 / A2 + N2: annual totals; YoY only between consecutive complete years."""
-    m = monthly_summary(spark, d) if monthly is None else monthly
+    m = monthly_summary(spark, d)
     a = rollup(m, ["year"], {"tonnes_total": exact_sum("tonnes_total"),
                              "fob_thousands_total": exact_sum("fob_thousands_total"),
                              "fob_usd_total": exact_sum("fob_usd_total")},
@@ -107,6 +113,7 @@ def annual_summary(spark: SparkSession, d: str, monthly: DataFrame | None = None
                     F.col("yoy_fob_usd_total").alias("yoy_fob_usd"))
 
 
+@per_session
 def serving(spark: SparkSession, d: str) -> DataFrame:
     """Flat serving: shares and ranks per period, annual coverage, last-period flag."""
     e = enriched(spark, d)
@@ -116,7 +123,7 @@ def serving(spark: SparkSession, d: str) -> DataFrame:
     s = share_of(s, ["period_date"], "fob_usd", "share_fob_period")
     s = rank_in(s, ["period_date"], "tonnes", "subcode", "rank_tonnes_period")
     s = rank_in(s, ["period_date"], "fob_usd", "subcode", "rank_fob_period")
-    annual = annual_summary(spark, d, monthly_summary(spark, d, e)).select(
+    annual = annual_summary(spark, d).select(
         "year", "months_reported", "complete",
         F.when(F.col("complete"), F.lit("COMPLETO")).otherwise(F.lit("PARCIAL")).alias("year_coverage"))
     s = s.join(annual, "year", "left")
@@ -134,7 +141,7 @@ def serving(spark: SparkSession, d: str) -> DataFrame:
 def kpi(spark: SparkSession, d: str) -> DataFrame:
     """One-row KPI as aggregates and scalar subqueries (no driver scalars)."""
     e = enriched(spark, d)
-    m = monthly_summary(spark, d, e)
+    m = monthly_summary(spark, d)
     last = m.select(F.max("period_date")).scalar()
     prev = F.add_months(last, -12)
     lm = m.agg(

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import MONTHS_UPPER
 from ..operators.reshape import apply_types, unpivot_months
-from ..session import materialize
+from ..session import materialize, per_session
 from ..sources import cells as C
 from . import inputs
 
@@ -43,6 +43,7 @@ ALIASES = ([("year", a) for a in ("AÑO", "ANO", "ANIO", "YEAR")]
 TYPES = [("year", "int")] + [(c, "double") for c in inputs.MONTH_COLS] + [("total", "double")]
 
 
+@per_session
 def cells(spark: SparkSession, d: str) -> DataFrame:
     om = inputs.order_months(spark, d)
     per = om.select(F.year("period_date").alias("year"), F.month("period_date").alias("month"), "qty", "value")

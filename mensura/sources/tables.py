@@ -7,7 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+_READS: dict = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one table; columns are pruned and filters pushed by Catalyst."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one table; columns are pruned and filters pushed by Catalyst.
+
+    The relation (file listing and footers) is resolved once per session and
+    path; DataFrames are immutable, so sharing the relation is safe.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df

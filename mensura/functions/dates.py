@@ -70,7 +70,8 @@ def date_key(d) -> Column:
 
 def month_name(month, names=MONTHS_TITLE) -> Column:
     """Month name by number; out-of-range -> NULL."""
-    return F.try_element_at(F.array(*[F.lit(n) for n in names]), as_col(month))
+    m = as_col(month)
+    return F.when(m.between(1, len(names)), F.element_at(F.array(*[F.lit(n) for n in names]), m))
 
 
 def calendar_columns(d, prefix: str = "") -> dict[str, Column]:

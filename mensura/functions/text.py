@@ -6,9 +6,11 @@ text, O25 safe_filename, F4/F5 label and format predicates.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,27 +79,31 @@ def normalize_match(c, case: str = "upper") -> Column:
     return F.upper(s) if case == "upper" else F.lower(s)
 
 
-def normalize_match_exact(c, case: str = "upper") -> Column:
-    """O2 with Python's full NFKD (compatibility forms too), Arrow-batched."""
-    import pandas as pd
+def _nfkd_fold(v, upper: bool):
+    if v is None:
+        return None
+    t = unicodedata.normalize("NFKD", v)
+    t = "".join(ch for ch in t if not unicodedata.combining(ch))
+    t = re.sub(r"\s+", " ", t).strip()
+    return t.upper() if upper else t.lower()
+
 
-    upper = case == "upper"
+def _nfkd_upper(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: _nfkd_fold(v, True))
 
-    @F.pandas_udf("string")
-    def _nfkd(s: pd.Series) -> pd.Series:
-        import re
 
-        def one(v):
-            if v is None:
-                return None
-            t = unicodedata.normalize("NFKD", v)
-            t = "".join(ch for ch in t if not unicodedata.combining(ch))
-            t = re.sub(r"\s+", " ", t).strip()
-            return t.upper() if upper else t.lower()
+def _nfkd_lower(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: _nfkd_fold(v, False))
 
-        return s.map(one)
 
-    return _nfkd(as_col(c))
+def normalize_match_exact(c, case: str = "upper") -> Column:
+    """O2 with Python's full NFKD (compatibility forms too), Arrow-batched.
+
+    Per-row Python is a small helper here: it runs inside Spark tasks on Arrow
+    batches; the native :func:`normalize_match` is the default.
+    """
+    fn = _nfkd_upper if case == "upper" else _nfkd_lower
+    return F.pandas_udf(fn, "string")(as_col(c))
 
 
 def canonical_label(c, aliases=None, null_tokens=NULL_TOKENS_WITH_DASH) -> Column:

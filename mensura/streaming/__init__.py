@@ -1,0 +1,10 @@
+"""Structured Streaming form of the reference's run-over-run ingest logic.
+
+The reference has no streaming operators (its time axis is a monthly DATE
+column); the only incremental behaviour is the idempotent ingest, re-aimed
+here as an available-now file stream with ``foreachBatch``.
+"""
+
+from .snapshots import classify_stream, read_classified
+
+__all__ = ["classify_stream", "read_classified"]

@@ -36,11 +36,22 @@ UNSAFE_FILENAME_CHARS = '[<>:"/\\\\|?*\\x00-\\x1f]'
 # --------------------------------------------------------------------------
 
 
+def bind(expr: Column, fn) -> Column:
+    """Evaluate ``expr`` once per row and apply ``fn`` to it.
+
+    A CASE whose condition and value both contain an expensive expression
+    (two regex passes over a whole document) would evaluate it twice; binding
+    it to a lambda variable evaluates it once, still JVM-side.
+    """
+    return F.element_at(F.transform(F.array(expr), fn), 1)
+
+
 def clean_text(c, null_tokens=NULL_TOKENS) -> Column:
     """O1: delete invisible chars, collapse whitespace, trim, null tokens -> NULL."""
     s = F.regexp_replace(as_col(c), INVISIBLE_CHARS, "")
     s = F.trim(F.regexp_replace(s, r"\s+", " "))
-    return F.when(F.upper(s).isin(list(null_tokens)), F.lit(None).cast("string")).otherwise(s)
+    tokens = list(null_tokens)
+    return bind(s, lambda x: F.when(F.upper(x).isin(tokens), F.lit(None).cast("string")).otherwise(x))
 
 
 @lru_cache(maxsize=1)

@@ -8,6 +8,22 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 _READS: dict = {}
+# Tables whose rows carry whole texts: per-row work on them is CPU-bound.
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread CPU-bound per-row work over all cores when the scan is narrow.
+
+    A large corpus arrives as many file splits (scan partitions >= cores) and
+    is left untouched; a corpus stored as one big row group would otherwise
+    be processed by a single task, so it is round-robin repartitioned to the
+    default parallelism.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,5 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = _READS.get(key)
     if df is None:
         df = spark.read.parquet(path)
+        if name in TEXT_TABLES:
+            df = spread(df)
         _READS[key] = df
     return df

@@ -127,11 +127,17 @@ def materialize(df):
     gold query).
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
+    base = checkpoint_dir(spark)
     key = (id(spark), df.semanticHash())
     for plan, done in _MATERIALIZED.get(key, []):
         if plan.sameSemantics(df):
             return done
-    done = df.checkpoint(eager=True)
+    # A parquet table in the shared checkpoint folder: computed once (an RDD
+    # checkpoint would compute the plan twice), columnar, pruned on re-read.
+    import uuid
+
+    path = f"{base.rstrip('/')}/mensura-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    done = spark.read.parquet(path)
     _MATERIALIZED.setdefault(key, []).append((df, done))
     return done

@@ -117,3 +117,31 @@ def test_aggregates(spark):
     assert A.latest_row(df.fillna(0.0), "v", ["k", "v"]).first().asDict() == {"k": "a", "v": 3.0}
     c = A.conservation(df, df.filter("k = 'a'"), ["v"], [1e-6]).first()
     assert c["conserved"] and c["sum_source"] == 5.0
+
+
+def test_contract_pivots_and_lookups(spark):
+    df = spark.createDataFrame([("TOTAL X", "a", 2025, "dolares", 1.0), ("PERU", "a", 2025, "dolares", 2.0),
+                                ("PERU", "a", 2025, "libras", 3.0), (" ", "a", 2025, "libras", 9.0)],
+                               "label string, cut string, year int, unit string, v double")
+    kept = P.drop_labels(df, "label")
+    assert {r["label"] for r in kept.collect()} == {"PERU"}
+    wide = P.pivot_units(kept, ["label", "year"], "unit", "v", ["dolares", "libras"]).first()
+    assert (wide["dolares"], wide["libras"]) == (2.0, 3.0)
+    ind = spark.createDataFrame([("PERU", "variacion_dolares", 0.1), ("PERU", "otro", 9.0)],
+                                "d string, i string, v double")
+    p = P.pivot_indicators(ind, "d", "i", "v", ["variacion_dolares"], ["growth"]).first()
+    assert p["growth"] == 0.1
+    c = P.to_contract(spark.createDataFrame([(1, "x")], "a int, b string"), {"b": "name", "a": "id"},
+                      ["id", "name"])
+    assert c.columns == ["id", "name"]
+    cal = P.enrich_calendar(spark.createDataFrame([(D(2025, 7, 1), 10.0, 2.0)], "d date, fob double, tm double"),
+                            "d", ("price", "fob", "tm", 1000.0)).first()
+    assert cal["semester"] == 2 and cal["quarter"] == 3 and cal["price"] == 10.0 / 2000.0
+    assert P.until(spark.createDataFrame([(D(2025, 1, 1),), (D(2026, 1, 1),)], "d date"), "d", "2025-06-01").count() == 1
+    fact = spark.createDataFrame([("PERU", 1.0), ("CHILE", 2.0)], "dest string, v double")
+    dim = spark.createDataFrame([("PERU", "k1")], "dest string, dest_key string")
+    got = {r["dest"]: r["dest_key"] for r in S.lookup_key(fact, dim, "dest", "dest_key").collect()}
+    assert got == {"PERU": "k1", "CHILE": None}
+    assert S.denormalise(fact, dim, "dest").count() == 1
+    assert S.attach(fact, dim, ["dest"]).count() == 2
+    assert [r["dest"] for r in S.fk_orphans(fact, dim, "dest").collect()] == ["CHILE"]

@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (audits, market, national, oracle, oracle_market, oracle_pages, oracle_resources, oracle_rules,
-               oracle_profiles, oracle_scalars, oracle_workbook, pages, profiles, resources, rules, scalars,
-               subcode, workbook)
+               oracle_profiles, oracle_refined, oracle_scalars, oracle_workbook, pages, profiles, refined_b,
+               resources, rules, scalars, subcode, workbook)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "s10_sheet_extent": workbook.extents,
     "s11_structure_hash": workbook.structure,
     "s12_extract_records": workbook.records,
+    "k18_refined_subcode": refined_b.refined,
     # generic aggregate / set / join / ordering operators
     "a3_profile": profiles.profile_subcode,
     "a4_density": profiles.density_subcode,
@@ -111,4 +112,4 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL, **oracle_rules.SQL, **oracle_scalars.SQL,
                           **oracle_resources.SQL, **oracle_pages.SQL, **oracle_workbook.SQL,
-                          **oracle_profiles.SQL}
+                          **oracle_profiles.SQL, **oracle_refined.SQL}

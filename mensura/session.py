@@ -66,22 +66,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this must already be set to shared storage; only when it is
     unset (local tests) a scratch folder is created and registered.
     """
-    sc = spark.sparkContext
-    active = sc.getCheckpointDir()
-    if active:
-        return active
+    global _LOCAL_CKPT
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions expose no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     try:
         current = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # pragma: no cover
+    except Exception:  # noqa: BLE001
         current = None
-    current = current or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current and sc is not None:
+        current = sc.getConf().get("spark.checkpoint.dir", None)
     if current:
-        sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
+        if sc is not None:
+            sc.setCheckpointDir(current)
+            return sc.getCheckpointDir() or current
+        return current
     # Unset (local tests only): a scratch folder of our own.
-    local = tempfile.mkdtemp(prefix="mensura-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    if _LOCAL_CKPT is None:
+        _LOCAL_CKPT = tempfile.mkdtemp(prefix="mensura-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(_LOCAL_CKPT)
+    return _LOCAL_CKPT
+
+
+_LOCAL_CKPT = None
 
 
 def per_session(fn):
@@ -90,7 +101,7 @@ def per_session(fn):
     Building a plan is driver-side work (every Column is a JVM call); plans
     are immutable, so gold queries that share an intermediate (an enriched
     fact, a summary) reuse one logical plan instead of rebuilding it.
-    Calls with extra arguments are not memoised.
+    Calls with DataFrame arguments are not memoised.
     """
     import functools
 

@@ -20,10 +20,12 @@ def spread(df: DataFrame) -> DataFrame:
     be processed by a single task, so it is round-robin repartitioned to the
     default parallelism.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < par
+    except Exception:  # noqa: BLE001 - e.g. a Connect session without RDD access
+        return df
+    return df.repartition(par) if narrow else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

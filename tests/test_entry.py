@@ -18,6 +18,7 @@ SF = "/root/testdata/sf0.001"
 KEYS = ["k1_reconciliation_audit", "k7_national_monthly", "k8_national_annual", "k3_market_base",
         "k15_flat_serving", "k16_kpi_subcode", "d_gold_b_rules", "o1_clean_text", "o4_number_tokens",
         "s6_integrity", "s13_discover_links", "s9_locate_header", "s12_extract_records", "a10_totals_rollup",
+        "k18_refined_subcode",
         "u2_diff"]
 
 

@@ -6,7 +6,6 @@ computes with one job per column are folded into a single aggregate.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -160,19 +159,3 @@ def enrich_calendar(df: DataFrame, date_col: str, price=None) -> DataFrame:
         name, num, den, factor = price
         out = out.withColumn(name, ratio(num, den, "positive", factor))
     return out
-
-
-@dataclass(frozen=True)
-class RangeContract:
-    """A rectangular sheet range with semantic column names (for S7/S8)."""
-    id: int
-    name: str
-    sheet: str
-    r1: int
-    c1: int
-    r2: int
-    c2: int
-    hdr_r1: int
-    hdr_r2: int
-    columns: tuple
-    tokens: tuple = ()

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import exact_sum, growth, ratio, within_tolerance
+from ..functions.numbers import exact_sum, growth, ratio
 
 
 def align(a: DataFrame, b: DataFrame, key) -> DataFrame:
@@ -203,10 +203,6 @@ def rollup_year(df: DataFrame, year_col: str, month_col: str, sums: dict,
     return out.withColumn(complete_out, F.col(months_out) == 12)
 
 
-def within(a, b, abs_tol, rel_tol, ref=None) -> Column:
-    return within_tolerance(a, b, abs_tol, rel_tol, ref)
-
-
 def reconcile_totals(detail: DataFrame, total: DataFrame, keys, measure: str,
                      abs_tol: float, how: str = "inner") -> DataFrame:
     """Σ detail per key vs the reported total of the same key.

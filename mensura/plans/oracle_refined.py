@@ -3,7 +3,7 @@ cells must reproduce the sub-code fact, with each row's source row."""
 
 from __future__ import annotations
 
-from .oracle import SUBCODE
+from .oracle import NATIONAL_FACT, SUBCODE
 
 SQL: dict[str, str] = {}
 
@@ -13,3 +13,10 @@ SELECT period_text, period_date, year, month, level3_code, level3_label, product
        CAST(8 + ((year - 1990) * 12 + month - 1) * 300 + CAST(substr(subcode, 7, 4) AS INTEGER) * 11
             + CAST(product_code AS INTEGER) % 11 AS INTEGER) AS _source_row
 FROM sf"""
+
+SQL["r6_expected_rows"] = f"""WITH {NATIONAL_FACT}, {SUBCODE},
+c AS (SELECT 'national_monthly' AS "table", (SELECT COUNT(*) FROM nb) AS n
+      UNION ALL SELECT 'national_annual', (SELECT COUNT(DISTINCT year) FROM nb)
+      UNION ALL SELECT 'flat_serving', (SELECT COUNT(*) FROM en)
+      UNION ALL SELECT 'annual_summary', (SELECT COUNT(DISTINCT year) FROM en))
+SELECT "table", CAST(n AS BIGINT) AS expected_rows, CAST(n AS BIGINT) AS rows, 'PASS' AS status FROM c"""

@@ -148,6 +148,8 @@ def materialize(df):
     import uuid
 
     path = f"{base.rstrip('/')}/mensura-tables/{uuid.uuid4().hex}"
+    # The intermediates are aggregates: AQE already coalesces their final
+    # shuffle to advisory-size partitions, so no extra rebalance shuffle.
     df.write.mode("overwrite").parquet(path)
     done = spark.read.parquet(path)
     _MATERIALIZED.setdefault(key, []).append((df, done))

@@ -67,11 +67,15 @@ SELECT link_url, page_id, pos, anchor_text, extension, year, month FROM (
 SQL["s14_page_fingerprint"] = f"WITH {FPRINT} SELECT * FROM fp"
 
 SQL["s15_fingerprint_changes"] = f"""WITH {FPRINT},
-pu AS (SELECT page_id, sha256(array_to_string(list_sort(list_distinct(list(link_url))), chr(10))) AS pu
-       FROM a WHERE NOT (page_id % 3 = 0 AND pos = 0) GROUP BY page_id),
-pt AS (SELECT page_id, sha256(CASE WHEN page_id % 4 = 0 THEN {_VT} || ' x' ELSE {_VT} END) AS pt
-       FROM pages WHERE page_id % 10 <> 0),
-pv AS (SELECT pt.page_id, pt.pt, pu.pu FROM pt LEFT JOIN pu ON pu.page_id = pt.page_id),
+pu0 AS (SELECT page_id, list_sort(list_distinct(list(CASE WHEN page_id % 3 = 0 AND pos = 0 THEN NULL
+                                                           ELSE link_url END))) AS u
+        FROM a GROUP BY page_id),
+pu AS (SELECT page_id, CASE WHEN len(u) > 0 THEN sha256(array_to_string(u, chr(10))) END AS pu FROM pu0),
+pt AS (SELECT page_id, CASE WHEN page_id % 10 <> 0 THEN
+                 sha256(CASE WHEN page_id % 4 = 0 THEN {_VT} || ' x' ELSE {_VT} END) END AS pt
+       FROM pages),
+pv AS (SELECT pt.page_id, pt.pt, CASE WHEN pt.page_id % 10 <> 0 THEN pu.pu END AS pu
+       FROM pt LEFT JOIN pu ON pu.page_id = pt.page_id),
 j AS (SELECT fp.*, pv.pt, pv.pu, (pv.pt IS NOT NULL OR pv.pu IS NOT NULL) AS comparable
       FROM fp LEFT JOIN pv ON pv.page_id = fp.page_id)
 SELECT page_id, comparable,

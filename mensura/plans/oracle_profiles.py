@@ -53,8 +53,9 @@ SQL["a14_group_totals"] = f"""WITH {BASE}
 SELECT cut, year, {xs('qty')} AS total_qty, {xs('value')} AS total_value FROM mb GROUP BY cut, year"""
 
 SQL["u2_diff"] = f"""WITH {REC},
-prev AS (SELECT r.source_url, sha256(CASE WHEN d.doc_id % 7 = 0 THEN d.text || ' ' ELSE d.text END) AS sha256
-         FROM rec r JOIN documents d ON d.doc_id = r.doc_id WHERE d.doc_id % 5 <> 0),
+prev AS (SELECT CASE WHEN d.doc_id % 5 = 0 THEN r.source_url || '?v=old' ELSE r.source_url END AS source_url,
+                sha256(CASE WHEN d.doc_id % 7 = 0 THEN d.text || ' ' ELSE d.text END) AS sha256
+         FROM rec r JOIN documents d ON d.doc_id = r.doc_id),
 cur AS (SELECT source_url, sha256 FROM rec WHERE sha256 IS NOT NULL),
 ca AS (SELECT source_url, sha256, COUNT(*) AS na FROM cur GROUP BY ALL),
 cb AS (SELECT source_url, sha256, COUNT(*) AS nb FROM prev GROUP BY ALL),

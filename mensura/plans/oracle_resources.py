@@ -82,10 +82,10 @@ SELECT source, path, modificationTime, 'fallback_newest_file' AS selection_mode
 WHERE rn = 1"""
 
 SQL["s6_integrity"] = f"""WITH {REC},
-sf AS (SELECT r.stored_path AS path,
+sf AS (SELECT CASE WHEN d.doc_id % 11 = 0 THEN r.stored_path || '.partial' ELSE r.stored_path END AS path,
               sha256(CASE WHEN d.doc_id % 13 = 0 THEN d.text || chr(10) ELSE d.text END) AS actual_sha256
        FROM rec r JOIN documents d ON d.doc_id = r.doc_id
-       WHERE r.stored_path IS NOT NULL AND d.doc_id % 11 <> 0),
+       WHERE r.stored_path IS NOT NULL),
 fs AS (SELECT path, min(actual_sha256) AS actual_sha256 FROM sf GROUP BY path),
 j AS (SELECT rec.*, fs.actual_sha256 FROM rec LEFT JOIN fs ON fs.path = rec.stored_path)
 SELECT doc_id, source_url, status, stored_path, sha256, actual_sha256,
@@ -98,9 +98,10 @@ SELECT doc_id, source_url, status, stored_path, sha256, actual_sha256,
 FROM j"""
 
 SQL["s16_snapshot_status"] = f"""WITH {REC},
-prev AS (SELECT r.source_url, sha256(CASE WHEN d.doc_id % 7 = 0 THEN d.text || ' ' ELSE d.text END) AS sha256,
+prev AS (SELECT CASE WHEN d.doc_id % 5 = 0 THEN r.source_url || '?v=old' ELSE r.source_url END AS source_url,
+                sha256(CASE WHEN d.doc_id % 7 = 0 THEN d.text || ' ' ELSE d.text END) AS sha256,
                 '2025-12-01T00:00:00Z' AS downloaded_at_utc
-         FROM rec r JOIN documents d ON d.doc_id = r.doc_id WHERE d.doc_id % 5 <> 0),
+         FROM rec r JOIN documents d ON d.doc_id = r.doc_id),
 known AS (SELECT DISTINCT sha256 AS ks FROM prev),
 j AS (SELECT c.doc_id, c.source_url, c.sha256, c.status, p.sha256 AS ps, p.downloaded_at_utc AS pa, k.ks
       FROM rec c LEFT JOIN prev p ON p.source_url = c.source_url LEFT JOIN known k ON k.ks = c.sha256),

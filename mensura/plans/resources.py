@@ -8,10 +8,12 @@ Derivation rules (test-data instance):
   ``2000 + doc_id % 7``; status ``failed`` for texts under 200 chars,
   otherwise cycling over the success statuses; storage layout ``v2`` except
   German sources (``v1``); three manifests per source and layout.
-  Previous run: documents with ``doc_id % 5 != 0``, whose text differs
-  (one extra space) when ``doc_id % 7 == 0``.  Storage listing: every
-  stored file except ``doc_id % 11 == 0``; files of ``doc_id % 13 == 0``
-  were altered after download.
+  Previous run: every document, under a former address when
+  ``doc_id % 5 == 0`` and with a text that differs (one extra space) when
+  ``doc_id % 7 == 0``.  Storage listing: every stored file, left under a
+  ``.partial`` name when ``doc_id % 11 == 0``; files of ``doc_id % 13 == 0``
+  were altered after download.  No rule removes rows: every query reads
+  the whole table.
 """
 
 from __future__ import annotations
@@ -96,9 +98,11 @@ def newest_files(spark: SparkSession, d: str) -> DataFrame:
 def storage_files(spark: SparkSession, d: str) -> DataFrame:
     doc = inputs.table(spark, d, "documents").select("doc_id", "text")
     r = records(spark, d).select("doc_id", "stored_path").filter(F.col("stored_path").isNotNull())
-    f = r.join(doc, "doc_id").filter(F.col("doc_id") % 11 != 0)
+    f = r.join(doc, "doc_id")
     content = F.when(F.col("doc_id") % 13 == 0, F.concat("text", F.lit("\n"))).otherwise(F.col("text"))
-    return f.select(F.col("stored_path").alias("path"), F.sha2(content, 256).alias("actual_sha256"),
+    # an interrupted copy left the file of doc_id % 11 == 0 under a ".partial" name
+    path = F.when(F.col("doc_id") % 11 == 0, F.concat("stored_path", F.lit(".partial"))).otherwise(F.col("stored_path"))
+    return f.select(path.alias("path"), F.sha2(content, 256).alias("actual_sha256"),
                     F.octet_length(content).cast("bigint").alias("actual_size"))
 
 
@@ -115,9 +119,11 @@ def integrity(spark: SparkSession, d: str) -> DataFrame:
 
 def previous_run(spark: SparkSession, d: str) -> DataFrame:
     doc = inputs.table(spark, d, "documents").select("doc_id", "text")
-    r = records(spark, d).drop("sha256").join(doc, "doc_id").filter(F.col("doc_id") % 5 != 0)
+    r = records(spark, d).drop("sha256").join(doc, "doc_id")
     content = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text"))
-    return r.select("source_url", F.sha2(content, 256).alias("sha256"),
+    # resources of doc_id % 5 == 0 were published under a former address
+    url = F.when(F.col("doc_id") % 5 == 0, F.concat("source_url", F.lit("?v=old"))).otherwise(F.col("source_url"))
+    return r.select(url.alias("source_url"), F.sha2(content, 256).alias("sha256"),
                     F.lit("2025-12-01T00:00:00Z").alias("downloaded_at_utc"))
 
 

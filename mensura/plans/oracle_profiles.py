@@ -20,7 +20,7 @@ SELECT COUNT(*) AS keys, min(n) AS min_rows, max(n) AS max_rows,
 _RCOLS = ["period_date", "year", "month", "qty_direct", "qty_matrix", "diff_abs_qty", "match_qty", "value_direct",
           "value_matrix", "diff_abs_value", "match_value", "reported_price_direct", "reconciliation_state"]
 SQL["a5_null_cells"] = f"WITH {RECON}\n" + "\nUNION ALL ".join(
-    f"SELECT '{c}' AS column, count_if({c} IS NULL) AS nulls FROM r" for c in _RCOLS)
+    f"SELECT '{c}' AS column, CAST(count_if({c} IS NULL) AS BIGINT) AS nulls FROM r" for c in _RCOLS)
 
 SQL["a6_duplicate_keys"] = """SELECT sha256(text) AS text_sha, COUNT(*) AS count FROM documents
 GROUP BY 1 HAVING COUNT(*) > 1"""

@@ -59,7 +59,8 @@ SQL["f7_conversion_audit"] = f"""WITH {TYPED},
 tya AS (SELECT {_TYPED_COLS}, {', '.join(f'{n} AS s_{n}' for n in NAMES)} FROM raw)
 """ + "\nUNION ALL ".join(
     f"SELECT '{n}' AS column, '{'int' if n == 'year' else 'double'}' AS type, "
-    f"count_if(s_{n} IS NOT NULL) AS non_null_source, count_if(s_{n} IS NOT NULL AND {n} IS NULL) AS failures FROM tya"
+    f"CAST(count_if(s_{n} IS NOT NULL) AS BIGINT) AS non_null_source, "
+    f"CAST(count_if(s_{n} IS NOT NULL AND {n} IS NULL) AS BIGINT) AS failures FROM tya"
     for n in NAMES)
 SQL["p1_unpivot_months"] = f"""WITH {TYPED},
 u AS (SELECT year, CAST(unnest(range(1, 13)) AS INTEGER) AS month,

@@ -180,9 +180,11 @@ SELECT label_source, dest, level, cut, year, qty, value, price, rank_qty_regiona
 FROM rg1"""
 SQL["k4_comparative"] = f"WITH {HISTORY} SELECT * FROM hcd"
 SQL["k9_comparative_serving"] = f"WITH {HISTORY} {COMPARATIVE_SERVING_SELECT}"
-SQL["k5_dim_destination"] = f"""WITH {WIDE}
-SELECT sha256(dest) AS destination_key, dest, level, min(label_source) AS label_source
-FROM wide GROUP BY dest, level"""
+SQL["k5_dim_destination"] = f"""WITH {BASE}
+SELECT sha256(dest) AS destination_key, dest,
+       array_to_string(list_sort(list_distinct(list(label_source))), ' | ') AS source_labels,
+       'DETALLADO' AS level
+FROM mb GROUP BY dest"""
 SQL["k5_date_spine"] = f"""WITH {NATIONAL_FACT}, {WIDE.replace('mo AS (', 'mo AS (', 1)},
 h AS (SELECT DISTINCT cut, year FROM cells WHERE starts_with(label, 'TOTAL')),
 sp AS (SELECT period_date FROM nb

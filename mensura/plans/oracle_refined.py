@@ -4,6 +4,7 @@ cells must reproduce the sub-code fact, with each row's source row."""
 from __future__ import annotations
 
 from .oracle import NATIONAL_FACT, SUBCODE
+from .oracle_market import HISTORY
 
 SQL: dict[str, str] = {}
 
@@ -20,3 +21,11 @@ c AS (SELECT 'national_monthly' AS "table", (SELECT COUNT(*) FROM nb) AS n
       UNION ALL SELECT 'flat_serving', (SELECT COUNT(*) FROM en)
       UNION ALL SELECT 'annual_summary', (SELECT COUNT(DISTINCT year) FROM en))
 SELECT "table", CAST(n AS BIGINT) AS expected_rows, CAST(n AS BIGINT) AS rows, 'PASS' AS status FROM c"""
+
+SQL["k6_national_fact"] = f"WITH {NATIONAL_FACT} SELECT * FROM nf"
+
+SQL["k6_comparative_fact"] = f"""WITH {HISTORY}
+SELECT CASE WHEN cut = 'MAYO' THEN 1 WHEN cut = 'ACUM_ENE_MAY' THEN 2 END AS cut_key,
+       CAST(year * 10000 + 501 AS INTEGER) AS date_key, year, qty, value, price, yoy_qty, yoy_value,
+       pub_growth_qty, pub_growth_value
+FROM hcd"""

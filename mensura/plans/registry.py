@@ -34,6 +34,8 @@ QUERIES: dict[str, Query] = {
     "k5_dim_destination": market.dim_destination,
     "k5_date_spine": market.date_spine,
     "k6_market_fact": market.market_fact,
+    "k6_national_fact": national.national_fact,
+    "k6_comparative_fact": market.comparative_fact,
     "k11_kpi_national": market.kpi,
     # sub-code star schema (source B)
     "k12_enriched_subcode": subcode.enriched,

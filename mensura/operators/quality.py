@@ -72,6 +72,21 @@ def _one(frame: DataFrame, rule: str, table: str, severity: str, detail: str) ->
                                 F.lit(detail).alias("detail")))
 
 
+def count_rule(frame: DataFrame, rule: str, table: str, severity: str, detail: str = "") -> DataFrame:
+    """A rule row from a one-row (checked, violations) aggregate."""
+    return _one(frame, rule, table, severity, detail)
+
+
+def subset_rule(population: DataFrame, violators: DataFrame, table: str, rule: str,
+                severity: str = CRITICAL, detail: str = "") -> DataFrame:
+    """checked = rows of ``population``, violations = rows of ``violators``
+    (e.g. an anti-join of the population against a catalogue)."""
+    checked = population.select(F.count(F.lit(1))).scalar()
+    viol = violators.select(F.count(F.lit(1))).scalar()
+    frame = population.sparkSession.range(1).select(checked.alias("checked"), viol.alias("violations"))
+    return _one(frame, rule, table, severity, detail)
+
+
 def unique_rule(df: DataFrame, table: str, rule: str, keys, severity: str = CRITICAL,
                 detail: str = "") -> DataFrame:
     """Key uniqueness: checked = rows, violations = key groups seen more than once."""

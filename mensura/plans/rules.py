@@ -15,7 +15,7 @@ from ..functions.numbers import (ABS_PRICE_TOL, ABS_SHARE_TOL, ABS_TOL_PRICE, AB
                                  ABS_USD_CONVERSION_TOL, REL_TOL, REL_TOL_PRICE,
                                  dual_scale_violation, row_sum)
 from ..functions.text import digits
-from ..operators.quality import (CRITICAL, WARNING, Rule, _one, calendar_gap_rule, conflict_rule,
+from ..operators.quality import (CRITICAL, WARNING, Rule, calendar_gap_rule, conflict_rule, count_rule, subset_rule,
                                  count_equal_rule, evaluate, not_empty_rule, orphan_rule,
                                  partition_sum_rule, schema_rule, union_results, unique_rule)
 from ..operators.reshape import any_null
@@ -170,8 +170,8 @@ def gold_a(spark: SparkSession, d: str) -> DataFrame:
     hmap = dict(p.homologation)
     totals = market.history(spark, d).select("cut", "year", "value")
     recon = reconcile_totals(base, totals, ["cut", "year"], "value", ABS_TOL_TOTAL)
-    outside = allm.filter(F.col("level") == LEVEL_REGIONAL).join(
-        reg, F.col("dest") == reg._regional, "left_anti")
+    regional = allm.filter(F.col("level") == LEVEL_REGIONAL)
+    outside = regional.join(reg, F.col("dest") == reg._regional, "left_anti")
     map_ok = F.col("label_source").isin(list(hmap)) if hmap else F.lit(False)
     return union_results([
         evaluate(nf, "national_fact", [
@@ -192,19 +192,17 @@ def gold_a(spark: SparkSession, d: str) -> DataFrame:
             Rule("GA5d_no_historical_suffix", CRITICAL, F.col("dest").rlike(HISTORICAL_SUFFIX))]),
         partition_sum_rule(base, "market_base", "GA5_share_sums_to_one", ["cut", "year"], "share_qty",
                            1.0, ABS_SHARE_TOL, when_total_positive="qty"),
-        _one(recon.agg(F.count(F.lit(1)).alias("checked"),
-                       F.count_if(~F.col("within_tolerance")).alias("violations")),
-             "GA5b_destinations_sum_to_total", "market_base", CRITICAL, "sum of destinations = total"),
+        count_rule(recon.agg(F.count(F.lit(1)).alias("checked"),
+                             F.count_if(~F.col("within_tolerance")).alias("violations")),
+                   "GA5b_destinations_sum_to_total", "market_base", CRITICAL, "sum of destinations = total"),
         evaluate(allm, "market_all", [
             Rule("GA5e_level_domain", CRITICAL, ~F.col("level").isin(LEVEL_DETAIL, LEVEL_REGIONAL)),
             Rule("GA5g_source_label_not_blank", CRITICAL,
                  F.col("label_source").isNull() | (F.trim("label_source") == "")),
             Rule("GA5h_homologation_declared", CRITICAL,
                  (F.col("label_source") != F.col("dest")) & ~map_ok)]),
-        _one(outside.agg(F.lit(0).alias("_")).select(
-            allm.filter(F.col("level") == LEVEL_REGIONAL).select(F.count(F.lit(1))).scalar().alias("checked"),
-            outside.select(F.count(F.lit(1))).scalar().alias("violations")),
-            "GA5f_aggregates_in_catalogue", "market_all", CRITICAL, "regional labels in catalogue"),
+        subset_rule(regional, outside, "market_all", "GA5f_aggregates_in_catalogue", CRITICAL,
+                    "regional labels in catalogue"),
         evaluate(audit, "reconciliation", [
             Rule("GA7_reconciliation_divergences", WARNING,
                  F.col("reconciliation_state") == "DIFIERE_PRIORIZA_DIRECTO")]),

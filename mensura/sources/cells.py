@@ -28,6 +28,26 @@ CONTRACT_SCHEMA = T.StructType([
 ])
 
 
+def cells_from_text(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    """Decode delimited-text sheets (one sheet per file) into the long cells table.
+
+    Each file is read whole (``wholetext``) by one task, split into lines and
+    fields with their positions, so row/column numbers are exact; only
+    non-blank cells are kept.  Quoted fields containing the separator are not
+    supported (exports of the reference's sheets have none).
+    """
+    import re as _re
+
+    f = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1).alias("sheet"), "value")
+    lines = f.select("file", "sheet", F.posexplode(F.split("value", r"\r?\n")).alias("r0", "line"))
+    c = lines.select("file", "sheet", (F.col("r0") + 1).cast("int").alias("row"),
+                     F.posexplode(F.split("line", _re.escape(sep), -1)).alias("c0", "value"))
+    return c.filter(F.trim("value") != "").select("file", "sheet", "row",
+                                                  (F.col("c0") + 1).cast("int").alias("col"), "value")
+
+
 def contracts_frame(spark: SparkSession, rows) -> DataFrame:
     """Declared range contracts as a DataFrame (S19: local rows with schema)."""
     return spark.createDataFrame(rows, CONTRACT_SCHEMA)

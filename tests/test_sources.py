@@ -62,3 +62,22 @@ def test_cells_header_extent_records(spark):
     assert [(r["_source_row"], r["code"], r["value"]) for r in rec] == [(5, "1402", "10,5"), (7, "0306", "7")]
     rng = C.read_range(cells, dict(sheet="S", r1=5, r2=8, c1=2, c2=3, semantic_columns=["code", "value"]))
     assert [r["_source_row"] for r in rng.orderBy("_source_row").collect()] == [5, 6, 7, 8]
+
+
+def test_cells_from_text(spark, tmp_dir):
+    import os
+
+    os.makedirs(os.path.join(tmp_dir, "wb"))
+    with open(os.path.join(tmp_dir, "wb", "VALOR.csv"), "w", encoding="utf-8") as fh:
+        fh.write("Exportaciones\nFuente: registro\n\nAño;Enero;Total\n2024.0;1,5;1,5\n;;\n2025.0;2;2\n")
+    cells = C.cells_from_text(spark, os.path.join(tmp_dir, "wb"))
+    got = {(r["sheet"], r["row"], r["col"]): r["value"] for r in cells.collect()}
+    assert got[("VALOR", 4, 1)] == "Año" and got[("VALOR", 5, 2)] == "1,5" and got[("VALOR", 7, 1)] == "2025.0"
+    assert not any(k[1] == 6 for k in got)
+    aliases = spark.createDataFrame([("year", "ANO"), ("jan", "ENERO"), ("total", "TOTAL")],
+                                    "canonical string, alias string")
+    h = C.locate_header(cells, aliases).first()
+    assert h["status"] == "FOUND" and h["header_row"] == 4
+    rec = C.extract_records(cells, C.sheet_extent(cells, C.locate_header(cells, aliases)), {"year": 4},
+                            measures=["jan", "total"]).orderBy("_source_row").collect()
+    assert [(r["_source_row"], r["year"], r["jan"]) for r in rec] == [(5, "2024", "1,5"), (7, "2025", "2")]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar_columns, date_key
 from ..functions.numbers import ABS_RECON_TOL, REL_RECON_TOL, exact_sum, ratio
 from ..operators.series import align, growth_by_shift, growth_by_year, reconcile, rollup_year
-from ..session import per_session
+from ..session import materialize, per_session
 from . import inputs
 
 SOURCE_DIRECT = "exportaciones_mensuales"
@@ -27,11 +27,12 @@ def _reconciled(spark: SparkSession, d: str) -> DataFrame:
     matrix = align(mv, mq, "period_date")
     r = reconcile(direct, matrix, "period_date", ["qty", "value"], ABS_RECON_TOL, REL_RECON_TOL,
                   SOURCE_DIRECT, SOURCE_MATRIX)
-    return r.withColumns({
+    # staged once: the audit, canonical series, facts, serving tables and rules read it
+    return materialize(r.withColumns({
         "year": F.year("period_date"), "month": F.month("period_date"),
         "price": F.when(F.col("qty").isNotNull() & (F.col("qty") > 0) & F.col("value").isNotNull(),
                         F.col("value") / F.col("qty")),
-    })
+    }))
 
 
 def reconciliation_audit(spark: SparkSession, d: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar_columns
 from ..functions.numbers import exact_sum, ratio
 from ..operators.series import growth_by_year, lag_growth, rank_in, rollup, share_of
-from ..session import per_session
+from ..session import materialize, per_session
 from . import inputs
 
 MEASURES = ["tonnes", "fob_usd"]
@@ -43,9 +43,10 @@ def enriched(spark: SparkSession, d: str) -> DataFrame:
         "year_month": cal["year_month"], "quarter": cal["quarter"], "semester": cal["semester"],
         "unit_price_usd_kg": ratio("fob_usd", "tonnes", "positive", 1000.0),
     })
-    return lag_growth(base, ["subcode", "month"], "year", MEASURES, prefix="yoy_",
-                      consecutive=True, require="positive", ratio_minus_one=True,
-                      keep_lag="_prev_year")
+    # staged once: the fact, dimensions, summaries, serving table and rules read it
+    return materialize(lag_growth(base, ["subcode", "month"], "year", MEASURES, prefix="yoy_",
+                                  consecutive=True, require="positive", ratio_minus_one=True,
+                                  keep_lag="_prev_year"))
 
 
 def dim_date(spark: SparkSession, d: str) -> DataFrame:
@@ -129,13 +130,14 @@ def serving(spark: SparkSession, d: str) -> DataFrame:
     s = s.join(annual, "year", "left")
     last = e.select(F.max("period_date")).scalar()
     s = s.withColumn("is_last_period", F.col("period_date") == last)
-    return s.select(
+    # the serving table is written once; its rules and the KPI read it back
+    return materialize(s.select(
         "period_date", "period_text", "year", "month", "month_name", "year_month", "quarter",
         "semester", "months_reported", "year_coverage", "is_last_period", "level3_code",
         "level3_label", "product_code", "product_label", "subcode",
         F.col("short_label").alias("subcode_label"), "tonnes", "fob_thousands", "fob_usd",
         "unit_price_usd_kg", "share_tonnes_period", "share_fob_period", "rank_tonnes_period",
-        "rank_fob_period", "tonnes_prev_year", "fob_usd_prev_year", "yoy_tonnes", "yoy_fob_usd")
+        "rank_fob_period", "tonnes_prev_year", "fob_usd_prev_year", "yoy_tonnes", "yoy_fob_usd"))
 
 
 def kpi(spark: SparkSession, d: str) -> DataFrame:

@@ -94,6 +94,25 @@ def append_run(spark: SparkSession, path: str, record: dict) -> DataFrame:
     return back
 
 
+def run_record(spark: SparkSession, run_id: str, layer: str, rules: DataFrame, config,
+               lineage: dict | None = None, started_at: str | None = None) -> dict:
+    """The run record of a layer — ids, versions, config hash, lineage and
+    the rule audit (counts per status; only the grouped counts reach the
+    driver).  Status is FAIL when any CRITICAL rule failed."""
+    import json
+
+    from ..operators.audit import config_hash
+
+    counts = {r["status"]: r["n"] for r in rules.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {
+        "run_id": run_id, "layer": layer, "spark_version": spark.version,
+        "started_at_utc": started_at or _dt.datetime.now(_dt.timezone.utc).isoformat(),
+        "config_sha256": config_hash(config), "lineage": json.dumps(lineage or {}, sort_keys=True),
+        "rules_pass": counts.get("PASS", 0), "rules_warn": counts.get("WARN", 0),
+        "rules_fail": counts.get("FAIL", 0), "status": "FAIL" if counts.get("FAIL", 0) else "OK",
+    }
+
+
 def file_stats(spark: SparkSession, path: str) -> DataFrame:
     """Number of data files and bytes under ``path`` (metadata only; the
     binaryFile source does not read content when it is not selected)."""

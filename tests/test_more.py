@@ -61,11 +61,11 @@ def test_small_scalars_and_audits(spark):
 
 
 def test_read_manifests_and_selection(spark, tmp_dir):
-    man = {"manifest_schema_version": "1", "storage_layout_version": "v2", "source": "cna", "batch_id": "b1",
-           "files": [{"source": "cna", "source_url": "https://x/informe mayo 2025.xlsx", "anchor_text": "Mayo",
+    man = {"manifest_schema_version": "1", "storage_layout_version": "v2", "source": "src_a", "batch_id": "b1",
+           "files": [{"source": "src_a", "source_url": "https://x/informe mayo 2025.xlsx", "anchor_text": "Mayo",
                       "original_filename": "informe mayo 2025.xlsx", "document_year": 2025, "extension": ".xlsx",
                       "status": "downloaded", "stored_path": "/raw/a.xlsx", "sha256": "h1"},
-                     {"source": "cna", "source_url": "https://x/informe abril 2025.xlsx", "anchor_text": "Abril",
+                     {"source": "src_a", "source_url": "https://x/informe abril 2025.xlsx", "anchor_text": "Abril",
                       "original_filename": "informe abril 2025.xlsx", "document_year": 2025, "extension": ".xlsx",
                       "status": "failed", "stored_path": None, "sha256": None}]}
     os.makedirs(os.path.join(tmp_dir, "m"))
@@ -81,3 +81,12 @@ def test_read_manifests_and_selection(spark, tmp_dir):
     assert [(r["document_year"], r["document_month"]) for r in el.collect()] == [(2025, 5)]
     chosen = MF.require_single_content(MF.select_period(el)).first()
     assert chosen["distinct_sha"] == 1 and not chosen["ambiguous"] and chosen["stored_path"] == "/raw/a.xlsx"
+
+
+def test_run_record(spark, tmp_dir):
+    rules = spark.createDataFrame([("r1", "PASS"), ("r2", "WARN"), ("r3", "PASS")], "rule string, status string")
+    rec = W.run_record(spark, "run-7", "gold", rules, {"tol": 1e-6}, {"silver_run_id": "run-6"})
+    assert (rec["rules_pass"], rec["rules_warn"], rec["rules_fail"], rec["status"]) == (2, 1, 0, "OK")
+    back = W.append_run(spark, os.path.join(tmp_dir, "log"), rec)
+    row = back.first()
+    assert row["config_sha256"] == R.config_hash({"tol": 1e-6}) and row["layer"] == "gold"

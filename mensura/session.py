@@ -112,7 +112,7 @@ def per_session(fn):
         if any(hasattr(a, "sparkSession") for a in list(args) + list(kwargs.values())):
             return fn(spark, d, *args, **kwargs)  # DataFrame arguments: build afresh
         try:
-            key = (id(spark), d, args, tuple(sorted(kwargs.items())))
+            key = (_RUN[0], id(spark), d, args, tuple(sorted(kwargs.items())))
             hash(key)
         except TypeError:
             return fn(spark, d, *args, **kwargs)
@@ -125,6 +125,23 @@ def per_session(fn):
 
 
 _MATERIALIZED: dict = {}
+_RUN = [""]
+
+
+class separate_run:
+    """Context in which plans and staged tables are rebuilt from the base
+    tables instead of reused (an independent run B for the A/B check)."""
+
+    def __init__(self, tag: str):
+        self.tag, self.prev = tag, None
+
+    def __enter__(self):
+        self.prev, _RUN[0] = _RUN[0], self.tag
+        return self
+
+    def __exit__(self, *exc):
+        _RUN[0] = self.prev
+        return False
 
 
 def materialize(df):
@@ -139,7 +156,7 @@ def materialize(df):
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark)
-    key = (id(spark), df.semanticHash())
+    key = (_RUN[0], id(spark), df.semanticHash())
     for plan, done in _MATERIALIZED.get(key, []):
         if plan.sameSemantics(df):
             return done

@@ -90,3 +90,14 @@ def test_run_record(spark, tmp_dir):
     back = W.append_run(spark, os.path.join(tmp_dir, "log"), rec)
     row = back.first()
     assert row["config_sha256"] == R.config_hash({"tol": 1e-6}) and row["layer"] == "gold"
+
+
+def test_materialize_in_checkpoint_folder(spark):
+    from mensura.session import checkpoint_dir, materialize
+
+    base = checkpoint_dir(spark).split(":", 1)[-1].lstrip("/")
+    df = spark.range(5).selectExpr("id * 2 AS v")
+    out = materialize(df)
+    assert out.inputFiles() and all(base in f for f in out.inputFiles())
+    assert materialize(spark.range(5).selectExpr("id * 2 AS v")) is out  # same plan: written once
+    assert sorted(r["v"] for r in out.collect()) == [0, 2, 4, 6, 8]

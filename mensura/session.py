@@ -8,6 +8,7 @@ sets what is still unset.  Local runs (tests, bench) use
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -63,33 +64,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage; only when it is
-    unset (local tests) a scratch folder is created and registered.
+    Only a local session (tests, bench) may leave it unset: it then gets a
+    scratch folder.  On a cluster an unset folder is an error, because files
+    on one machine's disk cannot be read by the others.
     """
     global _LOCAL_CKPT
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Connect sessions expose no SparkContext
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    try:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # noqa: BLE001
-        current = None
-    if not current and sc is not None:
-        current = sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        if sc is not None:
-            sc.setCheckpointDir(current)
-            return sc.getCheckpointDir() or current
-        return current
-    # Unset (local tests only): a scratch folder of our own.
-    if _LOCAL_CKPT is None:
-        _LOCAL_CKPT = tempfile.mkdtemp(prefix="mensura-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(_LOCAL_CKPT)
-    return _LOCAL_CKPT
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        _LOCAL_CKPT = _LOCAL_CKPT or tempfile.mkdtemp(prefix="mensura-ckpt-")
+        current = _LOCAL_CKPT
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 _LOCAL_CKPT = None

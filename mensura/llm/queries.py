@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, packing
 
 QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op8_pack": packing.op8_pack,
 }
 
 ORACLE = {

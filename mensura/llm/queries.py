@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing
+from . import decontaminate, packing, toxicity
 
 QUERIES = {
+    "op3_toxicity": toxicity.op3_toxicity,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op8_pack": packing.op8_pack,
 }

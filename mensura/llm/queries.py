@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, toxicity
+from . import decontaminate, packing, pii, toxicity
 
 QUERIES = {
+    "op2_pii": pii.op2_pii,
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op8_pack": packing.op8_pack,

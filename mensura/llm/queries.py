@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, pii, toxicity
+from . import decontaminate, packing, pii, setjoin, toxicity
 
 QUERIES = {
+    "op1_jaccard_join": setjoin.op1_jaccard_join,
     "op2_pii": pii.op2_pii,
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_decontaminate": decontaminate.op5_decontaminate,
@@ -12,5 +13,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_jaccard_join": setjoin.OP1_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
 }

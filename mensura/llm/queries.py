@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, pii, setjoin, toxicity
+from . import chat, decontaminate, packing, pii, setjoin, toxicity, winnow
 
 QUERIES = {
     "op1_jaccard_join": setjoin.op1_jaccard_join,
     "op2_pii": pii.op2_pii,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_chat_format": chat.op4_chat_format,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op8_pack": packing.op8_pack,
+    "op10_fingerprints": winnow.op10_fingerprints,
 }
 
 ORACLE = {
     "op1_jaccard_join": setjoin.OP1_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
+    "op4_chat_format": chat.OP4_SQL,
 }

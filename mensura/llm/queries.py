@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, packing, pii, setjoin, toxicity, winnow
+from . import chat, decontaminate, packing, pii, setjoin, toxicity, warc, winnow
 
 QUERIES = {
     "op1_jaccard_join": setjoin.op1_jaccard_join,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_chat_format": chat.op4_chat_format,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op7_warc": warc.op7_warc,
     "op8_pack": packing.op8_pack,
     "op10_fingerprints": winnow.op10_fingerprints,
 }
@@ -18,4 +19,5 @@ ORACLE = {
     "op1_jaccard_join": setjoin.OP1_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op4_chat_format": chat.OP4_SQL,
+    "op7_warc": warc.OP7_SQL,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, packing, pii, setjoin, toxicity, warc, winnow
+from . import chat, decontaminate, licenses, packing, pii, quality, setjoin, toxicity, warc, winnow
 
 QUERIES = {
     "op1_jaccard_join": setjoin.op1_jaccard_join,
@@ -10,8 +10,10 @@ QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_chat_format": chat.op4_chat_format,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_quality": quality.op6_quality,
     "op7_warc": warc.op7_warc,
     "op8_pack": packing.op8_pack,
+    "op9_licenses": licenses.op9_licenses,
     "op10_fingerprints": winnow.op10_fingerprints,
 }
 

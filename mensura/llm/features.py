@@ -43,24 +43,26 @@ def of_texts(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]
     return present(row, col, 1 << bits)
 
 
-def select(row: np.ndarray, col: np.ndarray, label: np.ndarray, keep: int, bits: int = BITS) -> np.ndarray:
-    """Columns with the largest log-likelihood ratio (G2) with the label."""
-    width = 1 << bits
-    pos, neg = float(label.sum()), float((1 - label).sum())
-    a = np.bincount(col, weights=label[row], minlength=width)
-    b = np.bincount(col, minlength=width) - a
-    seen = np.flatnonzero(a + b >= 2)
-    if not len(seen) or not pos or not neg:
+def best_columns(positive: np.ndarray, count: np.ndarray, n_positive: float, n: float, keep: int) -> np.ndarray:
+    """Columns with the largest log-likelihood ratio (G2) with the label, given
+    in how many positive rows, and in how many rows, each is present."""
+    seen = np.flatnonzero(count >= 2)
+    if not len(seen) or n_positive <= 0 or n_positive >= n:
         return np.zeros(0, np.int64)
-    a, b = a[seen], b[seen]
+    a, here = positive[seen].astype(float), count[seen].astype(float)
     g = np.zeros(len(seen))
-    for x, total, part in ((a, pos, a + b), (b, neg, a + b), (pos - a, pos, pos + neg - a - b), (neg - b, neg, pos + neg - a - b)):
-        e = part * total / (pos + neg)
+    for x, total, part in ((a, n_positive, here), (here - a, n - n_positive, here), (n_positive - a, n_positive, n - here), (n - n_positive - here + a, n - n_positive, n - here)):
+        e = part * total / n
         g += np.where(x > 0, x * np.log(np.maximum(x, 1e-12) / np.maximum(e, 1e-12)), 0)
     best = np.argsort(-g, kind="stable")[:keep]
     return np.sort(seen[best][g[best] > 4])
 
 
+def select(row: np.ndarray, col: np.ndarray, label: np.ndarray, keep: int, bits: int = BITS) -> np.ndarray:
+    width = 1 << bits
+    return best_columns(np.bincount(col, weights=label[row], minlength=width), np.bincount(col, minlength=width), float(label.sum()), float(len(label)), keep)
+
+
 def logistic(row: np.ndarray, col: np.ndarray, extra: np.ndarray, label: np.ndarray, width: int,
              l2: float = 1.0, steps: int = 300, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray, float]:
     """(weights of the sparse columns, weights of ``extra``, intercept): L2

@@ -27,7 +27,7 @@ LABELLERS = (*DEFECTS, "plain", "prose")
 #: A document is kept from this score on.
 KEEP = 0.5
 #: Documents the scorer is trained on at most (those whose text hashes lowest).
-TRAINING_ROWS = 20_000
+TRAINING_ROWS = 10_000
 BITS = 18
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#$%&*|{}<>~^@\\_=+"]] = True

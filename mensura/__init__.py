@@ -15,7 +15,6 @@ sinks       table writes, lineage properties, verified exports, run log,
             conditional compaction
 plans       composite datasets (national series, markets, star schemas)
             wired to the driver's parquet tables
-streaming   incremental (file-stream) form of the snapshot classifier
 """
 
-__all__ = ["functions", "operators", "sources", "sinks", "plans", "streaming"]
+__all__ = ["functions", "operators", "sources", "sinks", "plans"]

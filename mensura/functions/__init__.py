@@ -5,7 +5,7 @@ from .dates import (calendar_columns, cut_date, date_key, first_year, infer_mont
                     shift_months, year_from_text)
 from .hashing import canonical_json, resource_id, row_sha, surrogate_key, version_name
 from .labels import code_label, homologate, level, literal_map, parse_indicator
-from .numbers import (dual_scale_violation, exact_sum, growth, identifier, match_label,
+from .numbers import (dual_scale_violation, exact_sum, growth, identifier, inexact_count, match_label,
                       parse_int, parse_number, ratio, row_sum, scale, within_tolerance)
 from .text import (canonical_label, clean_text, contains_token, digits, is_non_analytic,
                    measure_text, normalize_match, normalize_match_exact, plain_text,

@@ -73,9 +73,10 @@ def _accent_table() -> tuple[str, str]:
 
 
 def strip_accents(c) -> Column:
-    """Remove diacritics from precomposed Latin letters (native translate)."""
+    """Remove diacritics: of precomposed Latin letters by translation, and
+    combining marks of letters that are decomposed already."""
     src, dst = _accent_table()
-    return F.translate(as_col(c), src, dst)
+    return F.regexp_replace(F.translate(as_col(c), src, dst), r"\p{M}+", "")
 
 
 def normalize_match(c, case: str = "upper") -> Column:
@@ -153,15 +154,17 @@ def contains_token(c, token: str) -> Column:
     return F.upper(as_col(c)).contains(token.upper())
 
 
-def safe_filename(c, default: str = "archivo") -> Column:
-    """URL-decoded basename with unsafe characters replaced.
+def safe_filename(c, default: str = "archivo_descargado") -> Column:
+    """Safe file name of a URL.
 
-    URL-decode, keep the last path segment, replace ``<>:"/\\|?*`` and control
-    characters by ``_``, collapse whitespace, strip spaces and dots at both
-    ends, fall back to ``default``.  (NFKC is not applied natively.)
+    The query and fragment are cut off the raw URL (an encoded ``%3F`` is part
+    of the name), the path is percent-decoded (a ``+`` stays a ``+``) and its
+    last segment kept; ``<>:"/\\|?*`` and control characters become ``_``,
+    white space is collapsed, blanks and dots are stripped at both ends, and an
+    empty name gives ``default``.  (NFKC is not applied natively.)
     """
-    s = F.try_url_decode(as_col(c)) if hasattr(F, "try_url_decode") else F.url_decode(as_col(c))
-    s = F.regexp_replace(s, r"[?#].*$", "")
+    s = F.regexp_replace(as_col(c), r"(?s)[?#].*$", "")
+    s = F.try_url_decode(F.replace(s, F.lit("+"), F.lit("%2B")))
     s = F.regexp_extract(s, r"([^/]*)$", 1)
     s = F.regexp_replace(s, UNSAFE_FILENAME_CHARS, "_")
     s = F.regexp_replace(s, r"\s+", " ")

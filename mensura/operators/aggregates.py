@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import exact_sum
+from ..functions.numbers import MEASURE_SCALE, exact_sum
 
 
 def profile(df: DataFrame, distinct=(), minmax=(), sums=()) -> DataFrame:
@@ -18,7 +18,7 @@ def profile(df: DataFrame, distinct=(), minmax=(), sums=()) -> DataFrame:
     aggs += [F.count_distinct(c).alias(f"distinct_{c}") for c in distinct]
     for c in minmax:
         aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-    aggs += [exact_sum(c).alias(f"sum_{c}") for c in sums]
+    aggs += [exact_sum(c, MEASURE_SCALE).alias(f"sum_{c}") for c in sums]
     return df.agg(*aggs)
 
 
@@ -87,8 +87,8 @@ def conservation(a: DataFrame, b: DataFrame, measures, tolerances) -> DataFrame:
 
     Two global aggregates (one job each side), combined as scalar subqueries.
     """
-    sa = a.agg(*[exact_sum(m).alias(m) for m in measures])
-    sb = b.agg(*[exact_sum(m).alias(m) for m in measures])
+    sa = a.agg(*[exact_sum(m, MEASURE_SCALE).alias(m) for m in measures])
+    sb = b.agg(*[exact_sum(m, MEASURE_SCALE).alias(m) for m in measures])
     rows = []
     for m, tol in zip(measures, tolerances):
         va, vb = sa.select(m).scalar(), sb.select(m).scalar()
@@ -100,7 +100,7 @@ def conservation(a: DataFrame, b: DataFrame, measures, tolerances) -> DataFrame:
 
 def group_totals(df: DataFrame, keys, sums) -> DataFrame:
     """Exact grouped totals."""
-    return df.groupBy(*keys).agg(*[exact_sum(c).alias(f"total_{c}") for c in sums])
+    return df.groupBy(*keys).agg(*[exact_sum(c, MEASURE_SCALE).alias(f"total_{c}") for c in sums])
 
 
 # -- L1..L5 ------------------------------------------------------------------

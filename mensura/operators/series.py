@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import exact_sum, growth, ratio
+from ..functions.numbers import MEASURE_SCALE, exact_sum, growth, ratio
 
 
 def align(a: DataFrame, b: DataFrame, key) -> DataFrame:
@@ -163,7 +163,7 @@ def share_of(df: DataFrame, partition, measure: str, out_col: str,
     """
     partition = list(partition)
     tot_col = f"_total_{measure}"
-    totals = df.groupBy(*partition).agg(exact_sum(measure).alias(tot_col))
+    totals = df.groupBy(*partition).agg(exact_sum(measure, MEASURE_SCALE).alias(tot_col))
     out = df.join(totals, on=partition, how="left")
     ok = F.col(tot_col) > 0
     if require_value:
@@ -212,7 +212,7 @@ def reconcile_totals(detail: DataFrame, total: DataFrame, keys, measure: str,
     (``within_tolerance`` NULL) so silently unchecked pairs become visible.
     """
     keys = list(keys)
-    s = detail.groupBy(*keys).agg(exact_sum(measure).alias("detail_sum"))
+    s = detail.groupBy(*keys).agg(exact_sum(measure, MEASURE_SCALE).alias("detail_sum"))
     t = total.select(*keys, F.col(measure).alias("reported_total"))
     j = s.join(t, keys, how)
     diff = F.abs(F.col("detail_sum") - F.col("reported_total"))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import MONTHS_TITLE, month_start
-from ..functions.numbers import exact_sum
+from ..functions.numbers import MEASURE_SCALE, exact_sum
 from ..operators.reshape import pivot_months, unpivot_months
 from ..session import materialize, per_session
 from ..sources.tables import table
@@ -60,7 +60,7 @@ def order_months(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     return materialize(o.groupBy(month_start("o_orderdate").alias("period_date"))
                        .agg(F.count(F.lit(1)).cast("double").alias("qty"),
-                            exact_sum("o_totalprice").alias("value")))
+                            exact_sum("o_totalprice", MEASURE_SCALE).alias("value")))
 
 
 @per_session
@@ -105,8 +105,8 @@ def subcode_fact(spark: SparkSession, d: str) -> DataFrame:
     pt = table(spark, d, "part").select("p_partkey", "p_type", "p_brand")
     j = li.join(pt, li.l_partkey == pt.p_partkey, "inner")
     g = (j.groupBy(month_start("l_shipdate").alias("period_date"), "p_type", "p_brand")
-         .agg(exact_sum("l_quantity").alias("tonnes"),
-              exact_sum("l_extendedprice").alias("_fob")))
+         .agg(exact_sum("l_quantity", MEASURE_SCALE).alias("tonnes"),
+              exact_sum("l_extendedprice", MEASURE_SCALE).alias("_fob")))
     prod = F.lpad((F.ascii("p_type") * 100 + F.ascii(F.substring("p_type", 2, 1))).cast("string"),
                   6, "0")
     brand = F.lpad(F.regexp_extract("p_brand", r"(\d+)$", 1), 4, "0")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_columns, date_key
-from ..functions.numbers import ABS_RECON_TOL, REL_RECON_TOL, exact_sum, ratio
+from ..functions.numbers import ABS_RECON_TOL, REL_RECON_TOL, MEASURE_SCALE, exact_sum, ratio
 from ..operators.series import align, growth_by_shift, growth_by_year, reconcile, rollup_year
 from ..session import materialize, per_session
 from . import inputs
@@ -77,8 +77,8 @@ def national_monthly(spark: SparkSession, d: str) -> DataFrame:
 def national_annual(spark: SparkSession, d: str) -> DataFrame:
     """K8: annual totals, completeness and YoY only between complete years."""
     fact = national_fact(spark, d)
-    a = rollup_year(fact, "year", "month", {"qty_total": exact_sum("qty"),
-                                            "value_total": exact_sum("value")},
+    a = rollup_year(fact, "year", "month", {"qty_total": exact_sum("qty", MEASURE_SCALE),
+                                            "value_total": exact_sum("value", MEASURE_SCALE)},
                     complete_out="complete")
     a = a.withColumn("weighted_price", ratio("value_total", "qty_total", "positive"))
     g = growth_by_year(a, "year", ["qty_total", "value_total"], complete_col="complete",

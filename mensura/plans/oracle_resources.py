@@ -21,7 +21,7 @@ rec AS (
     'Informe ' || mname || ' ' || CAST(yr AS VARCHAR) AS anchor_text, fname AS original_filename,
     yr AS document_year, ext AS extension,
     CASE WHEN failed THEN 'failed' ELSE {_STATUSES}[doc_id % 4 + 1] END AS status,
-    CASE WHEN NOT failed THEN '/raw/' || source || '/' || fname END AS stored_path,
+    CASE WHEN NOT failed THEN '/raw/' || source || '/' || CAST(doc_id AS VARCHAR) || '/' || fname END AS stored_path,
     CASE WHEN NOT failed THEN CAST(strlen(text) AS BIGINT) END AS size_bytes,
     CASE WHEN NOT failed THEN sha256(text) END AS sha256,
     layout AS storage_layout_version,
@@ -100,17 +100,16 @@ FROM j"""
 SQL["s16_snapshot_status"] = f"""WITH {REC},
 prev AS (SELECT CASE WHEN d.doc_id % 5 = 0 THEN r.source_url || '?v=old' ELSE r.source_url END AS source_url,
                 sha256(CASE WHEN d.doc_id % 7 = 0 THEN d.text || ' ' ELSE d.text END) AS sha256,
-                '2025-12-01T00:00:00Z' AS downloaded_at_utc
+                r.storage_layout_version AS layout, d.doc_id % 3 = 0 AS copied
          FROM rec r JOIN documents d ON d.doc_id = r.doc_id),
-known AS (SELECT DISTINCT sha256 AS ks FROM prev),
-j AS (SELECT c.doc_id, c.source_url, c.sha256, c.status, p.sha256 AS ps, p.downloaded_at_utc AS pa, k.ks
-      FROM rec c LEFT JOIN prev p ON p.source_url = c.source_url LEFT JOIN known k ON k.ks = c.sha256),
-s AS (SELECT *, CASE WHEN status = 'failed' THEN 'failed'
-                     WHEN ps IS NOT NULL AND ps = sha256 THEN 'unchanged'
-                     WHEN ks IS NOT NULL THEN 'unchanged'
-                     WHEN ps IS NOT NULL THEN 'updated_version' ELSE 'downloaded' END AS snapshot_status FROM j)
+q AS (SELECT c.*,
+        (SELECT max(sha256) FROM prev p WHERE p.source_url = c.source_url AND p.layout = 'v2' AND NOT p.copied) AS ps,
+        EXISTS (SELECT 1 FROM prev p WHERE p.source_url = c.source_url AND p.sha256 = c.sha256) AS stored
+      FROM rec c),
+s AS (SELECT *, CASE WHEN status = 'failed' THEN 'failed' WHEN stored THEN 'unchanged'
+             WHEN ps <> sha256 THEN 'updated_version' ELSE 'downloaded' END AS snapshot_status FROM q)
 SELECT doc_id, source_url, snapshot_status,
-       CASE WHEN snapshot_status = 'unchanged' THEN COALESCE(pa, '2026-01-01T00:00:00Z')
+       CASE WHEN snapshot_status = 'unchanged' AND ps IS NOT NULL THEN '2025-12-01T00:00:00Z'
             ELSE '2026-01-01T00:00:00Z' END AS downloaded_at_utc FROM s"""
 
 SQL["s17_version_names"] = f"""WITH {REC},

@@ -144,8 +144,8 @@ dr AS (SELECT period_date, qty, value_direct AS value, reported_price_direct AS
 mlv AS (SELECT period_date, CAST(year(period_date) AS INTEGER) AS year,
                CAST(month(period_date) AS INTEGER) AS month, value_matrix AS value FROM mv),
 hl AS (SELECT *, lag(value) OVER (PARTITION BY cut ORDER BY year) AS _prev FROM hg),
-sh AS (SELECT * FROM ml WHERE indicator = 'participacion_libras' AND value IS NOT NULL),
-up AS (SELECT CASE WHEN max(value) <= 1.000001 THEN 1.000001 ELSE 100.0001 END AS u FROM sh)
+sh AS (SELECT *, CASE WHEN max(value) OVER (PARTITION BY cut) <= 1.000001 THEN 1.000001 ELSE 100.0001 END AS u
+       FROM ml WHERE indicator = 'participacion_libras' AND value IS NOT NULL)
 """.replace("dr AS (SELECT period_date, qty, value_direct", "dr AS (SELECT period_date, qty_direct AS qty, value_direct") + finish("\nUNION ALL ".join([
     rows("mwc", "matrix_value", [("A1_non_negative", "CRITICAL", "v < 0", "v IS NOT NULL", "")]),
     rows("mw", "matrix_value", [(
@@ -153,7 +153,7 @@ up AS (SELECT CASE WHEN max(value) <= 1.000001 THEN 1.000001 ELSE 100.0001 END A
         f"abs(total - ({_TOTAL})) > greatest(1.0, abs(total) * 1e-06)", "total IS NOT NULL", "")]),
     rows("dr", "monthly_direct", [(
         "A3_reported_price", "CRITICAL",
-        "abs(reported_price - value / qty) > greatest(0.02, abs(value / qty) * 0.01)",
+        "abs(reported_price - value / qty) > greatest(0.02, abs(reported_price) * 0.01)",
         "qty > 0 AND reported_price IS NOT NULL AND value IS NOT NULL", "")]),
     rows("hl", "history", [(
         "A4_stored_growth", "CRITICAL",
@@ -162,7 +162,7 @@ up AS (SELECT CASE WHEN max(value) <= 1.000001 THEN 1.000001 ELSE 100.0001 END A
         " > greatest(0.02, abs((value - _prev) / _prev * 100.0) * 0.01)",
         "_prev IS NOT NULL AND _prev <> 0 AND pub_growth_value IS NOT NULL AND value IS NOT NULL", "")]),
     rows("sh", "market_long", [(
-        "A5_share_in_range", "CRITICAL", "value < 0 OR value > (SELECT u FROM up)", "true", "")]),
+        "A5_share_in_range", "CRITICAL", "value < 0 OR value > u", "true", "")]),
     unique("mlv", "matrix_value_long", "A6_period_key_unique", ["year", "month"]),
     rows("mlv", "matrix_value_long", [(
         "A6_period_valid", "CRITICAL",

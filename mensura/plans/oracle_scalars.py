@@ -67,9 +67,9 @@ q AS (SELECT period_text,
 SELECT period_text, year, month, CASE WHEN month BETWEEN 1 AND 12 THEN make_date(year, month, 1) END
   AS period_date FROM q"""
 
-_FN = ("regexp_replace(regexp_replace(regexp_replace(regexp_extract(regexp_replace(url_decode(url), "
-       "'[?#].*$', ''), '([^/]*)$', 1), '[<>:\"/\\\\|?*\\x00-\\x1f]', '_', 'g'), '" + WS + "', ' ', 'g'), "
+_FN = ("regexp_replace(regexp_replace(regexp_replace(regexp_extract(url_decode(replace(regexp_replace(url, "
+       "'[?#].*$', ''), '+', '%2B')), '([^/]*)$', 1), '[<>:\"/\\\\|?*\\x00-\\x1f]', '_', 'g'), '" + WS + "', ' ', 'g'), "
        "'^[ .]+|[ .]+$', '', 'g')")
 SQL["o25_safe_filename"] = f"""WITH f AS (SELECT page_id, url, {_FN} AS fn FROM pages)
 SELECT page_id, substr(sha256(url), 1, 12) AS resource_id,
-       CASE WHEN fn IS NULL OR fn = '' THEN 'archivo' ELSE fn END AS file_name FROM f"""
+       CASE WHEN fn IS NULL OR fn = '' THEN 'archivo_descargado' ELSE fn END AS file_name FROM f"""

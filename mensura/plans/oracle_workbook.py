@@ -53,7 +53,7 @@ ty AS (SELECT * FROM ty0 WHERE NOT ({' AND '.join(f'{n} IS NULL' for n in NAMES)
 
 SQL: dict[str, str] = {}
 
-SQL["s7_read_range"] = f"WITH {RAW} SELECT * FROM raw"
+SQL["s7_read_range"] = f"WITH {RAW} SELECT (SELECT max(file) FROM cells WHERE sheet = 'VALOR') AS file, * FROM raw"
 SQL["f7_typed_projection"] = f"WITH {TYPED} SELECT * FROM ty"
 SQL["f7_conversion_audit"] = f"""WITH {TYPED},
 tya AS (SELECT {_TYPED_COLS}, {', '.join(f'{n} AS s_{n}' for n in NAMES)} FROM raw)
@@ -82,12 +82,13 @@ hd AS (SELECT ct.id_table, {_norm("string_agg(value, ' ' ORDER BY row, col)")} A
 dt AS (SELECT ct.id_table, count_if(trim(value) <> '') AS nb
        FROM ct JOIN cells c ON c.sheet = ct.sheet AND c.row BETWEEN ct.r1 AND ct.r2
         AND c.col BETWEEN ct.c1 AND ct.c2 GROUP BY ct.id_table),
-j AS (SELECT ct.*, ct.sheet IN (SELECT sheet FROM cells) AS sheet_exists, (c2 - c1 + 1) = n_names AS width_ok,
+j AS (SELECT ct.*, wb.file, wb.file IS NOT NULL AS sheet_exists, (c2 - c1 + 1) = n_names AS width_ok,
              hd.header_text, COALESCE(dt.nb, 0) AS nonblank_cells
-      FROM ct LEFT JOIN hd ON hd.id_table = ct.id_table LEFT JOIN dt ON dt.id_table = ct.id_table),
+      FROM ct LEFT JOIN (SELECT DISTINCT file, sheet FROM cells) wb ON wb.sheet = ct.sheet
+      LEFT JOIN hd ON hd.id_table = ct.id_table LEFT JOIN dt ON dt.id_table = ct.id_table),
 k AS (SELECT *, list_bool_and(list_transform(required_tokens, lambda t: COALESCE(instr(header_text, t) > 0, false)))
                   AS tokens_ok FROM j)
-SELECT id_table, name, sheet, sheet_exists, width_ok, tokens_ok, CAST(nonblank_cells AS BIGINT) AS nonblank_cells,
+SELECT file, id_table, name, sheet, sheet_exists, width_ok, tokens_ok, CAST(nonblank_cells AS BIGINT) AS nonblank_cells,
        CASE WHEN sheet_exists AND width_ok AND tokens_ok AND nonblank_cells > 0 THEN 'PASS' ELSE 'FAIL' END AS status
 FROM k"""
 

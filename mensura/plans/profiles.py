@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
-from ..functions.numbers import exact_sum
+from ..functions.numbers import MEASURE_SCALE, exact_sum
 from ..operators import aggregates as A
 from ..operators import sets as U
 from ..operators.reshape import unpivot_indicators
@@ -57,7 +57,7 @@ def event_histogram(spark: SparkSession, d: str) -> DataFrame:
 def event_totals(spark: SparkSession, d: str) -> DataFrame:
     """A10: per-type totals plus a grand total row (ROLLUP)."""
     e = inputs.table(spark, d, "events")
-    return A.totals(e, "event_type", {"events": F.count(F.lit(1)), "value_total": exact_sum("value")})
+    return A.totals(e, "event_type", {"events": F.count(F.lit(1)), "value_total": exact_sum("value", MEASURE_SCALE)})
 
 
 def subcode_catalogue(spark: SparkSession, d: str) -> DataFrame:

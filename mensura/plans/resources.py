@@ -30,8 +30,9 @@ from . import inputs
 RUN_TS = "2026-01-01T00:00:00Z"
 
 
-@per_session
-def records(spark: SparkSession, d: str) -> DataFrame:
+def _resources(spark: SparkSession, d: str) -> DataFrame:
+    """Every document as a downloaded resource, its text still beside it: what
+    is derived from content is hashed in this one scan."""
     doc = inputs.table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     ext = (F.when(F.col("lang") == "en", ".xlsx").when(F.col("lang") == "fr", ".xls")
            .when(F.col("lang") == "de", ".csv").otherwise(".pdf"))
@@ -49,15 +50,20 @@ def records(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("Informe "), month, F.lit(" "), year.cast("string")).alias("anchor_text"),
         fname.alias("original_filename"), year.alias("document_year"), ext.alias("extension"),
         status.alias("status"),
-        F.when(~failed, F.concat(F.lit("/raw/"), F.col("source"), F.lit("/"), fname)).alias("stored_path"),
+        F.when(~failed, F.concat(F.lit("/raw/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit("/"), fname)).alias("stored_path"),
         F.when(~failed, F.octet_length("text").cast("bigint")).alias("size_bytes"),
         F.when(~failed, F.sha2("text", 256)).alias("sha256"),
         layout.alias("storage_layout_version"),
         F.concat(F.lit("manifest_"), F.col("source"), F.lit("_"), layout, F.lit("_"),
-                 F.lpad((F.col("doc_id") % 3).cast("string"), 2, "0"), F.lit(".json")).alias("manifest_name"))
+                 F.lpad((F.col("doc_id") % 3).cast("string"), 2, "0"), F.lit(".json")).alias("manifest_name"), "text")
     return r
 
 
+@per_session
+def records(spark: SparkSession, d: str) -> DataFrame:
+    return _resources(spark, d).drop("text")
+
+
 def latest_manifests(spark: SparkSession, d: str) -> DataFrame:
     """Latest v2 manifest per source and how many records it lists."""
     r = records(spark, d)
@@ -96,9 +102,7 @@ def newest_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def storage_files(spark: SparkSession, d: str) -> DataFrame:
-    doc = inputs.table(spark, d, "documents").select("doc_id", "text")
-    r = records(spark, d).select("doc_id", "stored_path").filter(F.col("stored_path").isNotNull())
-    f = r.join(doc, "doc_id")
+    f = _resources(spark, d).filter(F.col("stored_path").isNotNull())
     content = F.when(F.col("doc_id") % 13 == 0, F.concat("text", F.lit("\n"))).otherwise(F.col("text"))
     # an interrupted copy left the file of doc_id % 11 == 0 under a ".partial" name
     path = F.when(F.col("doc_id") % 11 == 0, F.concat("stored_path", F.lit(".partial"))).otherwise(F.col("stored_path"))
@@ -107,23 +111,20 @@ def storage_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def integrity(spark: SparkSession, d: str) -> DataFrame:
-    """Verify every record against the storage listing (same-path files
-    collapse to the smallest hash so the join stays one-to-one)."""
-    files = storage_files(spark, d).groupBy("path").agg(
-        F.min_by(F.struct("actual_sha256", "actual_size"), F.col("actual_sha256")).alias("f")) \
-        .select("path", "f.actual_sha256", "f.actual_size")
-    v = M.verify_files(records(spark, d), files)
+    """Verify every record against the storage listing."""
+    v = M.verify_files(records(spark, d), storage_files(spark, d))
     return v.select("doc_id", "source_url", "status", "stored_path", "sha256", "actual_sha256",
                     "reason", "verified")
 
 
 def previous_run(spark: SparkSession, d: str) -> DataFrame:
-    doc = inputs.table(spark, d, "documents").select("doc_id", "text")
-    r = records(spark, d).drop("sha256").join(doc, "doc_id")
+    r = _resources(spark, d)
     content = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text"))
     # resources of doc_id % 5 == 0 were published under a former address
     url = F.when(F.col("doc_id") % 5 == 0, F.concat("source_url", F.lit("?v=old"))).otherwise(F.col("source_url"))
-    return r.select(url.alias("source_url"), F.sha2(content, 256).alias("sha256"),
+    return r.select(url.alias("source_url"), F.sha2(content, 256).alias("sha256"), "storage_layout_version",
+                    # every third resource of the last run was copied back, not downloaded
+                    F.when(F.col("doc_id") % 3 == 0, F.lit("recovered_copy")).otherwise(F.lit("downloaded")).alias("status"),
                     F.lit("2025-12-01T00:00:00Z").alias("downloaded_at_utc"))
 
 
@@ -132,7 +133,7 @@ def snapshot_status(spark: SparkSession, d: str) -> DataFrame:
     cur = records(spark, d).select(
         "doc_id", "source_url", "sha256",
         F.when(F.col("status") == "failed", F.lit("download failed")).alias("error"))
-    out = M.classify_snapshot(previous_run(spark, d), cur, F.lit(RUN_TS))
+    out = M.classify_snapshot(previous_run(spark, d), cur, F.lit(RUN_TS), layout="v2")
     return out.select("doc_id", "source_url", "snapshot_status",
                       F.col("downloaded_at_utc_new").alias("downloaded_at_utc"))
 

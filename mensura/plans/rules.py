@@ -126,8 +126,10 @@ def silver_a(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("cut").orderBy("year")
     h = hist.withColumn("_prev", F.lag("value").over(w))
     share = long.filter((F.col("indicator") == "participacion_libras") & F.col("value").isNotNull())
-    upper = F.when(share.select(F.max("value")).scalar() <= 1.000001, F.lit(1.000001)) \
-        .otherwise(F.lit(100.0001))
+    # fraction or percentage: detected for each cut by its largest share
+    top = share.groupBy(F.col("cut").alias("_cut")).agg(F.max("value").alias("_top"))
+    share = share.join(top, F.col("cut") == F.col("_cut"))
+    upper = F.when(F.col("_top") <= 1.000001, F.lit(1.000001)).otherwise(F.lit(100.0001))
     return union_results([
         evaluate(cells, "matrix_value", [
             Rule("A1_non_negative", CRITICAL, F.col("v") < 0, F.col("v").isNotNull())]),
@@ -139,7 +141,7 @@ def silver_a(spark: SparkSession, d: str) -> DataFrame:
         evaluate(direct, "monthly_direct", [
             Rule("A3_reported_price", CRITICAL,
                  F.abs(F.col("reported_price") - F.col("value") / F.col("qty"))
-                 > F.greatest(F.lit(ABS_TOL_PRICE), F.abs(F.col("value") / F.col("qty")) * REL_TOL_PRICE),
+                 > F.greatest(F.lit(ABS_TOL_PRICE), F.abs("reported_price") * REL_TOL_PRICE),
                  (F.col("qty") > 0) & F.col("reported_price").isNotNull() & F.col("value").isNotNull())]),
         evaluate(h, "history", [
             Rule("A4_stored_growth", CRITICAL,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_columns
-from ..functions.numbers import exact_sum, ratio
+from ..functions.numbers import MEASURE_SCALE, exact_sum, ratio
 from ..operators.series import growth_by_year, lag_growth, rank_in, rollup, share_of
 from ..session import materialize, per_session
 from . import inputs
@@ -90,8 +90,8 @@ def monthly_summary(spark: SparkSession, d: str) -> DataFrame:
     e = enriched(spark, d)
     return rollup(e, ["date_key", "period_date", "year", "month", "month_name", "year_month",
                       "quarter", "semester"],
-                  {"tonnes_total": exact_sum("tonnes"), "fob_thousands_total": exact_sum("fob_thousands"),
-                   "fob_usd_total": exact_sum("fob_usd")},
+                  {"tonnes_total": exact_sum("tonnes", MEASURE_SCALE), "fob_thousands_total": exact_sum("fob_thousands", MEASURE_SCALE),
+                   "fob_usd_total": exact_sum("fob_usd", MEASURE_SCALE)},
                   {"subcodes_reported": "subcode"},
                   ("weighted_price_usd_kg", "fob_usd_total", "tonnes_total", 1000.0))
 
@@ -100,9 +100,9 @@ def monthly_summary(spark: SparkSession, d: str) -> DataFrame:
 def annual_summary(spark: SparkSession, d: str) -> DataFrame:
     """K14 / A2 + N2: annual totals; YoY only between consecutive complete years."""
     m = monthly_summary(spark, d)
-    a = rollup(m, ["year"], {"tonnes_total": exact_sum("tonnes_total"),
-                             "fob_thousands_total": exact_sum("fob_thousands_total"),
-                             "fob_usd_total": exact_sum("fob_usd_total")},
+    a = rollup(m, ["year"], {"tonnes_total": exact_sum("tonnes_total", MEASURE_SCALE),
+                             "fob_thousands_total": exact_sum("fob_thousands_total", MEASURE_SCALE),
+                             "fob_usd_total": exact_sum("fob_usd_total", MEASURE_SCALE)},
                {"months_reported": "month"},
                ("weighted_price_usd_kg", "fob_usd_total", "tonnes_total", 1000.0))
     a = a.withColumn("complete", F.col("months_reported") == 12)
@@ -157,8 +157,8 @@ def kpi(spark: SparkSession, d: str) -> DataFrame:
     prof = e.agg(F.min("period_date").alias("period_min"), F.max("period_date").alias("period_max"),
                  F.count_distinct("period_date").cast("int").alias("periods"),
                  F.count_distinct("subcode").cast("int").alias("subcodes"),
-                 exact_sum("tonnes").alias("tonnes_total_all"),
-                 exact_sum("fob_usd").alias("fob_usd_total_all"))
+                 exact_sum("tonnes", MEASURE_SCALE).alias("tonnes_total_all"),
+                 exact_sum("fob_usd", MEASURE_SCALE).alias("fob_usd_total_all"))
     lt, lf, pt, pf = [lm.select(c).scalar() for c in ("lt", "lf", "pt", "pf")]
     return prof.select(
         "period_min", "period_max", "periods", "subcodes", "tonnes_total_all", "fob_usd_total_all",

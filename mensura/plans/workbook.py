@@ -87,7 +87,7 @@ def read_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def typed_matrix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    raw = read_matrix(spark, d).drop("_source_row")
+    raw = read_matrix(spark, d).drop("file", "_source_row")
     return apply_types(raw, TYPES)
 
 

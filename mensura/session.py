@@ -85,6 +85,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _LOCAL_CKPT = None
 
 
+_MATERIALIZED: dict = {}
+_PLAN_CACHES: list = []
+
+
 def per_session(fn):
     """Memoise a ``(spark, sf_dir) -> DataFrame`` plan builder per session.
 
@@ -96,13 +100,14 @@ def per_session(fn):
     import functools
 
     cache: dict = {}
+    _PLAN_CACHES.append(cache)
 
     @functools.wraps(fn)
     def wrapper(spark, d, *args, **kwargs):
         if any(hasattr(a, "sparkSession") for a in list(args) + list(kwargs.values())):
             return fn(spark, d, *args, **kwargs)  # DataFrame arguments: build afresh
         try:
-            key = (_RUN[0], id(spark), d, args, tuple(sorted(kwargs.items())))
+            key = (_RUN[0], spark.sparkContext.applicationId, d, args, tuple(sorted(kwargs.items())))
             hash(key)
         except TypeError:
             return fn(spark, d, *args, **kwargs)
@@ -114,7 +119,6 @@ def per_session(fn):
     return wrapper
 
 
-_MATERIALIZED: dict = {}
 _RUN = [""]
 
 
@@ -134,6 +138,19 @@ class separate_run:
         return False
 
 
+def release(spark: SparkSession) -> None:
+    """Forget plans and delete staged tables of this application: call it when
+    input files were rewritten, or when a run is over."""
+    app = spark.sparkContext.applicationId
+    for cache in _PLAN_CACHES:
+        for key in [k for k in cache if k[1] == app]:
+            del cache[key]
+    for key in [k for k in _MATERIALIZED if k[1] == app]:
+        for _, _, path in _MATERIALIZED.pop(key):
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df):
     """Cut lineage of a small shared intermediate with a reliable checkpoint.
 
@@ -146,8 +163,8 @@ def materialize(df):
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark)
-    key = (_RUN[0], id(spark), df.semanticHash())
-    for plan, done in _MATERIALIZED.get(key, []):
+    key = (_RUN[0], spark.sparkContext.applicationId, df.semanticHash())
+    for plan, done, _ in _MATERIALIZED.get(key, []):
         if plan.sameSemantics(df):
             return done
     # A parquet table in the shared checkpoint folder: computed once (an RDD
@@ -159,5 +176,5 @@ def materialize(df):
     # shuffle to advisory-size partitions, so no extra rebalance shuffle.
     df.write.mode("overwrite").parquet(path)
     done = spark.read.parquet(path)
-    _MATERIALIZED.setdefault(key, []).append((df, done))
+    _MATERIALIZED.setdefault(key, []).append((df, done, path))
     return done

@@ -52,7 +52,7 @@ def write_verified(df: DataFrame, name: str, props: dict | None = None) -> DataF
     return verify_write(df, spark.table(name))
 
 
-def export_flat(df: DataFrame, path: str, order, fmt: str = "csv", single_file: bool = True,
+def export_flat(df: DataFrame, path: str, order, fmt: str = "csv", single_file: bool = False,
                 allowed: tuple | None = None, name: str | None = None) -> DataFrame:
     """Deterministic, ordered export of a serving table, verified after write.
 

@@ -54,8 +54,8 @@ def contracts_frame(spark: SparkSession, rows) -> DataFrame:
 
 
 def read_range(cells: DataFrame, contract: dict) -> DataFrame:
-    """The rectangle of one declared contract; every row r1..r2 is kept
-    (empty rows too) and columns are named by the contract.
+    """The rectangle of one declared contract in every workbook that has
+    its sheet (or in ``file``); every row r1..r2 is kept (empty rows too) and columns are named by the contract.
 
     The rectangle is a plain filter (sheet equality and row/col ranges), so it
     is pushed to the cells scan; the pivot lists its column values.
@@ -66,33 +66,41 @@ def read_range(cells: DataFrame, contract: dict) -> DataFrame:
                           & F.col("col").between(k["c1"], k["c2"]))
     if "file" in k:
         inside = inside.filter(F.col("file") == k["file"])
-    inside = inside.select("row", (F.col("col") - F.lit(k["c1"]) + 1).alias("idx"), "value")
-    wide = inside.groupBy("row").pivot("idx", list(range(1, len(names) + 1))).agg(F.first("value"))
-    rows = cells.sparkSession.range(k["r1"], k["r2"] + 1).select(F.col("id").cast("int").alias("row"))
-    out = rows.join(wide, "row", "left")
-    return out.select(F.col("row").alias("_source_row"),
+    inside = inside.select("file", "row", (F.col("col") - F.lit(k["c1"]) + 1).alias("idx"), "value")
+    wide = inside.groupBy("file", "row").pivot("idx", list(range(1, len(names) + 1))).agg(F.first("value"))
+    # every declared row of every workbook that has the sheet
+    spine = cells.filter(F.col("sheet") == k["sheet"]).select("file").distinct()
+    if "file" in k:
+        spine = spine.filter(F.col("file") == k["file"])
+    rows = spine.select("file", F.explode(F.sequence(F.lit(k["r1"]), F.lit(k["r2"]))).alias("row"))
+    out = rows.join(wide, ["file", "row"], "left")
+    return out.select("file", F.col("row").alias("_source_row"),
                       *[F.col(f"`{i}`").alias(n) for i, n in enumerate(names, 1)])
 
 
 def check_ranges(cells: DataFrame, contracts: DataFrame) -> DataFrame:
-    """Per contract PASS/FAIL with the reason flags."""
-    c = F.broadcast(contracts)
-    sheets = cells.select(F.col("sheet").alias("_s")).distinct()
-    exists = contracts.select("id_table", "sheet").join(sheets, F.col("sheet") == F.col("_s"), "left") \
-        .groupBy("id_table").agg(F.count("_s").alias("_n")).select("id_table", (F.col("_n") > 0).alias("sheet_exists"))
-    hdr = cells.join(c, (cells.sheet == c.sheet) & cells.row.between(c.hdr_r1, c.hdr_r2)
-                     & cells.col.between(c.hdr_c1, c.hdr_c2)) \
-        .groupBy("id_table").agg(F.sort_array(F.collect_list(F.struct("row", "col", "value"))).alias("_h"))
-    hdr = hdr.select("id_table", normalize_match(F.concat_ws(" ", F.col("_h.value"))).alias("header_text"))
-    data = cells.join(c, (cells.sheet == c.sheet) & cells.row.between(c.r1, c.r2)
-                      & cells.col.between(c.c1, c.c2)) \
-        .groupBy("id_table").agg(F.count_if(F.trim("value") != "").alias("nonblank_cells"))
-    j = contracts.join(exists, "id_table", "left").join(hdr, "id_table", "left").join(data, "id_table", "left")
+    """PASS/FAIL with the reason flags per workbook and contract.
+
+    A contract whose sheet no workbook has gets one row without a file.
+    """
+    c = contracts.withColumnRenamed("sheet", "_sheet")
+    here = cells.select(F.col("file").alias("_file"), F.col("sheet").alias("_s")).distinct()
+    base = contracts.join(here, F.col("sheet") == F.col("_s"), "left")
+    inside = cells.join(c, cells.sheet == c._sheet)
+    hdr = inside.filter(F.col("row").between(F.col("hdr_r1"), F.col("hdr_r2")) & F.col("col").between(F.col("hdr_c1"), F.col("hdr_c2"))) \
+        .groupBy("file", "id_table").agg(F.sort_array(F.collect_list(F.struct("row", "col", "value"))).alias("_h"))
+    hdr = hdr.select(F.col("file").alias("_hf"), F.col("id_table").alias("_hi"),
+                     normalize_match(F.concat_ws(" ", F.col("_h.value"))).alias("header_text"))
+    data = inside.filter(F.col("row").between(F.col("r1"), F.col("r2")) & F.col("col").between(F.col("c1"), F.col("c2"))) \
+        .groupBy(F.col("file").alias("_df"), F.col("id_table").alias("_di")).agg(F.count_if(F.trim("value") != "").alias("nonblank_cells"))
+    j = base.join(hdr, (F.col("_file") == F.col("_hf")) & (F.col("id_table") == F.col("_hi")), "left") \
+        .join(data, (F.col("_file") == F.col("_df")) & (F.col("id_table") == F.col("_di")), "left")
+    exists = F.col("_file").isNotNull()
     width_ok = (F.col("c2") - F.col("c1") + 1) == F.size("semantic_columns")
     tokens_ok = F.forall("required_tokens", lambda t: F.coalesce(F.instr("header_text", t) > 0, F.lit(False)))
     has_data = F.coalesce(F.col("nonblank_cells"), F.lit(0)) > 0
-    ok = F.col("sheet_exists") & width_ok & tokens_ok & has_data
-    return j.select("id_table", "name", "sheet", "sheet_exists", width_ok.alias("width_ok"),
+    ok = exists & width_ok & tokens_ok & has_data
+    return j.select(F.col("_file").alias("file"), "id_table", "name", "sheet", exists.alias("sheet_exists"), width_ok.alias("width_ok"),
                     tokens_ok.alias("tokens_ok"), F.coalesce("nonblank_cells", F.lit(0)).alias("nonblank_cells"),
                     F.when(ok, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"))
 
@@ -102,7 +110,7 @@ def locate_header(cells: DataFrame, aliases: DataFrame, max_row: int = 40) -> Da
     within the first ``max_row`` rows) and per name its leftmost column.
     ``status``: FOUND, NOT_FOUND or AMBIGUOUS."""
     n_names = aliases.select(F.count_distinct("canonical")).scalar()
-    al = F.broadcast(aliases.select("canonical", normalize_match("alias").alias("_a")).distinct())
+    al = aliases.select("canonical", normalize_match("alias").alias("_a")).distinct()
     top = cells.filter(F.col("row") <= max_row).withColumn("_v", normalize_match("value"))
     m = top.join(al, top._v == al._a, "inner")
     per_row = m.groupBy("file", "sheet", "row").agg(

@@ -18,6 +18,7 @@ from ..functions.dates import infer_month
 
 # --- fixed values ---------------------------------------------------------
 SUCCESS_STATUSES = ("downloaded", "unchanged", "updated_version", "recovered_copy")
+INDEXED_STATUSES = ("downloaded", "updated_version", "unchanged")
 SPREADSHEET_EXTS = (".xlsx", ".xls")
 # --------------------------------------------------------------------------
 
@@ -113,8 +114,12 @@ def verify_files(records: DataFrame, files: DataFrame) -> DataFrame:
     ``download_failed`` / ``missing_stored_path`` / ``file_not_found`` /
     ``sha256_mismatch`` or NULL when the file verifies.
     """
-    f = files.select(F.col("path").alias("stored_path"), "actual_sha256", "actual_size")
-    j = records.join(f, "stored_path", "left")
+    f = files.select(F.col("path").alias("_path"), "actual_sha256", "actual_size")
+    # Failed records have no path: they are not sent through the join, where
+    # they would all meet in one partition.
+    kept = records.filter(F.col("stored_path").isNotNull()).join(f, F.col("stored_path") == F.col("_path"), "left").drop("_path")
+    none = {c: F.lit(None).cast(files.schema[c].dataType) for c in ("actual_sha256", "actual_size")}
+    j = kept.unionByName(records.filter(F.col("stored_path").isNull()).withColumns(none))
     reason = (F.when(F.col("status") == "failed", F.lit("download_failed"))
               .when(F.col("stored_path").isNull(), F.lit("missing_stored_path"))
               .when(F.col("actual_sha256").isNull(), F.lit("file_not_found"))
@@ -122,26 +127,35 @@ def verify_files(records: DataFrame, files: DataFrame) -> DataFrame:
     return j.withColumn("reason", reason).withColumn("verified", F.col("reason").isNull())
 
 
-def classify_snapshot(previous: DataFrame, current: DataFrame, run_ts: Column) -> DataFrame:
+def classify_snapshot(previous: DataFrame, current: DataFrame, run_ts: Column, layout: str | None = None) -> DataFrame:
     """Idempotent-ingest status of each current resource vs the previous run.
 
-    failed -> ``failed``; same URL and same content -> ``unchanged`` (keeps the
-    previous download time); content already stored under another URL ->
-    ``unchanged``; known URL with other content -> ``updated_version``;
-    otherwise ``downloaded``.
+    failed -> ``failed``; content already stored for this resource (same URL
+    and hash: the versioned name exists) -> ``unchanged``; other content than
+    the previous record of this URL -> ``updated_version``; otherwise
+    ``downloaded`` - also for known content under another URL.  The previous
+    record of a URL counts only from a run of the same storage ``layout`` and
+    with a status of ``INDEXED_STATUSES``; its download time is kept.
     """
-    prev_url = previous.select(F.col("source_url"), F.col("sha256").alias("_prev_sha"),
-                               F.col("downloaded_at_utc").alias("_prev_at"))
-    prev_sha = previous.select(F.col("sha256").alias("_known_sha")).distinct()
-    j = current.join(prev_url, "source_url", "left").join(
-        prev_sha, F.col("sha256") == F.col("_known_sha"), "left")
-    status = (F.when(F.col("error").isNotNull(), F.lit("failed"))
-              .when(F.col("_prev_sha").isNotNull() & (F.col("_prev_sha") == F.col("sha256")), F.lit("unchanged"))
-              .when(F.col("_known_sha").isNotNull(), F.lit("unchanged"))
-              .when(F.col("_prev_sha").isNotNull(), F.lit("updated_version"))
+    indexed = previous.filter(F.col("source_url").isNotNull())
+    if layout is not None:
+        indexed = indexed.filter(F.col("storage_layout_version") == layout)
+    if "status" in previous.columns:
+        indexed = indexed.filter(F.col("status").isin(list(INDEXED_STATUSES)))
+    prev = indexed.select(F.col("source_url").alias("_url"), F.col("sha256").alias("_prev_sha"), F.col("downloaded_at_utc").alias("_prev_at"))
+    stored = previous.filter(F.col("sha256").isNotNull()).select(
+        F.col("source_url").alias("_stored_url"), F.col("sha256").alias("_stored_sha")).distinct()
+    # Failed records have no content: they take no part in the joins.
+    ok = current.filter(F.col("error").isNull())
+    j = ok.join(prev, F.col("source_url") == F.col("_url"), "left").join(
+        stored, (F.col("source_url") == F.col("_stored_url")) & (F.col("sha256") == F.col("_stored_sha")), "left")
+    status = (F.when(F.col("_stored_sha").isNotNull(), F.lit("unchanged"))
+              .when(F.col("_prev_sha").isNotNull() & (F.col("_prev_sha") != F.col("sha256")), F.lit("updated_version"))
               .otherwise(F.lit("downloaded")))
     at = F.when(status == "unchanged", F.coalesce(F.col("_prev_at"), run_ts)).otherwise(run_ts)
-    return j.select(*current.columns, status.alias("snapshot_status"), at.alias("downloaded_at_utc_new"))
+    done = j.select(*current.columns, status.alias("snapshot_status"), at.alias("downloaded_at_utc_new"))
+    return done.unionByName(current.filter(F.col("error").isNotNull()).select(
+        *current.columns, F.lit("failed").alias("snapshot_status"), run_ts.alias("downloaded_at_utc_new")))
 
 
 def check_versions(df: DataFrame, name_col: str = "version_name", sha_col: str = "sha256",

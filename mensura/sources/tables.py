@@ -8,26 +8,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 _READS: dict = {}
-# Tables whose rows carry whole texts: per-row work on them is CPU-bound.
-TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread CPU-bound per-row work over all cores when the scan is narrow.
-
-    A large corpus arrives as many file splits (scan partitions >= cores) and
-    is left untouched; a corpus stored as one big row group would otherwise
-    be processed by a single task, so it is round-robin repartitioned to the
-    default parallelism.
-    """
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < par
-    except Exception:  # noqa: BLE001 - e.g. a Connect session without RDD access
-        return df
-    return df.repartition(par) if narrow else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; columns are pruned and filters pushed by Catalyst.
 
@@ -35,11 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path; DataFrames are immutable, so sharing the relation is safe.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     df = _READS.get(key)
     if df is None:
-        df = spark.read.parquet(path)
-        if name in TEXT_TABLES:
-            df = spread(df)
-        _READS[key] = df
+        df = _READS[key] = spark.read.parquet(path)
     return df

@@ -96,8 +96,11 @@ def test_dual_scale_and_match_label(spark):
 def test_hashes_and_names(spark):
     assert one(spark, M.surrogate_key(F.col("v")), "PERU") == hashlib.sha256(b"PERU").hexdigest()
     assert one(spark, M.resource_id(F.col("v")), "http://a") == hashlib.sha256(b"http://a").hexdigest()[:12]
-    urls = ["http://x/a%20b/Informe%3AMayo.xlsx?x=1", "http://x/", "http://x/ .a. "]
-    assert many(spark, M.safe_filename, urls) == ["Informe_Mayo.xlsx", "archivo", "a"]
+    urls = ["http://x/a%20b/Informe%3AMayo.xlsx?x=1", "http://x/", "http://x/ .a. ",
+            "http://x/a%3Fb.xlsx", "http://x/a+b.pdf?q#f", "http://x/d/a%2Fb.xls"]
+    assert many(spark, M.safe_filename, urls) == ["Informe_Mayo.xlsx", "archivo_descargado", "a", "a_b.xlsx", "a+b.pdf", "b.xls"]
+    assert many(spark, M.normalize_match, ["cafe\u0301 Ñandú", " a  b "]) == ["CAFE NANDU", "A B"]
+    assert one(spark, M.normalize_match(F.col("v"), case="lower"), "CAFE\u0301") == "cafe"
 
 
 def test_row_sum_and_json(spark):
@@ -110,4 +113,10 @@ def test_exact_sum_is_order_independent(spark):
     vals = [(0.1,), (0.2,), (0.3,)] * 50
     a = spark.createDataFrame(vals, "v double").repartition(7)
     b = spark.createDataFrame(list(reversed(vals)), "v double").coalesce(1)
-    assert a.agg(M.exact_sum("v")).first()[0] == b.agg(M.exact_sum("v")).first()[0] == 30.0
+    assert a.agg(M.exact_sum("v", 6)).first()[0] == b.agg(M.exact_sum("v", 6)).first()[0] == 30.0
+
+
+def test_exact_sum_needs_a_scale_that_holds_the_values(spark):
+    df = spark.createDataFrame([(1e-7,), (2e-7,), (1.25,)], "v double")
+    assert df.select(M.inexact_count("v", 6), M.inexact_count("v", 8)).first()[:] == (2, 0)
+    assert df.select(M.exact_sum("v", 8)).first()[0] == 1.2500003

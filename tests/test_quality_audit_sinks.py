@@ -118,22 +118,27 @@ def test_export_run_log_compaction(spark, tmp_dir):
     assert spark.read.parquet(os.path.join(tmp_dir, "c2")).count() == 1000
 
 
-def test_stream_classification(spark, tmp_dir):
-    from pyspark.sql import types as T
-
-    from mensura.streaming import classify_stream, read_classified
-
-    schema = T.StructType([T.StructField("source_url", T.StringType()), T.StructField("sha256", T.StringType()),
-                           T.StructField("error", T.StringType()), T.StructField("checked_at_utc", T.StringType())])
-    src, state, out, ck = (os.path.join(tmp_dir, n) for n in ("in", "state", "out", "ck"))
-    spark.createDataFrame([("u1", "h1", None, "t1"), ("u2", "h2", None, "t1")], schema).write.mode("append").parquet(src)
-    classify_stream(spark, src, schema, state, out, ck).awaitTermination()
-    spark.createDataFrame([("u1", "h1", None, "t2"), ("u2", "h9", None, "t2"), ("u3", "h1", None, "t2"),
-                           ("u4", None, "boom", "t2")], schema).write.mode("append").parquet(src)
-    classify_stream(spark, src, schema, state, out, ck).awaitTermination()
-    got = {(r["source_url"], r["batch_id"]): r["snapshot_status"] for r in read_classified(spark, out).collect()}
-    first = min(b for _, b in got)
-    second = max(b for _, b in got)
-    assert got[("u1", first)] == "downloaded" and got[("u2", first)] == "downloaded"
-    assert got[("u1", second)] == "unchanged" and got[("u2", second)] == "updated_version"
-    assert got[("u3", second)] == "unchanged" and got[("u4", second)] == "failed"
+def test_snapshot_classification(spark):
+    from pyspark.sql import functions as F
+
+    from mensura.sources.manifests import classify_snapshot
+
+    prev = spark.createDataFrame([("u1", "h1", "v2", "downloaded", "t1"), ("u2", "h2", "v2", "unchanged", "t1"), ("u5", "h5", "v1", "downloaded", "t1"),
+                                  ("u6", "h6", "v2", "recovered_copy", "t1"), ("u7", "h7", "v2", "failed", None)],
+                                 "source_url string, sha256 string, storage_layout_version string, status string, downloaded_at_utc string")
+    cur = spark.createDataFrame([("u1", "h1", None), ("u2", "h9", None), ("u3", "h1", None), ("u4", None, "boom"), ("u5", "h5", None), ("u5b", "h5", None),
+                                 ("u6", "h0", None), ("u5", "h8", None)], "source_url string, sha256 string, error string")
+    got = {(r.source_url, r.sha256): (r.snapshot_status, r.downloaded_at_utc_new) for r in classify_snapshot(prev, cur, F.lit("now"), layout="v2").collect()}
+    assert got == {("u1", "h1"): ("unchanged", "t1"), ("u2", "h9"): ("updated_version", "now"),
+                   ("u3", "h1"): ("downloaded", "now"),  # known content under a new URL is a new resource
+                   ("u4", None): ("failed", "now"), ("u5", "h5"): ("unchanged", "now"),  # stored, but by another layout
+                   ("u5b", "h5"): ("downloaded", "now"), ("u6", "h0"): ("downloaded", "now"), ("u5", "h8"): ("downloaded", "now")}
+
+
+def test_release_forgets_staged_tables(spark):
+    from mensura.session import materialize, release
+
+    one = materialize(spark.range(7).selectExpr("id * 2 AS x"))
+    assert one.count() == 7 and materialize(spark.range(7).selectExpr("id * 2 AS x")) is one
+    release(spark)
+    assert materialize(spark.range(7).selectExpr("id * 2 AS x")) is not one

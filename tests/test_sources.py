@@ -24,7 +24,7 @@ def test_anchors_and_discovery(spark):
     assert a[3][0] == "https://cdn.org/ad.xlsx"
     cfg = L.LinkConfig(extensions=(".xlsx",), include=("informe", "datos"), exclude=("publicidad",))
     got = {r["link_url"]: (r["pos"], r["year"], r["month"]) for r in L.discover_links(pages, cfg).collect()}
-    # "%202025" has no word boundary before 2025, so the year and month come from the anchor text
+    # the name is decoded before the year and month are looked for
     assert got == {"https://site.org/datos/Informe%20Mayo%202025.xlsx": (0, 2025, 5),
                    "https://other.org/a.xlsx": (2, 2024, None)}
 
@@ -33,17 +33,43 @@ def test_visible_text_and_fingerprint(spark):
     pages = spark.createDataFrame([(1, "https://s.org/", HTML)], "page_id long, url string, html string")
     vt = pages.select(L.visible_text("html")).first()[0]
     assert vt == "Informe mayo 2025 Anexo Datos 2024 publicidad again Precio & volumen"
-    fp = L.page_fingerprint(pages, L.anchors(pages)).first()
-    urls = sorted({"https://s.org/datos/Informe%20Mayo%202025.xlsx", "https://s.org/anexo.pdf",
-                   "https://other.org/a.xlsx", "https://cdn.org/ad.xlsx"})
+    cfg = L.LinkConfig(extensions=(".xlsx",), include=("informe", "datos"), exclude=("publicidad",))
+    fp = L.page_fingerprint(pages, cfg).first()
+    urls = sorted({"https://s.org/datos/Informe%20Mayo%202025.xlsx", "https://other.org/a.xlsx"})  # candidates only
     assert fp["url_set_sha256"] == hashlib.sha256("\n".join(urls).encode()).hexdigest()
-    assert fp["total_discovered_urls"] == 4
+    assert fp["visible_text_sha256"] == hashlib.sha256(vt.lower().encode()).hexdigest()
+    assert fp["total_discovered_urls"] == 2
     prev = spark.createDataFrame([(1, fp["visible_text_sha256"], "old")],
                                  "page_id long, visible_text_sha256 string, url_set_sha256 string")
-    cmp_ = L.compare_fingerprints(prev, L.page_fingerprint(pages, L.anchors(pages))).first()
+    cmp_ = L.compare_fingerprints(prev, L.page_fingerprint(pages, cfg)).first()
     assert cmp_["comparable"] and cmp_["changed"] and not cmp_["visible_text_changed"]
 
 
+def test_anchor_forms(spark):
+    html = """<A HREF='../d.pdf'>foo<b>bar</b></A> <a
+      href="x/./y/../z.pdf?q=1#f">two
+      lines</a><a href="mailto:a@b.c">mail</a><a id=k href="?p=2">q</a><a name="n">no</a><a href='a.pdf?x=1&amp;y=2'>&lt;e&gt;</a><a href="../../../up.pdf">u</a>"""
+    pages = spark.createDataFrame([(1, "http://h.org/a/b/c.html?x", html)], "page_id long, url string, html string")
+    got = [(r.link_url, r.anchor_text) for r in L.anchors(pages).orderBy("pos").collect()]
+    assert got == [("http://h.org/a/d.pdf", "foo bar"), ("http://h.org/a/b/x/z.pdf?q=1", "two lines"), ("http://h.org/a/b/c.html?p=2", "q"),
+                   ("http://h.org/a/b/a.pdf?x=1&y=2", "<e>"), ("http://h.org/up.pdf", "u")]
+    years = L.LinkConfig(extensions=(".pdf",), years=(2025,))
+    page = spark.createDataFrame([(1, "http://h.org/", '<a href="Informe%202025.pdf">a</a><a href="b2025.pdf">b</a><a href="c.pdf">mayo 2025</a>')],
+                                 "page_id long, url string, html string")
+    assert sorted((r.link_url, r.year, r.month) for r in L.discover_links(page, years).collect()) == [
+        ("http://h.org/Informe%202025.pdf", 2025, None), ("http://h.org/c.pdf", 2025, 5)]
+
+
+def test_ranges_by_workbook(spark):
+    rows = [("f1", "V", 1, 1, "AÑO"), ("f1", "V", 2, 1, "1"), ("f2", "V", 1, 1, "OTRO"), ("f2", "V", 2, 1, "2"), ("f2", "V", 3, 2, "x"), ("f3", "W", 1, 1, "w")]
+    cells = spark.createDataFrame(rows, "file string, sheet string, row int, col int, value string")
+    rng = C.read_range(cells, dict(sheet="V", r1=2, r2=3, c1=1, c2=2, semantic_columns=["a", "b"]))
+    assert sorted(map(tuple, rng.collect()), key=str) == [("f1", 2, "1", None), ("f1", 3, None, None), ("f2", 2, "2", None), ("f2", 3, None, "x")]
+    con = C.contracts_frame(spark, [(1, "t", "V", 1, 1, 1, 2, 2, 1, 3, 2, ["a", "b"], ["ANO"]), (2, "t", "Z", 1, 1, 1, 2, 2, 1, 3, 2, ["a", "b"], [])])
+    assert sorted(((r.file, r.id_table, r.status, r.nonblank_cells) for r in C.check_ranges(cells, con).collect()), key=str) == [
+        ("f1", 1, "PASS", 1), ("f2", 1, "FAIL", 2), (None, 2, "FAIL", 0)]
+
+
 def test_cells_header_extent_records(spark):
     rows = [("f", "S", 1, 1, "Título del reporte"), ("f", "S", 2, 1, "Fuente: banco"), ("f", "S", 2, 2, "2025"),
             ("f", "S", 4, 2, "Código"), ("f", "S", 4, 3, "Valor"), ("f", "S", 4, 5, "Código"),

@@ -17,7 +17,7 @@ def _norm(c: str) -> str:
 
 def _layout(sheet: str) -> str:
     rows = [(1, 1, f"EXPORTACIONES MENSUALES - {sheet}"), (2, 1, "Fuente: registro de pedidos"),
-            (3, 1, "Corte"), (4, 1, "AÑO")] + [(4, i + 2, m) for i, m in enumerate(_MONTHS)] + [(4, 14, "TOTAL")]
+            (2, 2, "2001-02-03 04:05:06"), (3, 1, "Período:"), (4, 1, "AÑO")] + [(4, i + 2, m) for i, m in enumerate(_MONTHS)] + [(4, 14, "TOTAL")]
     return ", ".join(f"('exportaciones.xlsx', '{sheet}', {r}, {c}, '{v}')" for r, c, v in rows)
 
 
@@ -121,20 +121,25 @@ lst AS (SELECT c.file, c.sheet, max(c.row) AS last_row FROM cells c JOIN hdr h O
         WHERE c.row > h.header_row AND trim(c.value) <> ''
           AND c.col IN (SELECT col FROM hcols WHERE hcols.file = c.file AND hcols.sheet = c.sheet)
         GROUP BY ALL),
-pl AS (SELECT c.file, c.sheet, c.row, string_agg(c.value, ' | ' ORDER BY c.col) AS line FROM cells c
+pl AS (SELECT c.file, c.sheet, c.row, string_agg(trim(regexp_replace(c.value, '\\s+', ' ', 'g')), ' | ' ORDER BY c.col) AS line,
+         arg_min(CASE WHEN regexp_matches(c.value, '^\\d{{4}}-\\d{{2}}-\\d{{2}}[ T]\\d{{2}}:\\d{{2}}') THEN c.value END, c.col) AS moment FROM cells c
        JOIN hdr h ON h.file = c.file AND h.sheet = c.sheet AND h.status = 'FOUND'
        WHERE c.row < h.header_row GROUP BY ALL),
-pls AS (SELECT file, sheet, arg_min(line, row) AS title,
-               arg_min(CASE WHEN contains(upper(line), 'FUENTE') THEN line END,
-                       CASE WHEN contains(upper(line), 'FUENTE') THEN row END) AS scope,
-               COUNT(*) AS preamble_lines FROM pl GROUP BY ALL),
-ext AS (SELECT h.file, h.sheet, h.header_row, h.header_map, l.last_row, p.title, p.scope, p.preamble_lines
+pf AS (SELECT *, {_norm('line')} AS folded FROM pl),
+pls AS (SELECT file, sheet, coalesce(arg_min(line, row) FILTER (contains(folded, 'EXPORTACIONES')), '') AS title,
+               coalesce(arg_min(line, row) FILTER (contains(folded, 'PERIODO:')), '') AS scope,
+               arg_min(moment, row) FILTER (moment IS NOT NULL) AS generated_at, COUNT(*) AS preamble_lines,
+               concat_ws(',', CASE WHEN NOT bool_or(contains(folded, 'EXPORTACIONES')) THEN 'Exportaciones' END,
+                 CASE WHEN NOT bool_or(contains(folded, 'REGISTRO')) THEN 'registro' END,
+                 CASE WHEN NOT bool_or(contains(folded, 'ADUANA')) THEN 'Aduana' END) AS missing_tokens
+        FROM pf GROUP BY ALL),
+ext AS (SELECT h.file, h.sheet, h.header_row, h.header_map, l.last_row, p.title, p.scope, p.generated_at, p.preamble_lines, p.missing_tokens
         FROM hdr h LEFT JOIN lst l ON l.file = h.file AND l.sheet = h.sheet
         LEFT JOIN pls p ON p.file = h.file AND p.sheet = h.sheet WHERE h.status = 'FOUND')"""
 
 SQL["s9_locate_header"] = f"WITH {HEADERS} SELECT * FROM hdr"
 SQL["s10_sheet_extent"] = f"""WITH {HEADERS}
-SELECT file, sheet, header_row, last_row, title, scope, preamble_lines FROM ext"""
+SELECT file, sheet, header_row, last_row, title, scope, generated_at, preamble_lines, missing_tokens FROM ext"""
 SQL["s11_structure_hash"] = f"""WITH {HEADERS}
 SELECT file, sheet, sha256(concat_ws('|', sheet, CAST(header_row AS VARCHAR), CAST(last_row AS VARCHAR), header_map,
                                      COALESCE(title, ''), COALESCE(scope, ''))) AS structure_sha256 FROM ext"""

@@ -3,7 +3,7 @@
 
 Layout of the derived workbook ``exportaciones.xlsx`` (test-data instance):
 sheets ``VALOR`` (sum of order prices) and ``CANTIDAD`` (number of
-orders): row 1 title, row 2 source line, row 3 ``Corte | <last month>``,
+orders): row 1 title, row 2 source line, row 3 ``Período: | <last month>``,
 row 4 header (``AÑO``, month names, ``TOTAL``), one row per year at
 ``year - 1990`` with the year written as ``<year>.0`` (spreadsheet float
 artefact), month values and the row total as decimal text.  A ``NOTAS``
@@ -59,7 +59,8 @@ def cells(spark: SparkSession, d: str) -> DataFrame:
         parts.append(per.groupBy("year").agg(F.sum(F.col(measure).cast("decimal(20,2)")).alias("t")).select(
             *base, row, F.lit(14).alias("col"), F.col("t").cast("string").alias("value")))
         layout = ([(1, 1, f"EXPORTACIONES MENSUALES - {sheet}"), (2, 1, "Fuente: registro de pedidos"),
-                   (3, 1, "Corte"), (4, 1, "AÑO")]
+                   (2, 2, "2001-02-03 04:05:06"),
+                   (3, 1, "Período:"), (4, 1, "AÑO")]
                   + [(4, i + 2, m) for i, m in enumerate(MONTHS_UPPER)] + [(4, 14, "TOTAL")])
         lit_cells = spark.createDataFrame(layout, "row int, col int, value string").select(
             *base, "row", "col", "value")
@@ -121,13 +122,14 @@ def headers(spark: SparkSession, d: str) -> DataFrame:
 
 def _extent(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     c = cells(spark, d)
-    return c, C.sheet_extent(c, C.locate_header(c, aliases(spark)))
+    return c, C.sheet_extent(c, C.locate_header(c, aliases(spark)), required_tokens=("Exportaciones", "registro", "Aduana"))
 
 
 def extents(spark: SparkSession, d: str) -> DataFrame:
     """S10."""
     _, e = _extent(spark, d)
-    return e.select("file", "sheet", "header_row", "last_row", "title", "scope", "preamble_lines")
+    return e.select("file", "sheet", "header_row", "last_row", "title", "scope", "generated_at", "preamble_lines",
+                    F.array_join("missing_tokens", ",").alias("missing_tokens"))
 
 
 def structure(spark: SparkSession, d: str) -> DataFrame:

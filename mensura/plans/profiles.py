@@ -16,6 +16,10 @@ from ..operators.series import fk_orphans, reconcile_totals
 from . import inputs, market, national, resources, subcode
 
 
+# Years of the market tables (declared: the pivot's columns are part of the contract).
+YEARS = range(1992, 2002)
+
+
 def profile_subcode(spark: SparkSession, d: str) -> DataFrame:
     """A3: whole-table profile of the refined sub-code fact."""
     return A.profile(inputs.subcode_fact(spark, d), distinct=["subcode", "period_date"],
@@ -39,9 +43,8 @@ def duplicate_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def conflicting_languages(spark: SparkSession, d: str) -> DataFrame:
-    """Identical texts labelled with more than one language."""
-    docs = inputs.table(spark, d, "documents").select(F.sha2("text", 256).alias("text_sha"), "lang")
-    return A.conflicts(docs, "text_sha", "lang")
+    """Sources whose documents are labelled with more than one language."""
+    return A.conflicts(inputs.table(spark, d, "documents").select("source", "lang"), "source", "lang")
 
 
 def languages_per_source(spark: SparkSession, d: str) -> DataFrame:
@@ -101,9 +104,9 @@ def dedup_subset(spark: SparkSession, d: str) -> DataFrame:
 
 
 def order_status_gaps(spark: SparkSession, d: str) -> DataFrame:
-    """Months without orders, per order status, inside each status's range."""
-    o = inputs.table(spark, d, "orders").select("o_orderstatus", month_start("o_orderdate").alias("period_date"))
-    return U.calendar_gaps(o, "period_date", ["o_orderstatus"])
+    """Months without orders, per customer, inside each customer's range."""
+    o = inputs.table(spark, d, "orders").select("o_custkey", month_start("o_orderdate").alias("period_date"))
+    return U.calendar_gaps(o, "period_date", ["o_custkey"])
 
 
 def label_coverage(spark: SparkSession, d: str) -> DataFrame:
@@ -112,8 +115,9 @@ def label_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def label_orphans(spark: SparkSession, d: str) -> DataFrame:
-    """Quality labels whose document is missing."""
-    return fk_orphans(inputs.table(spark, d, "labels"), inputs.table(spark, d, "documents"), "doc_id")
+    """Documents that no quality label refers to."""
+    docs = inputs.table(spark, d, "documents").select("doc_id", "source", "lang")
+    return fk_orphans(docs, inputs.table(spark, d, "labels"), "doc_id")
 
 
 def totals_reconciliation(spark: SparkSession, d: str) -> DataFrame:
@@ -135,8 +139,8 @@ def top_subcode_latest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def indicators_long(spark: SparkSession, d: str) -> DataFrame:
-    """A wide per-destination table back to (key, indicator, value)."""
-    wide = market.market_all(spark, d).filter(F.col("cut") == "MAYO").groupBy("dest") \
-        .pivot("year").agg(F.max("value"))
-    wide = wide.select("dest", *[F.col(c).alias(f"value_{c}") for c in wide.columns if c != "dest"])
-    return unpivot_indicators(wide, "dest")
+    """A wide table per cut and destination back to (key, indicator, value);
+    the years are the declared ones, not looked up in the data."""
+    key = F.concat("cut", F.lit("/"), "dest").alias("market")
+    wide = market.market_all(spark, d).select(key, "year", "value").groupBy("market").pivot("year", list(YEARS)).agg(F.max("value"))
+    return unpivot_indicators(wide.select("market", *[F.col(str(y)).alias(f"value_{y}") for y in YEARS]), "market")

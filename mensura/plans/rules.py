@@ -7,7 +7,7 @@ aggregate job, grouped rules as one grouped aggregate each.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import LEVEL_DETAIL, LEVEL_REGIONAL
@@ -114,47 +114,56 @@ def gold_b(spark: SparkSession, d: str) -> DataFrame:
 def silver_a(spark: SparkSession, d: str) -> DataFrame:
     """D-A1..D-A6 on the refined national and market tables."""
     p = inputs.P
-    mv = inputs.matrix_wide(spark, d, "value")
     months = inputs.MONTH_COLS
-    cells = mv.select(F.explode(F.array(*[F.col(c) for c in months + ["total"]])).alias("v"))
     direct = inputs.monthly_direct(spark, d)
-    ml = inputs.matrix_long(spark, d, "value")
     hist = market.history(spark, d)
     long = inputs.market_long(spark, d)
     # Lag without the consecutive-year guard (kept as in the source rule)
-    from pyspark.sql import Window
     w = Window.partitionBy("cut").orderBy("year")
-    h = hist.withColumn("_prev", F.lag("value").over(w))
+    h = hist.withColumns({f"_prev_{m}": F.lag(m).over(w) for m in ("value", "qty")})
     share = long.filter((F.col("indicator") == "participacion_libras") & F.col("value").isNotNull())
     # fraction or percentage: detected for each cut by its largest share
     top = share.groupBy(F.col("cut").alias("_cut")).agg(F.max("value").alias("_top"))
     share = share.join(top, F.col("cut") == F.col("_cut"))
     upper = F.when(F.col("_top") <= 1.000001, F.lit(1.000001)).otherwise(F.lit(100.0001))
+
+    def growth_rule(rule: str, measure: str, previous: str, stored: str) -> Rule:
+        return Rule(rule, CRITICAL, dual_scale_violation(measure, previous, stored),
+                    F.col(previous).isNotNull() & (F.col(previous) != 0) & F.col(stored).isNotNull() & F.col(measure).isNotNull())
+
+    parts = []
+    for measure in ("value", "qty"):
+        mv, ml = inputs.matrix_wide(spark, d, measure), inputs.matrix_long(spark, d, measure)
+        cells = mv.select(F.explode(F.array(*[F.col(c) for c in months + ["total"]])).alias("v"))
+        parts += [
+            evaluate(cells, f"matrix_{measure}", [
+                Rule("A1_non_negative", CRITICAL, F.col("v") < 0, F.col("v").isNotNull())]),
+            evaluate(mv, f"matrix_{measure}", [
+                Rule("A2_total_equals_months", CRITICAL,
+                     F.abs(F.col("total") - row_sum(months))
+                     > F.greatest(F.lit(ABS_TOL_TOTAL), F.abs("total") * REL_TOL),
+                     F.col("total").isNotNull())]),
+            unique_rule(ml, f"matrix_{measure}_long", "A6_period_key_unique", ["year", "month"]),
+            evaluate(ml, f"matrix_{measure}_long", [
+                Rule("A6_period_valid", CRITICAL,
+                     F.col("year").isNull() | F.col("month").isNull() | (F.col("month") < 1)
+                     | (F.col("month") > 12) | (F.col("period_date") > F.lit(p.report_cutoff).cast("date")))]),
+        ]
     return union_results([
-        evaluate(cells, "matrix_value", [
-            Rule("A1_non_negative", CRITICAL, F.col("v") < 0, F.col("v").isNotNull())]),
-        evaluate(mv, "matrix_value", [
-            Rule("A2_total_equals_months", CRITICAL,
-                 F.abs(F.col("total") - row_sum(months))
-                 > F.greatest(F.lit(ABS_TOL_TOTAL), F.abs("total") * REL_TOL),
-                 F.col("total").isNotNull())]),
+        *parts,
         evaluate(direct, "monthly_direct", [
+            *[Rule(f"A1_{c}_non_negative", CRITICAL, F.col(c) < 0, F.col(c).isNotNull()) for c in ("qty", "value", "reported_price")],
             Rule("A3_reported_price", CRITICAL,
                  F.abs(F.col("reported_price") - F.col("value") / F.col("qty"))
                  > F.greatest(F.lit(ABS_TOL_PRICE), F.abs("reported_price") * REL_TOL_PRICE),
                  (F.col("qty") > 0) & F.col("reported_price").isNotNull() & F.col("value").isNotNull())]),
-        evaluate(h, "history", [
-            Rule("A4_stored_growth", CRITICAL,
-                 dual_scale_violation("value", "_prev", "pub_growth_value"),
-                 F.col("_prev").isNotNull() & (F.col("_prev") != 0)
-                 & F.col("pub_growth_value").isNotNull() & F.col("value").isNotNull())]),
+        evaluate(h, "history", [growth_rule("A4_stored_growth", "value", "_prev_value", "pub_growth_value"),
+                                growth_rule("A4_stored_growth_qty", "qty", "_prev_qty", "pub_growth_qty")]),
+        evaluate(market.published_growth(spark, d), "market_published", [
+            growth_rule("A4b_market_growth", "value", "prev_value", "pub_growth_value"),
+            growth_rule("A4b_market_growth_qty", "qty", "prev_qty", "pub_growth_qty")]),
         evaluate(share, "market_long", [
             Rule("A5_share_in_range", CRITICAL, (F.col("value") < 0) | (F.col("value") > upper))]),
-        unique_rule(ml, "matrix_value_long", "A6_period_key_unique", ["year", "month"]),
-        evaluate(ml, "matrix_value_long", [
-            Rule("A6_period_valid", CRITICAL,
-                 F.col("year").isNull() | F.col("month").isNull() | (F.col("month") < 1)
-                 | (F.col("month") > 12) | (F.col("period_date") > F.lit(p.report_cutoff).cast("date")))]),
         unique_rule(long, "market_long", "A6_market_key_unique", ["cut", "label", "indicator"]),
     ])
 
@@ -170,8 +179,7 @@ def gold_a(spark: SparkSession, d: str) -> DataFrame:
     serving = market.market_serving(spark, d)
     reg = market.regional_labels(spark, d)
     hmap = dict(p.homologation)
-    totals = market.history(spark, d).select("cut", "year", "value")
-    recon = reconcile_totals(base, totals, ["cut", "year"], "value", ABS_TOL_TOTAL)
+    totals = market.history(spark, d).select("cut", "year", "value", "qty")
     regional = allm.filter(F.col("level") == LEVEL_REGIONAL)
     outside = regional.join(reg, F.col("dest") == reg._regional, "left_anti")
     map_ok = F.col("label_source").isin(list(hmap)) if hmap else F.lit(False)
@@ -194,9 +202,10 @@ def gold_a(spark: SparkSession, d: str) -> DataFrame:
             Rule("GA5d_no_historical_suffix", CRITICAL, F.col("dest").rlike(HISTORICAL_SUFFIX))]),
         partition_sum_rule(base, "market_base", "GA5_share_sums_to_one", ["cut", "year"], "share_qty",
                            1.0, ABS_SHARE_TOL, when_total_positive="qty"),
-        count_rule(recon.agg(F.count(F.lit(1)).alias("checked"),
-                             F.count_if(~F.col("within_tolerance")).alias("violations")),
-                   "GA5b_destinations_sum_to_total", "market_base", CRITICAL, "sum of destinations = total"),
+        *[count_rule(reconcile_totals(base, totals, ["cut", "year"], m, ABS_TOL_TOTAL).agg(
+            F.count(F.lit(1)).alias("checked"), F.count_if(~F.col("within_tolerance")).alias("violations")),
+            rule, "market_base", CRITICAL, "sum of destinations = total")
+          for m, rule in (("value", "GA5b_destinations_sum_to_total"), ("qty", "GA5b_quantities_sum_to_total"))],
         evaluate(allm, "market_all", [
             Rule("GA5e_level_domain", CRITICAL, ~F.col("level").isin(LEVEL_DETAIL, LEVEL_REGIONAL)),
             Rule("GA5g_source_label_not_blank", CRITICAL,

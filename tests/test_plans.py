@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from mensura import session
 from mensura.operators import series as S
 
 SF = "/root/testdata/sf0.001"
@@ -27,7 +28,12 @@ def plan_text(df, mode="extended"):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {k: plan_text(fn(spark, SF)) for k, fn in E.queries().items()}
+    """Plans of all queries, and of the tables that they stage on the way:
+    a query over a staged table shows only its scan."""
+    out = {k: plan_text(fn(spark, SF)) for k, fn in E.queries().items()}
+    staged = [df for entries in session._MATERIALIZED.values() for df, _, _ in entries]
+    assert staged
+    return out | {f"staged-{i}": plan_text(df) for i, df in enumerate(staged)}
 
 
 def test_no_cartesian_or_nested_loop(plans):

@@ -17,20 +17,20 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     its component.
 
     Alternates large-star and small-star: each round joins a node's
-    neighbours to the least of them, until nothing changes.  Rounds are written to the shared folder; no
-    node's neighbours meet in one task (minimum by aggregation, then a join).
+    neighbours to the least of them, until every node hangs on one root.
+    Rounds are written to the shared folder; no node's neighbours meet in one
+    task (minimum by aggregation, then a join).
     """
     e = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), label)
-    before = None
     while True:
-        now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == before:
+        # Done when no node has two edges up, or edges both up and down.
+        ends = e.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("v", F.lit(0), F.lit(1)))
+        if ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up + down > 1").isEmpty():
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
                 e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
-        before = now
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         e = staged(small.select("u", F.col("m").alias("v")).union(small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), label)

@@ -6,8 +6,9 @@ is a tree over the collection: a node samples 1 / threshold positions (one, and
 a second in a quarter of the nodes) by its path, and its sets go to one child
 for each sampled position and value, so a pair at the threshold shares one
 child on average.  Buckets of at most ``LEAF`` sets are searched by brute force
-on the MinHash values; larger ones are split again, to ``MAX_DEPTH``, where
-those left (dense groups of near copies) are searched in pairs of blocks.
+on the MinHash values; larger ones are split again, until a child keeps most of
+its parent (``DENSE``: a group of near copies, which sampling does not divide)
+or at ``MAX_DEPTH``; a bucket that is then still large is taken as one group.
 ``RUNS`` trees are repeated; ``recall`` gives the share of pairs at the
 threshold that some run must find.
 
@@ -32,8 +33,10 @@ from .words import U64, mix, shingles, slices, words
 
 SHINGLE, THRESHOLD = 5, 0.8
 POSITIONS, RUNS, MIN_DEPTH, MAX_DEPTH = 128, 12, 3, 8
-#: Sets in a bucket, or in a block of a larger one, for brute force.
-LEAF, BLOCK = 400, 400
+#: A child with this share of its parent's sets is not split again.
+DENSE = 0.75
+#: Sets in a bucket for brute force, and in a block of a candidate group.
+LEAF, BLOCK = 400, 500
 #: Share of agreeing positions from which a pair is a candidate: four standard
 #: errors below the threshold.
 CANDIDATE = THRESHOLD - 4 * (THRESHOLD * (1 - THRESHOLD) / POSITIONS) ** 0.5
@@ -104,8 +107,9 @@ def _signatures(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def first_nodes(sigs: DataFrame) -> DataFrame:
-    """(rep, path): nodes at ``MIN_DEPTH`` of every run.  The nodes above hold
-    a fixed share of the collection and are always split."""
+    """(rep, path, was): nodes at ``MIN_DEPTH`` of every run.  The nodes above hold
+    a fixed share of the collection and are always split.  ``was`` is the size
+    of the node above."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             sig, n = _signatures(rb.column(1)), rb.num_rows
@@ -115,30 +119,34 @@ def first_nodes(sigs: DataFrame) -> DataFrame:
                 path, which = children(path, which, sig)
             yield pa.RecordBatch.from_arrays([rb.column(0).take(pa.array(which)), pa.array(path.view(np.int64))], ["rep", "path"])
 
-    return sigs.select("rep", "sig").mapInArrow(run, "rep long, path long")
+    return sigs.select("rep", "sig").mapInArrow(run, "rep long, path long").withColumn("was", F.lit(2**62))
 
 
 def next_nodes(nodes: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(rep, path, was): the children of large nodes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             path, which = children(rb.column(1).to_numpy().view(np.uint64), np.arange(rb.num_rows), _signatures(rb.column(2)))
-            yield pa.RecordBatch.from_arrays([rb.column(0).take(pa.array(which)), pa.array(path.view(np.int64))], ["rep", "path"])
+            at = pa.array(which)
+            yield pa.RecordBatch.from_arrays([rb.column(0).take(at), pa.array(path.view(np.int64)), rb.column(3).take(at)], ["rep", "path", "was"])
 
-    return nodes.select("rep", "path").join(sigs.select("rep", "sig"), "rep").select("rep", "path", "sig").mapInArrow(run, "rep long, path long")
+    return nodes.join(sigs.select("rep", "sig"), "rep").select("rep", "path", "sig", "size").mapInArrow(run, "rep long, path long, was long")
 
 
 def leaves(sigs: DataFrame) -> DataFrame:
-    """(rep, path, size) of the buckets to search: two sets or more, and each
-    membership once, however many paths lead to it."""
+    """(rep, path, size, least rep) of the final buckets: two sets or more, and
+    each membership once, however many paths lead to it."""
     out, nodes = None, first_nodes(sigs)
     for depth in range(MIN_DEPTH, MAX_DEPTH + 1):
         nodes = staged(nodes, "op1-nodes")
-        sizes = (nodes.groupBy("path").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep")).alias("members"))
-                 .where("size > 1").groupBy("size", "members").agg(F.min("path").alias("path")).select("path", "size"))
-        sized = staged(nodes.join(sizes, "path"), "op1-sized")
-        large = sized.where(F.col("size") > LEAF)
+        sizes = (nodes.groupBy("path").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep")).alias("members"), F.min("was").alias("was"), F.min("rep").alias("least"))
+                 .where("size > 1").groupBy("size", "members", "least").agg(F.min("path").alias("path"), F.min("was").alias("was"))
+                 .select("path", "size", "least", (F.col("size") >= DENSE * F.col("was")).alias("dense")))
+        sized = staged(nodes.select("rep", "path").join(sizes, "path"), "op1-sized")
+        split = (F.col("size") > LEAF) & ~F.col("dense")
+        large = sized.where(split)
         done = depth == MAX_DEPTH or large.isEmpty()
-        found = sized if done else sized.where(F.col("size") <= LEAF)
+        found = (sized if done else sized.where(~split)).drop("dense")
         out = found if out is None else out.unionByName(found)
         if done:
             return out
@@ -156,19 +164,16 @@ def blocks(members: DataFrame, group: str, member: str, size: str, most: int) ->
 
 
 def candidate_edges(found: DataFrame, sigs: DataFrame) -> DataFrame:
-    """(a, b): in each bucket, a star over each set of sets that candidates join."""
+    """(a, b): in each bucket, a star over each set of sets that candidate
+    pairs join; in a large one, a star over all of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in runs(batches, 3):
-            rep, n = t.column(3).to_numpy(), t.column(4).to_numpy()
-            side, sig = t.column(5).to_numpy(), _signatures(t.column(6))
-            within = t.column(1)[0].as_py() == t.column(2)[0].as_py()
+        for t in runs(batches, 1):
+            rep, n, sig = t.column(1).to_numpy(), t.column(2).to_numpy(), _signatures(t.column(3))
 
             def near() -> Iterator[tuple[int, np.ndarray]]:
                 for i in range(len(rep) - 1):
                     same = (sig[i + 1:] == sig[i]).sum(1) >= CANDIDATE * POSITIONS
                     same &= np.minimum(n[i + 1:], n[i]) >= THRESHOLD * np.maximum(n[i + 1:], n[i])
-                    if not within:
-                        same &= side[i + 1:] != side[i]
                     yield i, np.flatnonzero(same) + i + 1
 
             root = roots(len(rep), near())
@@ -176,9 +181,10 @@ def candidate_edges(found: DataFrame, sigs: DataFrame) -> DataFrame:
             if len(at):
                 yield pa.RecordBatch.from_arrays([pa.array(rep[at]), pa.array(rep[root[at]])], ["a", "b"])
 
-    dealt = blocks(found, "path", "rep", "size", LEAF).select("path", "i", "j", "rep", "side")
-    return (dealt.join(sigs.select("rep", "n", "sig"), "rep").select("path", "i", "j", "rep", "n", "side", "sig")
-            .repartition("path", "i", "j").sortWithinPartitions("path", "i", "j").mapInArrow(run, "a long, b long").distinct())
+    small = found.where(F.col("size") <= LEAF).select("path", "rep")
+    edges = (small.join(sigs.select("rep", "n", "sig"), "rep").select("path", "rep", "n", "sig")
+             .repartition("path").sortWithinPartitions("path").mapInArrow(run, "a long, b long"))
+    return edges.union(found.where(F.col("size") > LEAF).select("rep", "least"))
 
 
 def verified(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -246,17 +252,19 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     A text of fewer than five words, but not none, is one shingle.  Null, empty
     and wordless texts link to nothing, not even to each other: class and copy
-    are the document itself.  Repeated rows count as one document; rows that
-    share an id but not the text are documents of their own under that id.  A
+    are the document itself.  Rows that share an id are one document: repeats
+    as such, and of different texts the one whose set has the largest name.  A
     row without an id has no class and no links.  Other columns are not read.
     """
     every = staged(sketches(docs, id_col, text_col), "op1-sketches")
-    able = every.where("n > 0 AND doc_id IS NOT NULL")
-    ids = able.select("doc_id", "n", "k1", "k2").distinct()
-    classes = staged(ids.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "op1-classes")
-    c = classes.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "rep", "copies")
-    sigs = staged(able.join(c, (F.col("doc_id") == F.col("rep")) & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")))
-                  .select("rep", "n", "sig").dropDuplicates(["rep"]), "op1-signatures")
+    named = every.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.struct(F.col("n") > 0, "k1", "k2", "n")).alias("set")).select(
+        "doc_id", "set.n", "set.k1", "set.k2")
+    ids = named.where("n > 0")
+    c = ids.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    c = c.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "rep", "copies")
+    sigs = staged(every.join(c, (F.col("doc_id") == F.col("rep")) & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")))
+                  .select("rep", "n", "copies", "k1", "k2", "sig").dropDuplicates(["rep", "k1", "k2"]), "op1-signatures")
+    classes = sigs.select("rep", "copies", "k1", "k2")
 
     groups = staged(components(candidate_edges(leaves(sigs), sigs), "op1-candidates"), "op1-groups")
     sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
@@ -273,7 +281,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         "doc_id", F.coalesce("root", "rep").alias("class_id"), F.col("rep").alias("copy_id"),
         (F.coalesce("documents", zero) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("texts", zero).alias("n_text_links"), F.col("n").alias("n_shingles"))
-    rest = every.where("n = 0 OR doc_id IS NULL").select("doc_id", "n").distinct().select(
+    rest = named.where("n = 0").select("doc_id", "n").union(every.where("doc_id IS NULL").select("doc_id", "n").distinct()).select(
         "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), zero.alias("n_links"), zero.alias("n_text_links"), F.col("n").alias("n_shingles"))
     return out.unionByName(rest)
 

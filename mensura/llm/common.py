@@ -44,3 +44,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 def sha_hex(col: Column) -> Column:
     return F.sha2(col.cast("binary"), 256)
+
+
+def sampled(df: DataFrame, columns: list[str], rows: int, total: int) -> DataFrame:
+    """About ``rows`` of the ``total`` rows: those whose hash of ``columns``
+    falls below that share of its range; all of them if they are fewer.
+
+    A filter, so nothing is sorted or gathered, and the same rows are taken
+    however they are dealt.
+    """
+    if total <= rows:
+        return df
+    return df.where(F.xxhash64(*columns) < F.lit(int(rows / total * 2**64) - 2**63))

@@ -19,14 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import features as X
-from .common import table
+from .common import sampled, table
 from .words import U64, Words, buffers, mix, slices, words
 
 DEFECTS = ("repeats", "symbols", "pipes", "capitals", "stops", "variety", "word_length", "line_length")
 LABELLERS = (*DEFECTS, "plain", "prose")
 #: A document is kept from this score on.
 KEEP = 0.5
-#: Documents the scorer is trained on at most (those whose text hashes lowest).
+#: Documents the scorer is trained on, about (a share of all, chosen by hash).
 TRAINING_ROWS = 10_000
 BITS = 18
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -145,10 +145,10 @@ def pattern_counts(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray,
     return np.array([r["code"] for r in got], np.int64), np.array([r["n"] for r in got], float)
 
 
-def train_scorer(docs: DataFrame, codes: np.ndarray, post: np.ndarray, text_col: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
+def train_scorer(docs: DataFrame, codes: np.ndarray, post: np.ndarray, total: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
     """(kept columns, weights, intercept), fitted in one task on the sample."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    sample = docs.select(text.alias("text")).withColumn("key", F.xxhash64("text")).orderBy("key").limit(TRAINING_ROWS)
+    own = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(id_col).alias("id"))
+    sample = sampled(own, ["id", "text"], TRAINING_ROWS, total)
 
     def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
@@ -175,7 +175,7 @@ def train_scorer(docs: DataFrame, codes: np.ndarray, post: np.ndarray, text_col:
             w, _, b = X.logistic(row[hit], at[hit], np.zeros((len(target), 0)), target, len(kept), l2=0.3, rate=0.2)
         yield pa.RecordBatch.from_arrays([pa.array([kept], pa.list_(pa.int64())), pa.array([w], pa.list_(pa.float64())), pa.array([b], pa.float64())], ["kept", "w", "b"])
 
-    got = sample.select("text").mapInArrow(features_of, "cols array<int>, target double").coalesce(1).mapInArrow(fit, "kept array<long>, w array<double>, b double").first()
+    got = sample.select("text").mapInArrow(features_of, "cols array<int>, target double").repartition(1).mapInArrow(fit, "kept array<long>, w array<double>, b double").first()
     return np.array(got["kept"], np.int64), np.array(got["w"]), got["b"]
 
 
@@ -189,7 +189,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     codes, n = pattern_counts(docs, text_col)
     post, _, prior = label_model(_decoded(codes), n) if len(codes) else (np.zeros(0), None, 0.5)
-    kept, weights, b = train_scorer(docs, codes, post, text_col)
+    kept, weights, b = train_scorer(docs, codes, post, int(n.sum()), id_col, text_col)
     silent = int(_coded(np.full((1, len(LABELLERS)), -1))[0])
     names = ["doc_id", "votes", "posterior", "score", "keep"]
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import features as X
-from .common import staged, table
+from .common import sampled, staged, table
 from .words import slices, words
 
 #: Seed words of the first categories (fixed values).
@@ -34,8 +34,8 @@ SEEDS = {
 }
 CHAIN = ("insult", "contempt", "toxic")
 
-#: Labelled rows used for training at most (the smallest by a hash of the
-#: text and label): models of this size stop improving well before.
+#: Labelled rows used for training, about (a share of the labels, chosen by
+#: hash): models of this size stop improving well before.
 TRAINING_ROWS = 12_000
 FOLDS, KEEP = 5, 1_500
 
@@ -114,16 +114,12 @@ def threshold(score: np.ndarray, label: np.ndarray) -> float:
 
 
 def train(labelled: DataFrame, categories: tuple[str, ...] = CHAIN, text_col: str = "text") -> tuple[list[Link], float]:
-    """Chain and cut of the last category, from a bounded sample of labelled rows.
-
-    The sample is the ``TRAINING_ROWS`` rows whose text and labels hash
-    lowest, so it is the same however the rows are dealt; repeated texts fall
-    into one fold.
-    """
+    """Chain and cut of the last category, fitted in one task on ``labelled``,
+    a bounded sample (``sample_of``).  Repeated texts fall into one fold."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = labelled.select(text.alias("text"), *[F.col(c).cast("int").alias(c) for c in categories]).where(
         " AND ".join(f"`{c}` IS NOT NULL" for c in categories))
-    sample = rows.withColumn("key", F.xxhash64("text", *categories)).orderBy("key").limit(TRAINING_ROWS)
+    sample = rows.withColumn("key", F.xxhash64("text"))
     names = ["key", "cols", *categories]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,9 +143,9 @@ def train(labelled: DataFrame, categories: tuple[str, ...] = CHAIN, text_col: st
             "kept": [x.kept for x in links], "weights": [x.weights for x in links],
             "earlier": [x.earlier for x in links], "intercept": [x.intercept for x in links], "cut": cut}))
 
-    # One task fits: its rows are bounded by TRAINING_ROWS.
+    # One task fits: its rows are the bounded sample.
     models = (sample.mapInArrow(encode, "key long, cols array<int>, " + ", ".join(f"`{c}` int" for c in categories))
-              .coalesce(1).mapInArrow(fit, "kept array<long>, weights array<double>, earlier array<double>, intercept double, cut double"))
+              .repartition(1).mapInArrow(fit, "kept array<long>, weights array<double>, earlier array<double>, intercept double, cut double"))
     got = models.collect()
     links = [Link(np.array(r.kept, np.int64), np.array(r.weights), np.array(r.earlier), r.intercept) for r in got]
     return links, got[0].cut
@@ -209,10 +205,10 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("d
 
 
 def sample_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labels that may be used for training, with their texts: labels are
-    first bounded by a hash of the id, so that only their texts are joined."""
-    bounded = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "toxic").orderBy(F.xxhash64("doc_id", "toxic")).limit(TRAINING_ROWS)
-    return labelled_rows(docs, F.broadcast(bounded))  # at most TRAINING_ROWS ids
+    """The labels used for training, with their texts: labels are first cut to
+    about ``TRAINING_ROWS``, so that only their texts are joined."""
+    usable = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "toxic")
+    return labelled_rows(docs, F.broadcast(sampled(usable, ["doc_id", "toxic"], TRAINING_ROWS, usable.count())))
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -103,8 +103,9 @@ def with_next(docs: DataFrame, enrich: Callable[[DataFrame], DataFrame], payload
     ends = steps.join(heads, F.col("_to") == F.col("_b")).select("_from", "_head")
 
     within = Window.partitionBy("_bucket").orderBy(F.desc("doc_id"), F.xxhash64("text"))
-    rows = enrich(named).withColumn("_bucket", bucket)
-    held = rows.columns[:-1]
+    # Texts are dealt out before they are enriched, so that only they travel.
+    rows = enrich(named.withColumn("_bucket", bucket).repartition("_bucket"))
+    held = [c for c in rows.columns if c != "_bucket"]
     rows = rows.select("*", F.lead(pay).over(within).alias("_near"))
     out = (rows.join(ends, (F.col("_bucket") == F.col("_from")) & F.col("_near").isNull(), "left")
            .select(*held, F.coalesce("_near", "_head").alias("next")))

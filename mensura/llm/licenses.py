@@ -2,7 +2,9 @@
 
 A text is cut into sentences; each is normalised (case, spelling, comment marks,
 quotes, version forms, articles, ways to say "licensed under") and looked up
-among known licence sentences.  The identifiers found, in order, are matched
+among known licence sentences.  A sentence may be wrapped over lines, each with
+its own comment mark; it ends at ``.!?;``, blank lines and list marks.  A line
+that is a known sentence by itself is one.  The identifiers found, in order, are matched
 against ordered rules: at each place the first rule whose sequence follows
 names a licence, and the next place is after it.  Other sentences may stand
 between two identifiers of a rule, up to ``GAP`` of them.
@@ -11,15 +13,18 @@ between two identifiers of a rule, up to ``GAP`` of them.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
-from .words import slices, words
+from .words import slices
 
 GAP = 3
 
@@ -79,12 +84,20 @@ RULES = (
     ("LicenseRef-all-rights-reserved", ("all-rights",)),
 )
 
-#: Every known sentence has one of these words; texts without them are passed over.
-CUES = ("license", "licence", "licensed", "licenced", "rights", "permission", "redistribution", "redistributions",
-        "endorse", "warranty", "redistribute", "compliance", "public", "spdx", "released", "distributed", "available", "under")
+#: Every known sentence has one of these in it; texts without them are passed over.
+CUES = ("license", "licence", "rights", "permission", "redistribut", "endorse", "warranty", "compliance", "public",
+        "spdx", "released", "distributed", "available", "under")
 
 SENTENCE = re.compile(r"(?:[^\n.!?;]|[.!?;](?=[^\s]))+")
+LETTER = re.compile(r"[^\W\d_]")
+# Comment marks and bullets at the start of a line, comment and box marks at
+# its end, and list marks like ``(a)`` or ``2)``; ``1.`` ends as a sentence.
+LEAD = re.compile(r"^[ \t]*(?:(?:[#*/;%!|>'\"•·=~+\-]+|<!--|\.\.(?=\s)|\.\\\"|(?:REM|rem|dnl)(?=[ \t]))[ \t]*)+", re.M)
+TRAIL = re.compile(r"(?<=[ \t])(?:[-*#|/%+]+|-->)[ \t\r]*$", re.M)
+MARK = re.compile(r"^[ \t]*\(?(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})\)(?=[ \t])", re.M)
 _UNDER = re.compile(r"^(?:(?:this|the) \S+(?: \S+)? is )?(?:dual )?(?:licensed|released|distributed|available|made available|provided) (?:to you )?under (?:terms of )?")
+_LICENSES = re.compile(r"^the (?:\S+ ){1,3}licenses this file to you under ")
+_ENDED = re.compile(r"[.!?][\"'”’)\]]+\s*$")
 
 
 def normalised(sentence: str) -> str:
@@ -94,7 +107,7 @@ def normalised(sentence: str) -> str:
     s = re.sub(r"(\d)\.0\b", r"\1", s)
     s = re.sub(r"\s+", " ", s).strip(" .-!?")
     s = re.sub(r"\bunder the\b", "under", s)
-    return _UNDER.sub("licensed under ", re.sub(r"\bterms of the\b", "terms of", s))
+    return _UNDER.sub("licensed under ", _LICENSES.sub("licensed under ", re.sub(r"\bterms of the\b", "terms of", s)))
 
 
 def _known() -> dict[str, str]:
@@ -102,33 +115,78 @@ def _known() -> dict[str, str]:
     for name, forms in NAMES.items():
         out[f"spdx-license-identifier {normalised(name)}"] = f"spdx:{name}"
         for form in forms:
-            out[f"licensed under {form}"] = out[f"licensed under {form} license"] = f"ref:{name}"
+            for end in ("", " license", " the license"):  # the last is (the "License")
+                out[f"licensed under {form}{end}"] = f"ref:{name}"
     return out
 
 
 KNOWN = _known()
 
 
-def sentences(text: str) -> list[tuple[int, int, str | None]]:
-    """(start, end, identifier or None) of each sentence that has a letter.
+#: Words before "licensed under", and the most characters that are looked up together.
+BEFORE = frozenset("this the dual licensed released distributed available made provided".split())
+_SORTED = sorted(KNOWN)
+MOST = 2 * max(map(len, KNOWN))
 
-    A sentence that begins or ends within a rule's semicolons is also tried
-    together with the next one.
+
+def _begins(so_far: str) -> bool:
+    """May a normalised text be the beginning of a known sentence?  What its
+    last words become depends on the words that follow."""
+    w = so_far.split(" ")
+    if w[0] in BEFORE and len(w) <= 14:
+        return True
+    head = " ".join(w[:-3])
+    k = bisect_left(_SORTED, head)
+    return k < len(_SORTED) and _SORTED[k].startswith(head)
+
+
+def _blank(m: re.Match) -> str:
+    return " " * len(m[0])
+
+
+def sentences(text: str) -> list[tuple[int, int, str | None, int]]:
+    """(start, end, identifier or None, number of the sentence) of each known
+    sentence and of each other line or part of one that has a letter.
+
+    Parts that are lines of one sentence, or that a semicolon divides, are
+    looked up together, and the longest known run counts.  The number is the
+    same for the lines of an unknown sentence.
     """
-    spans = [(m.start(), m.end()) for m in SENTENCE.finditer(text) if re.search(r"[^\W\d_]", m[0])]
-    out = [(s, e, KNOWN.get(normalised(text[s:e]))) for s, e in spans]
-    for i in range(len(spans) - 1):
-        if out[i][2] is None and text[spans[i][1]:spans[i][1] + 1] == ";":
-            whole = KNOWN.get(normalised(text[spans[i][0]:spans[min(i + 2, len(spans) - 1)][1]])) or KNOWN.get(normalised(text[spans[i][0]:spans[i + 1][1]]))
-            if whole:
-                out[i] = (spans[i][0], spans[i + 1][1], whole)
+    bare = TRAIL.sub(_blank, LEAD.sub(_blank, text))
+    marks = [m.end() for m in MARK.finditer(bare)]
+    bare = MARK.sub(_blank, bare)
+    parts = [(m.start(), m.end()) for m in SENTENCE.finditer(bare) if not m[0].isspace()]
+    joins = []  # how a part goes on in the next: 2 on the next line, 1 after a semicolon, 0 not at all
+    for (s, e), (t, u) in pairwise(parts):
+        between, k = bare[e:t], bisect_right(marks, t)
+        new = between.count("\n") > 1 or not {*".!?"}.isdisjoint(between) or k < len(marks) and marks[k] <= u or _ENDED.search(bare[s:e][-9:])
+        joins.append(0 if new else 1 if ";" in between else 2)
+    joins.append(0)
+    out, i, number, same = [], 0, -1, False
+    while i < len(parts):
+        s, e = parts[i]
+        if not LETTER.search(bare, s, e):
+            same = same and joins[i] == 2
+            i += 1
+            continue
+        so_far = normalised(bare[s:e])
+        known, end, j, size = KNOWN.get(so_far), i, i, 0
+        while joins[j] and size <= MOST and _begins(so_far):
+            j += 1
+            size += len("".join(bare[slice(*parts[j])].split()))
+            so_far = normalised(bare[s:parts[j][1]])
+            if so_far in KNOWN:
+                known, end = KNOWN[so_far], j
+        number += not same or known is not None
+        out.append((s, parts[end][1], known, number))
+        same = joins[end] == 2 and known is None
+        i = end + 1
     return out
 
 
 def recognise(text: str) -> tuple[list[str], list[tuple[str, int, int]]]:
     """(identifiers in order, findings as (licence, start, end))."""
-    every = sentences(text)
-    found = [(k, *x) for k, x in enumerate(every) if x[2]]
+    found = [(number, s, e, i) for s, e, i, number in sentences(text) if i]
     ids, out, at = [x[3] for x in found], [], 0
     while at < len(found):
         for name, sequence in RULES:
@@ -153,13 +211,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     names = ["doc_id", "n_sentences", "sentence_ids", "n_licenses", "licenses", "findings"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cue = np.sort(words(pa.array([" ".join(CUES)])).hashes())
+        cue = "(?i)" + "|".join(CUES)
         for rb in batches:
             for lo, hi in slices(rb.column(1)):
                 texts = rb.column(1).slice(lo, hi - lo)
-                w = words(texts)
-                h = w.hashes()
-                rows = np.unique(w.row[cue[np.minimum(np.searchsorted(cue, h), len(cue) - 1)] == h])
+                rows = np.flatnonzero(pc.match_substring_regex(texts, cue).fill_null(False).to_numpy(zero_copy_only=False))
                 got = {i: recognise(t) for i, t in zip(rows.tolist(), texts.take(pa.array(rows)).to_pylist())}
                 every = [got.get(i, ([], [])) for i in range(hi - lo)]
                 licenses = [sorted({f[0] for f in x[1]}) for x in every]

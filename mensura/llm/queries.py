@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, licenses, packing, pii, quality, resample, setjoin, toxicity, warc, winnow
+from . import chat, decontaminate, language, licenses, packing, pii, quality, resample, setjoin, toxicity, warc, winnow
 
 QUERIES = {
     "op1_jaccard_join": setjoin.op1_jaccard_join,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_pack": packing.op8_pack,
     "op9_licenses": licenses.op9_licenses,
     "op10_fingerprints": winnow.op10_fingerprints,
+    "op11_language": language.op11_language,
     "op13_resample": resample.op13_resample,
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, language, licenses, packing, pii, quality, resample, setjoin, toxicity, warc, winnow
+from . import chat, decontaminate, language, licenses, packing, pii, quality, repair, resample, setjoin, toxicity, warc, winnow
 
 QUERIES = {
     "op1_jaccard_join": setjoin.op1_jaccard_join,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_licenses": licenses.op9_licenses,
     "op10_fingerprints": winnow.op10_fingerprints,
     "op11_language": language.op11_language,
+    "op12_repair": repair.op12_repair,
     "op13_resample": resample.op13_resample,
 }
 
@@ -24,5 +25,6 @@ ORACLE = {
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op4_chat_format": chat.OP4_SQL,
     "op7_warc": warc.OP7_SQL,
+    "op12_repair": repair.OP12_SQL,
     "op13_resample": resample.OP13_SQL,
 }

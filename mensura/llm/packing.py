@@ -14,6 +14,7 @@ their class in Spark, take the slots.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -47,8 +48,8 @@ class Encoder:
     ``tiktoken``, which yields the same ids and is faster on single words.  The
     split pattern always cuts before a blank between two other characters, so
     such chunks are encoded alone; they repeat, and a bounded cache holds
-    their ids as little-endian 32-bit bytes.  Special strings in a text are
-    ordinary text.
+    their ids as little-endian 32-bit bytes.  The file's added tokens are cut
+    out first, longest first, and stand for their ids, as in ``tokenizers``.
     """
 
     #: The split pattern of such files (a fixed value of the format).
@@ -59,9 +60,12 @@ class Encoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        special = {t["content"] for t in spec.get("added_tokens", ()) if t.get("special")}
+        self.added = {t["content"]: array("I", [t["id"]]).tobytes() for t in spec.get("added_tokens", ())}
+        if any(t.get(flag) for t in spec.get("added_tokens", ()) for flag in ("lstrip", "rstrip", "single_word")):
+            raise ValueError("added tokens that depend on what stands beside them are not supported")
+        self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         byte = byte_values()
-        ranks = {bytes(byte[c] for c in word): i for word, i in spec["model"]["vocab"].items() if word not in special}
+        ranks = {bytes(byte[c] for c in word): i for word, i in spec["model"]["vocab"].items() if word not in self.added}
         self.own = tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.cache: dict[str, bytes | None] = {}
 
@@ -80,6 +84,11 @@ class Encoder:
             return got
 
     def __call__(self, text: str) -> bytes:
+        if self.cuts is None or not self.cuts.search(text):
+            return self._plain(text)
+        return b"".join(self.added.get(part) or self._plain(part) for part in self.cuts.split(text) if part)
+
+    def _plain(self, text: str) -> bytes:
         units = text.split(" ")
         out, chunk, known = [], units[0], self._known
         for unit in units[1:]:

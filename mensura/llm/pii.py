@@ -1,12 +1,15 @@
 """Personal data by weak supervision.
 
 Base kinds (email, ip, card, phone) are exact patterns and always stay.
-Further candidates (secret, number, name) are judged: six labelers - two on
-the span's form, one on gazetteers, three on its context and length - vote
-for, against or abstain on every candidate and base match of the corpus;
+Further candidates (secret, number, name) are judged: seven labelers - two on
+the span's form, one on gazetteers, three on its context, one on its length -
+vote for, against or abstain on every candidate and base match of the corpus;
 expectation-maximisation over the counts of vote patterns estimates each
 labeler's reliability and each pattern's posterior; and a logistic span
-classifier over votes and shape, trained on those posteriors, decides.
+classifier over votes, shape and what follows, trained on those posteriors,
+decides.  Base matches are true by definition and anchor the classes; a
+labeler is presumed better than chance until the corpus shows how much, so the
+classes cannot trade places on a small corpus.
 
 The driver sees only counts by pattern, whose number is bounded by the kinds,
 votes and shape buckets, not by the corpus.
@@ -21,12 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
 from .features import sigmoid
-from .words import buffers, slices, words
+from .words import buffers, slices
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret", "number", "name")
@@ -53,6 +57,11 @@ CUES = {"secret": re.compile(r"(?:password|passwd|pwd|token|secret|api[_ -]?key|
         "number": re.compile(r"(?:phone|tel|call|mobile|fax|telefon|teléfono|téléphone|ssn|account|iban|passport)\W*$", re.I),
         "name": re.compile(r"(?:name is|mr|mrs|ms|dr|herr|frau|señora?|madame|monsieur|dear|contact|regards)\W*$", re.I)}
 AGAINST = re.compile(r"(?:https?:\S*|www\.\S*|isbn|version|issue|no\.|[/#§$€])\s?$", re.I)
+#: Before a person's name there is no article.
+ARTICLE = re.compile(r"(?<!\w)(?:the|an?|this|der|die|das|ein|eine|el|la|los|las|un|una|le|les|une)\s$", re.I)
+LABELERS = ("form", "dense", "gazetteer", "cue", "lead", "against", "long")
+#: Candidates' worth of prior belief in each labeler, and in what.
+PRIOR_ROWS, PRIOR_VOTES = 8.0, np.array([[0.4, 0.4, 0.2], [0.2, 0.4, 0.4]])
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -125,38 +134,55 @@ def votes(text: str, s: int, e: int, kind: str) -> tuple[int, ...]:
     """+1 for, -1 against, 0 abstains; one entry per labeler."""
     span, before = text[s:e], text[max(0, s - 24):s]
     digits = sum(c.isdigit() for c in span)
+    given, _, family = span.partition(" ")
     if kind in BASE:
         form, dense = 1, 1
+    elif kind == "name":
+        form, dense = 1 if family[1:].islower() and len(family) > 2 else -1, 0
     else:
-        form = 1 if FORMS[kind].fullmatch(span) else -1 if kind != "name" else 0
-        dense = {"secret": 1 if digits >= 4 and len(set(span)) >= 8 else -1, "number": 1 if digits < e - s else -1, "name": 0}[kind]
-    cue = CUES.get(kind if kind not in ("card", "phone") else "number")
-    gazetteer = 1 if kind == "name" or cue and cue.search(before) else 0
-    lead = 1 if before[-1:] and before[-1] in "=:\"'" else 0 if before.endswith(" ") else -1
-    against = -1 if AGAINST.search(before) else 0
+        form = 1 if FORMS[kind].fullmatch(span) else -1
+        dense = {"secret": 1 if digits >= 4 and len(set(span)) >= 8 else -1, "number": 1 if digits < e - s else -1}[kind]
+    gazetteer = 0 if kind != "name" else -1 if family in KNOWN else 1
+    cues = CUES.get(kind if kind not in ("card", "phone") else "number")
+    cue = 1 if cues and cues.search(before) else 0
+    if kind == "name":
+        lead = -1 if before[-1:].isalnum() else 1 if before.rstrip()[-1:] in _INTRODUCES else 0
+        against = -1 if ARTICLE.search(before) or AGAINST.search(before) else 0
+    else:
+        lead = 1 if before[-1:] and before[-1] in "=:\"'" else 0 if before.endswith(" ") else -1
+        against = -1 if AGAINST.search(before) else 0
     long = {"secret": 1 if e - s >= 16 else -1, "number": 1 if 10 <= digits <= 12 else -1, "name": 0}.get(kind, 1)
-    return form, dense, gazetteer, lead, against, long
+    return form, dense, gazetteer, cue, lead, against, long
+
+
+KNOWN = frozenset(GIVEN)
+#: Marks that often stand before a name (the empty string: it opens the text).
+_INTRODUCES = frozenset(["", *",:;.!?-–—\"'“”„«»‘’("])
+
+
+def after(text: str, e: int) -> int:
+    """Class of the character behind a span."""
+    c = text[e:e + 1]
+    return 0 if not c else 1 if c.isspace() else 2 if c in "\"'”’»)]}" else 3 if c in ".,;:!?" else 4
 
 
 def pattern(text: str, s: int, e: int, kind: str) -> str:
     """Kind, votes and shape buckets of a span: what the classifier sees."""
     span = text[s:e]
     n = e - s
-    shape = (min(n // 8, 5), 4 * sum(c.isdigit() for c in span) // n, 4 * sum(c.isupper() for c in span) // n)
+    shape = (min(n // 8, 5), 4 * sum(c.isdigit() for c in span) // n, 4 * sum(c.isupper() for c in span) // n, after(text, e))
     return ",".join(map(str, (KINDS.index(kind), *votes(text, s, e, kind), *shape)))
 
 
 def rows_worth_reading(texts: pa.Array) -> np.ndarray:
-    """Rows with a digit, an @ or a given name; no other can hold a candidate."""
+    """Rows with a digit, an @, or a given name before a blank and a capital:
+    every candidate and base match holds one of these."""
     raw, off = buffers(texts)
     mark = np.zeros(256, dtype=bool)
     mark[48:58] = mark[64] = True
     rows = np.searchsorted(off, np.flatnonzero(mark[raw]), side="right") - 1
-    w = words(texts)
-    known = np.sort(words(pa.array([" ".join(GIVEN)])).hashes())
-    h = w.hashes()
-    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-    return np.unique(np.concatenate([rows, w.row[known[at] == h]]))
+    named = pc.fill_null(pc.match_substring_regex(texts, "(?:" + "|".join(GIVEN) + ") [A-ZÀ-Þ]"), False)
+    return np.union1d(rows, np.flatnonzero(named.to_numpy(zero_copy_only=False)))
 
 
 def pattern_counts(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
@@ -178,22 +204,34 @@ def label_model(patterns: np.ndarray, n: np.ndarray, steps: int = 200) -> tuple[
     """(posterior of each pattern, table[labeler, class, vote]) by EM.
 
     Votes are independent given the class; classes have a prior per kind.
-    Starts from the mean vote.
+    Patterns of base kinds are true throughout.  Tables start from and keep a
+    prior by which a labeler is right more often than wrong, and are held to
+    it: a vote for is at least as likely in the true class, a vote against in
+    the false one.
     """
-    kind, vote = patterns[:, 0], patterns[:, 1:7] + 1
-    post = np.clip(0.5 + 0.45 * patterns[:, 1:7].mean(1) * 2, 0.05, 0.95)
-    table_ = np.zeros((vote.shape[1], 2, 3))
+    k = len(LABELERS)
+    kind, vote = patterns[:, 0], patterns[:, 1:1 + k] + 1
+    known = kind < len(BASE)
+    post = np.where(known, 1.0, np.clip(0.5 + patterns[:, 1:1 + k].mean(1), 0.05, 0.95))
+    table_ = np.zeros((k, 2, 3))
     for _ in range(steps):
-        weight = np.stack([n * (1 - post), n * post])
-        for j in range(vote.shape[1]):
+        # Base matches show how the true class is voted on, but no better than
+        # as many candidates: they are not what is to be decided.
+        share = np.where(known, min(1.0, PRIOR_ROWS / max(1.0, n[known].sum())), 1.0) * n
+        weight = np.stack([share * (1 - post), share * post])
+        for j in range(k):
             for y in (0, 1):
-                t = np.bincount(vote[:, j], weights=weight[y], minlength=3) + 0.5
+                t = np.bincount(vote[:, j], weights=weight[y], minlength=3) + PRIOR_ROWS * PRIOR_VOTES[y]
                 table_[j, y] = t / t.sum()
-        prior = (np.bincount(kind, weights=weight[1], minlength=len(KINDS)) + 1) / (np.bincount(kind, weights=n, minlength=len(KINDS)) + 2)
+            for v, y in ((2, 1), (0, 0)):
+                if table_[j, y, v] < table_[j, 1 - y, v]:
+                    table_[j, :, v] = table_[j, :, v].mean()
+            table_[j] /= table_[j].sum(1, keepdims=True)
+        prior = (np.bincount(kind, weights=n * post, minlength=len(KINDS)) + 1) / (np.bincount(kind, weights=n, minlength=len(KINDS)) + 2)
         odds = np.log(prior[kind] / (1 - prior[kind]))
-        for j in range(vote.shape[1]):
+        for j in range(k):
             odds = odds + np.log(table_[j, 1, vote[:, j]] / table_[j, 0, vote[:, j]])
-        new = sigmoid(odds)
+        new = np.where(known, 1.0, sigmoid(odds))
         done = np.abs(new - post).max() < 1e-6
         post = new
         if done:
@@ -202,10 +240,11 @@ def label_model(patterns: np.ndarray, n: np.ndarray, steps: int = 200) -> tuple[
 
 
 def design(patterns: np.ndarray) -> np.ndarray:
-    """One-hot votes, kinds and shape buckets."""
+    """One-hot votes, kinds, shape buckets and what follows."""
+    k = 1 + len(LABELERS)
     cols = [np.eye(len(KINDS))[patterns[:, 0]]]
-    cols += [np.eye(3)[patterns[:, j] + 1] for j in range(1, 7)]
-    cols += [np.eye(6)[patterns[:, 7]], np.eye(5)[patterns[:, 8]], np.eye(5)[patterns[:, 9]]]
+    cols += [np.eye(3)[patterns[:, j] + 1] for j in range(1, k)]
+    cols += [np.eye(6)[patterns[:, k]], *[np.eye(5)[patterns[:, k + j]] for j in (1, 2, 3)]]
     return np.concatenate(cols, 1)
 
 
@@ -214,7 +253,7 @@ def train(docs: DataFrame, text_col: str = "text", steps: int = 500) -> np.ndarr
     the posteriors of all candidates of the corpus."""
     counts = pattern_counts(docs, text_col)
     if not counts:
-        return np.zeros(design(np.zeros((1, 10), int)).shape[1] + 1)
+        return np.zeros(design(np.zeros((1, len(LABELERS) + 5), int)).shape[1] + 1)
     patterns = np.array([list(map(int, p.split(","))) for p in sorted(counts)])
     n = np.array([counts[p] for p in sorted(counts)], dtype=float)
     post, _ = label_model(patterns, n)

@@ -74,14 +74,13 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(packing.default_tokenizer())
-    t.encode_special_tokens = True
     return lambda x: np.asarray(t.encode(x, add_special_tokens=False).ids, dtype="<u4")
 
 
 def test_encoder_gives_the_files_ids(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "CACHE", 50)
     e, rnd = packing.Encoder(packing.default_tokenizer()), random.Random(3)
-    bits = ["a", "b ", " ", "  ", "\n", "\t", "'s", "don't", "1", "é", "<|endoftext|>", "!", "中", "\r\n", " x", " ", "word", ",", " "]
+    bits = ["a", "b ", " ", "  ", "\n", "\t", "'s", "don't", "1", "é", "<|endoftext|>", "<|endof", "text|>", "!", "中", "\r\n", " x", " ", "word", ",", " "]
     for _ in range(2000):
         t = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14)))
         assert e(t) == tokenizer(t).tobytes(), repr(t)

@@ -89,3 +89,54 @@ def test_licence_rules(spark, frame, odd, nothing):
     r = licenses.scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()
     plain = {x.doc_id: licenses.recognise(x.text or "") for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     assert all(x.sentence_ids == ",".join(plain[x.doc_id][0]) and x.findings == ",".join(f"{n}:{s}:{e}" for n, s, e in plain[x.doc_id][1]) for x in r)
+
+
+def test_find_reads_every_row_with_a_candidate(spark, frame):
+    around = ["", "“", "—", "«", " ", "'", "(", "中", "…", "\n", "¿"]
+    rows = [(i, f"{mark}{name} said hello.") for i, (mark, name) in enumerate((m, n) for m in around for n in ("James Smith", "Maria Lopez", "Pierre Dubois"))]
+    rows += [(100 + i, t) for i, t in enumerate(["@", "a@b.c", "no one here", "james smith", "James  Smith", "James", "xJames Smith", None, "", "9" * 12, "James É", "Ana Ñandú ok"])]
+    weights = pii.train(frame(rows))
+    got = {r.doc_id: r for r in pii.find(frame(rows), weights).collect()}
+    for i, text in rows:
+        base, every = pii.all_spans(text or "", weights)
+        assert got[i].spans == ",".join(f"{k}:{s}:{e}" for s, e, k in every), text
+    assert all("name:" in got[i].spans for i, t in rows[:33] if "中" not in t)
+
+
+def test_few_candidates_do_not_turn_the_classes_round(spark, frame):
+    secret = 'token = "e36f61096dd9d67e69e798206f297466b1ec7d01"'
+    mails = [(i, f"write to a{i}@b.example.com") for i in range(80)]
+    for some in ([], mails):
+        for times in (1, 3, 30):
+            docs = frame([*some, *((1000 + i, secret) for i in range(times))])
+            out = pii.find(docs, pii.train(docs)).where("doc_id >= 1000").collect()
+            assert all(r.spans == "secret:9:49" for r in out), (len(some), times)
+
+
+def test_context_votes_on_names():
+    def vote(text):
+        s, e, kind = pii.added_candidates(text, [])[0]
+        return dict(zip(pii.LABELERS, pii.votes(text, s, e, kind)))
+
+    assert vote("Dear James Smith, hello")["cue"] == 1 and vote("the James Smith")["cue"] == 0
+    assert vote("the James Smith")["against"] == -1 and vote("Dear James Smith")["against"] == 0
+    assert vote("James Robert")["gazetteer"] == -1 and vote("by James SMITH")["form"] == -1
+
+
+def test_spans_by_a_plain_version(spark):
+    """Cards and phones as the patterns are written, on the given texts."""
+    card, phone = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+    mail = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    for text in [d.text or "" for d in docs] + ["4111 1111 1111 1111-4 +49 (30) 123-4567 x 378282246310005 5555555555554444 +1" * 3]:
+        want = [(m.start(), m.end(), "email") for m in mail.finditer(text)]
+        want += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+        for m in card.finditer(text):
+            d = re.sub("[^0-9]", "", m[0])
+            want += [(m.start(), m.end(), "card")] if 14 <= len(d) <= 19 and luhn(d) else []
+        want += [(m.start(), m.end(), "phone") for m in phone.finditer(text) if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+        assert pii.base_spans(text) == sorted(want, key=lambda x: (x[0], pii.KINDS.index(x[2])))

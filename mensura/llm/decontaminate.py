@@ -23,9 +23,10 @@ from .common import sha_hex, staged
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Distinct benchmark words that a plan may carry as literals.  Beyond it the
-#: words are joined by a shuffle instead.
-MAX_LITERALS = 200_000
+#: Bits of a word filter for each word, and at most.  A plan carries half a
+#: megabyte of them, whatever the number of words; beyond a quarter of a
+#: million words it lets ever more others through.
+WORD_BITS, MOST_BITS = 16, 1 << 22
 
 
 def raw_words(text: Column) -> Column:
@@ -40,31 +41,42 @@ def fold(text: Column) -> Column:
 def item_windows(benchmark: DataFrame, size: int, item_col: str, text_col: str) -> DataFrame:
     """(item_id, words): every window of every item, words folded."""
     items = (benchmark.select(F.col(item_col).cast("string").alias("item_id"), raw_words(fold(F.col(text_col))).alias("all"))
-             .where((F.size("all") > 0) & F.col("item_id").isNotNull()))
+             .where(F.size("all") > 0))
     last = F.greatest(F.lit(0), F.size("all") - size)
     return (items.select("item_id", "all", F.explode(F.sequence(F.lit(0), last)).alias("at"))
             .select("item_id", F.slice("all", F.col("at") + 1, F.lit(size)).alias("words")).distinct())
 
 
-def _among(words: list[str] | None, col: Column) -> Column:
-    """Superset test of a raw word against folded ones; the exact comparison
-    follows.  (Words equal after folding A-Z are equal in lower case.)"""
-    return F.lower(col).isin(words) if words else F.lit(False)
+class WordFilter:
+    """A test of raw words that every word of a column passes, and few others
+    do: one bit a word, by the hash of its small letters.  (Words equal after
+    folding A-Z are equal in small letters.)  Exact joins follow it."""
 
+    def __init__(self, df: DataFrame, col: str):
+        own = df.select(F.xxhash64(F.lower(F.col(col))).alias("h")).distinct()
+        self.bits = min(MOST_BITS, max(64, 1 << (WORD_BITS * own.count()).bit_length()))
+        set_ = own.select(F.col("h").bitwiseAND(F.lit(self.bits - 1)).cast("int").alias("b")).select(
+            F.shiftright("b", 6).alias("at"), F.expr("shiftleft(1L, b & 63)").alias("mark"))
+        marks = [0] * (self.bits // 64)
+        for r in set_.groupBy("at").agg(F.bit_or("mark").alias("marks")).collect():
+            marks[r["at"]] = r["marks"]
+        self.marks = F.split(F.lit(",".join(map(str, marks))), ",").cast("array<bigint>")
 
-def _literals(df: DataFrame, col: str) -> list[str] | None:
-    rows = df.select(F.lower(col).alias("w")).distinct().limit(MAX_LITERALS + 1).collect()
-    return [r[0] for r in rows] if len(rows) <= MAX_LITERALS else None
+    def __call__(self, word: Column) -> Column:
+        bit = F.xxhash64(F.lower(word)).bitwiseAND(F.lit(self.bits - 1)).cast("int")
+        return F.call_function("getbit", F.get(self.marks, F.shiftright(bit, 6)), bit.bitwiseAND(F.lit(63))) == 1
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20,
                   id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, n_hit, n_items, items (sorted array
-    of item ids as strings), contaminated (n_hit > 0 and share * n_hit >= n_words).
+    of item ids as strings), contaminated (n_hit > 0 and share * n_hit >= n_words),
+    and the text's two hashes (h1, h2), which tell rows of one id apart.
 
     Null and empty texts have no words and are never contaminated; items
-    without words have no window.  Repeated rows each get a row; rows that
+    without words have no window; items with a null id are one item, a null
+    among the items.  Repeated rows each get a row; rows that
     share an id are judged by their own texts.  Other columns of either table
     are not read, whatever their names.  Empty tables give no rows or no hits.
     """
@@ -74,13 +86,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
 
     # Document frequency of the benchmark's words, over the whole corpus.
     vocabulary = windows.select(F.explode("words").alias("word")).distinct()
-    known = _literals(vocabulary, "word")
-    texts = base.select(raw_words(F.col("text")).alias("words"))
-    if known is None:
-        seen = texts.select(F.explode(F.array_distinct(F.transform("words", F.lower))).alias("low"))
-    else:
-        seen = texts.select(F.explode(F.array_distinct(F.transform(
-            F.filter("words", lambda w: _among(known, w)), F.lower))).alias("low"))
+    known = WordFilter(vocabulary, "word")
+    seen = base.select(F.explode(F.array_distinct(F.transform(
+        F.filter(raw_words(F.col("text")), known), F.lower))).alias("low"))
     df = seen.groupBy("low").agg(F.count("*").alias("df"))
 
     # The necessary prefix of each window: its rarest word, and its place.
@@ -89,10 +97,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
               .groupBy("item_id", "words")
               .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "word", "at")).alias("p")))
     prefixes = staged(ranked.groupBy("words", F.col("p.word").alias("word"), F.col("p.at").alias("at"), F.size("words").alias("n"))
-                      .agg(F.sort_array(F.collect_set("item_id")).alias("items")), "op5-prefixes")
+                      .agg(F.sort_array(F.collect_set(F.struct("item_id"))).alias("items")), "op5-prefixes")
 
     # Occurrences of prefix words, each with the words around it.
-    rare = _literals(prefixes, "word")
+    rare = WordFilter(prefixes, "word")
     held = (base.select("doc_id", "text", raw_words(F.col("text")).alias("words"))
             .select("doc_id", "words", F.size("words").alias("n_words"),
                     F.xxhash64("text").alias("h1"), F.hash("text").alias("h2")))
@@ -103,7 +111,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
                         F.slice("words", lo + 1, at + F.lit(reach + 1) - lo).alias("around"))
 
     everywhere = F.when(F.col("n_words") > 0, F.sequence(F.lit(0), F.col("n_words") - 1)).otherwise(F.array().cast("array<int>"))
-    wanted = everywhere if rare is None else F.filter(everywhere, lambda i: _among(rare, F.get("words", i)))
+    wanted = F.filter(everywhere, lambda i: rare(F.get("words", i)))
     found = staged(held.select("doc_id", "h1", "h2", "n_words", F.transform(wanted, context).alias("found")), "op5-found")
 
     occurrences = (found.select("doc_id", "h1", "h2", "n_words", F.explode("found").alias("o"))
@@ -123,7 +131,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     covered = (spans.withColumn("new", F.greatest(F.lit(0), F.col("stop") - F.greatest("start", reached)))
                .groupBy(*key).agg(F.sum("new").alias("n_hit")))
     items = (hits.select(*key, F.explode("items").alias("item")).groupBy(*key)
-             .agg(F.sort_array(F.collect_set("item")).alias("items")))
+             .agg(F.transform(F.sort_array(F.collect_set("item")), lambda x: x["item_id"]).alias("items")))
     totals = covered.join(items, [covered[k].eqNullSafe(items[k]) for k in key]).select(
         *[covered[k].alias(f"t_{k}") for k in key], "n_hit", "items")
     out = found.join(totals, [found[k].eqNullSafe(F.col(f"t_{k}")) for k in key], "left")
@@ -131,7 +139,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     return out.select("doc_id", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
                       F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                       F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-                      ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"))
+                      ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"), found["h1"], found["h2"])
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:

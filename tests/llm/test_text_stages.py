@@ -23,15 +23,22 @@ def test_windows_and_hits(spark, frame):
     assert got[5] == (120, 6, ["7"], True)
 
 
-def test_windows_joined_without_literals(spark, frame, monkeypatch):
+def test_word_filters_only_pass_more(spark, frame, monkeypatch):
     docs = frame([(1, "q " + " ".join(WORDS)), (2, "q")])
     bench = items(spark, [(1, " ".join(WORDS[5:30]), "")])
     want = sorted(map(tuple, decontaminate.contamination(docs, bench).collect()))
-    monkeypatch.setattr(decontaminate, "MAX_LITERALS", 3)
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 64)  # most words share a bit with a wanted one
     assert sorted(map(tuple, decontaminate.contamination(docs, bench).collect())) == want
     assert want[0][2] == 25
 
 
+def test_items_without_an_id(spark, frame):
+    docs = frame([(1, "see A-B c!"), (2, "x y"), (3, "nothing")])
+    got = {r.doc_id: r for r in decontaminate.contamination(docs, items(spark, [(None, "a b c", ""), (7, "a b", ""), (None, "x y", "")])).collect()}
+    assert (got[1].n_hit, got[1].n_items, got[1]["items"]) == (3, 2, [None, "7"])
+    assert (got[2].n_hit, got[2].n_items, got[2].contaminated) == (2, 1, True) and got[3].n_hit == 0
+
+
 def test_decontaminate_odd_rows(spark, odd, nothing):
     bench = items(spark, [(1, "one", ""), (2, "one", "")])
     rows = decontaminate.contamination(odd, bench).collect()

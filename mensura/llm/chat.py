@@ -44,10 +44,20 @@ def text_parts(text: Column) -> Column:
                             F.lit(None).cast("string").alias("ref"), F.lit(None).cast("bigint").alias("units"))).cast(PARTS)
 
 
-def visit(part: Column) -> Column:
-    """What a part leaves in the formatted text."""
-    placeholder = F.concat(F.lit("<|"), part["type"], F.lit("|>"))
-    return F.when(part["type"].isin(*TOKENS), placeholder).otherwise(escape(F.coalesce(part["text"], F.lit(""))))
+def visit(parts: Column) -> Column:
+    """What the parts leave in the formatted text.  Text parts that follow each
+    other are escaped as one text: a control string may run over their ends."""
+    def step(seen: Column, part: Column) -> Column:
+        attached = F.coalesce(part["type"].isin(*TOKENS), F.lit(False))
+        text = F.concat(seen["text"], F.coalesce(part["text"], F.lit("")))
+        placeholder = F.concat(seen["done"], escape(seen["text"]), F.lit("<|"), part["type"], F.lit("|>"))
+        return F.struct(F.when(attached, placeholder).otherwise(seen["done"]).alias("done"),
+                        F.when(attached, F.lit("")).otherwise(text).alias("text"))
+
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("text"))
+    one = escape(F.coalesce(F.get(parts, F.lit(0))["text"], F.lit("")))  # the usual case: a text alone
+    alone = (F.size(parts) == 1) & ~F.coalesce(F.get(parts, F.lit(0))["type"].isin(*TOKENS), F.lit(False))
+    return F.when(alone, one).otherwise(F.aggregate(parts, start, step, lambda seen: F.concat(seen["done"], escape(seen["text"]))))
 
 
 def attachment(part: Column) -> Column:
@@ -74,7 +84,7 @@ def format_chat(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
     parts = F.coalesce("parts", F.array().cast(PARTS))
     head = F.concat(F.lit(TURN), role, F.lit(BODY))
     stretches = messages.select(
-        "conv_id", "turn", head.alias("head"), F.array_join(F.transform(parts, visit), "").alias("body"),
+        "conv_id", "turn", head.alias("head"), visit(parts).alias("body"),
         F.transform(F.filter(parts, lambda p: F.coalesce(p["type"].isin(*TOKENS), F.lit(False))), attachment).alias("attached"),
         (F.coalesce("role", F.lit("")) == loss_role).alias("learn"))
     turns = (stretches.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(

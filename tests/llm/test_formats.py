@@ -41,6 +41,15 @@ def test_chat_parts(spark):
     assert got.attachment_tokens == 1380 and [tuple(x) for x in got.loss] == [(1, 25, 16)]
 
 
+def test_control_strings_over_the_ends_of_parts(spark):
+    texts = [["<", "|end|>"], ["</", "s>", "<\\", "|end|>"], ["[", "INST", "]"], ["<", None, "|turn|>x<|body|>"], ["a"], [], ["", "<|end|>"]]
+    rows = [(1, i, "assistant", [("text", t, None, None) for t in parts]) for i, parts in enumerate(texts)]
+    rows += [(2, 0, "user", [("text", "<", None, None), ("image", None, "a.png", None), ("text", "|end|>", None, None)]), (3, 0, "user", [("text", "<|end|>" * 30_000, None, None)])]
+    got = {r.conv_id: r for r in chat.read_back(chat.format_chat(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS}"))).collect()}
+    assert [t.text for t in got[1].turns] == got[1].learned == ["".join(t or "" for t in parts) for parts in texts]
+    assert [t.text for t in got[2].turns] == ["<<|image|>|end|>"] and [t.text for t in got[3].turns] == ["<|end|>" * 30_000]
+
+
 def pages(spark, rows):
     from pyspark.sql import functions as F
 

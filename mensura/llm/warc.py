@@ -30,8 +30,12 @@ from .common import shared_path, staged, table
 #: Payloads of fewer bytes are always stored whole.
 LEAST_REVISIT = 100
 BLOCK_LINES = 300
-#: Index files (one short row each) whose list a task may hold.
-MAX_FILES = 100_000
+#: Captures in an index file, requests in a lookup task, about; beyond
+#: ``MAX_TASKS`` of either, more go to each, so that the list of index files,
+#: which every task holds, stays short.
+FILE_CAPTURES, TASK_LOOKUPS, MAX_TASKS = 200_000, 4_000, 20_000
+#: Bytes of payloads that a task hands on at a time (or one payload).
+SLICE_BYTES = 8 << 20
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -116,7 +120,8 @@ def write_archives(pages: DataFrame) -> DataFrame:
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(name, compression=None)
             where = []
-            for page, url, payload, digest, first in zip(*(c.to_pylist() for c in rb.columns[:5])):
+            for i in range(rb.num_rows):  # one payload in Python at a time
+                page, url, payload, digest, first = (c[i].as_py() for c in rb.columns[:5])
                 member = gzip.compress(record(page, url, payload, first, digest), 6, mtime=0)
                 out.write(member)
                 where.append((at, len(member)))
@@ -134,6 +139,10 @@ def _order(key: str, page: int | None) -> tuple[str, int]:
     return key, -2**63 if page is None else page
 
 
+def _tasks(rows: int, each: int) -> int:
+    return min(MAX_TASKS, max(1, -(-rows // each)))
+
+
 def write_index(captures: DataFrame) -> DataFrame:
     """Sort the captures into index files; return their list: file, first and
     last (key and page_id), place and length of the directory."""
@@ -169,7 +178,8 @@ def write_index(captures: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([json.dumps(directory[0][:2])]), pa.array([json.dumps(last)]),
                                               pa.array([at], pa.int64()), pa.array([len(trailer)], pa.int64())], names)
 
-    ordered = captures.select("key", "page_id", "file", "offset", "length").repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    ordered = (captures.select("key", "page_id", "file", "offset", "length")
+               .repartitionByRange(_tasks(captures.count(), FILE_CAPTURES), "key", "page_id").sortWithinPartitions("key", "page_id"))
     return staged(ordered.mapInArrow(run, "file string, first string, last string, offset long, length long"), "op7-index-files")
 
 
@@ -219,12 +229,10 @@ def lookup(requests: DataFrame, index: DataFrame) -> DataFrame:
     """Records under the requested (key, page_id): page_id, payload_bytes,
     payload_digest, record_type, refers_to, payload (null for a revisit).
 
-    Requests are sorted like the index, so that a task reads a block once.
+    Requests are sorted like the index, so that a task reads a block once, and
+    dealt out by their number: a request is short, its range read is not.
     """
-    rows = index.limit(MAX_FILES + 1).collect()
-    if len(rows) > MAX_FILES:
-        raise ValueError("more index files than a task may list: sort the captures into fewer")
-    files = [(r["file"], _order(*json.loads(r["first"])), _order(*json.loads(r["last"])), r["offset"], r["length"]) for r in rows]
+    files = [(r["file"], _order(*json.loads(r["first"])), _order(*json.loads(r["last"])), r["offset"], r["length"]) for r in index.collect()]
     folder = shared_path(requests.sparkSession, "op7-any")
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
@@ -232,11 +240,22 @@ def lookup(requests: DataFrame, index: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(folder, files)
         for rb in batches:
-            found = [parse(x) for key, page in zip(*(c.to_pylist() for c in rb.columns)) for x in reader.find(key, page)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in
-                                              zip(("page_id", "bytes", "digest", "type", "refers_to", "payload"), types)], names)
-
-    ordered = requests.select("key", "page_id").distinct().repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+            found, held = [], 0
+            for key, page in zip(*(c.to_pylist() for c in rb.columns)):
+                for x in reader.find(key, page):
+                    found.append(parse(x))
+                    held += len(x)
+                    if held >= SLICE_BYTES:
+                        yield batch(found)
+                        found, held = [], 0
+            yield batch(found)
+
+    def batch(found: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in
+                                           zip(("page_id", "bytes", "digest", "type", "refers_to", "payload"), types)], names)
+
+    asked = staged(requests.select("key", "page_id").distinct(), "op7-requests")
+    ordered = asked.repartitionByRange(_tasks(asked.count(), TASK_LOOKUPS), "key", "page_id").sortWithinPartitions("key", "page_id")
     return ordered.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 

@@ -140,13 +140,15 @@ def leaves(sigs: DataFrame) -> DataFrame:
     for depth in range(MIN_DEPTH, MAX_DEPTH + 1):
         nodes = staged(nodes, "op1-nodes")
         sizes = (nodes.groupBy("path").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep")).alias("members"), F.min("was").alias("was"), F.min("rep").alias("least"))
-                 .where("size > 1").groupBy("size", "members", "least").agg(F.min("path").alias("path"), F.min("was").alias("was"))
-                 .select("path", "size", "least", (F.col("size") >= DENSE * F.col("was")).alias("dense")))
+                 .where("size > 1").withColumn("split", (F.col("size") > LEAF) & (F.col("size") < DENSE * F.col("was")) & F.lit(depth < MAX_DEPTH)))
+        # Equal final buckets are searched once.  Those that split go on apart,
+        # however equal: the runs' chances multiply only while they are apart.
+        once = F.when(F.col("split"), F.col("path"))
+        sizes = sizes.groupBy("size", "members", "least", "split", once.alias("own")).agg(F.min("path").alias("path")).drop("members", "own")
         sized = staged(nodes.select("rep", "path").join(sizes, "path"), "op1-sized")
-        split = (F.col("size") > LEAF) & ~F.col("dense")
-        large = sized.where(split)
+        large = sized.where("split").drop("split")
         done = depth == MAX_DEPTH or large.isEmpty()
-        found = (sized if done else sized.where(~split)).drop("dense")
+        found = sized.where("NOT split").drop("split")
         out = found if out is None else out.unionByName(found)
         if done:
             return out

@@ -83,15 +83,17 @@ def with_next(docs: DataFrame, enrich: Callable[[DataFrame], DataFrame], payload
     bucket = F.floor(F.col("doc_id") / NEAR_IDS)
     named = docs.where("doc_id IS NOT NULL")
     tops = staged(named.groupBy(bucket.alias("_bucket")).agg(F.max("doc_id").alias("_top")), "op10-buckets")
-    # The next bucket down: within a far group of buckets, else the first of
-    # the next far group; after the lowest the highest.  (The one window over
-    # all far groups has a row for four million ids.)
-    far = tops.withColumn("_far", F.floor(F.col("_bucket") / 4096))
-    inside = far.select("_bucket", "_far", F.lead("_bucket").over(Window.partitionBy("_far").orderBy(F.desc("_bucket"))).alias("_to"))
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("_f"))
-    jumps = far.groupBy(F.col("_far").alias("_f")).agg(F.max("_bucket").alias("_b")).select(
-        "_f", F.coalesce(F.lead("_b").over(order), F.first("_b").over(order)).alias("_jump"))
-    steps = inside.join(jumps, F.col("_far") == F.col("_f")).select(F.col("_bucket").alias("_from"), F.coalesce("_to", "_jump").alias("_to"))
+    # The next bucket down: ranges of buckets are sorted apart, and the last of
+    # a range goes on to the first of the next; after the lowest the highest.
+    spark = docs.sparkSession
+    down = F.desc("_bucket")
+    sorted_ = staged(tops.select("_bucket").repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), down)
+                     .sortWithinPartitions(down).withColumn("_at", F.monotonically_increasing_id()), "op10-order")
+    part = F.shiftright("_at", 33)
+    first = [(r["p"], r["b"]) for r in sorted_.groupBy(part.alias("p")).agg(F.max("_bucket").alias("b")).orderBy("p").collect()]
+    jumps = spark.createDataFrame([(p, first[(i + 1) % len(first)][1]) for i, (p, _) in enumerate(first)], "_p long, _jump long")
+    inside = sorted_.select(F.col("_bucket").alias("_from"), part.alias("_part"), F.lead("_bucket").over(Window.partitionBy(part).orderBy("_at")).alias("_in"))
+    steps = inside.join(jumps, F.col("_part") == F.col("_p")).select("_from", F.coalesce("_in", "_jump").alias("_to"))
 
     # First row of each bucket; its ids are broadcast while they are few.
     ids = tops.select(F.col("_bucket").alias("_b"), "_top")

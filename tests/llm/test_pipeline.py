@@ -43,8 +43,9 @@ def test_near_duplicates_leave_the_smallest_id(spark):
 
 def test_contaminated_documents_go(spark):
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
-    rows = [(1, "Start " + item.upper()), (2, "clean words only"), (None, item), (3, None)]
-    assert sorted((r.doc_id or -1) for r in stage("decontaminate")(spark, docs(spark, rows), SF).collect()) == [-1, 2, 3]
+    rows = [(1, "Start " + item.upper()), (2, "clean words only"), (None, item), (None, "clean, without an id"), (3, None), (4, item), (4, "clean, with the id of another")]
+    got = sorted(((r.doc_id or -1), r.text or "") for r in stage("decontaminate")(spark, docs(spark, rows), SF).collect())
+    assert got == [(-1, "clean, without an id"), (2, "clean words only"), (3, ""), (4, "clean, with the id of another")]
 
 
 def test_redaction_counts_characters_anew(spark):

@@ -42,11 +42,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove the documents of which benchmark windows make up a twentieth or
-    more.  Rows without an id stay; rows that share an id go together."""
+    more.  Every row is judged by its own text, also rows without an id or
+    with the id of another."""
     prepare(spark)
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.where("contaminated AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("_bad"), "left_anti")
+    bad = found.where("contaminated").select(F.col("doc_id").alias("_id"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_h1")) & (F.hash(docs["text"]) == F.col("_h2"))
+    return docs.join(bad, same, "left_anti")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

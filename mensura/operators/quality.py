@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 CRITICAL = "CRITICAL"
 WARNING = "WARNING"
 
+#: Upper bounds of a share as a fraction and as a percentage.
+SHARE_TOPS = (1.000001, 100.0001)
+
 RESULT_COLUMNS = ["rule", "table", "severity", "status", "checked", "violations", "detail"]
 
 
@@ -129,6 +132,20 @@ def partition_sum_rule(df: DataFrame, table: str, rule: str, partition, measure:
     return _one(frame, rule, table, severity, detail or f"sum({measure}) per partition = {expected}")
 
 
+def share_range_rule(df: DataFrame, table: str, rule: str, share: str) -> DataFrame:
+    """Shares lie within their scale, [0, 1] or [0, 100] by the largest of them
+    (D-A5).  A table without shares gives a WARNING row that checked nothing."""
+    v = F.col(share)
+    outside = [F.count_if((v < 0) | (v > F.lit(top))) for top in SHARE_TOPS]
+    g = df.agg(F.count(v).alias("n"), F.max(v).alias("top"), outside[0].alias("fraction"), outside[1].alias("percent"))
+    fraction = F.col("top") <= F.lit(SHARE_TOPS[0])
+    return _finish(g.select(
+        F.lit(rule).alias("rule"), F.lit(table).alias("table"),
+        F.when(F.col("n") == 0, F.lit(WARNING)).otherwise(F.lit(CRITICAL)).alias("severity"), F.col("n").alias("checked"),
+        F.when(F.col("n") == 0, F.lit(0)).when(fraction, F.col("fraction")).otherwise(F.col("percent")).alias("violations"),
+        F.when(F.col("n") == 0, F.lit("no share to check")).when(fraction, F.lit("scale [0, 1]")).otherwise(F.lit("scale [0, 100]")).alias("detail")))
+
+
 def orphan_rule(fact: DataFrame, dim: DataFrame, table: str, rule: str, on,
                 severity: str = CRITICAL, detail: str = "") -> DataFrame:
     """Referential integrity (J10): fact rows whose key is absent from the dimension."""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (audits, market, national, oracle, oracle_market, oracle_pages, oracle_resources, oracle_rules,
-               oracle_profiles, oracle_refined, oracle_scalars, oracle_workbook, pages, profiles, refined_b,
+               oracle_profiles, oracle_refined, oracle_refined_a, oracle_scalars, oracle_workbook, pages, profiles, refined_a, refined_b,
                resources, rules, scalars, subcode, workbook)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,9 @@ QUERIES: dict[str, Query] = {
     "s10_sheet_extent": workbook.extents,
     "s11_structure_hash": workbook.structure,
     "s12_extract_records": workbook.records,
+    "k17_refined_a": refined_a.refined,
+    "k17_rules": refined_a.refined_rules,
+    "k17_audit": refined_a.audit,
     "k18_refined_subcode": refined_b.refined,
     # generic aggregate / set / join / ordering operators
     "a3_profile": profiles.profile_subcode,
@@ -114,4 +117,4 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL, **oracle_rules.SQL, **oracle_scalars.SQL,
                           **oracle_resources.SQL, **oracle_pages.SQL, **oracle_workbook.SQL,
-                          **oracle_profiles.SQL, **oracle_refined.SQL}
+                          **oracle_profiles.SQL, **oracle_refined.SQL, **oracle_refined_a.SQL}

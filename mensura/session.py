@@ -147,8 +147,13 @@ def release(spark: SparkSession) -> None:
             del cache[key]
     for key in [k for k in _MATERIALIZED if k[1] == app]:
         for _, _, path in _MATERIALIZED.pop(key):
-            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store Spark finds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df):

@@ -83,33 +83,42 @@ def export_flat(df: DataFrame, path: str, order, fmt: str = "csv", single_file:
 
 def append_run(spark: SparkSession, path: str, record: dict) -> DataFrame:
     """Append one run record to a run log partitioned by layer; returns the
-    re-read record (verification that exactly one row landed)."""
+    re-read record.  Raises unless exactly one row of the run is there then."""
     rec = dict(record)
     rec.setdefault("logged_at_utc", _dt.datetime.now(_dt.timezone.utc).isoformat())
     cols = sorted(rec)
     df = spark.createDataFrame([tuple(str(rec[c]) if rec[c] is not None else None for c in cols)],
                                ", ".join(f"`{c}` string" for c in cols))
     df.write.mode("append").partitionBy("layer").parquet(path)
-    back = spark.read.parquet(path).filter(F.col("run_id") == rec["run_id"])
+    back = spark.read.parquet(path).filter((F.col("run_id") == rec["run_id"]) & (F.col("layer") == rec["layer"]))
+    found = back.count()
+    if found != 1:
+        raise RuntimeError(f"run log {path} holds {found} records of run {rec['run_id']!r} in layer {rec['layer']!r}")
     return back
 
 
 def run_record(spark: SparkSession, run_id: str, layer: str, rules: DataFrame, config,
-               lineage: dict | None = None, started_at: str | None = None) -> dict:
-    """The run record of a layer — ids, versions, config hash, lineage and
-    the rule audit (counts per status; only the grouped counts reach the
-    driver).  Status is FAIL when any CRITICAL rule failed."""
+               lineage: dict | None = None, started_at: str | None = None, metrics: dict | None = None) -> dict:
+    """The run record of a layer — ids, versions, duration, config hash,
+    lineage, the rules' results (a bounded list; counts per status besides)
+    and the metrics that were observed while the tables were written
+    (extraction, cleaning, conversion, normalisation, rows and null cells).
+    Status is FAIL when any CRITICAL rule failed."""
     import json
 
     from ..operators.audit import config_hash
 
-    counts = {r["status"]: r["n"] for r in rules.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    now = _dt.datetime.now(_dt.timezone.utc)
+    start = _dt.datetime.fromisoformat(started_at) if started_at else now
+    found = [r.asDict() for r in rules.select("rule", "table", "severity", "status", "checked", "violations").orderBy("table", "rule").collect()]
+    counts = {s: sum(r["status"] == s for r in found) for s in ("PASS", "WARN", "FAIL")}
     return {
         "run_id": run_id, "layer": layer, "spark_version": spark.version,
-        "started_at_utc": started_at or _dt.datetime.now(_dt.timezone.utc).isoformat(),
+        "started_at_utc": start.isoformat(), "duration_seconds": round((now - start).total_seconds(), 3),
         "config_sha256": config_hash(config), "lineage": json.dumps(lineage or {}, sort_keys=True),
-        "rules_pass": counts.get("PASS", 0), "rules_warn": counts.get("WARN", 0),
-        "rules_fail": counts.get("FAIL", 0), "status": "FAIL" if counts.get("FAIL", 0) else "OK",
+        "rules": json.dumps(found), "metrics": json.dumps(metrics or {}, sort_keys=True),
+        "rules_pass": counts["PASS"], "rules_warn": counts["WARN"],
+        "rules_fail": counts["FAIL"], "status": "FAIL" if counts["FAIL"] else "OK",
     }
 
 

@@ -78,6 +78,29 @@ def read_range(cells: DataFrame, contract: dict) -> DataFrame:
                       *[F.col(f"`{i}`").alias(n) for i, n in enumerate(names, 1)])
 
 
+def read_ranges(cells: DataFrame, contracts: list[dict]) -> DataFrame:
+    """S7 for all declared contracts at once: (file, id_table, _source_row,
+    c1..cN), N the widest contract's columns.
+
+    One range join of the cells with the contracts - equal sheets, rows and
+    columns within the rectangle - serves every table.  Every declared row of
+    every workbook that has the sheet is kept, empty or not; columns beyond a
+    contract's own are null.  Two cells at one place give the lesser text.
+    """
+    spark = cells.sparkSession
+    k = spark.createDataFrame([(c["id_table"], c["sheet"], c["r1"], c["c1"], c["r2"], c["c2"]) for c in contracts],
+                              "id_table int, _sheet string, r1 int, c1 int, r2 int, c2 int")
+    width = max(len(c["semantic_columns"]) for c in contracts)
+    inside = cells.join(k, (F.col("sheet") == F.col("_sheet")) & F.col("row").between(F.col("r1"), F.col("r2"))
+                        & F.col("col").between(F.col("c1"), F.col("c2")))
+    place = F.col("col") - F.col("c1") + 1
+    wide = inside.groupBy("file", "id_table", "row").agg(*[F.min(F.when(place == i, F.col("value"))).alias(f"c{i}") for i in range(1, width + 1)])
+    sheets = cells.select("file", "sheet").distinct()
+    spine = (sheets.join(k, F.col("sheet") == F.col("_sheet"))
+             .select("file", "id_table", F.explode(F.sequence("r1", "r2")).alias("row")))
+    return spine.join(wide, ["file", "id_table", "row"], "left").withColumnRenamed("row", "_source_row")
+
+
 def check_ranges(cells: DataFrame, contracts: DataFrame) -> DataFrame:
     """PASS/FAIL with the reason flags per workbook and contract.
 

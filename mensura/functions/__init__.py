@@ -3,7 +3,7 @@
 from .dates import (calendar_columns, cut_date, date_key, first_year, infer_month,
                     infer_year, month_name, month_start, parse_date, parse_period,
                     shift_months, year_from_text)
-from .hashing import canonical_json, resource_id, row_sha, surrogate_key, version_name
+from .hashing import canonical_json, canonical_text, exact_double, resource_id, row_sha, surrogate_key, version_name
 from .labels import code_label, homologate, level, literal_map, parse_indicator
 from .numbers import (dual_scale_violation, exact_sum, growth, identifier, inexact_count, match_label,
                       parse_int, parse_number, ratio, row_sum, scale, within_tolerance)

@@ -1,9 +1,9 @@
 """Reproducibility queries (R1, R4, R6, R7, R8) over the gold tables.
 
-Fingerprints cannot be reproduced by SQL on another engine (they hash
-Spark's canonical JSON rendering of each row), so R1/R8 carry no SQL
-oracle; tests check them against a brute-force hash of collected fixture
-rows and for invariance under repartitioning and column order.
+Fingerprints hash a typed row text that another engine renders alike, so the
+oracle computes the same ones from its own rows; tests check them against a
+plain hash of collected rows and for invariance under repartitioning and
+column order.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (audits, market, national, oracle, oracle_market, oracle_pages, oracle_resources, oracle_rules,
+from . import (audits, market, national, oracle, oracle_audits, oracle_market, oracle_pages, oracle_resources, oracle_rules,
                oracle_profiles, oracle_refined, oracle_refined_a, oracle_scalars, oracle_workbook, pages, profiles, refined_a, refined_b,
                resources, rules, scalars, subcode, workbook)
 
@@ -117,4 +117,5 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL, **oracle_rules.SQL, **oracle_scalars.SQL,
                           **oracle_resources.SQL, **oracle_pages.SQL, **oracle_workbook.SQL,
-                          **oracle_profiles.SQL, **oracle_refined.SQL, **oracle_refined_a.SQL}
+                          **oracle_profiles.SQL, **oracle_refined.SQL, **oracle_refined_a.SQL,
+                          **oracle_audits.SQL}

@@ -8,9 +8,10 @@ Derivation rules (test-data instance):
   ``2000 + doc_id % 7``; status ``failed`` for texts under 200 chars,
   otherwise cycling over the success statuses; storage layout ``v2`` except
   German sources (``v1``); three manifests per source and layout.
-  Previous run: every document, under a former address when
-  ``doc_id % 5 == 0`` and with a text that differs (one extra space) when
-  ``doc_id % 7 == 0``.  Storage listing: every stored file, left under a
+  Two earlier runs: every document, under a former address when
+  ``doc_id % 5 == 0``; in the last with a text that differs (one extra space)
+  when ``doc_id % 7 == 0``, in the one before (one word more) when
+  ``doc_id % 4 == 0``.  Storage listing: every stored file, left under a
   ``.partial`` name when ``doc_id % 11 == 0``; files of ``doc_id % 13 == 0``
   were altered after download.  No rule removes rows: every query reads
   the whole table.
@@ -117,23 +118,29 @@ def integrity(spark: SparkSession, d: str) -> DataFrame:
                     "reason", "verified")
 
 
-def previous_run(spark: SparkSession, d: str) -> DataFrame:
+def earlier_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Records of the two runs before this one, every resource in each."""
     r = _resources(spark, d)
-    content = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text"))
-    # resources of doc_id % 5 == 0 were published under a former address
-    url = F.when(F.col("doc_id") % 5 == 0, F.concat("source_url", F.lit("?v=old"))).otherwise(F.col("source_url"))
-    return r.select(url.alias("source_url"), F.sha2(content, 256).alias("sha256"), "storage_layout_version",
-                    # every third resource of the last run was copied back, not downloaded
-                    F.when(F.col("doc_id") % 3 == 0, F.lit("recovered_copy")).otherwise(F.lit("downloaded")).alias("status"),
-                    F.lit("2025-12-01T00:00:00Z").alias("downloaded_at_utc"))
+    out = []
+    # In the first run the texts of doc_id % 4 == 0 had a word more.
+    for at, changed in (("2025-11-01T00:00:00Z", F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("x "), F.col("text")))),
+                        ("2025-12-01T00:00:00Z", F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit(" "))))):
+        # resources of doc_id % 5 == 0 were published under a former address
+        url = F.when(F.col("doc_id") % 5 == 0, F.concat("source_url", F.lit("?v=old"))).otherwise(F.col("source_url"))
+        copied = F.lit(at.startswith("2025-12")) & (F.col("doc_id") % 3 == 0)
+        out.append(r.select(url.alias("source_url"), F.sha2(F.coalesce(changed, F.col("text")), 256).alias("sha256"), "storage_layout_version",
+                            # every third resource of the last run was copied back, not downloaded
+                            F.when(copied, F.lit("recovered_copy")).otherwise(F.lit("downloaded")).alias("status"),
+                            F.lit(at).alias("downloaded_at_utc")))
+    return out[0].unionByName(out[1])
 
 
 def snapshot_status(spark: SparkSession, d: str) -> DataFrame:
-    """Classify the current run against the previous one."""
+    """Classify the current run against the two before it."""
     cur = records(spark, d).select(
         "doc_id", "source_url", "sha256",
         F.when(F.col("status") == "failed", F.lit("download failed")).alias("error"))
-    out = M.classify_snapshot(previous_run(spark, d), cur, F.lit(RUN_TS), layout="v2")
+    out = M.classify_snapshot(earlier_runs(spark, d), cur, F.lit(RUN_TS), layout="v2")
     return out.select("doc_id", "source_url", "snapshot_status",
                       F.col("downloaded_at_utc_new").alias("downloaded_at_utc"))
 

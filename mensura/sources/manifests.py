@@ -74,28 +74,59 @@ def eligible_records(records: DataFrame, statuses=SUCCESS_STATUSES, exts=SPREADS
 
 
 def select_period(records: DataFrame, year: int | None = None, month: int | None = None,
-                  by: str = "source") -> DataFrame:
-    """S3: records of the target (year, month) or of the greatest period per ``by``."""
-    if year is not None and month is not None:
-        return records.filter((F.col("document_year") == year) & (F.col("document_month") == month))
-    latest = records.filter(F.col("document_month").isNotNull()).groupBy(by).agg(
-        F.max(F.struct("document_year", "document_month")).alias("_p"))
-    return records.join(latest, by, "inner").filter(
-        (F.col("document_year") == F.col("_p.document_year"))
-        & (F.col("document_month") == F.col("_p.document_month"))).drop("_p")
-
+                  by: str = "source", guard: bool = False) -> DataFrame:
+    """S3: records of the target (year, month) or of the greatest period per ``by``.
 
-def require_single_content(chosen: DataFrame, by: str = "source") -> DataFrame:
+    With ``guard`` a selection without records fails when it is read, and the
+    error lists the periods that there are (none: no month could be inferred).
+    """
+    if year is not None and month is not None:
+        chosen = records.filter((F.col("document_year") == year) & (F.col("document_month") == month))
+        what = f"period {year}-{month:02d}"
+    else:
+        latest = records.filter(F.col("document_month").isNotNull()).groupBy(by).agg(
+            F.max(F.struct("document_year", "document_month")).alias("_p"))
+        chosen = records.join(latest, by, "inner").filter(
+            (F.col("document_year") == F.col("_p.document_year"))
+            & (F.col("document_month") == F.col("_p.document_month"))).drop("_p")
+        what = "latest period"
+    if not guard:
+        return chosen
+    period = F.concat(F.col("document_year").cast("string"), F.lit("-"), F.coalesce(F.lpad(F.col("document_month").cast("string"), 2, "0"), F.lit("?")))
+    there = records.select(F.array_join(F.sort_array(F.collect_set(period)), ", ")).scalar()
+    found = chosen.select(F.count(F.lit(1))).scalar()
+    return chosen.unionByName(_asserted(records, found > 0, F.concat(F.lit(f"{what}: no records; periods found: "), there)))
+
+
+def _asserted(like: DataFrame, holds: Column, message: Column) -> DataFrame:
+    """No rows of ``like``'s columns; reading them fails where ``holds`` does not."""
+    row = like.sparkSession.range(1).filter(F.assert_true(holds, message).isNotNull())
+    return row.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+
+
+def require_single_content(chosen: DataFrame, by: str = "source", guard: bool = False) -> DataFrame:
     """Per ``by``: distinct content hashes of the chosen period; ambiguous
-    when >1; otherwise the record with the smallest (url, path)."""
-    return chosen.groupBy(by, "document_year", "document_month").agg(
+    when >1; otherwise the record with the smallest (url, path).
+
+    With ``guard`` an ambiguous period fails when it is read, and the error
+    names the source, the period and two of the clashing hashes with their
+    addresses.
+    """
+    g = chosen.groupBy(by, "document_year", "document_month").agg(
         F.count_distinct("sha256").alias("distinct_sha"),
         F.min_by(F.struct("source_url", "stored_path", "sha256"),
-                 F.struct("source_url", "stored_path")).alias("_r")) \
-        .select(by, "document_year", "document_month", "distinct_sha",
-                (F.col("distinct_sha") > 1).alias("ambiguous"),
-                F.col("_r.source_url").alias("source_url"), F.col("_r.stored_path").alias("stored_path"),
-                F.col("_r.sha256").alias("sha256"))
+                 F.struct("source_url", "stored_path")).alias("_r"),
+        F.min(F.struct("sha256", "source_url")).alias("_low"), F.max(F.struct("sha256", "source_url")).alias("_high"))
+    ambiguous = F.col("distinct_sha") > 1
+    if guard:
+        clash = F.concat(F.lit("different contents for "), F.col(by).cast("string"), F.lit(" "), F.col("document_year").cast("string"), F.lit("-"),
+                         F.col("document_month").cast("string"), F.lit(": "), F.col("distinct_sha").cast("string"), F.lit(" hashes, among them "),
+                         F.col("_low.sha256"), F.lit(" ("), F.coalesce("_low.source_url", F.lit("?")), F.lit(") and "),
+                         F.col("_high.sha256"), F.lit(" ("), F.coalesce("_high.source_url", F.lit("?")), F.lit(")"))
+        ambiguous = F.when(ambiguous, F.raise_error(clash).cast("boolean")).otherwise(F.lit(False))
+    return g.select(by, "document_year", "document_month", "distinct_sha", ambiguous.alias("ambiguous"),
+                    F.col("_r.source_url").alias("source_url"), F.col("_r.stored_path").alias("stored_path"),
+                    F.col("_r.sha256").alias("sha256"))
 
 
 def newest_file(files: DataFrame, exts=SPREADSHEET_EXTS, by: str = "source") -> DataFrame:
@@ -127,21 +158,40 @@ def verify_files(records: DataFrame, files: DataFrame) -> DataFrame:
     return j.withColumn("reason", reason).withColumn("verified", F.col("reason").isNull())
 
 
+def snapshot_index(history: DataFrame) -> DataFrame:
+    """The last valid record of each URL and storage layout, over any
+    number of runs: (source_url, storage_layout_version, sha256, status,
+    downloaded_at_utc).
+
+    Valid are records with a URL and a status of ``INDEXED_STATUSES``; last is
+    by download time, then hash.  The reduction is associative: adding a run
+    to an index (:func:`updated_index`) equals indexing the whole history.
+    """
+    valid = history.filter(F.col("source_url").isNotNull() & F.col("status").isin(list(INDEXED_STATUSES)))
+    last = F.max_by(F.struct("sha256", "status", "downloaded_at_utc"), F.struct("downloaded_at_utc", "sha256")).alias("_r")
+    return valid.groupBy("source_url", "storage_layout_version").agg(last).select("source_url", "storage_layout_version", "_r.*")
+
+
+def updated_index(index: DataFrame, run: DataFrame) -> DataFrame:
+    """An index with a further run's records."""
+    return snapshot_index(index.unionByName(run.select(*index.columns)))
+
+
 def classify_snapshot(previous: DataFrame, current: DataFrame, run_ts: Column, layout: str | None = None) -> DataFrame:
-    """Idempotent-ingest status of each current resource vs the previous run.
+    """Idempotent-ingest status of each current resource vs earlier runs.
 
     failed -> ``failed``; content already stored for this resource (same URL
     and hash: the versioned name exists) -> ``unchanged``; other content than
     the previous record of this URL -> ``updated_version``; otherwise
-    ``downloaded`` - also for known content under another URL.  The previous
-    record of a URL counts only from a run of the same storage ``layout`` and
-    with a status of ``INDEXED_STATUSES``; its download time is kept.
+    ``downloaded`` - also for known content under another URL.  ``previous``
+    may hold many runs: a URL's previous record is its one in
+    :func:`snapshot_index` for the same storage ``layout`` (None: of any), and
+    its download time is kept.
     """
-    indexed = previous.filter(F.col("source_url").isNotNull())
+    one = previous if layout is not None else previous.withColumn("storage_layout_version", F.lit(None).cast("string"))
+    indexed = snapshot_index(one)
     if layout is not None:
         indexed = indexed.filter(F.col("storage_layout_version") == layout)
-    if "status" in previous.columns:
-        indexed = indexed.filter(F.col("status").isin(list(INDEXED_STATUSES)))
     prev = indexed.select(F.col("source_url").alias("_url"), F.col("sha256").alias("_prev_sha"), F.col("downloaded_at_utc").alias("_prev_at"))
     stored = previous.filter(F.col("sha256").isNotNull()).select(
         F.col("source_url").alias("_stored_url"), F.col("sha256").alias("_stored_sha")).distinct()

@@ -1,12 +1,15 @@
 """Rule registry (mutation tests), fingerprints (invariance + brute force),
 sinks (write/verify/lineage/export/run log/compaction) and the stream."""
 
+import datetime
 import hashlib
+import math
 import os
+import random
 
 from pyspark.sql import functions as F
 
-from mensura.functions.hashing import canonical_json
+from mensura.functions.hashing import canonical_text
 from mensura.operators import audit as R
 from mensura.operators import quality as Q
 from mensura.sinks import tables as W
@@ -61,9 +64,25 @@ def test_grouped_rules_and_gate(spark):
         assert "key_unique" in str(e)
 
 
+def _plain_text(df, row):
+    """The typed row text, written in Python."""
+    def value(v, kind):
+        if v is None:
+            return "~"
+        if kind == "double":
+            m, e = math.frexp(abs(v))  # m in [0.5, 1)
+            body = "nan" if v != v else "inf" if abs(v) == math.inf else "0" if abs(v) < 1e-300 else f"{int(m * 2 ** 53)}e{e - 1}"
+            return "F" + ("-" if v < 0 and body != "0" else "") + body
+        if kind == "string":
+            return f"S{len(v)}:{v}"
+        return {"boolean": lambda: f"B{int(v)}", "date": lambda: f"D{v}"}.get(kind, lambda: f"I{v}")()
+
+    return "|".join(value(row[c], t) for c, t in sorted(df.dtypes))
+
+
 def _brute(df):
-    """Reference combination computed in Python from the canonical JSON rows."""
-    rows = [r[0] for r in df.select(canonical_json(df)).collect()]
+    """Reference combination computed in Python."""
+    rows = [_plain_text(df, r) for r in df.collect()]
     hs = [hashlib.sha256(x.encode()).hexdigest() for x in rows]
     s1 = sum(int(h[:15], 16) for h in hs)
     s2 = sum(int(h[15:30], 16) for h in hs)
@@ -82,6 +101,31 @@ def test_fingerprint_invariance_and_brute_force(spark):
     assert R.fingerprint(dup, "t").first()["content_sha"] != fp["content_sha"]
 
 
+def test_doubles_by_their_exact_value(spark):
+    values = [0.0, -0.0, 1.0, -1.0, 0.1, 1 / 3, 2.0 ** 60, 2.0 ** 60 - 128, 123456789.12, 1e300, 1e-290, 5e-324, 0.9999999999999999, 1.9999999999999998,
+              math.inf, -math.inf, math.nan, None] + [random.Random(4).uniform(-1, 1) * 10.0 ** k for k in range(-30, 30)]
+    df = spark.createDataFrame([(v, str(i), datetime.date(2020, 1, 1 + i % 28), i % 2 == 0) for i, v in enumerate(values)], "x double, s string, d date, b boolean")
+    got = {r["s"]: r["t"] for r in df.select("s", canonical_text(df).alias("t")).collect()}
+    assert got == {r["s"]: _plain_text(df, r) for r in df.collect()}
+
+
+def test_written_rows_are_compared_by_bucket(spark):
+    df = spark.range(2000).selectExpr("id", "concat('v', id % 50) AS v", "id / 7.0D AS x", "IF(id % 9 = 0, null, id) AS n")
+    again = df.repartition(5)
+    assert R.differing_buckets(df, again, 64) == []
+    assert "Except" not in R.bucket_digests(df, 64)._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["status"] for r in R.verify_write(df, again).collect()} == {"PASS"}
+    changed = df.withColumn("x", F.when(F.col("id") == 777, -1.0).otherwise(F.col("x")))
+    assert 1 <= len(R.differing_buckets(df, changed, 64)) <= 2
+    assert {r["check"] for r in R.verify_write(df, changed).filter("NOT ok").collect()} == {"missing_in_written", "extra_in_written"}
+    twice = df.unionByName(df.filter("id = 5"))
+    assert {r["check"] for r in R.verify_write(df, twice).filter("NOT ok").collect()} == {"rows", "extra_in_written"}
+    assert {r["check"] for r in R.verify_write(df, df.select("v", "id", "x", "n")).filter("NOT ok").collect()} == {"columns"}
+    assert {r["check"] for r in R.verify_write(df, df.drop("n")).filter("NOT ok").collect()} == {"columns", "types"}
+    nothing = df.limit(0)
+    assert {r["status"] for r in R.verify_write(nothing, nothing).collect()} == {"PASS"}
+
+
 def test_compare_runs(spark):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
     a = R.snapshot({"t": df})
@@ -135,6 +179,43 @@ def test_snapshot_classification(spark):
                    ("u5b", "h5"): ("downloaded", "now"), ("u6", "h0"): ("downloaded", "now"), ("u5", "h8"): ("downloaded", "now")}
 
 
+def test_snapshot_index_over_a_history(spark):
+    from mensura.sources.manifests import classify_snapshot, snapshot_index, updated_index
+
+    schema = "source_url string, sha256 string, storage_layout_version string, status string, downloaded_at_utc string"
+    runs = [[("u1", "h1", "v2", "downloaded", "t1"), ("u2", "a", "v1", "downloaded", "t1"), (None, "z", "v2", "downloaded", "t1")],
+            [("u1", "h2", "v2", "updated_version", "t2"), ("u2", "b", "v2", "downloaded", "t2"), ("u3", "c", "v2", "failed", "t2")],
+            [("u1", "h3", "v2", "failed", "t3"), ("u2", "d", "v1", "unchanged", "t3")]]
+    frames = [spark.createDataFrame(r, schema) for r in runs]
+    whole = snapshot_index(frames[0].unionByName(frames[1]).unionByName(frames[2]))
+    step = updated_index(updated_index(snapshot_index(frames[0]), frames[1]), frames[2])
+    got = sorted(map(tuple, whole.collect()))
+    assert got == sorted(map(tuple, step.collect()))
+    assert [(r[0], r[1], r[2], r[4]) for r in got] == [("u1", "v2", "h2", "t2"), ("u2", "v1", "d", "t3"), ("u2", "v2", "b", "t2")]
+    history = frames[0].unionByName(frames[1]).unionByName(frames[2])
+    cur = spark.createDataFrame([("u1", "h1", None), ("u1", "h9", None), ("u2", "b", None)], "source_url string, sha256 string, error string")
+    rows = [(r.source_url, r.sha256, r.snapshot_status, r.downloaded_at_utc_new) for r in classify_snapshot(history, cur, F.lit("now"), layout="v2").collect()]
+    assert sorted(rows) == [("u1", "h1", "unchanged", "t2"), ("u1", "h9", "updated_version", "now"), ("u2", "b", "unchanged", "t2")]
+
+
+def test_period_guards_name_what_there_is(spark):
+    import pytest
+
+    from mensura.sources.manifests import require_single_content, select_period
+
+    schema = "source string, source_url string, stored_path string, sha256 string, document_year int, document_month int"
+    rec = spark.createDataFrame([("s", "u1", "p1", "h1", 2024, 5), ("s", "u2", "p2", "h2", 2024, 5), ("s", "u3", "p3", "h3", 2024, 4), ("s", "u4", "p4", "h4", 2023, None)], schema)
+    assert select_period(rec, 2024, 4, guard=True).count() == 1 and select_period(rec, guard=True).count() == 2
+    with pytest.raises(Exception, match="period 2025-01: no records; periods found: 2023-[?], 2024-04, 2024-05"):
+        select_period(rec, 2025, 1, guard=True).collect()
+    with pytest.raises(Exception, match="latest period: no records; periods found: 2023-[?]"):
+        select_period(rec.filter("document_month IS NULL"), guard=True).collect()
+    with pytest.raises(Exception, match=r"different contents for s 2024-5: 2 hashes, among them h1 \(u1\) and h2 \(u2\)"):
+        require_single_content(select_period(rec), guard=True).collect()
+    assert require_single_content(select_period(rec, 2024, 4), guard=True).first()["sha256"] == "h3"
+    assert require_single_content(select_period(rec)).first()["ambiguous"]
+
+
 def test_release_forgets_staged_tables(spark):
     from mensura.session import materialize, release
 

@@ -99,15 +99,15 @@ FROM j"""
 
 SQL["s16_snapshot_status"] = f"""WITH {REC},
 runs AS (SELECT CASE WHEN d.doc_id % 5 = 0 THEN r.source_url || '?v=old' ELSE r.source_url END AS source_url, r.storage_layout_version AS layout,
-                sha256(CASE WHEN d.doc_id % 7 = 0 THEN d.text || ' ' ELSE d.text END) AS sha256, d.doc_id % 3 = 0 AS copied, '2025-12-01T00:00:00Z' AS at
+                sha256(CASE WHEN d.doc_id % 7 = 0 THEN d.text || ' ' ELSE d.text END) AS sha256, d.doc_id % 3 = 0 AS copied, '2025-12-01T00:00:00Z' AS seen_at
          FROM rec r JOIN documents d ON d.doc_id = r.doc_id
          UNION ALL
          SELECT CASE WHEN d.doc_id % 5 = 0 THEN r.source_url || '?v=old' ELSE r.source_url END, r.storage_layout_version,
                 sha256(CASE WHEN d.doc_id % 4 = 0 THEN 'x ' || d.text ELSE d.text END), false, '2025-11-01T00:00:00Z'
          FROM rec r JOIN documents d ON d.doc_id = r.doc_id),
-last AS (SELECT source_url, arg_max(sha256, at) AS ps, max(at) AS pa FROM runs WHERE layout = 'v2' AND NOT copied GROUP BY 1),
+idx AS (SELECT source_url, arg_max(sha256, seen_at) AS ps, max(seen_at) AS pa FROM runs WHERE layout = 'v2' AND NOT copied GROUP BY 1),
 stored AS (SELECT DISTINCT source_url, sha256 FROM runs),
-q AS (SELECT c.*, ps, pa, st.sha256 IS NOT NULL AS stored FROM rec c LEFT JOIN last USING (source_url)
+q AS (SELECT c.*, ps, pa, st.sha256 IS NOT NULL AS stored FROM rec c LEFT JOIN idx USING (source_url)
       LEFT JOIN stored st ON st.source_url = c.source_url AND st.sha256 = c.sha256),
 s AS (SELECT *, CASE WHEN status = 'failed' THEN 'failed' WHEN stored THEN 'unchanged'
              WHEN ps <> sha256 THEN 'updated_version' ELSE 'downloaded' END AS snapshot_status FROM q)

@@ -9,8 +9,10 @@ Scale notes
 * Shares (N7) are computed as a grouped total joined back on the partition
   key: the totals are partially aggregated map-side and are tiny, so AQE
   broadcasts them; no single task ever holds a whole period.
-* Ranks and raw lags use windows, but only on already-aggregated grains
-  whose partitions are bounded by the number of codes / years.
+* Ranks (N8-N10) number rows within ranges of the order key and add the
+  ranges before, so that no task holds a whole period.
+* Raw lags use windows, on aggregated grains whose partitions are a code's
+  or label's years.
 """
 
 from __future__ import annotations
@@ -161,22 +163,78 @@ def share_of(df: DataFrame, partition, measure: str, out_col: str,
     Totals are a grouped aggregate (partial + final) joined back on the
     partition key; AQE broadcasts the small totals side at run time.
     """
+    return shares_of(df, df, partition, {out_col: measure}, require_value)
+
+
+def shares_of(df: DataFrame, base: DataFrame, partition, shares: dict[str, str], require_value: bool = False) -> DataFrame:
+    """N7 for several ``shares`` {out: measure} at once: the totals of all of
+    them are one aggregate over ``base``, the table that ``df`` was made of."""
+    partition = list(partition)
+    totals = base.groupBy(*partition).agg(*[exact_sum(m, MEASURE_SCALE).alias(f"_total_{out}") for out, m in shares.items()])
+    done = df.join(totals, on=partition, how="left")
+    for out, m in shares.items():
+        ok = F.col(f"_total_{out}") > 0
+        if require_value:
+            ok = ok & F.col(m).isNotNull()
+        done = done.withColumn(out, F.when(ok, F.col(m) / F.col(f"_total_{out}"))).drop(f"_total_{out}")
+    return done
+
+
+#: Pieces that a hot period's ranking is cut into, and the rows sampled for it.
+RANK_RANGES, RANK_SAMPLE = 32, 2048
+
+
+def _with_range(df: DataFrame, order: Column, base: DataFrame, name: str) -> DataFrame:
+    """Adds the number of the range that a row's order key falls into: how many
+    bounds lie below it.  Bounds are sampled from ``base``; they only balance
+    the tasks, any bounds give the same ranks."""
+    # The rows with the smallest hashes: a bounded sample, the same on every run.
+    some = base.select(order.alias("_key")).withColumn("_h", F.xxhash64("_key")).orderBy("_h").limit(RANK_SAMPLE)
+    step = max(1, RANK_SAMPLE // RANK_RANGES)
+    keys = some.agg(F.sort_array(F.collect_list("_key")).alias("k")).select(
+        F.filter("k", lambda x, i: (i % step) == (step - 1)).alias("k")).scalar()
+    return df.withColumn("_bounds", keys).withColumn(name, F.size(F.filter("_bounds", lambda x: x < order))).drop("_bounds")
+
+
+def ranked_in(df: DataFrame, partition, ranks: dict[str, tuple[str, str]], method: str = "row_number") -> DataFrame:
+    """``ranks`` {out: (measure, tie)} within the partition, each by
+    measure descending (nulls last), then tie ascending; INT.
+
+    Two passes, so that a period of any size spreads over tasks: rows are
+    numbered within ranges of the order key, and a row's rank is its number
+    plus the rows (``dense_rank``: distinct keys) of the ranges before its own,
+    of which there are at most ``RANK_RANGES`` a partition.  Equal keys share a
+    range, so ties rank exactly as in one window.  ``df`` is read once more
+    for each rank and for its bounds: give it a written table.
+    """
     partition = list(partition)
-    tot_col = f"_total_{measure}"
-    totals = df.groupBy(*partition).agg(exact_sum(measure, MEASURE_SCALE).alias(tot_col))
-    out = df.join(totals, on=partition, how="left")
-    ok = F.col(tot_col) > 0
-    if require_value:
-        ok = ok & F.col(measure).isNotNull()
-    return out.withColumn(out_col, F.when(ok, F.col(measure) / F.col(tot_col))).drop(tot_col)
+    based, windows, sizes = df, {}, {}
+    for out, (measure, tie) in ranks.items():
+        m = F.col(measure)
+        down = F.when(F.isnan(m.cast("double")), F.lit(float("-inf"))).otherwise(-m)
+        key = F.struct(m.isNull().alias("none"), down.alias("down"), F.col(tie).alias("tie"))
+        based = _with_range(based, key, df, f"_range_{out}")
+        w = Window.partitionBy(*partition, f"_range_{out}").orderBy(m.desc_nulls_last(), F.col(tie).asc())
+        windows[out] = (F.row_number() if method == "row_number" else F.dense_rank()).over(w)
+        sizes[out] = F.count(F.lit(1)) if method == "row_number" else F.count_distinct(key)
+    done = based
+    for out, own in windows.items():
+        place, p_place = f"_range_{out}", f"_p_range_{out}"
+        before = Window.partitionBy(*partition).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+        counted = based.groupBy(*partition, place).agg(sizes[out].alias("_n")).select(
+            *[F.col(c).alias(f"_p_{c}") for c in partition], F.col(place).alias(p_place), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        same = F.col(place) == F.col(p_place)
+        for c in partition:
+            same = same & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
+        done = (done.withColumn("_own", own).join(counted, same).withColumn(out, (F.col("_own") + F.col("_before")).cast("int"))
+                .drop("_own", "_before", p_place, *[f"_p_{c}" for c in partition]))
+    return done.drop(*[f"_range_{out}" for out in ranks])
 
 
 def rank_in(df: DataFrame, partition, measure: str, tie: str, out_col: str,
             method: str = "row_number") -> DataFrame:
     """Rank by ``measure`` desc (nulls last), ``tie`` asc; INT."""
-    w = Window.partitionBy(*partition).orderBy(F.col(measure).desc_nulls_last(), F.col(tie).asc())
-    fn = F.row_number() if method == "row_number" else F.dense_rank()
-    return df.withColumn(out_col, fn.over(w).cast("int"))
+    return ranked_in(df, partition, {out_col: (measure, tie)}, method)
 
 
 def rollup(df: DataFrame, keys, sums: dict, distinct: dict | None = None,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_columns
 from ..functions.numbers import MEASURE_SCALE, exact_sum, ratio
-from ..operators.series import growth_by_year, lag_growth, rank_in, rollup, share_of
+from ..operators.series import growth_by_year, lag_growth, ranked_in, rollup, shares_of
 from ..session import materialize, per_session
 from . import inputs
 
@@ -119,11 +119,9 @@ def serving(spark: SparkSession, d: str) -> DataFrame:
     """Flat serving: shares and ranks per period, annual coverage, last-period flag."""
     e = enriched(spark, d)
     cat = catalogue(spark, d)
-    s = e.join(cat, "subcode", "left")
-    s = share_of(s, ["period_date"], "tonnes", "share_tonnes_period")
-    s = share_of(s, ["period_date"], "fob_usd", "share_fob_period")
-    s = rank_in(s, ["period_date"], "tonnes", "subcode", "rank_tonnes_period")
-    s = rank_in(s, ["period_date"], "fob_usd", "subcode", "rank_fob_period")
+    s = ranked_in(e, ["period_date"], {"rank_tonnes_period": ("tonnes", "subcode"), "rank_fob_period": ("fob_usd", "subcode")})
+    s = shares_of(s, e, ["period_date"], {"share_tonnes_period": "tonnes", "share_fob_period": "fob_usd"})
+    s = s.join(cat, "subcode", "left")
     annual = annual_summary(spark, d).select(
         "year", "months_reported", "complete",
         F.when(F.col("complete"), F.lit("COMPLETO")).otherwise(F.lit("PARCIAL")).alias("year_coverage"))

@@ -6,11 +6,11 @@ text, O25 safe_filename, F4/F5 label and format predicates.
 
 from __future__ import annotations
 
-import re
+import json
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,68 +54,160 @@ def clean_text(c, null_tokens=NULL_TOKENS) -> Column:
     return bind(s, lambda x: F.when(F.upper(x).isin(tokens), F.lit(None).cast("string")).otherwise(x))
 
 
-@lru_cache(maxsize=1)
-def _accent_table() -> tuple[str, str]:
-    """Latin letters whose NFKD form is one ASCII letter plus combining marks.
+#: White space as Unicode has it (what ``str.split`` splits at).
+SPACE = "[" + "".join(f"\\x{{{cp:x}}}" for cp in range(0x3001) if chr(cp).isspace()) + "]+"
+
+
+def _ranges(points: list[int]) -> str:
+    """Regular-expression class of sorted code points."""
+    out, first = [], None
+    for i, p in enumerate(points):
+        first = p if first is None else first
+        if i + 1 == len(points) or points[i + 1] != p + 1:
+            out.append(f"\\x{{{first:x}}}-\\x{{{p:x}}}")
+            first = None
+    return "[" + "".join(out) + "]"
+
 
-    Built by rule over U+00C0..U+024F and U+1E00..U+1EFF, so the table is the
-    exact NFKD-and-strip result for every precomposed Latin letter.
+class Mapping:
+    """A text per code point, from a rule, as a column expression.
+
+    Code points that map to one character or none are translated; those that
+    map to several are looked up by number in a two-level table (pages of 256),
+    and only texts that hold one of them are taken apart for it.
     """
-    src, dst = [], []
-    for cp in list(range(0x00C0, 0x0250)) + list(range(0x1E00, 0x1F00)):
-        ch = chr(cp)
-        decomposed = unicodedata.normalize("NFKD", ch)
-        base = "".join(x for x in decomposed if not unicodedata.combining(x))
-        if len(base) == 1 and base != ch and base.isascii():
-            src.append(ch)
-            dst.append(base)
-    return "".join(src), "".join(dst)
 
+    def __init__(self, rule: Callable[[str], str]):
+        single, gone, self.several = [], [], {}
+        for cp in range(0x110000):
+            ch = chr(cp)
+            if 0xD800 <= cp < 0xE000:
+                continue
+            to = rule(ch)
+            if to == "":
+                gone.append(ch)
+            elif len(to) > 1:
+                self.several[cp] = to
+            elif to != ch:
+                single.append((ch, to))
+        self.source = "".join([c for c, _ in single] + gone)
+        self.target = "".join(t for _, t in single)
+
+    def __call__(self, c) -> Column:
+        c = as_col(c)
+        if self.several:
+            table = _two_level(self.several, "string")
+            taken = F.array_join(F.transform(F.regexp_extract_all(c, F.lit("(?s)(.)"), 1), lambda ch: F.coalesce(_at(table, ch), ch)), "")
+            c = F.when(c.rlike(_ranges(sorted(self.several))), taken).otherwise(c)
+        return F.translate(c, self.source, self.target)
+
+
+@lru_cache(maxsize=1)
+def _folding() -> Mapping:
+    """Compatibility decomposition without the marks that combine (combining
+    class not 0).  Marks are dropped wherever they stand, so a text folds
+    character by character."""
+    return Mapping(lambda ch: "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x)))
 
-def strip_accents(c) -> Column:
-    """Remove diacritics: of precomposed Latin letters by translation, and
-    combining marks of letters that are decomposed already."""
-    src, dst = _accent_table()
-    return F.regexp_replace(F.translate(as_col(c), src, dst), r"\p{M}+", "")
 
+def strip_accents(c) -> Column:
+    """Compatibility decomposition without combining marks; marks of class 0
+    (vowel signs of Indic scripts among them) stay."""
+    return _folding()(c)
 
-def normalize_match(c, case: str = "upper") -> Column:
-    """O2: accent-stripped, whitespace-collapsed, trimmed, upper (or lower) text.
 
-    Native form: Latin diacritics removed by a rule-built translate table.
-    :func:`normalize_match_exact` is the Arrow UDF with full NFKD.
-    """
-    s = F.trim(F.regexp_replace(strip_accents(c), r"\s+", " "))
+def normalize_match(c, case: str | None = "upper") -> Column:
+    """O2: decomposed text without combining marks, white space collapsed,
+    trimmed, upper (or lower) case; None leaves the case."""
+    s = F.trim(F.regexp_replace(strip_accents(c), SPACE, " "))
     if case is None:
         return s
     return F.upper(s) if case == "upper" else F.lower(s)
 
 
-def _nfkd_fold(v, upper: bool):
-    if v is None:
-        return None
-    t = unicodedata.normalize("NFKD", v)
-    t = "".join(ch for ch in t if not unicodedata.combining(ch))
-    t = re.sub(r"\s+", " ", t).strip()
-    return t.upper() if upper else t.lower()
+def _two_level(values: dict[int, object], kind: str) -> Column:
+    """Table of values by code point, as pages of 256."""
+    pages = {cp >> 8 for cp in values}
+    rows = [[values.get(page << 8 | low) for low in range(256)] if page in pages else None for page in range(max(pages) + 1)]
+    return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), f"array<array<{kind}>>")
 
 
-def _nfkd_upper(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: _nfkd_fold(v, True))
+def _at(table: Column, ch: Column) -> Column:
+    cp = F.ascii(ch)
+    return F.get(F.get(table, F.shiftright(cp, 8)), cp.bitwiseAND(F.lit(255)))
 
 
-def _nfkd_lower(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: _nfkd_fold(v, False))
+#: Fixed values of the Hangul arithmetic: first syllable, leading consonant,
+#: vowel, trailing consonant (one before the first), vowels and trailing forms.
+HANGUL, LEAD, VOWEL, TRAIL, VOWELS, TRAILS = 0xAC00, 0x1100, 0x1161, 0x11A7, 21, 28
+LEADS = 19
+
+
+@lru_cache(maxsize=1)
+def _composition() -> tuple[Mapping, dict[int, int], dict[str, str]]:
+    """(compatibility decomposition but for Hangul syllables, combining
+    classes, composites by their two parts)."""
+    def decomposed(ch: str) -> str:
+        return ch if HANGUL <= ord(ch) < HANGUL + LEADS * VOWELS * TRAILS else unicodedata.normalize("NFKD", ch)
+
+    classes, pairs = {}, {}
+    for cp in range(0x110000):
+        if 0xD800 <= cp < 0xE000:
+            continue
+        ch = chr(cp)
+        if unicodedata.combining(ch):
+            classes[cp] = unicodedata.combining(ch)
+        parts = unicodedata.decomposition(ch).split()
+        if len(parts) == 2 and not parts[0].startswith("<") and unicodedata.normalize("NFC", ch) == ch:
+            pairs["".join(chr(int(p, 16)) for p in parts)] = ch
+    return Mapping(decomposed), classes, pairs
 
 
-def normalize_match_exact(c, case: str = "upper") -> Column:
-    """O2 with Python's full NFKD (compatibility forms too), Arrow-batched.
+def nfkc(c) -> Column:
+    """Compatibility composition (NFKC), as a column expression.
 
-    Per-row Python is a small helper here: it runs inside Spark tasks on Arrow
-    batches; the native :func:`normalize_match` is the default.
+    Characters are decomposed by table, marks put in canonical order, and each
+    composed with the starter before it unless a mark of its class or higher
+    stands between; Hangul by arithmetic.  ASCII texts pass as they are.
     """
-    fn = _nfkd_upper if case == "upper" else _nfkd_lower
-    return F.pandas_udf(fn, "string")(as_col(c))
+    mapping, classes, pairs = _composition()
+    c = as_col(c)
+    class_table = _two_level(classes, "int")
+    composites = F.from_json(F.lit(json.dumps(pairs, ensure_ascii=False)), "map<string,string>")
+    item = "struct<run:int,class:int,at:int,ch:string>"
+
+    def listed(seen: Column, ch: Column) -> Column:
+        own = F.coalesce(_at(class_table, ch), F.lit(0))
+        run = seen["run"] + F.when(own == 0, 1).otherwise(0)
+        entry = F.struct(run.alias("run"), own.alias("class"), F.size(seen["list"]).alias("at"), ch.alias("ch"))
+        return F.struct(F.array_append(seen["list"], entry).alias("list"), run.alias("run"))
+
+    def composed(first: Column, second: Column) -> Column:
+        a, b = F.ascii(first), F.ascii(second)
+        syllable = F.when(a.between(LEAD, LEAD + LEADS - 1) & b.between(VOWEL, VOWEL + VOWELS - 1), ((a - LEAD) * VOWELS + (b - VOWEL)) * TRAILS + HANGUL)
+        whole = a.between(HANGUL, HANGUL + LEADS * VOWELS * TRAILS - 1) & ((a - HANGUL) % TRAILS == 0)
+        syllable = F.coalesce(syllable, F.when(whole & b.between(TRAIL + 1, TRAIL + TRAILS - 1), a + b - TRAIL))
+        # Hangul lies in three UTF-8 bytes
+        byte = [F.lit(0xE0) + F.shiftright(syllable, 12), F.lit(0x80) + F.shiftright(syllable, 6).bitwiseAND(F.lit(63)), F.lit(0x80) + syllable.bitwiseAND(F.lit(63))]
+        made = F.decode(F.unhex(F.concat(*[F.hex(x) for x in byte])), "UTF-8")
+        return F.coalesce(made, F.element_at(composites, F.concat(first, second)))
+
+    def step(s: Column, x: Column) -> Column:
+        free = (s["starter"] != "") & ((s["rest"] == "") | (s["last"] < x["class"]))
+        one = F.when(free, composed(s["starter"], x["ch"]))
+        fresh = one.isNull() & (x["class"] == 0)
+        return F.struct(
+            F.when(fresh, F.concat(s["done"], s["starter"], s["rest"])).otherwise(s["done"]).alias("done"),
+            F.when(fresh, x["ch"]).otherwise(F.coalesce(one, s["starter"])).alias("starter"),
+            F.when(fresh, F.lit("")).when(one.isNull(), F.concat(s["rest"], x["ch"])).otherwise(s["rest"]).alias("rest"),
+            F.when(fresh, F.lit(0)).when(one.isNull(), x["class"]).otherwise(s["last"]).alias("last"))
+
+    start = F.struct(F.array().cast(f"array<{item}>").alias("list"), F.lit(0).alias("run"))
+    none = F.struct(F.lit("").alias("done"), F.lit("").alias("starter"), F.lit("").alias("rest"), F.lit(0).alias("last"))
+    chars = F.regexp_extract_all(mapping(c), F.lit("(?s)(.)"), 1)
+    ordered = F.array_sort(F.aggregate(chars, start, listed, lambda s: s["list"]))
+    full = F.aggregate(ordered, none, step, lambda s: F.concat(s["done"], s["starter"], s["rest"]))
+    return F.when(c.rlike(r"[^\x00-\x7f]"), full).otherwise(c)
 
 
 def canonical_label(c, aliases=None, null_tokens=NULL_TOKENS_WITH_DASH) -> Column:
@@ -159,14 +251,14 @@ def safe_filename(c, default: str = "archivo_descargado") -> Column:
 
     The query and fragment are cut off the raw URL (an encoded ``%3F`` is part
     of the name), the path is percent-decoded (a ``+`` stays a ``+``) and its
-    last segment kept; ``<>:"/\\|?*`` and control characters become ``_``,
-    white space is collapsed, blanks and dots are stripped at both ends, and an
-    empty name gives ``default``.  (NFKC is not applied natively.)
+    last segment kept and composed (NFKC); ``<>:"/\\|?*`` and control
+    characters become ``_``, white space is collapsed, blanks and dots are
+    stripped at both ends, and an empty name gives ``default``.
     """
     s = F.regexp_replace(as_col(c), r"(?s)[?#].*$", "")
     s = F.try_url_decode(F.replace(s, F.lit("+"), F.lit("%2B")))
-    s = F.regexp_extract(s, r"([^/]*)$", 1)
+    s = bind(F.regexp_extract(s, r"([^/]*)$", 1), nfkc)
     s = F.regexp_replace(s, UNSAFE_FILENAME_CHARS, "_")
-    s = F.regexp_replace(s, r"\s+", " ")
+    s = F.regexp_replace(s, SPACE, " ")
     s = F.regexp_replace(s, r"^[ .]+|[ .]+$", "")
     return F.when(s.isNull() | (s == ""), F.lit(default)).otherwise(s)

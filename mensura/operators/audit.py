@@ -102,6 +102,69 @@ def lineage_link(props: DataFrame, upstream: str, downstream: str, link_key: str
     return out
 
 
+def layer_contract(props: DataFrame, tables: list[str], expected: dict[str, str], single: list[str], bounds: DataFrame,
+                   period_key: str) -> DataFrame:
+    """Cross-table contract of a layer (D-C, with R2): (check, key, tables,
+    violations, status).
+
+    ``props``: (layer, table, key, value) of a whole layer.  Every one of
+    ``tables`` has each property of ``expected`` with its value; those of
+    ``single`` (run id, input hash, report period) are not blank and the same
+    in all; no month of ``bounds`` (table, period_max date) lies after the
+    table's own ``period_key`` (yyyy-MM).  A table that lacks a property
+    violates its check.
+    """
+    spark = props.sparkSession
+    keys = [("expected", k, v) for k, v in expected.items()] + [("single", k, None) for k in single]
+    wanted = spark.createDataFrame([(c, k, v, t) for c, k, v in keys for t in tables], "check string, key string, want string, table string")
+    have = props.select(F.col("table").alias("_t"), F.col("key").alias("_k"), "value")
+    j = wanted.join(have, (F.col("table") == F.col("_t")) & (F.col("key") == F.col("_k")), "left")
+    blank = F.col("value").isNull() | (F.trim("value") == "")
+    g = j.groupBy("check", "key").agg(
+        F.count(F.lit(1)).alias("tables"), F.count_if(blank).alias("blank"), F.count_distinct("value").alias("values"),
+        F.count_if(~F.col("value").eqNullSafe(F.col("want"))).alias("other"))
+    checks = g.select("check", "key", "tables", F.when(F.col("check") == "expected", F.col("other")).otherwise(F.col("blank") + F.greatest(F.col("values") - 1, F.lit(0))).alias("violations"))
+    period = have.filter(F.col("_k") == period_key)
+    late = bounds.join(period, F.col("table") == F.col("_t"), "left")
+    after = F.coalesce(F.date_format("period_max", "yyyy-MM") > F.col("value"), F.col("value").isNull())
+    checks = checks.unionByName(late.agg(F.lit("bounds").alias("check"), F.lit(period_key).alias("key"), F.count(F.lit(1)).alias("tables"), F.count_if(after).alias("violations")))
+    return checks.withColumn("status", F.when(F.col("violations") == 0, F.lit("PASS")).otherwise(F.lit("FAIL")))
+
+
+def technical_suite(spark, names: dict[str, str], expected_rows: dict[str, int], expected_columns: dict[str, list], expected_props: dict[str, str]) -> DataFrame:
+    """D-QA over persisted tables, as the catalog names them: (table, test,
+    status, detail) for readable, rows, columns, exact duplicates, lineage.
+
+    Each table is read once: one aggregate by all its columns gives rows and
+    duplicate groups.  A table that cannot be read fails its first test and
+    has no others.
+    """
+    parts = []
+    for logical, name in names.items():
+        def result(test: str, ok, detail, logical=logical):
+            return F.struct(F.lit(logical).alias("table"), F.lit(test).alias("test"),
+                            F.when(ok, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"), detail.cast("string").alias("detail"))
+
+        try:
+            t = spark.table(name)
+            counted = t.groupBy(*[F.col(f"`{c}`") for c in t.columns]).agg(F.count(F.lit(1)).alias("_n")).agg(
+                F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count_if(F.col("_n") > 1).alias("groups"))
+            have = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+            row = counted.first()  # one row: whether the files can be read at all
+        except Exception as e:
+            parts.append(spark.range(1).select(F.inline(F.array(result("readable", F.lit(False), F.lit(type(e).__name__))))))
+            continue
+        lineage = all(have.get(k) == v for k, v in expected_props.items())
+        parts.append(spark.range(1).select(F.inline(F.array(
+            result("readable", F.lit(True), F.lit("")),
+            result("rows", F.lit(row["rows"] == expected_rows[logical]), F.lit(row["rows"])),
+            result("columns", F.lit(t.columns == expected_columns[logical]), F.lit(",".join(t.columns))),
+            result("exact_duplicates", F.lit(row["groups"] == 0), F.lit(row["groups"])),
+            result("lineage", F.lit(lineage), F.lit(",".join(sorted(expected_props)))),
+        ))))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def status_counts(rules: DataFrame) -> DataFrame:
     """Number of rules per status (PASS/WARN/FAIL)."""
     return rules.groupBy("status").agg(F.count(F.lit(1)).alias("rules"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.labels import LEVEL_DETAIL
 from ..operators import audit as R
 from ..session import separate_run
 from . import market, national, rules, subcode
@@ -53,20 +54,22 @@ def rule_status_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def expected_rows(spark: SparkSession, d: str) -> DataFrame:
     """Observed row counts against expectations derived from the inputs:
-    one national row per month present in either source, one serving row per
-    fact row, one annual row per year."""
+    one national row per month present in either source, one market row per
+    detailed destination, cut and year, one serving row per fact row, one
+    annual row per year."""
     snap = R.snapshot(_gold(spark, d)).select("table", "rows")
     months = national.national_base(spark, d).select(F.count(F.lit(1))).scalar()
     facts = subcode.fact(spark, d).select(F.count(F.lit(1))).scalar()
     years = subcode.fact(spark, d).select(F.count_distinct(F.substring(F.col("date_key").cast("string"), 1, 4))) \
         .scalar()
+    cells = market.market_all(spark, d).filter(F.col("level") == LEVEL_DETAIL).select(F.count_distinct("dest", "cut", "year")).scalar()
     nyears = national.national_base(spark, d).select(F.count_distinct("year")).scalar()
     def row(name, value):
         return F.struct(F.lit(name).alias("table"), value.cast("bigint").alias("expected_rows"))
 
     exp = spark.range(1).select(F.inline(F.array(
         row("national_monthly", months), row("national_annual", nyears),
-        row("flat_serving", facts), row("annual_summary", years))))
+        row("flat_serving", facts), row("annual_summary", years), row("market_serving", cells))))
     return R.check_rows(snap, exp)
 
 

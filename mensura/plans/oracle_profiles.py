@@ -105,5 +105,5 @@ SELECT period_date, subcode, fob_usd FROM (
 
 SQL["p2_unpivot_indicators"] = f"""WITH {WIDE}
 SELECT cut || '/' || dest AS market, 'value_' || CAST(year AS VARCHAR) AS indicator, value FROM wide
-WHERE value IS NOT NULL AND dest IS NOT NULL AND year BETWEEN 1992 AND 2001"""
+WHERE value IS NOT NULL AND dest IS NOT NULL"""
 

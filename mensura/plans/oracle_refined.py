@@ -4,7 +4,7 @@ cells must reproduce the sub-code fact, with each row's source row."""
 from __future__ import annotations
 
 from .oracle import NATIONAL_FACT, SUBCODE
-from .oracle_market import HISTORY
+from .oracle_market import HISTORY, WIDE
 
 SQL: dict[str, str] = {}
 
@@ -15,11 +15,12 @@ SELECT period_text, period_date, year, month, level3_code, level3_label, product
             + CAST(product_code AS INTEGER) % 11 AS INTEGER) AS _source_row
 FROM sf"""
 
-SQL["r6_expected_rows"] = f"""WITH {NATIONAL_FACT}, {SUBCODE},
+SQL["r6_expected_rows"] = f"""WITH {NATIONAL_FACT}, {SUBCODE}, {WIDE},
 c AS (SELECT 'national_monthly' AS "table", (SELECT COUNT(*) FROM nb) AS n
       UNION ALL SELECT 'national_annual', (SELECT COUNT(DISTINCT year) FROM nb)
       UNION ALL SELECT 'flat_serving', (SELECT COUNT(*) FROM en)
-      UNION ALL SELECT 'annual_summary', (SELECT COUNT(DISTINCT year) FROM en))
+      UNION ALL SELECT 'annual_summary', (SELECT COUNT(DISTINCT year) FROM en)
+      UNION ALL SELECT 'market_serving', (SELECT COUNT(*) FROM (SELECT DISTINCT dest, cut, year FROM wide WHERE level = 'DETALLADO')))
 SELECT "table", CAST(n AS BIGINT) AS expected_rows, CAST(n AS BIGINT) AS rows, 'PASS' AS status FROM c"""
 
 SQL["k6_national_fact"] = f"WITH {NATIONAL_FACT} SELECT * FROM nf"

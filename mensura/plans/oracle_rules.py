@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import oracle, oracle_market, oracle_refined
 from .oracle import NATIONAL_FACT, SERVING_B, SUBCODE, xs
 from .oracle_market import BASE, HIST_BODY, MARKET_SERVING_SELECT
 
@@ -82,6 +83,8 @@ months AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS DATE)
         ("B15_subcode_10_digits", "CRITICAL", "NOT regexp_matches(subcode, '^[0-9]{10}$')", "true", ""),
         ("B16_usd_conversion", "CRITICAL", "abs(fob_usd - fob_thousands * 1000.0) > 1e-06",
          "fob_usd IS NOT NULL AND fob_thousands IS NOT NULL", ""),
+        *[(f"scale_of_{c}", "WARNING", f"abs(CAST(CAST({c} AS DECIMAL(38,6)) AS DOUBLE) - {c}) > abs({c}) * 1e-12", f"{c} IS NOT NULL", "")
+          for c in ("tonnes", "fob_thousands", "fob_usd")],
     ]),
     conflict("sf", "subcode_fact", "B5_one_label_per_subcode", "subcode", "subcode_label"),
     conflict("sf", "subcode_fact", "B5_one_label_per_product", "product_code", "product_label"),
@@ -117,8 +120,8 @@ dsub AS (SELECT DISTINCT subcode AS subcode_key FROM sf)
         ("GB8_share_in_unit_range", "CRITICAL",
          "share_fob_period < 0 OR share_fob_period > 1 OR share_tonnes_period < 0 OR share_tonnes_period > 1",
          "true", ""),
-        ("GB15_code_has_label", "CRITICAL", "subcode_label IS NULL", "true", ""),
     ]),
+    rows("(SELECT subcode, max(subcode_label) AS label FROM sv GROUP BY 1)", "serving", [("GB15_code_has_label", "CRITICAL", "label IS NULL", "true", "")]),
     psum("sv", "serving", "GB9_share_sums_to_one", "period_date", "share_fob_period", "fob_usd"),
     one("GB10_serving_rows_equal_fact", "serving", "CRITICAL", "1",
         "CASE WHEN (SELECT COUNT(*) FROM sv) = (SELECT COUNT(*) FROM fct) THEN 0 ELSE 1 END",
@@ -186,7 +189,9 @@ sh AS (SELECT *, CASE WHEN max(value) OVER (PARTITION BY cut) <= 1.000001 THEN 1
                            _growth("A4_stored_growth_qty", "qty", "prev_qty", "pub_growth_qty")]),
     rows("pg", "market_published", [_growth("A4b_market_growth", "value", "prev_value", "pub_growth_value"),
                                     _growth("A4b_market_growth_qty", "qty", "prev_qty", "pub_growth_qty")]),
-    rows("sh", "market_long", [("A5_share_in_range", "CRITICAL", "value < 0 OR value > u", "true", "")]),
+    *[f"SELECT 'A5_share_in_range' AS rule, 'market_{cut.lower()}' AS \"table\", CASE WHEN count(*) = 0 THEN 'WARNING' ELSE 'CRITICAL' END AS severity, "
+      f"count(*) AS checked, count_if(value < 0 OR value > u) AS violations, CASE WHEN count(*) = 0 THEN 'no share to check' "
+      f"WHEN max(u) < 2 THEN 'scale [0, 1]' ELSE 'scale [0, 100]' END AS detail FROM sh WHERE cut = '{cut}'" for cut in ("MAYO", "ACUM_ENE_MAY")],
     unique("ml", "market_long", "A6_market_key_unique", ["cut", "label", "indicator"]),
 ]))
 
@@ -213,7 +218,7 @@ rgo AS (SELECT * FROM wide WHERE level = 'AGREGADO_REGIONAL'
 """ + finish("\nUNION ALL ".join([
     rows("nf", "national_fact", [
         ("GA1_non_negative", "CRITICAL", "qty < 0 OR value < 0", "true", ""),
-        ("GA2_price_ratio", "CRITICAL", "abs(price - value / qty) > 1e-09", "qty > 0 AND value IS NOT NULL", ""),
+        ("GA2_price_ratio", "CRITICAL", "abs(price - value / qty) > 1e-09", "qty > 0 AND value IS NOT NULL AND price IS NOT NULL", ""),
     ]),
     rows("na", "national_annual", [
         ("GA3_annual_price_ratio_of_sums", "CRITICAL", "abs(weighted_price - value_total / qty_total) > 1e-09",
@@ -250,6 +255,45 @@ rgo AS (SELECT * FROM wide WHERE level = 'AGREGADO_REGIONAL'
     ]),
 ]))
 
+def _fk(fact: str, table: str, rule: str, column: str, dim: str, key: str) -> str:
+    return one(rule, table, "CRITICAL", f"SELECT count(*) FROM {fact}",
+               f"SELECT count(*) FROM {fact} f WHERE f.{column} IS NULL OR f.{column} NOT IN (SELECT {key} FROM {dim} WHERE {key} IS NOT NULL)", f"foreign key: {column}")
+
+
+def _grain(fact: str, table: str, rule: str, columns: list[str]) -> str:
+    k = ", ".join(columns)
+    return one(rule, table, "CRITICAL", f"SELECT count(*) FROM {fact}", f"SELECT count(*) FROM (SELECT {k} FROM {fact} GROUP BY {k} HAVING count(*) > 1)", "grain: " + k)
+
+
+def _contradiction(cte: str, rule: str, key: str, attrs: list[str]) -> str:
+    clash = " OR ".join(f"count(DISTINCT {a}) > 1" for a in attrs)
+    return one(rule, cte, "CRITICAL", f"SELECT count(DISTINCT {key}) FROM {cte}", f"SELECT count(*) FROM (SELECT {key} FROM {cte} GROUP BY {key} HAVING {clash})",
+               f"{', '.join(attrs)} per {key}")
+
+
+_M, _O = {**oracle_market.SQL, **oracle_refined.SQL}, oracle.SQL
+SQL["d_gold_fact_rules"] = f"""WITH national_fact AS ({_M['k6_national_fact']}),
+market_fact AS ({_M['k6_market_fact']}), comparative_fact AS ({_M['k6_comparative_fact']}), regional_serving AS ({_M['k10_regional_serving']}),
+dates AS ({_M['k5_date_spine']}), destinations AS ({_M['k5_dim_destination']}), cuts AS (SELECT unnest([1, 2]) AS cut_key),
+regions AS (SELECT upper(trim(r_name)) AS label FROM region)
+""" + finish("\nUNION ALL ".join([
+    _fk("national_fact", "national_fact", "GAF_fk_date", "date_key", "dates", "date_key"), _grain("national_fact", "national_fact", "GAF_grain", ["date_key"]),
+    _fk("market_fact", "market_fact", "GAF_fk_destination", "destination_key", "destinations", "destination_key"),
+    _fk("market_fact", "market_fact", "GAF_fk_cut", "cut_key", "cuts", "cut_key"), _fk("market_fact", "market_fact", "GAF_fk_date", "date_key", "dates", "date_key"),
+    _grain("market_fact", "market_fact", "GAF_grain", ["destination_key", "cut_key", "year"]),
+    _fk("comparative_fact", "comparative_fact", "GAF_fk_cut", "cut_key", "cuts", "cut_key"), _fk("comparative_fact", "comparative_fact", "GAF_fk_date", "date_key", "dates", "date_key"),
+    _grain("comparative_fact", "comparative_fact", "GAF_grain", ["cut_key", "year"]),
+    _fk("regional_serving", "regional_serving", "GAR_in_catalogue", "dest", "regions", "label"), _grain("regional_serving", "regional_serving", "GAR_grain", ["dest", "cut", "year"]),
+    rows("regional_serving", "regional_serving", [("GAR_only_regional", "CRITICAL", "level <> 'AGREGADO_REGIONAL'", "true", "")]),
+]))
+SQL["d_gold_dimension_rules"] = f"""WITH enriched AS ({_O['k12_enriched_subcode']}), dim_date AS ({_O['k12_dim_date']}),
+dim_product AS ({_O['k12_dim_product']}), dim_subcode AS ({_O['k12_dim_subcode']})
+""" + finish("\nUNION ALL ".join([
+    _contradiction("enriched", "GBC_product_conflicts", "product_code", ["product_label", "level3_code", "level3_label"]),
+    _contradiction("enriched", "GBC_subcode_conflicts", "subcode", ["subcode_label", "product_code"]),
+    *[_grain(t, t, "GBC_key_unique", [k]) for t, k in (("dim_date", "date_key"), ("dim_product", "product_key"), ("dim_subcode", "subcode_key"))],
+]))
+
 SQL["r4_status_counts"] = ("WITH x AS (" + " UNION ALL ".join(
     f"SELECT * FROM ({SQL[k]})" for k in ("d_silver_a_rules", "d_silver_b_rules", "d_gold_a_rules",
                                           "d_gold_b_rules")) + ")\nSELECT status, COUNT(*) AS rules FROM x GROUP BY status")

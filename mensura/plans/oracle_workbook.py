@@ -40,15 +40,15 @@ cells AS (
 
 _PIV = ", ".join(f"max(CASE WHEN col = {i} THEN value END) AS {n}" for i, n in enumerate(NAMES, 1))
 RAW = f"""{CELLS},
-rw AS (SELECT row, {_PIV} FROM cells WHERE sheet = 'VALOR' AND row BETWEEN 5 AND 12 AND col BETWEEN 1 AND 14
-       GROUP BY row),
-raw AS (SELECT CAST(r.row AS INTEGER) AS _source_row, {', '.join('rw.' + n for n in NAMES)}
-        FROM range(5, 13) r(row) LEFT JOIN rw ON rw.row = r.row)"""
+sheets AS (SELECT * FROM (VALUES ('VALOR', 'matrix_value'), ('CANTIDAD', 'matrix_qty')) t(sheet, name)),
+rw AS (SELECT name, row, {_PIV} FROM cells JOIN sheets USING (sheet) WHERE row BETWEEN 5 AND 12 AND col BETWEEN 1 AND 14 GROUP BY 1, 2),
+raw AS (SELECT s.name, CAST(r.row AS INTEGER) AS _source_row, {', '.join('rw.' + n for n in NAMES)}
+        FROM sheets s CROSS JOIN range(5, 13) r(row) LEFT JOIN rw ON rw.row = r.row AND rw.name = s.name)"""
 
 _TYPED_COLS = ", ".join([f"TRY_CAST(trunc({parse_number_sql('year')}) AS INTEGER) AS year"]
                         + [f"{parse_number_sql(n)} AS {n}" for n in _MC + ['total']])
 TYPED = f"""{RAW},
-ty0 AS (SELECT {_TYPED_COLS} FROM raw),
+ty0 AS (SELECT name, {_TYPED_COLS} FROM raw),
 ty AS (SELECT * FROM ty0 WHERE NOT ({' AND '.join(f'{n} IS NULL' for n in NAMES)}))"""
 
 SQL: dict[str, str] = {}
@@ -63,9 +63,9 @@ tya AS (SELECT {_TYPED_COLS}, {', '.join(f'{n} AS s_{n}' for n in NAMES)} FROM r
     f"CAST(count_if(s_{n} IS NOT NULL AND {n} IS NULL) AS BIGINT) AS failures FROM tya"
     for n in NAMES)
 SQL["p1_unpivot_months"] = f"""WITH {TYPED},
-u AS (SELECT year, CAST(unnest(range(1, 13)) AS INTEGER) AS month,
+u AS (SELECT name, year, CAST(unnest(range(1, 13)) AS INTEGER) AS month,
              unnest([{', '.join(_MC)}]) AS value FROM ty)
-SELECT make_date(year, month, 1) AS period_date, year, month, value FROM u
+SELECT name, make_date(year, month, 1) AS period_date, year, month, value FROM u
 WHERE make_date(year, month, 1) <= DATE '2000-10-01' AND value IS NOT NULL"""
 
 _CONTRACTS = """ct AS (SELECT * FROM (VALUES

@@ -16,10 +16,6 @@ from ..operators.series import fk_orphans, reconcile_totals
 from . import inputs, market, national, resources, subcode
 
 
-# Years of the market tables (declared: the pivot's columns are part of the contract).
-YEARS = range(1992, 2002)
-
-
 def profile_subcode(spark: SparkSession, d: str) -> DataFrame:
     """A3: whole-table profile of the refined sub-code fact."""
     return A.profile(inputs.subcode_fact(spark, d), distinct=["subcode", "period_date"],
@@ -140,7 +136,10 @@ def top_subcode_latest(spark: SparkSession, d: str) -> DataFrame:
 
 def indicators_long(spark: SparkSession, d: str) -> DataFrame:
     """A wide table per cut and destination back to (key, indicator, value);
-    the years are the declared ones, not looked up in the data."""
+    a column for every year that the table has (its years are few: they are
+    read first, so that none is left out)."""
+    every = market.market_all(spark, d)
+    years = sorted(r["year"] for r in every.select("year").distinct().collect())
     key = F.concat("cut", F.lit("/"), "dest").alias("market")
-    wide = market.market_all(spark, d).select(key, "year", "value").groupBy("market").pivot("year", list(YEARS)).agg(F.max("value"))
-    return unpivot_indicators(wide.select("market", *[F.col(str(y)).alias(f"value_{y}") for y in YEARS]), "market")
+    wide = every.select(key, "year", "value").groupBy("market").pivot("year", years).agg(F.max("value"))
+    return unpivot_indicators(wide.select("market", *[F.col(str(y)).alias(f"value_{y}") for y in years]), "market")

@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from ..functions.numbers import (ABS_TOL_PRICE, ABS_TOL_TOTAL, REL_TOL, REL_TOL_PRICE, dual_scale_violation,
                                  growth, row_sum)
 from ..functions.text import NULL_TOKENS_WITH_DASH, canonical_label, clean_text
+from ..operators.audit import layer_contract, technical_suite
 from ..operators.quality import CRITICAL, Rule, evaluate, share_range_rule, union_results, unique_rule
 from ..operators.reshape import CONVERTERS, unpivot_indicators, until
 from ..session import materialize, per_session
-from ..sinks.publish import Staged, publish, stage, table_metrics, watched
+from ..sinks.publish import Staged, layer_properties, publish, stage, table_metrics, watched
 from ..sources import cells as C
 from . import inputs, workbook
 
@@ -254,12 +255,15 @@ def _database(spark: SparkSession, d: str) -> str:
     return "refined_a_" + hashlib.sha256(f"{spark.sparkContext.applicationId}:{d}".encode()).hexdigest()[:12]
 
 
+def lineage(spark: SparkSession, d: str) -> dict[str, str]:
+    return {"pipeline.layer": "refined", "pipeline.version": "2", "pipeline.run_id": f"{spark.sparkContext.applicationId}-a",
+            "lineage.input_sha256": hashlib.sha256(d.encode()).hexdigest(), "lineage.report_period": inputs.P.report_cutoff[:7],
+            "source.value_unit": "USD", "canonical.value_unit": "USD"}
+
+
 @per_session
 def run_of(spark: SparkSession, d: str) -> Run:
-    lineage = {"pipeline.layer": "refined", "pipeline.version": "2", "pipeline.run_id": f"{spark.sparkContext.applicationId}-a",
-               "lineage.input_sha256": hashlib.sha256(d.encode()).hexdigest(), "lineage.report_period": inputs.P.report_cutoff[:7],
-               "source.value_unit": "USD", "canonical.value_unit": "USD"}
-    return run(report_cells(spark, d), _database(spark, d), lineage)
+    return run(report_cells(spark, d), _database(spark, d), lineage(spark, d))
 
 
 def refined(spark: SparkSession, d: str) -> DataFrame:
@@ -298,3 +302,31 @@ def audit(spark: SparkSession, d: str) -> DataFrame:
         rows.append((table, column[0] if column else None, metric, int(n)))
     rows += [(table, None, metric, int(n)) for table, t in r.tables.items() for metric, n in t.metrics.items()]
     return spark.createDataFrame(rows, "table string, column string, metric string, n long")
+
+
+#: Lineage that the tables of one run share, and what each must say.
+SINGLE = ["pipeline.run_id", "lineage.input_sha256", "lineage.report_period"]
+EXPECTED = {"pipeline.layer": "refined", "pipeline.version": "2", "source.value_unit": "USD", "canonical.value_unit": "USD"}
+
+
+def contract(spark: SparkSession, names: dict[str, str]) -> DataFrame:
+    """D-C: the cross-table contract of published tables, from the properties
+    that the catalog has of them and the months that they hold."""
+    dated = [spark.table(n).agg(F.max("period_date").alias("period_max")).select(F.lit(t).alias("table"), "period_max")
+             for t, n in names.items() if t == "monthly" or t.startswith("matrix")]
+    return layer_contract(layer_properties(spark, "refined", names), list(TYPES), EXPECTED, SINGLE, union_results(dated), "lineage.report_period")
+
+
+def published_contract(spark: SparkSession, d: str) -> DataFrame:
+    """D-C over the tables that K17 published."""
+    return contract(spark, run_of(spark, d).names)
+
+
+def published_suite(spark: SparkSession, d: str) -> DataFrame:
+    """D-QA over the tables that K17 published, with the rows and columns that
+    were staged."""
+    r = run_of(spark, d)
+    found = {t["viewName"]: f"{t['namespace']}.{t['viewName']}" for t in spark.sql(f"SHOW VIEWS IN {_database(spark, d)}").collect()}
+    props = {k: v for k, v in lineage(spark, d).items() if k in SINGLE}
+    return technical_suite(spark, {n: found.get(n, r.names[n]) for n in TYPES}, {n: t.metrics["rows"] for n, t in r.tables.items()},
+                           {n: t.rows.columns for n, t in r.tables.items()}, props)

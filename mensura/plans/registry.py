@@ -52,6 +52,10 @@ QUERIES: dict[str, Query] = {
     "d_gold_b_rules": rules.gold_b,
     "d_silver_a_rules": rules.silver_a,
     "d_gold_a_rules": rules.gold_a,
+    "d_gold_fact_rules": rules.gold_facts,
+    "d_gold_dimension_rules": rules.gold_dimensions,
+    "d_c_layer_contract": refined_a.published_contract,
+    "d_qa_published": refined_a.published_suite,
     # scalar functions over whole tables
     "o1_clean_text": scalars.clean_documents,
     "o2_normalize_match": scalars.fold_documents,

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from ..functions.labels import LEVEL_DETAIL, LEVEL_REGIONAL
 from ..functions.numbers import (ABS_PRICE_TOL, ABS_SHARE_TOL, ABS_TOL_PRICE, ABS_TOL_TOTAL,
                                  ABS_USD_CONVERSION_TOL, REL_TOL, REL_TOL_PRICE,
-                                 dual_scale_violation, row_sum)
+                                 MEASURE_SCALE, dual_scale_violation, loses_at_scale, row_sum)
 from ..functions.text import digits
-from ..operators.quality import (CRITICAL, WARNING, Rule, calendar_gap_rule, conflict_rule, count_rule, subset_rule,
+from ..operators.quality import (CRITICAL, WARNING, Rule, calendar_gap_rule, conflict_rule, contradiction_rule, count_rule, key_rules,
+                                 share_range_rule, subset_rule,
                                  count_equal_rule, evaluate, not_empty_rule, orphan_rule,
                                  partition_sum_rule, schema_rule, union_results, unique_rule)
 from ..operators.reshape import any_null
@@ -58,6 +59,7 @@ def silver_b(spark: SparkSession, d: str) -> DataFrame:
         Rule("B16_usd_conversion", CRITICAL,
              F.abs(F.col("fob_usd") - F.col("fob_thousands") * 1000.0) > ABS_USD_CONVERSION_TOL,
              F.col("fob_usd").isNotNull() & F.col("fob_thousands").isNotNull()),
+        *[Rule(f"scale_of_{c}", WARNING, loses_at_scale(c, MEASURE_SCALE), F.col(c).isNotNull()) for c in ("tonnes", "fob_thousands", "fob_usd")],
     ]
     return union_results([
         evaluate(f, t, row_rules),
@@ -90,7 +92,6 @@ def gold_b(spark: SparkSession, d: str) -> DataFrame:
         Rule("GB8_share_in_unit_range", CRITICAL,
              (F.col("share_fob_period") < 0) | (F.col("share_fob_period") > 1)
              | (F.col("share_tonnes_period") < 0) | (F.col("share_tonnes_period") > 1)),
-        Rule("GB15_code_has_label", CRITICAL, F.col("subcode_label").isNull()),
     ]
     annual_rules = [
         Rule("GB14_no_yoy_on_partial_years", CRITICAL,
@@ -103,6 +104,8 @@ def gold_b(spark: SparkSession, d: str) -> DataFrame:
         orphan_rule(fact, subcode.dim_product(spark, d), "fact_subcode", "GB6_fk_product", "product_key"),
         orphan_rule(fact, subcode.dim_subcode(spark, d), "fact_subcode", "GB7_fk_subcode", "subcode_key"),
         evaluate(serving, "serving", serving_rules),
+        # codes, not rows: one missing label is one violation
+        evaluate(serving.groupBy("subcode").agg(F.max("subcode_label").alias("label")), "serving", [Rule("GB15_code_has_label", CRITICAL, F.col("label").isNull())]),
         partition_sum_rule(serving, "serving", "GB9_share_sums_to_one", ["period_date"],
                            "share_fob_period", 1.0, ABS_SHARE_TOL, when_total_positive="fob_usd"),
         count_equal_rule(serving, fact, "serving", "GB10_serving_rows_equal_fact"),
@@ -111,6 +114,37 @@ def gold_b(spark: SparkSession, d: str) -> DataFrame:
     ])
 
 
+def gold_facts(spark: SparkSession, d: str) -> DataFrame:
+    """D-GA-F and D-GA-R: foreign keys and grain of the three facts, and the
+    regional serving's grain, level and catalogue; one pass per table."""
+    dates, cuts = market.date_spine(spark, d), market.dim_cut(spark)
+    destinations, regions = market.dim_destination(spark, d), market.regional_labels(spark, d)
+    regional = market.regional_serving(spark, d)
+    return union_results([
+        key_rules(national.national_fact(spark, d), "national_fact", {"GAF_fk_date": ("date_key", dates, "date_key")}, ("GAF_grain", ["date_key"])),
+        key_rules(market.market_fact(spark, d), "market_fact", {
+            "GAF_fk_destination": ("destination_key", destinations, "destination_key"), "GAF_fk_cut": ("cut_key", cuts, "cut_key"),
+            "GAF_fk_date": ("date_key", dates, "date_key")}, ("GAF_grain", ["destination_key", "cut_key", "year"])),
+        key_rules(market.comparative_fact(spark, d), "comparative_fact", {
+            "GAF_fk_cut": ("cut_key", cuts, "cut_key"), "GAF_fk_date": ("date_key", dates, "date_key")}, ("GAF_grain", ["cut_key", "year"])),
+        key_rules(regional, "regional_serving", {"GAR_in_catalogue": ("dest", regions, "_regional")}, ("GAR_grain", ["dest", "cut", "year"])),
+        evaluate(regional, "regional_serving", [Rule("GAR_only_regional", CRITICAL, F.col("level") != LEVEL_REGIONAL)]),
+    ])
+
+
+def gold_dimensions(spark: SparkSession, d: str) -> DataFrame:
+    """D-GB-C: attributes that contradict each other under one code, before the
+    dimensions are made, and the dimensions' keys."""
+    e = subcode.enriched(spark, d)
+    return union_results([
+        contradiction_rule(e, "enriched", "GBC_product_conflicts", "product_code", ["product_label", "level3_code", "level3_label"]),
+        contradiction_rule(e, "enriched", "GBC_subcode_conflicts", "subcode", ["subcode_label", "product_code"]),
+        *[key_rules(dim, name, {}, ("GBC_key_unique", [key])) for dim, name, key in (
+            (subcode.dim_date(spark, d), "dim_date", "date_key"), (subcode.dim_product(spark, d), "dim_product", "product_key"),
+            (subcode.dim_subcode(spark, d), "dim_subcode", "subcode_key"))],
+    ])
+
+
 def silver_a(spark: SparkSession, d: str) -> DataFrame:
     """D-A1..D-A6 on the refined national and market tables."""
     p = inputs.P
@@ -121,12 +155,6 @@ def silver_a(spark: SparkSession, d: str) -> DataFrame:
     # Lag without the consecutive-year guard (kept as in the source rule)
     w = Window.partitionBy("cut").orderBy("year")
     h = hist.withColumns({f"_prev_{m}": F.lag(m).over(w) for m in ("value", "qty")})
-    share = long.filter((F.col("indicator") == "participacion_libras") & F.col("value").isNotNull())
-    # fraction or percentage: detected for each cut by its largest share
-    top = share.groupBy(F.col("cut").alias("_cut")).agg(F.max("value").alias("_top"))
-    share = share.join(top, F.col("cut") == F.col("_cut"))
-    upper = F.when(F.col("_top") <= 1.000001, F.lit(1.000001)).otherwise(F.lit(100.0001))
-
     def growth_rule(rule: str, measure: str, previous: str, stored: str) -> Rule:
         return Rule(rule, CRITICAL, dual_scale_violation(measure, previous, stored),
                     F.col(previous).isNotNull() & (F.col(previous) != 0) & F.col(stored).isNotNull() & F.col(measure).isNotNull())
@@ -162,8 +190,9 @@ def silver_a(spark: SparkSession, d: str) -> DataFrame:
         evaluate(market.published_growth(spark, d), "market_published", [
             growth_rule("A4b_market_growth", "value", "prev_value", "pub_growth_value"),
             growth_rule("A4b_market_growth_qty", "qty", "prev_qty", "pub_growth_qty")]),
-        evaluate(share, "market_long", [
-            Rule("A5_share_in_range", CRITICAL, (F.col("value") < 0) | (F.col("value") > upper))]),
+        # fraction or percentage: told for each cut by its largest share
+        *[share_range_rule(long.filter((F.col("cut") == cut) & (F.col("indicator") == "participacion_libras")), f"market_{cut.lower()}", "A5_share_in_range", "value")
+          for cut in market.CUTS],
         unique_rule(long, "market_long", "A6_market_key_unique", ["cut", "label", "indicator"]),
     ])
 
@@ -188,7 +217,7 @@ def gold_a(spark: SparkSession, d: str) -> DataFrame:
             Rule("GA1_non_negative", CRITICAL, (F.col("qty") < 0) | (F.col("value") < 0)),
             Rule("GA2_price_ratio", CRITICAL,
                  F.abs(F.col("price") - F.col("value") / F.col("qty")) > ABS_PRICE_TOL,
-                 (F.col("qty") > 0) & F.col("value").isNotNull())]),
+                 (F.col("qty") > 0) & F.col("value").isNotNull() & F.col("price").isNotNull())]),
         evaluate(na, "national_annual", [
             Rule("GA3_annual_price_ratio_of_sums", CRITICAL,
                  F.abs(F.col("weighted_price") - F.col("value_total") / F.col("qty_total")) > ABS_PRICE_TOL,

@@ -82,30 +82,39 @@ def aliases(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(ALIASES, "canonical string, alias string")
 
 
+#: The contracts of the two matrices, over both sheets.
+MATRICES = CONTRACTS[:2]
+
+
 def read_matrix(spark: SparkSession, d: str) -> DataFrame:
-    """The value matrix range as raw text."""
-    return C.read_range(cells(spark, d), CONTRACTS[0])
+    """The ranges of both matrices as raw text, in one read."""
+    raw = C.read_ranges(cells(spark, d), MATRICES)
+    names = spark.createDataFrame([(k["id_table"], k["name"]) for k in MATRICES], "id_table int, name string")
+    return raw.join(names, "id_table").select("file", "name", "_source_row", *[F.col(f"c{i}").alias(n) for i, n in enumerate(NAMES, 1)])
 
 
 def typed_matrix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    raw = read_matrix(spark, d).drop("file", "_source_row")
-    return apply_types(raw, TYPES)
+    return apply_types(read_matrix(spark, d).select("name", *NAMES), [("name", "string"), *TYPES])
 
 
 def typed(spark: SparkSession, d: str) -> DataFrame:
-    """typed matrix (F1 drops the empty contract rows)."""
+    """both matrices typed (F1 drops the empty contract rows)."""
     t, _ = typed_matrix(spark, d)
-    return t.dropna(how="all")
+    return t.dropna(how="all", subset=NAMES)
 
 
 def typed_audit(spark: SparkSession, d: str) -> DataFrame:
-    """F7 audit: per column non-null source cells and conversion failures."""
-    return typed_matrix(spark, d)[1]
+    """F7 audit: per column non-null source cells and conversion failures, over
+    both matrices."""
+    return typed_matrix(spark, d)[1].filter(F.col("column") != "name")
 
 
 def unpivoted(spark: SparkSession, d: str) -> DataFrame:
-    """The typed matrix back to a monthly series under the report cutoff."""
-    return unpivot_months(typed(spark, d), "year", inputs.MONTH_COLS, cutoff=inputs.P.report_cutoff)
+    """Both typed matrices back to monthly series under the report cutoff."""
+    t = typed(spark, d)
+    return reduce(lambda a, b: a.unionByName(b), [
+        unpivot_months(t.filter(F.col("name") == k["name"]), "year", inputs.MONTH_COLS, cutoff=inputs.P.report_cutoff).withColumn("name", F.lit(k["name"]))
+        for k in MATRICES])
 
 
 def range_checks(spark: SparkSession, d: str) -> DataFrame:

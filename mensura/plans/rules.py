@@ -17,7 +17,7 @@ from ..functions.numbers import (ABS_PRICE_TOL, ABS_SHARE_TOL, ABS_TOL_PRICE, AB
 from ..functions.text import digits
 from ..operators.quality import (CRITICAL, WARNING, Rule, calendar_gap_rule, conflict_rule, contradiction_rule, count_rule, key_rules,
                                  share_range_rule, subset_rule,
-                                 count_equal_rule, evaluate, not_empty_rule, orphan_rule,
+                                 count_equal_rule, evaluate, not_empty_rule,
                                  partition_sum_rule, schema_rule, union_results, unique_rule)
 from ..operators.reshape import any_null
 from ..operators.series import reconcile_totals
@@ -99,10 +99,9 @@ def gold_b(spark: SparkSession, d: str) -> DataFrame:
     ]
     return union_results([
         evaluate(fact, "fact_subcode", fact_rules),
-        unique_rule(fact, "fact_subcode", "GB4_fact_grain_unique", ["date_key", "product_key", "subcode_key"]),
-        orphan_rule(fact, subcode.dim_date(spark, d), "fact_subcode", "GB5_fk_date", "date_key"),
-        orphan_rule(fact, subcode.dim_product(spark, d), "fact_subcode", "GB6_fk_product", "product_key"),
-        orphan_rule(fact, subcode.dim_subcode(spark, d), "fact_subcode", "GB7_fk_subcode", "subcode_key"),
+        key_rules(fact, "fact_subcode", {
+            "GB5_fk_date": ("date_key", subcode.dim_date(spark, d), "date_key"), "GB6_fk_product": ("product_key", subcode.dim_product(spark, d), "product_key"),
+            "GB7_fk_subcode": ("subcode_key", subcode.dim_subcode(spark, d), "subcode_key")}, ("GB4_fact_grain_unique", ["date_key", "product_key", "subcode_key"])),
         evaluate(serving, "serving", serving_rules),
         # codes, not rows: one missing label is one violation
         evaluate(serving.groupBy("subcode").agg(F.max("subcode_label").alias("label")), "serving", [Rule("GB15_code_has_label", CRITICAL, F.col("label").isNull())]),

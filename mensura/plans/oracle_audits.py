@@ -42,11 +42,16 @@ def _value(c: str, kind: str) -> str:
     return f"CASE WHEN {c} IS NULL THEN '~' ELSE {text} END"
 
 
+def row_text(columns: dict[str, str]) -> str:
+    """The typed row text of columns with their types."""
+    return " || '|' || ".join(_value(c, kind) for c, kind in sorted(columns.items()))
+
+
 def _table(name: str) -> tuple[str, str]:
     """(CTEs, fingerprint row) of a table."""
     columns = sorted(x.split(":") for x in SCHEMAS[name].split())
     schema = hashlib.sha256(json.dumps([tuple(x) for x in columns], separators=(",", ":")).encode()).hexdigest()
-    row = " || '|' || ".join(_value(c, kind) for c, kind in columns)
+    row = row_text(dict(columns))
     ctes = f"""{name}_r AS ({ROWS[name]}),
 {name}_h AS (SELECT sha256({row}) AS h FROM {name}_r),
 {name}_s AS (SELECT count(*) AS n, coalesce(sum(CAST('0x' || h[1:15] AS BIGINT)), 0) AS s1, coalesce(sum(CAST('0x' || h[16:30] AS BIGINT)), 0) AS s2 FROM {name}_h)"""

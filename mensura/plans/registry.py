@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (audits, market, national, oracle, oracle_audits, oracle_market, oracle_pages, oracle_resources, oracle_rules,
+from . import (audits, basics, market, national, oracle, oracle_audits, oracle_basics, oracle_market, oracle_pages, oracle_resources, oracle_rules,
                oracle_profiles, oracle_refined, oracle_refined_a, oracle_scalars, oracle_workbook, pages, profiles, refined_a, refined_b,
                resources, rules, scalars, subcode, workbook)
 
@@ -112,7 +112,20 @@ QUERIES: dict[str, Query] = {
     "l2_latest_row": profiles.latest_month,
     "l3_top_of_latest": profiles.top_subcode_latest,
     "p2_unpivot_indicators": profiles.indicators_long,
+    # operators that the composites write out
+    "o15_code_labels": basics.code_labels,
+    "o19_years_in_names": basics.years_in_names,
+    "o26_o27_months": basics.months,
+    "o29_row_hashes": basics.row_hashes,
+    "f3_null_observations": basics.null_observations,
+    "f4_f5_analytic_labels": basics.analytic_labels,
+    "f8_contract_projection": basics.contract_projection,
+    "p3_units": basics.units,
+    "p4_indicators": basics.indicators,
+    "p5_calendar": basics.calendar,
+    "j3_j6_customers": basics.customers_of_orders,
     # reproducibility audit
+    "r7_schema_contracts": audits.schema_contracts,
     "r1_fingerprints": audits.fingerprints,
     "r4_status_counts": audits.rule_status_counts,
     "r6_expected_rows": audits.expected_rows,
@@ -122,4 +135,4 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {**oracle.SQL, **oracle_market.SQL, **oracle_rules.SQL, **oracle_scalars.SQL,
                           **oracle_resources.SQL, **oracle_pages.SQL, **oracle_workbook.SQL,
                           **oracle_profiles.SQL, **oracle_refined.SQL, **oracle_refined_a.SQL,
-                          **oracle_audits.SQL}
+                          **oracle_audits.SQL, **oracle_basics.SQL}

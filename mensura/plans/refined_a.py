@@ -29,7 +29,7 @@ from ..operators.audit import layer_contract, technical_suite
 from ..operators.quality import CRITICAL, Rule, evaluate, share_range_rule, union_results, unique_rule
 from ..operators.reshape import CONVERTERS, unpivot_indicators, until
 from ..session import materialize, per_session
-from ..sinks.publish import Staged, layer_properties, publish, stage, table_metrics, watched
+from ..sinks.publish import Staged, layer_properties, publish, published_folder, retire, stage, table_metrics, watched
 from ..sources import cells as C
 from . import inputs, workbook
 
@@ -240,14 +240,17 @@ class Run:
 
 def run(cells: DataFrame, database: str, props: dict[str, str] | None = None) -> Run:
     """Refine a workbook's cells and publish the seven tables in
-    ``database``.  A CRITICAL rule that fails raises and publishes nothing."""
+    ``database``.  A CRITICAL rule that fails raises and publishes nothing;
+    else the versions published before are deleted."""
     spark = cells.sparkSession
     rows = refined_rows(cells)
     tables = final_tables(rows.rows)
     found = stage(rules(rows.rows, tables), "k17-rules").rows
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = {n: f"{database}.{n}" for n in tables}
+    before = [published_folder(spark, n) for n in names.values()]
     publish({names[n]: t for n, t in tables.items()}, found, props)
+    retire(spark, before)
     return Run(rows, tables, found, names)
 
 

@@ -19,7 +19,7 @@ Derivation rules (test-data instance):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import MONTHS_UPPER
@@ -118,21 +118,25 @@ def integrity(spark: SparkSession, d: str) -> DataFrame:
                     "reason", "verified")
 
 
+def _run_records(spark: SparkSession, d: str, at: str, text: Column, status: Column) -> DataFrame:
+    # resources of doc_id % 5 == 0 were published under a former address
+    url = F.when(F.col("doc_id") % 5 == 0, F.concat("source_url", F.lit("?v=old"))).otherwise(F.col("source_url"))
+    return _resources(spark, d).select(url.alias("source_url"), F.sha2(text, 256).alias("sha256"), "storage_layout_version",
+                                       status.alias("status"), F.lit(at).alias("downloaded_at_utc"))
+
+
+def previous_run(spark: SparkSession, d: str) -> DataFrame:
+    """Records of the run before this one."""
+    text = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text"))
+    # every third resource of the last run was copied back, not downloaded
+    status = F.when(F.col("doc_id") % 3 == 0, F.lit("recovered_copy")).otherwise(F.lit("downloaded"))
+    return _run_records(spark, d, "2025-12-01T00:00:00Z", text, status)
+
+
 def earlier_runs(spark: SparkSession, d: str) -> DataFrame:
     """Records of the two runs before this one, every resource in each."""
-    r = _resources(spark, d)
-    out = []
-    # In the first run the texts of doc_id % 4 == 0 had a word more.
-    for at, changed in (("2025-11-01T00:00:00Z", F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("x "), F.col("text")))),
-                        ("2025-12-01T00:00:00Z", F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit(" "))))):
-        # resources of doc_id % 5 == 0 were published under a former address
-        url = F.when(F.col("doc_id") % 5 == 0, F.concat("source_url", F.lit("?v=old"))).otherwise(F.col("source_url"))
-        copied = F.lit(at.startswith("2025-12")) & (F.col("doc_id") % 3 == 0)
-        out.append(r.select(url.alias("source_url"), F.sha2(F.coalesce(changed, F.col("text")), 256).alias("sha256"), "storage_layout_version",
-                            # every third resource of the last run was copied back, not downloaded
-                            F.when(copied, F.lit("recovered_copy")).otherwise(F.lit("downloaded")).alias("status"),
-                            F.lit(at).alias("downloaded_at_utc")))
-    return out[0].unionByName(out[1])
+    text = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("x "), F.col("text"))).otherwise(F.col("text"))
+    return _run_records(spark, d, "2025-11-01T00:00:00Z", text, F.lit("downloaded")).unionByName(previous_run(spark, d))
 
 
 def snapshot_status(spark: SparkSession, d: str) -> DataFrame:

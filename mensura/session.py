@@ -138,10 +138,29 @@ class separate_run:
         return False
 
 
+_FOLDERS: dict[str, list[str]] = {}
+
+
+def remember(spark: SparkSession, path: str) -> str:
+    """Note a folder that :func:`release` is to delete; returns the path."""
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def keep(spark: SparkSession, path: str) -> None:
+    """Take back :func:`remember`: the folder outlives the run."""
+    own = _FOLDERS.get(spark.sparkContext.applicationId, [])
+    if path in own:
+        own.remove(path)
+
+
 def release(spark: SparkSession) -> None:
     """Forget plans and delete staged tables of this application: call it when
-    input files were rewritten, or when a run is over."""
+    input files were rewritten, or when a run is over.  Published versions
+    stay."""
     app = spark.sparkContext.applicationId
+    for path in _FOLDERS.pop(app, []):
+        delete_folder(spark, path)
     for cache in _PLAN_CACHES:
         for key in [k for k in cache if k[1] == app]:
             del cache[key]

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import gate
-from ..session import checkpoint_dir, delete_folder
+from ..session import checkpoint_dir, delete_folder, keep, remember
 from .tables import _q
 
 #: View property that names the folder of the published version.
@@ -48,7 +48,7 @@ def stage(df: DataFrame, label: str, metrics: dict[str, Column] | None = None, o
     those that :func:`watched` put further up in the plan.  All are ready when
     the write is done: one job, one scan of the inputs.
     """
-    folder = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/staged/{label}-{uuid.uuid4().hex}"
+    folder = remember(df.sparkSession, f"{checkpoint_dir(df.sparkSession).rstrip('/')}/staged/{label}-{uuid.uuid4().hex}")
     own = None
     if metrics:
         df, own = watched(df, metrics)
@@ -88,6 +88,7 @@ def publish(tables: dict[str, Staged], rules: DataFrame, props: dict[str, str] |
         own = {**(props or {}), VERSION: t.folder}
         body = ", ".join(f"{_q(k)} = {_q(v)}" for k, v in own.items())
         spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({body}) AS SELECT * FROM parquet.`{t.folder}`")
+        keep(spark, t.folder)
     return rules
 
 

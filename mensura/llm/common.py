@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, remember
 
 #: Rows in an Arrow batch handed to Python.  Texts may be long, so a batch is
 #: kept small; operators cut it further by bytes (``words.slices``).
@@ -27,8 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder named by ``spark.checkpoint.dir``."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder named by ``spark.checkpoint.dir``;
+    ``session.release`` deletes what was written there."""
+    return remember(spark, f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -4,7 +4,8 @@ Every run of ``k`` words has a hash; of every ``w`` consecutive hashes the
 smallest is selected, the rightmost of equals, and kept with its position.
 Two texts that share ``w + k - 1`` words in a row therefore share a selected
 hash, and no hash outside a shared run of ``k`` words is ever needed to match.
-A text of fewer words is one run; one of fewer runs is one window.
+A text of fewer words is one run; one of fewer runs is one window.  In scripts
+without blanks every character counts as a word.
 
 Native: DataFrame expressions only.
 """
@@ -20,6 +21,9 @@ from .common import sha_hex, staged, table
 
 K, W = 4, 4
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Scripts that are written without blanks (South-East Asian, kana, Han): each
+#: of their characters is a word.
+UNSPACED = r"[\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 #: Ids in a bucket when documents are put in order: neighbours are found
 #: within a bucket, and only its two ends look further.
 NEAR_IDS = 1024
@@ -30,12 +34,17 @@ BROADCAST_ROWS = 1_000_000
 _PLACE = 2**30 - 1
 
 
+def spaced(text: Column) -> Column:
+    """Blanks around the characters that are words by themselves."""
+    return F.when(F.rlike(text, F.lit(UNSPACED)), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
+
+
 def fingerprint(df: DataFrame, text: str, name: str, k: int = K, w: int = W) -> DataFrame:
     """Add ``name``: array of (at, hash), the selected runs by position (the
     number of the run's first word).  Null and empty texts have none."""
     words, grams, packed = f"_{name}_words", f"_{name}_grams", f"_{name}_packed"
     keep = df.columns
-    df = df.select(*keep, F.transform(F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), SEPARATORS), ""), lambda x: F.xxhash64(x)).alias(words))
+    df = df.select(*keep, F.transform(F.array_remove(F.split(spaced(F.lower(F.coalesce(F.col(text), F.lit("")))), SEPARATORS), ""), lambda x: F.xxhash64(x)).alias(words))
 
     def run(i: Column) -> Column:
         return F.xxhash64(*[F.get(words, i + j) for j in range(k)])

@@ -160,8 +160,19 @@ def test_winnowing(spark, odd, nothing, frame):
     assert winnow.fingerprint(nothing, "text", "f").count() == 0
 
 
+def test_unspaced_scripts_share_hashes(spark, frame):
+    rnd = random.Random(4)
+    for low, high in ((0x4E00, 0x9F00), (0x3041, 0x3090), (0xE01, 0xE2E)):
+        text = "".join(chr(rnd.randrange(low, high)) for _ in range(120))
+        other = "".join(chr(rnd.randrange(low, high)) for _ in range(120))
+        a, b, c = winnow.fingerprint(frame([(1, text), (2, text[:80] + other[:40]), (3, other)]), "text", "f").orderBy("doc_id").collect()
+        one, two, three = ({x.hash for x in r.f} for r in (a, b, c))
+        assert 0.3 < len(one & two) / len(one | two) < 0.9
+        assert low != 0x4E00 or not one & three
+
+
 def test_next_by_descending_id(spark):
-    ids = [0, 1, 5, 1023, 1024, 5000, 5001, 9_000_000, 9_000_001, 10**12]
+    ids = [0, 1, 5, 1023, 1024, 5000, 5001, 9_000_000, 9_000_001, 10**12, *(random.Random(1).randrange(2**62) for _ in range(40)), -7, -2**40]
     docs = spark.createDataFrame([(i, f"t{i}") for i in ids] + [(None, "none")], "doc_id long, text string")
     got = {r.doc_id: r.next.text if r.next else None for r in winnow.with_next(docs, lambda d: d, ["text"]).collect()}
     down = sorted(ids, reverse=True)

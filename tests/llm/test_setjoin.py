@@ -74,3 +74,39 @@ def test_odd_rows(spark, odd, nothing):
     assert (1, 1, 0, 0) in got and (2, 2, 0, 0) in got and (4, 4, 0, 1) in got and (None, None, 0, 4) in got
     assert len(got) == 8  # the repeated row counts once
     assert setjoin.similar_documents(nothing).count() == 0
+
+
+def test_recall_by_similarity_band(spark):
+    """Planted pairs, alone and beside a large group of near copies, against
+    exact similarity: the links found in each band."""
+    rnd = random.Random(21)
+    rows, pairs = [], []
+    for k in range(240):
+        size = rnd.choice([60, 120, 400])
+        words = [f"p{k}x{rnd.randrange(10 ** 6)}" for _ in range(size)]
+        other = near(rnd, words, max(1, int(size * rnd.uniform(0.003, 0.026))))
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, other)]
+        pairs.append((2 * k, 2 * k + 1))
+    hub = [f"hub{i}" for i in range(400)]
+    rows += [(10_000 + i, near(rnd, hub, 2)) for i in range(450)]  # one bucket of more than a leaf
+    rows.append((20_000, near(rnd, hub, 6)))
+    text = dict(rows)
+
+    def shingles(t):
+        w = t.split()
+        return set(zip(*(w[i:] for i in range(5))))
+
+    got = {r.doc_id: r for r in setjoin.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    bands = {}
+    for a, b in pairs:
+        x, y = shingles(text[a]), shingles(text[b])
+        s = len(x & y) / len(x | y)
+        assert (got[a].class_id == got[b].class_id) <= (s >= 0.8)  # no false link
+        if s >= 0.8:
+            bands.setdefault(min(int(s * 20), 19), []).append(got[a].class_id == got[b].class_id)
+    assert set(bands) == {16, 17, 18, 19} and min(map(len, bands.values())) >= 10
+    for band, found in bands.items():
+        assert sum(found) / len(found) >= 0.95, (band / 20, len(found), sum(found))
+    x = shingles(text[20_000])
+    want = sum(10 * len(x & (y := shingles(text[10_000 + i]))) >= 8 * len(x | y) for i in range(450))
+    assert want > 100 and got[20_000].n_links >= 0.95 * want

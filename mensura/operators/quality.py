@@ -146,12 +146,12 @@ def share_range_rule(df: DataFrame, table: str, rule: str, share: str) -> DataFr
         F.when(F.col("n") == 0, F.lit("no share to check")).when(fraction, F.lit("scale [0, 1]")).otherwise(F.lit("scale [0, 100]")).alias("detail")))
 
 
-def key_rules(df: DataFrame, table: str, foreign: dict[str, tuple[str, DataFrame, str]], grain: tuple[str, list[str]] | None = None,
+def key_rules(df: DataFrame, table: str, foreign: dict[str, tuple[str, DataFrame, str]], grain: tuple[str, list[str]] | list | None = None,
               severity: str = CRITICAL) -> DataFrame:
     """All foreign keys and the grain of a table in one pass (D-GA-F, D-GA-R).
 
     ``foreign``: {rule: (column, dimension, its key)}; ``grain``: (rule,
-    columns).  Every row gives one (rule, key) pair per rule, the dimensions
+    columns), or a list of them.  Every row gives one (rule, key) pair per rule, the dimensions
     give theirs, and one aggregate over the pairs - combined before the
     shuffle, so a key of a third of all rows is one row - tells rows whose key
     no dimension has (null among them) and grains seen more than once.
@@ -161,14 +161,15 @@ def key_rules(df: DataFrame, table: str, foreign: dict[str, tuple[str, DataFrame
     spark = df.sparkSession
     listed = [F.struct(F.lit(rule).alias("rule"), F.col(c).cast("string").alias("key")) for rule, (c, _, _) in foreign.items()]
     details = {rule: f"foreign key: {c}" for rule, (c, _, _) in foreign.items()}
-    if grain:
-        listed.append(F.struct(F.lit(grain[0]).alias("rule"), canonical_text(df, grain[1]).alias("key")))
-        details[grain[0]] = "grain: " + ", ".join(grain[1])
+    grains = grain if isinstance(grain, list) else [grain] if grain else []
+    for rule, columns in grains:
+        listed.append(F.struct(F.lit(rule).alias("rule"), canonical_text(df, columns).alias("key")))
+        details[rule] = "grain: " + ", ".join(columns)
     pairs = df.select(F.inline(F.array(*listed))).select("rule", "key", F.lit(1).alias("n"), F.lit(False).alias("known"))
     for rule, (_, dim, key) in foreign.items():
         pairs = pairs.unionByName(dim.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"), F.lit(0).alias("n"), F.col(key).isNotNull().alias("known")))
     g = pairs.groupBy("rule", "key").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
-    is_grain = F.col("rule") == (grain[0] if grain else "")
+    is_grain = F.col("rule").isin([rule for rule, _ in grains])
     found = g.groupBy("rule").agg(F.sum("n").alias("checked"), F.sum(F.when(is_grain, (F.col("n") > 1).cast("long")).when(~F.col("known"), F.col("n")).otherwise(0)).alias("violations"))
     rules = spark.createDataFrame([(r, table, severity, d) for r, d in details.items()], "_rule string, table string, severity string, detail string")
     return _finish(rules.join(found, F.col("_rule") == F.col("rule"), "left").select(

@@ -163,3 +163,8 @@ SQL["d_c_layer_contract"] = f"WITH {BODY}\n" + "\nUNION ALL ".join(
     f"SELECT '{c}' AS \"check\", '{k}' AS \"key\", CAST(7 AS BIGINT) AS tables, CAST(0 AS BIGINT) AS violations, 'PASS' AS status" for c, k in _CHECKS) + f"""
 UNION ALL SELECT 'bounds', 'lineage.report_period', count(*), count_if(strftime(last, '%Y-%m') > '2000-10'),
   CASE WHEN count_if(strftime(last, '%Y-%m') > '2000-10') = 0 THEN 'PASS' ELSE 'FAIL' END FROM ({_LATE})"""
+
+_GATE = ["exists", "columns", *[f"property:{k}" for c, k in _CHECKS if c == "expected"], "non_blank:pipeline.run_id", "non_blank:lineage.input_sha256"]
+SQL["s18_open_refined"] = f"WITH {BODY}\n" + "\nUNION ALL ".join(
+    [f"SELECT '{n}' AS \"table\", '{c}' AS \"check\", true AS ok, 'PASS' AS status" for n in _COLUMNS for c in _GATE]
+    + [f"SELECT '{n}', 'not_empty', count(*) > 0, CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END FROM {_FINAL[n]}" for n in _COLUMNS])

@@ -286,6 +286,24 @@ regions AS (SELECT upper(trim(r_name)) AS label FROM region)
     _fk("regional_serving", "regional_serving", "GAR_in_catalogue", "dest", "regions", "label"), _grain("regional_serving", "regional_serving", "GAR_grain", ["dest", "cut", "year"]),
     rows("regional_serving", "regional_serving", [("GAR_only_regional", "CRITICAL", "level <> 'AGREGADO_REGIONAL'", "true", "")]),
 ]))
+_SERIES = {"monthly_direct": ["period_date", "year", "month", "qty", "value", "reported_price"], "matrix_value": ["period_date", "year", "month", "value"],
+           "matrix_qty": ["period_date", "year", "month", "value"]}
+_NEGATIVE = [("GAP_non_negative", "CRITICAL", "qty < 0 OR value < 0", "true", "")]
+SQL["d_gold_pregates"] = f"""WITH {NATIONAL_FACT}, {BASE},
+monthly_direct AS (SELECT period_date, year(period_date) AS year, month(period_date) AS month, qty_direct AS qty, value_direct AS value, reported_price_direct AS reported_price FROM d),
+matrix_value AS (SELECT period_date, year(period_date) AS year, month(period_date) AS month, value_matrix AS value FROM mv),
+matrix_qty AS (SELECT period_date, year(period_date) AS year, month(period_date) AS month, qty_matrix AS value FROM mq),
+aggregates AS (SELECT * FROM wide WHERE level = 'AGREGADO_REGIONAL'), regions AS (SELECT upper(trim(r_name)) AS label FROM region),
+groups AS (SELECT count(DISTINCT label_source) > 1 AS clash FROM lv GROUP BY cut, dest, indicator)
+""" + finish("\nUNION ALL ".join([
+    *[x for t, columns in _SERIES.items() for x in (_grain(t, t, "GAP_no_exact_duplicates", columns), _grain(t, t, "GAP_unique_period", ["period_date"]))],
+    _grain("ml", "market_long", "GAP_no_exact_duplicates", ["cut", "label", "indicator", "value"]),
+    _grain("nb", "national_base", "GAP_unique_period", ["period_date"]), rows("nb", "national_base", _NEGATIVE),
+    _grain("mb", "market_base", "GAP_grain", ["dest", "cut", "year"]), rows("mb", "market_base", _NEGATIVE),
+    rows("wide", "market_all", [("GAP_level_domain", "CRITICAL", "level NOT IN ('DETALLADO', 'AGREGADO_REGIONAL')", "true", "")]),
+    _fk("aggregates", "market_all", "GAP_aggregates_in_catalogue", "dest", "regions", "label"),
+    rows("groups", "market_labels", [("GAP_alias_collision", "CRITICAL", "clash", "true", "1 declared aliases")]),
+]))
 SQL["d_gold_dimension_rules"] = f"""WITH enriched AS ({_O['k12_enriched_subcode']}), dim_date AS ({_O['k12_dim_date']}),
 dim_product AS ({_O['k12_dim_product']}), dim_subcode AS ({_O['k12_dim_subcode']})
 """ + finish("\nUNION ALL ".join([

@@ -31,6 +31,7 @@ from ..operators.reshape import CONVERTERS, unpivot_indicators, until
 from ..session import materialize, per_session
 from ..sinks.publish import Staged, layer_properties, publish, published_folder, retire, stage, table_metrics, watched
 from ..sources import cells as C
+from ..sources.refined import open_refined
 from . import inputs, workbook
 
 FILE = "informe.xlsx"
@@ -333,3 +334,13 @@ def published_suite(spark: SparkSession, d: str) -> DataFrame:
     props = {k: v for k, v in lineage(spark, d).items() if k in SINGLE}
     return technical_suite(spark, {n: found.get(n, r.names[n]) for n in TYPES}, {n: t.metrics["rows"] for n, t in r.tables.items()},
                            {n: t.rows.columns for n, t in r.tables.items()}, props)
+
+
+def opened(spark: SparkSession, d: str) -> DataFrame:
+    """The gate in front of each published table, check by check."""
+    r = run_of(spark, d)
+    out = []
+    for name, t in r.tables.items():
+        _, checks = open_refined(spark, r.names[name], t.rows.columns, EXPECTED, ["pipeline.run_id", "lineage.input_sha256"])
+        out.append(checks.select(F.lit(name).alias("table"), "check", "ok", "status"))
+    return union_results(out)

@@ -54,6 +54,8 @@ QUERIES: dict[str, Query] = {
     "d_gold_a_rules": rules.gold_a,
     "d_gold_fact_rules": rules.gold_facts,
     "d_gold_dimension_rules": rules.gold_dimensions,
+    "d_gold_pregates": rules.gold_pregates,
+    "s18_open_refined": refined_a.opened,
     "d_c_layer_contract": refined_a.published_contract,
     "d_qa_published": refined_a.published_suite,
     # scalar functions over whole tables

@@ -131,6 +131,29 @@ def gold_facts(spark: SparkSession, d: str) -> DataFrame:
     ])
 
 
+def gold_pregates(spark: SparkSession, d: str) -> DataFrame:
+    """D-GA-P: what must hold before gold is built : no exact duplicates, one
+    row a period, no negative measure, levels of the domain, aggregates of the
+    catalogue, one source label per analytic label."""
+    p = inputs.P
+    series = {"monthly_direct": inputs.monthly_direct(spark, d), "matrix_value": inputs.matrix_long(spark, d, "value"), "matrix_qty": inputs.matrix_long(spark, d, "qty")}
+    national_rows, base = national.national_base(spark, d), market.market_base(spark, d)
+    every, long = market.market_all(spark, d), inputs.market_long(spark, d)
+    negative = (F.col("qty") < 0) | (F.col("value") < 0)
+    collisions = market.labelled(spark, d).groupBy("cut", "dest", "indicator").agg((F.min("label_source") != F.max("label_source")).alias("clash"))
+    return union_results([
+        *[key_rules(t, name, {}, [("GAP_no_exact_duplicates", t.columns), ("GAP_unique_period", ["period_date"])]) for name, t in series.items()],
+        key_rules(long, "market_long", {}, ("GAP_no_exact_duplicates", long.columns)),
+        key_rules(national_rows, "national_base", {}, ("GAP_unique_period", ["period_date"])),
+        evaluate(national_rows, "national_base", [Rule("GAP_non_negative", CRITICAL, negative)]),
+        key_rules(base, "market_base", {}, ("GAP_grain", ["dest", "cut", "year"])),
+        evaluate(base, "market_base", [Rule("GAP_non_negative", CRITICAL, negative)]),
+        evaluate(every, "market_all", [Rule("GAP_level_domain", CRITICAL, ~F.col("level").isin(LEVEL_DETAIL, LEVEL_REGIONAL))]),
+        key_rules(every.filter(F.col("level") == LEVEL_REGIONAL), "market_all", {"GAP_aggregates_in_catalogue": ("dest", market.regional_labels(spark, d), "_regional")}),
+        evaluate(collisions, "market_labels", [Rule("GAP_alias_collision", CRITICAL, F.col("clash"), detail=f"{len(p.homologation)} declared aliases")]),
+    ])
+
+
 def gold_dimensions(spark: SparkSession, d: str) -> DataFrame:
     """D-GB-C: attributes that contradict each other under one code, before the
     dimensions are made, and the dimensions' keys."""

@@ -110,7 +110,8 @@ def run_record(spark: SparkSession, run_id: str, layer: str, rules: DataFrame, c
 
     now = _dt.datetime.now(_dt.timezone.utc)
     start = _dt.datetime.fromisoformat(started_at) if started_at else now
-    found = [r.asDict() for r in rules.select("rule", "table", "severity", "status", "checked", "violations").orderBy("table", "rule").collect()]
+    shown = [c for c in ("table", "rule", "severity", "status", "checked", "violations") if c in rules.columns]
+    found = [r.asDict() for r in rules.select(*shown).orderBy(*shown).collect()]
     counts = {s: sum(r["status"] == s for r in found) for s in ("PASS", "WARN", "FAIL")}
     return {
         "run_id": run_id, "layer": layer, "spark_version": spark.version,

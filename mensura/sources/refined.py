@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 def open_refined(spark: SparkSession, name: str, columns, expected_props: dict,
                  required_props=("run_id", "input_sha256")) -> tuple[DataFrame | None, DataFrame]:
-    """Return (table or None, checks[check, ok, detail])."""
+    """Return (table, checks[check, ok, detail, status]); the table is None
+    unless every check holds."""
     checks = []
     exists = spark.catalog.tableExists(name)
     checks.append(("exists", exists, name))
@@ -31,4 +32,4 @@ def open_refined(spark: SparkSession, name: str, columns, expected_props: dict,
         checks.append(("not_empty", not df.isEmpty(), ""))
     out = spark.createDataFrame(checks, "check string, ok boolean, detail string")
     out = out.withColumn("status", F.when(F.col("ok"), F.lit("PASS")).otherwise(F.lit("FAIL")))
-    return df, out
+    return df if all(ok for _, ok, _ in checks) else None, out

@@ -153,3 +153,19 @@ def test_suite_catches_what_was_corrupted(spark, layer):
     put("a")
     P.discard([staged["a"]])
     assert suite() == ({("a", "readable")}, 6)
+
+
+def test_pregates_fire_on_mutations(spark, monkeypatch):
+    from conftest import SMALL
+    from mensura.plans import inputs, market, rules
+
+    assert {r["status"] for r in rules.gold_pregates(spark, SMALL).collect()} == {"PASS"}
+    direct, base, every, labels = inputs.monthly_direct(spark, SMALL), market.market_base(spark, SMALL), market.market_all(spark, SMALL), market.labelled(spark, SMALL)
+    monkeypatch.setattr(inputs, "monthly_direct", lambda s, d: direct.unionByName(direct.limit(1)))
+    monkeypatch.setattr(market, "market_base", lambda s, d: base.unionByName(base.limit(1)).withColumn("qty", -F.col("qty")))
+    monkeypatch.setattr(market, "market_all", lambda s, d: every.withColumn("level", F.when(F.col("dest") == "NATION_1", "OTRO").otherwise(F.col("level")))
+                        .withColumn("dest", F.when(F.col("dest") == "ASIA", "ATLANTIS").otherwise(F.col("dest"))))
+    monkeypatch.setattr(market, "labelled", lambda s, d: labels.withColumn("dest", F.when(F.col("dest") == "NATION_1", "NATION_2").otherwise(F.col("dest"))))
+    bad = {(r["table"], r["rule"]) for r in rules.gold_pregates(spark, SMALL).filter("status = 'FAIL'").collect()}
+    assert bad == {("monthly_direct", "GAP_no_exact_duplicates"), ("monthly_direct", "GAP_unique_period"), ("market_base", "GAP_grain"), ("market_base", "GAP_non_negative"),
+                   ("market_all", "GAP_level_domain"), ("market_all", "GAP_aggregates_in_catalogue"), ("market_labels", "GAP_alias_collision")}

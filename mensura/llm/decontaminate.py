@@ -24,9 +24,9 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Bits of a word filter for each word, and at most.  A plan carries half a
-#: megabyte of them, whatever the number of words; beyond a quarter of a
-#: million words it lets ever more others through.
-WORD_BITS, MOST_BITS = 16, 1 << 22
+#: megabyte of them, whatever the number of words; up to 65,000 words one in a
+#: thousand others passes, beyond it ever more do.
+WORD_BITS, MOST_BITS = 64, 1 << 22
 
 
 def raw_words(text: Column) -> Column:
@@ -49,22 +49,30 @@ def item_windows(benchmark: DataFrame, size: int, item_col: str, text_col: str)
 
 class WordFilter:
     """A test of raw words that every word of a column passes, and few others
-    do: one bit a word, by the hash of its small letters.  (Words equal after
+    do: two bits a word, by the hash of its small letters.  (Words equal after
     folding A-Z are equal in small letters.)  Exact joins follow it."""
 
     def __init__(self, df: DataFrame, col: str):
         own = df.select(F.xxhash64(F.lower(F.col(col))).alias("h")).distinct()
         self.bits = min(MOST_BITS, max(64, 1 << (WORD_BITS * own.count()).bit_length()))
-        set_ = own.select(F.col("h").bitwiseAND(F.lit(self.bits - 1)).cast("int").alias("b")).select(
+        set_ = own.select(F.explode(F.array(*self._places(F.col("h")))).alias("b")).select(
             F.shiftright("b", 6).alias("at"), F.expr("shiftleft(1L, b & 63)").alias("mark"))
         marks = [0] * (self.bits // 64)
         for r in set_.groupBy("at").agg(F.bit_or("mark").alias("marks")).collect():
             marks[r["at"]] = r["marks"]
         self.marks = F.split(F.lit(",".join(map(str, marks))), ",").cast("array<bigint>")
 
+    def _places(self, h: Column) -> list[Column]:
+        low = F.lit(self.bits - 1)
+        return [h.bitwiseAND(low).cast("int"), F.shiftright(h, 32).bitwiseAND(low).cast("int")]
+
     def __call__(self, word: Column) -> Column:
-        bit = F.xxhash64(F.lower(word)).bitwiseAND(F.lit(self.bits - 1)).cast("int")
-        return F.call_function("getbit", F.get(self.marks, F.shiftright(bit, 6)), bit.bitwiseAND(F.lit(63))) == 1
+        first, second = self._places(F.xxhash64(F.lower(word)))
+
+        def marked(bit: Column) -> Column:
+            return F.call_function("getbit", F.get(self.marks, F.shiftright(bit, 6)), bit.bitwiseAND(F.lit(63))) == 1
+
+        return marked(first) & marked(second)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20,

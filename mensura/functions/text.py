@@ -54,27 +54,30 @@ def clean_text(c, null_tokens=NULL_TOKENS) -> Column:
     return bind(s, lambda x: F.when(F.upper(x).isin(tokens), F.lit(None).cast("string")).otherwise(x))
 
 
-#: White space as Unicode has it (what ``str.split`` splits at).
-SPACE = "[" + "".join(f"\\x{{{cp:x}}}" for cp in range(0x3001) if chr(cp).isspace()) + "]+"
-
-
 def _ranges(points: list[int]) -> str:
     """Regular-expression class of sorted code points."""
-    out, first = [], None
-    for i, p in enumerate(points):
-        first = p if first is None else first
-        if i + 1 == len(points) or points[i + 1] != p + 1:
-            out.append(f"\\x{{{first:x}}}-\\x{{{p:x}}}")
-            first = None
-    return "[" + "".join(out) + "]"
+    runs: list[list[int]] = []
+    for p in points:
+        if runs and runs[-1][1] == p - 1:
+            runs[-1][1] = p
+        else:
+            runs.append([p, p])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs) + "]"
+
+
+_SPACES = [cp for cp in range(0x3001) if chr(cp).isspace()]
+#: White space as Unicode has it (what ``str.split`` splits at), and what is
+#: left of it where compatibility forms have become plain blanks.
+SPACE = _ranges(_SPACES) + "+"
+PLAIN_SPACE = _ranges([cp for cp in _SPACES if unicodedata.normalize("NFKD", chr(cp)) == chr(cp)]) + "+"
 
 
 class Mapping:
     """A text per code point, from a rule, as a column expression.
 
     Code points that map to one character or none are translated; those that
-    map to several are looked up by number in a two-level table (pages of 256),
-    and only texts that hold one of them are taken apart for it.
+    map to several are looked up by number in a two-level table (pages of 256);
+    only texts that hold one of them are taken apart.
     """
 
     def __init__(self, rule: Callable[[str], str]):
@@ -98,7 +101,11 @@ class Mapping:
         if self.several:
             table = _two_level(self.several, "string")
             taken = F.array_join(F.transform(F.regexp_extract_all(c, F.lit("(?s)(.)"), 1), lambda ch: F.coalesce(_at(table, ch), ch)), "")
-            c = F.when(c.rlike(_ranges(sorted(self.several))), taken).otherwise(c)
+            # Deleting them tells whether there are any (a class of so many
+            # ranges would be tried range by range).
+            beyond = c.rlike(f"[^\\x00-\\x{{{min(self.several) - 1:x}}}]")
+            held = F.translate(c, "".join(map(chr, sorted(self.several))), "") != c
+            c = F.when(beyond & held, taken).otherwise(c)
         return F.translate(c, self.source, self.target)
 
 
@@ -119,7 +126,7 @@ def strip_accents(c) -> Column:
 def normalize_match(c, case: str | None = "upper") -> Column:
     """O2: decomposed text without combining marks, white space collapsed,
     trimmed, upper (or lower) case; None leaves the case."""
-    s = F.trim(F.regexp_replace(strip_accents(c), SPACE, " "))
+    s = F.trim(F.regexp_replace(strip_accents(c), PLAIN_SPACE, " "))
     if case is None:
         return s
     return F.upper(s) if case == "upper" else F.lower(s)

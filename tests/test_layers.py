@@ -169,3 +169,51 @@ def test_pregates_fire_on_mutations(spark, monkeypatch):
     bad = {(r["table"], r["rule"]) for r in rules.gold_pregates(spark, SMALL).filter("status = 'FAIL'").collect()}
     assert bad == {("monthly_direct", "GAP_no_exact_duplicates"), ("monthly_direct", "GAP_unique_period"), ("market_base", "GAP_grain"), ("market_base", "GAP_non_negative"),
                    ("market_all", "GAP_level_domain"), ("market_all", "GAP_aggregates_in_catalogue"), ("market_labels", "GAP_alias_collision")}
+
+
+def test_labels_are_checked_on_every_serving_row(spark, monkeypatch):
+    """A code that has its label in some of its rows only fails (D-GB15)."""
+    from mensura.plans import rules, subcode
+
+    def frame(rows, schema):
+        return lambda s, d: spark.createDataFrame(rows, schema)
+
+    labels = [("a", "A"), ("a", None), ("a", "A"), ("b", "B"), ("b", "B"), ("c", None), ("c", None), (None, None)]
+    whole = "period_date string, subcode string, subcode_label string, share_fob_period double, share_tonnes_period double, fob_usd double"
+    monkeypatch.setattr(subcode, "fact", frame([(1, "p", "a", 1.0, 1.0, 1000.0, 1.0)],
+                                               "date_key int, product_key string, subcode_key string, tonnes double, fob_thousands double, fob_usd double, unit_price_usd_kg double"))
+    for dim, key in (("dim_date", "date_key int"), ("dim_product", "product_key string"), ("dim_subcode", "subcode_key string")):
+        monkeypatch.setattr(subcode, dim, frame([], key))
+    monkeypatch.setattr(subcode, "annual_summary", frame([], "complete boolean, yoy_tonnes double, yoy_fob_usd double"))
+
+    def found(kept):
+        monkeypatch.setattr(subcode, "serving", frame([("2000-01", code, label, 0.5, 0.5, 1.0) for code, label in kept], whole))
+        return by_rule(rules.gold_b(spark, ""))["GB15_code_has_label"]
+
+    assert found(labels) == ("FAIL", 8, 4)
+    assert found(labels[:5]) == ("FAIL", 5, 1)
+    assert found(labels[3:5]) == ("PASS", 2, 0)
+    assert found([]) == ("PASS", 0, 0)
+
+
+def test_gold_b_checks_as_many_serving_rows_as_there_are(spark, tmp_path):
+    """The whole query on small tables, against its SQL."""
+    import datetime
+
+    import duckdb
+
+    from mensura.plans import oracle_rules, rules
+
+    parts = [(1, "STANDARD TIN", "Brand#3"), (2, "STANDARD TIN", "Brand#21"), (3, "PROMO TIN", "Brand#7")]
+    lines = [(p, datetime.date(1997, m, 5), float(m), 100.0 * p) for p, months in ((1, 3), (2, 4), (3, 1)) for m in range(1, months + 1)]
+    spark.createDataFrame(parts, "p_partkey long, p_type string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame(lines, "l_partkey long, l_shipdate date, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = rules.gold_b(spark, str(tmp_path))
+    got = by_rule(df)
+    assert got["GB15_code_has_label"] == ("FAIL", 8, 4) and len(got) == 15
+    con = duckdb.connect()
+    for t in ("part", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    cur = con.execute(oracle_rules.SQL["d_gold_b_rules"])
+    names = [c[0] for c in cur.description]
+    assert sorted(tuple(r[c] for c in names) for r in df.collect()) == sorted(cur.fetchall())
